@@ -13,15 +13,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.operators.aggregates import REVENUE_SUMS
-from tripmart.plans import warehouse
+from tripmart.plans import oracle, warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+ORACLE: dict[str, str] = {}
 
 
-def gate(name: str):
+def gate(name: str, sql: str | None = None):
+    """Register a gate query and, when given, its DuckDB oracle text."""
     def deco(fn: Query) -> Query:
         QUERIES[name] = fn
+        if sql is not None:
+            ORACLE[name] = sql
         return fn
     return deco
 
@@ -31,7 +35,7 @@ def money_double(c: str | Column) -> Column:
     return col.cast("decimal(18,2)").cast("double")
 
 
-@gate("monthly_zone_revenue")
+@gate("monthly_zone_revenue", oracle.MONTHLY_ZONE_REVENUE)
 def monthly_zone_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = warehouse.fct_monthly_zone_revenue(spark, sf_dir)
     return m.select("pickup_zone", "revenue_month", "service_type",

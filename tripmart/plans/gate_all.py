@@ -1 +1,4 @@
 """Imports every module that registers gate queries."""
+
+from tripmart.plans import gate  # noqa: F401
+from tripmart.plans import gate_reports  # noqa: F401

@@ -168,6 +168,3 @@ select coalesce(pickup_zone, 'Unknown Zone') as pickup_zone,
 from fct
 group by coalesce(pickup_zone, 'Unknown Zone'), cast(date_trunc('month', pickup_datetime) as date), service_type"""
 
-ORACLE: dict[str, str] = {
-    "monthly_zone_revenue": MONTHLY_ZONE_REVENUE,
-}

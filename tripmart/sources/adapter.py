@@ -132,3 +132,32 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_name").alias("zone"),
         F.lit("Boro Zone").alias("service_zone"),
     )
+
+
+def api_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips in the layout of the paged API load: text payment type
+    ('Credit' for code 1), tip/fare/total amounts and a per-row load id
+    (one load per pickup year)."""
+    t = trips(spark, sf_dir)
+    return t.select(
+        F.when(F.col("payment_type") == 1, F.lit("Credit"))
+         .otherwise(F.col("payment_type").cast("string")).alias("payment_type"),
+        F.col("pickup_datetime").alias("trip_pickup_date_time"),
+        F.col("dropoff_datetime").alias("trip_dropoff_date_time"),
+        F.col("trip_distance"), F.col("fare_amount").alias("fare_amt"),
+        F.col("tip_amount").alias("tip_amt"), F.col("total_amount").alias("total_amt"),
+        F.concat(F.lit("load_"), F.year("pickup_datetime").cast("string")).alias("_dlt_load_id"),
+        "l_orderkey", "l_partkey", "l_suppkey",
+    )
+
+
+def load_ledger(api: DataFrame, all_pending: bool = False) -> DataFrame:
+    """Load ledger derived from the loads present in ``api``: one row per
+    load id, inserted at its last dropoff.  Loads of even years are
+    ' Loaded ' (mixed case, padded), others carry the status code '0'; with
+    ``all_pending`` every load is '0' (no 'loaded' row at all)."""
+    g = api.groupBy(F.col("_dlt_load_id").alias("load_id")).agg(
+        F.max("trip_dropoff_date_time").alias("inserted_at"))
+    year = F.substring("load_id", 6, 4).cast("int")
+    status = F.lit("0") if all_pending else F.when(year % 2 == 0, F.lit(" Loaded ")).otherwise(F.lit("0"))
+    return g.select("load_id", "inserted_at", status.alias("status"))
