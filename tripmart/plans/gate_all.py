@@ -3,3 +3,4 @@
 from tripmart.plans import gate  # noqa: F401
 from tripmart.plans import gate_reports  # noqa: F401
 from tripmart.plans import gate_models  # noqa: F401
+from tripmart.plans import gate_sinks  # noqa: F401

@@ -78,3 +78,10 @@ def scratch_table(spark: SparkSession, label: str) -> tuple[str, str]:
     """(unique table name, location under the shared work root)."""
     suffix = uuid.uuid4().hex[:12]
     return f"tm_{label}_{suffix}", f"{work_root(spark)}/tripmart-tables/{label}_{suffix}"
+
+
+def scratch_database(spark: SparkSession, label: str) -> str:
+    """A new database whose managed tables live under the shared work root."""
+    name = f"tm_{label}_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_dir(spark, label)}'")
+    return name
