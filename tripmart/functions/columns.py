@@ -216,3 +216,10 @@ def is_numeric_type(dt: DataType) -> bool:
 
 def is_text(dt: DataType) -> bool:
     return isinstance(dt, StringType)
+
+
+def avg_rounded(c: ColumnOrName, digits: int = 2) -> Column:
+    """``ROUND(AVG(c), digits)`` as DOUBLE (AGG-11).  Text values that are
+    not numbers (such as a default 'N/A') are skipped; the average is taken
+    in DECIMAL, so the rounding of a half is exact (half away from zero)."""
+    return F.round(F.avg(_c(c).try_cast("decimal(18,2)")), digits).cast("double")

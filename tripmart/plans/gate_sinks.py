@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    DateType, DecimalType, IntegerType, LongType, StringType, StructField, StructType,
+    DecimalType, IntegerType, LongType, StringType, StructField, StructType,
     TimestampNTZType,
 )
 
@@ -295,5 +295,3 @@ FCT_CONTRACT = StructType([
 def conform_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubles(tables.conform(warehouse.fct_trips(spark, sf_dir), FCT_CONTRACT, strict=True))
 
-
-_ = DateType  # (re-exported type used by callers building partition schemas)
