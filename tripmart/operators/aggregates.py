@@ -50,15 +50,22 @@ def monthly_zone_revenue(fct: DataFrame, unknown_zone: str = "Unknown Zone") ->
     return g.agg(*aggs)
 
 
+def _avg_exact(c: str) -> Column:
+    """Average of a DOUBLE column summed exactly in DECIMAL(38,6)."""
+    return F.try_divide(F.sum(F.col(c).cast("decimal(38,6)")).cast("double"), F.count(c).cast("double"))
+
+
 def daily_report(staged: DataFrame) -> DataFrame:
     """Daily report by (date, payment name): COUNT, SUM, 3 averages (AGG-8).
-    The caller restricts ``staged`` to the window (see ``in_date_window``)."""
+    Money is summed as DECIMAL(18,2), so totals do not depend on the order in
+    which partial sums meet.  The caller restricts ``staged`` to the window
+    (see ``in_date_window``)."""
     return staged.groupBy(F.to_date("pickup_datetime").alias("report_date"), "payment_type_name").agg(
         F.count(F.lit(1)).alias("trip_count"),
-        F.sum("total_amount").alias("total_revenue"),
-        _avg("fare_amount").alias("avg_fare"),
-        _avg("trip_distance").alias("avg_trip_distance"),
-        _avg("passenger_count").alias("avg_passenger_count"),
+        F.sum(F.col("total_amount").cast("decimal(18,2)")).alias("total_revenue"),
+        _avg_exact("fare_amount").alias("avg_fare"),
+        _avg_exact("trip_distance").alias("avg_trip_distance"),
+        _avg_exact("passenger_count").alias("avg_passenger_count"),
     )
 
 

@@ -5,3 +5,4 @@ from tripmart.plans import gate_reports  # noqa: F401
 from tripmart.plans import gate_models  # noqa: F401
 from tripmart.plans import gate_sinks  # noqa: F401
 from tripmart.plans import gate_sources  # noqa: F401
+from tripmart.plans import gate_layered  # noqa: F401

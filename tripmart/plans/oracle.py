@@ -40,7 +40,7 @@ def _raw(taxi: str) -> str:
     p = "lpep" if taxi == "green" else "tpep"
     status = "F" if taxi == "green" else "O"
     green_only_fee = "cast(null as double) as ehail_fee," if taxi == "green" else ""
-    green_only_type = ", case when l_returnflag = 'A' then 2.0 else 1.0 end as trip_type" if taxi == "green" else ""
+    green_only_type = ", cast(case when l_returnflag = 'A' then 2.0 else 1.0 end as double) as trip_type" if taxi == "green" else ""
     return f"""{taxi}_raw as (select
   case when l_linenumber = 7 then null else cast(l_linenumber % 5 as bigint) end as VendorID,
   o_orderdate as {p}_pickup_datetime, l_shipdate as {p}_dropoff_datetime,
@@ -48,10 +48,10 @@ def _raw(taxi: str) -> str:
   cast(case when l_linenumber = 6 then 99 else c_nationkey end as bigint) as PULocationID,
   cast(s_nationkey as bigint) as DOLocationID,
   l_quantity as passenger_count, l_quantity as trip_distance, l_extendedprice as fare_amount,
-  cast(l_linenumber % 3 as double) * 0.5 as extra, l_tax as mta_tax, l_discount as tip_amount,
-  case when c_nationkey = s_nationkey then 6.55 else 0.0 end as tolls_amount,
+  cast(l_linenumber % 3 as double) * cast(0.5 as double) as extra, l_tax as mta_tax, l_discount as tip_amount,
+  cast(case when c_nationkey = s_nationkey then 6.55 else 0.0 end as double) as tolls_amount,
   {green_only_fee}
-  0.3 as improvement_surcharge, o_totalprice as total_amount,
+  cast(0.3 as double) as improvement_surcharge, o_totalprice as total_amount,
   cast(nullif(cast(substring(o_orderpriority, 1, 1) as int), 5) as double) as payment_type
   {green_only_type}
   from j where l_linestatus = '{status}')"""

@@ -269,28 +269,31 @@ def _replace_by_keys(spark: SparkSession, src: DataFrame, target: str, keys: Seq
 # --- time-interval refresh (SNK-9) -----------------------------------------
 
 def write_time_interval(result: DataFrame, target: str, key: str, start, end,
-                        date_col: str) -> None:
+                        partition_col: str, partition_of=None) -> None:
     """Replace the target rows with ``start <= key < end`` by ``result``.
 
     ``result`` must be filtered to the same window (rows outside it raise, as
     inserting them would duplicate rows).  The target is partitioned by
-    ``date_col`` = date of ``key``: the days the window reaches are rewritten
-    (their rows outside the window kept), days left empty are dropped."""
+    ``partition_col`` = ``partition_of(key)`` (default: the date of ``key``;
+    e.g. ``month_start`` for monthly partitions).  The partitions the window
+    reaches are rewritten with their rows outside the window kept; partitions
+    left empty are dropped."""
     from tripmart.functions.columns import in_window, ts_literal
     spark = result.sparkSession
+    part_of = partition_of or F.to_date
     tgt = spark.table(target)
     like = tgt.schema[key].dataType
     window = in_window(key, start, end, like)
     result = _checkpoint(result.select(*tgt.columns))
     if result.where(~window | F.col(key).isNull()).limit(1).count() > 0:
         raise ValueError("time_interval result has rows outside the window")
-    first = ts_literal(start).cast("date")
-    last = ts_literal(end).cast("date")
-    days = tgt.where((F.col(date_col) >= first) & (F.col(date_col) <= last))
-    keep = days.where(~window)
-    touched = [r[0] for r in days.select(date_col).union(result.select(date_col)).distinct().collect()]
+    first = part_of(ts_literal(start, like))
+    last = part_of(ts_literal(end, like))
+    reached = tgt.where((F.col(partition_col) >= first) & (F.col(partition_col) <= last))
+    keep = reached.where(~window)
+    touched = [r[0] for r in reached.select(partition_col).union(result.select(partition_col)).distinct().collect()]
     out = _checkpoint(keep.unionByName(result))
-    _overwrite_partitions(spark, out, target, date_col, touched)
+    _overwrite_partitions(spark, out, target, partition_col, touched)
 
 
 # --- clustered layout (SNK-11) ---------------------------------------------
