@@ -7,3 +7,4 @@ from tripmart.plans import gate_sinks  # noqa: F401
 from tripmart.plans import gate_sources  # noqa: F401
 from tripmart.plans import gate_layered  # noqa: F401
 from tripmart.plans import gate_quality  # noqa: F401
+from tripmart.plans import gate_streaming  # noqa: F401
