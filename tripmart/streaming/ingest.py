@@ -90,6 +90,9 @@ def append_with_ledger(stream: DataFrame, target: str, ledger: str, checkpoint:
     q = (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    # Batches wrote through the stream's session; refresh the caller's view.
+    spark.catalog.refreshTable(target)
+    spark.catalog.refreshTable(ledger)
 
 
 def merge_stream(stream: DataFrame, target: str, keys: Sequence[str], checkpoint: str) -> None:
@@ -101,3 +104,4 @@ def merge_stream(stream: DataFrame, target: str, keys: Sequence[str], checkpoint
     q = (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    stream.sparkSession.catalog.refreshTable(target)
