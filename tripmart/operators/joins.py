@@ -32,9 +32,17 @@ def maybe_broadcast(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) ->
 
 def anti_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``left`` whose key is absent from ``right`` (JN-7).  Null keys
-    never match, so they are kept, as with SQL ``NOT EXISTS`` on equality."""
-    return left.join(right.select(*keys), list(keys), "left_anti")
+    never match, so they are kept, as with SQL ``NOT EXISTS`` on equality.
+    The key side is broadcast when its size is bounded, so ``left`` is
+    filtered where it lies instead of being shuffled."""
+    return left.join(maybe_broadcast(right.select(*keys)), list(keys), "left_anti")
 
 
 def semi_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return left.join(right.select(*keys), list(keys), "left_semi")
+    """Rows of ``left`` whose key occurs in ``right`` (same broadcast rule)."""
+    return left.join(maybe_broadcast(right.select(*keys)), list(keys), "left_semi")
+
+
+def is_bounded(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> bool:
+    size = estimated_bytes(df)
+    return 0 <= size <= limit_bytes

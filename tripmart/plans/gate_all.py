@@ -9,3 +9,4 @@ from tripmart.plans import gate_layered  # noqa: F401
 from tripmart.plans import gate_quality  # noqa: F401
 from tripmart.plans import gate_streaming  # noqa: F401
 from tripmart.plans import gate_similarity  # noqa: F401
+from tripmart.plans import gate_loads  # noqa: F401

@@ -53,7 +53,7 @@ def _raw(taxi: str) -> str:
   {green_only_fee}
   cast(0.3 as double) as improvement_surcharge, o_totalprice as total_amount,
   cast(nullif(cast(substring(o_orderpriority, 1, 1) as int), 5) as double) as payment_type
-  {green_only_type}
+  {green_only_type}, cast(0.0 as double) as congestion_surcharge
   from j where l_linestatus = '{status}')"""
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tripmart.operators.aggregates import duplicate_keys
-from tripmart.operators.joins import anti_join, semi_join
+from tripmart.operators.joins import anti_join, is_bounded, semi_join
 
 
 class ContractError(ValueError):
@@ -189,7 +189,18 @@ def merge_insert_new(src: DataFrame, target: str, keys: Sequence[str],
     if dedupe_source:
         src = src.dropDuplicates(list(keys))
     tgt = spark.table(target)
-    new = anti_join(src, tgt, keys).select(*tgt.columns)
+    if is_bounded(tgt.select(*keys)):
+        # Small target: its keys are broadcast, the batch is not shuffled.
+        new = anti_join(src, tgt, keys)
+    elif is_bounded(src.select(*keys)):
+        # Large target, bounded batch: find the batch's keys in the target by
+        # a broadcast semi join (the target's key column is scanned, never
+        # shuffled), then drop those from the batch.
+        matched = semi_join(tgt.select(*keys), src, keys)
+        new = anti_join(src, matched, keys)
+    else:
+        new = src.join(tgt.select(*keys), list(keys), "left_anti")
+    new = new.select(*tgt.columns)
     new.write.insertInto(target)
     return new
 
@@ -220,10 +231,14 @@ def _overwrite_partitions(spark: SparkSession, out: DataFrame, target: str, part
 
 
 def _checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage in the shared checkpoint folder (reliable checkpoint)."""
-    from tripmart.session import work_root
-    work_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage: write ``df`` once as Parquet under the shared work folder
+    and read it back.  (``DataFrame.checkpoint`` would compute the plan twice,
+    once for the action and once for the checkpoint file.)  A lost executor
+    costs a re-read of those files, not a recomputation from the sources."""
+    from tripmart.session import scratch_dir
+    path = scratch_dir(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def merge_upsert(src: DataFrame, target: str, keys: Sequence[str], partition_col: str | None = None,
