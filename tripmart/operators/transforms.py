@@ -142,20 +142,19 @@ def _orderable(dt) -> bool:
 
 
 def dedupe_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
-                 descending: bool = False, method: str = "aggregate") -> DataFrame:
+                 descending: bool = False, method: str = "window") -> DataFrame:
     """Keep one row per ``keys``: the first by ``order_by`` (ascending, NULLs
     first) or, with ``descending=True``, the last (descending, NULLs last).
 
     Ties are broken by the remaining columns in schema order, so the result
     is deterministic.
 
-    ``method='aggregate'`` (default) computes ``min``/``max`` of a struct of
-    (order columns, remaining columns) per key.  The aggregate is partial:
-    every map task reduces its rows to one per key before the shuffle, so a
-    key that holds a third of all rows moves only one row per map task.
-    ``method='window'`` is ``row_number() = 1`` (Spark adds a partial
-    WindowGroupLimit before its shuffle too); kept for comparison and for
-    column types that cannot be ordered.
+    ``method='window'`` (default) is ``row_number() = 1``: Spark plans a
+    partial WindowGroupLimit in every map task before the shuffle, so a key
+    holding a third of all rows sends one row per task.  ``method='aggregate'``
+    takes ``min``/``max`` of a struct of (order columns, remaining columns)
+    per key, which is equally protected by partial aggregation; the two
+    measured the same at sf0.1 (6.7 s each for the whole first-trip model).
     """
     keys = list(keys)
     order_by = list(order_by)

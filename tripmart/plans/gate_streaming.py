@@ -14,6 +14,8 @@ from tripmart.streaming import ingest
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 # Fixed value: records per page of the paged source.
 PAGE_SIZE = 1000
+# Pages taken per micro-batch.
+PAGES_PER_BATCH = 32
 # Pages re-delivered by a second landing (their events arrive twice).
 REDELIVERED_PAGES = 3
 
@@ -41,7 +43,7 @@ def stream_append_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     db = scratch_database(spark, "stream")
     schema = ingest.schema_with_hints(_event_schema(spark, sf_dir), {})
     for _ in range(2):
-        stream = ingest.page_stream(spark, landing, schema.add("page", "long"), max_files_per_trigger=4)
+        stream = ingest.page_stream(spark, landing, schema.add("page", "long"), max_files_per_trigger=PAGES_PER_BATCH)
         ingest.append_with_ledger(stream, f"{db}.events", f"{db}.loads", ckpt, EVENT_COLS)
     return spark.table(f"{db}.events").select(*EVENT_COLS)
 
@@ -57,10 +59,10 @@ def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables.ensure_table(spark, target, _event_schema(spark, sf_dir))
     schema = _event_schema(spark, sf_dir).add("page", "long")
     _land_pages(ev, landing)
-    ingest.merge_stream(ingest.page_stream(spark, landing, schema, 4).select(*EVENT_COLS), target,
+    ingest.merge_stream(ingest.page_stream(spark, landing, schema, PAGES_PER_BATCH).select(*EVENT_COLS), target,
                         ["event_id"], ckpt)
     again = ev.where(F.col("event_id") < REDELIVERED_PAGES * PAGE_SIZE)
     _land_pages(again, landing, page_offset=1_000_000)
-    ingest.merge_stream(ingest.page_stream(spark, landing, schema, 4).select(*EVENT_COLS), target,
+    ingest.merge_stream(ingest.page_stream(spark, landing, schema, PAGES_PER_BATCH).select(*EVENT_COLS), target,
                         ["event_id"], ckpt)
     return spark.table(target)

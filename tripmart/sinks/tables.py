@@ -230,6 +230,16 @@ def _overwrite_partitions(spark: SparkSession, out: DataFrame, target: str, part
     spark.catalog.refreshTable(target)
 
 
+def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Write ``df`` once as Parquet under the shared work folder and return a
+    frame reading it: later actions reuse the files instead of recomputing
+    the plan, and a lost executor costs a re-read, not a recomputation."""
+    from tripmart.session import scratch_dir
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _checkpoint(df: DataFrame) -> DataFrame:
     """Cut lineage: write ``df`` once as Parquet under the shared work folder
     and read it back.  (``DataFrame.checkpoint`` would compute the plan twice,

@@ -36,12 +36,21 @@ PAYMENT_FLEX_SCHEMA = StructType([
 ])
 
 
+def _local(spark: SparkSession, rows, schema: StructType) -> DataFrame:
+    """A seed as a local relation (SQL VALUES): its size is known to the
+    optimizer, so joins broadcast it.  (A frame created from a Python list is
+    planned as an RDD of unknown size.)"""
+    names = [f.name for f in schema.fields]
+    casts = ", ".join(f"cast({n} as {f.dataType.simpleString()}) as {n}" for n, f in zip(names, schema.fields))
+    return spark.sql(f"select {casts} from {values_sql(rows, names)}")
+
+
 def payment_type_lookup(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(PAYMENT_TYPES, PAYMENT_SCHEMA)
+    return _local(spark, PAYMENT_TYPES, PAYMENT_SCHEMA)
 
 
 def payment_lookup_with_flex(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(PAYMENT_TYPES_WITH_FLEX, PAYMENT_FLEX_SCHEMA)
+    return _local(spark, PAYMENT_TYPES_WITH_FLEX, PAYMENT_FLEX_SCHEMA)
 
 
 def values_sql(rows, names) -> str:
