@@ -47,3 +47,45 @@ def dim_vendors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fct_monthly_zone_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.monthly_zone_revenue(fct_trips(spark, sf_dir))
+
+
+def run_models(spark: SparkSession, sf_dir: str, db: str, full_refresh: bool = False) -> dict[str, str]:
+    """Build the star schema as the model DAG does:
+    staging and intermediate models are views (SNK-6); ``dim_zones`` is a
+    table; ``fct_trips`` is incremental on ``pickup_datetime`` with an upsert
+    on ``trip_id`` (INC-1, SNK-8); ``dim_vendors`` and the monthly revenue
+    mart are tables computed from the stored fact (SRC-15).  With
+    ``full_refresh`` every table is rebuilt (INC-6)."""
+    from tripmart.functions.columns import month_start
+    from tripmart.operators.incremental import build_incremental
+    from tripmart.sinks import tables
+
+    suffix = db.replace(".", "_")
+    views = {}
+    for name, df in (("stg_green_tripdata", stg_green(spark, sf_dir)),
+                     ("stg_yellow_tripdata", stg_yellow(spark, sf_dir))):
+        views[name] = f"{name}_{suffix}"
+        tables.write_view(df, views[name])
+    unioned = transforms.union_trips(spark.table(views["stg_green_tripdata"]),
+                                     spark.table(views["stg_yellow_tripdata"]))
+    views["int_trips"] = f"int_trips_{suffix}"
+    tables.write_view(transforms.int_trips(unioned, seeds.payment_type_lookup(spark)), views["int_trips"])
+
+    out = {k: v for k, v in views.items()}
+    out["dim_zones"] = f"{db}.dim_zones"
+    tables.write_replace(dim_zones(spark, sf_dir), out["dim_zones"])
+
+    out["fct_trips"] = f"{db}.fct_trips"
+    fct = transforms.fct_trips(spark.table(views["int_trips"]), spark.table(out["dim_zones"]))
+    fct = fct.withColumn("pickup_month", month_start("pickup_datetime"))
+    if full_refresh:
+        tables.write_replace(fct, out["fct_trips"], ["pickup_month"])
+    else:
+        build_incremental(fct, out["fct_trips"], "trip_id", "pickup_datetime", "pickup_month")
+
+    stored = spark.table(out["fct_trips"])
+    out["dim_vendors"] = f"{db}.dim_vendors"
+    tables.write_replace(transforms.dim_vendors(stored), out["dim_vendors"])
+    out["fct_monthly_zone_revenue"] = f"{db}.fct_monthly_zone_revenue"
+    tables.write_replace(aggregates.monthly_zone_revenue(stored), out["fct_monthly_zone_revenue"])
+    return out
