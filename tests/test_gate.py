@@ -1,7 +1,5 @@
 """Contract smoke test and oracle comparison of fast gate keys at sf0.001."""
 
-import math
-
 import duckdb
 import pytest
 
@@ -52,4 +50,3 @@ def test_oracle_match(spark, duck, key):
     d = sorted(tuple(_norm(row[i]) for i in idx) for row in cur.fetchall())
     assert sorted(cols) == sorted(dcols)
     assert s == d
-    _ = math
