@@ -221,6 +221,7 @@ def _overwrite_partitions(spark: SparkSession, out: DataFrame, target: str, part
     touched partitions that ``out`` left empty (a dynamic overwrite never
     removes a partition it writes no row to)."""
     cols = spark.table(target).columns
+    # Partition values only: a scan of the partition column, no data columns.
     written = {r[0] for r in out.select(part).distinct().collect()}
     with dynamic_overwrite(spark):
         out.select(*cols).write.insertInto(target, overwrite=True)
@@ -260,9 +261,10 @@ def merge_upsert(src: DataFrame, target: str, keys: Sequence[str], partition_col
     Only the partitions touched by the source (or by a matched target row,
     when a key moves partition) are rewritten."""
     spark = src.sparkSession
+    src = _checkpoint(src)   # computed once; the check and the merge read the files
     if check_unique and duplicate_keys(src, keys, skip_null_keys=False).limit(1).count() > 0:
         raise MergeKeyError(f"source has more than one row for some key of {list(keys)}")
-    _replace_by_keys(spark, src, target, keys, partition_col)
+    _replace_by_keys(spark, src, target, keys, partition_col, materialized=True)
 
 
 def write_delete_insert(src: DataFrame, target: str, keys: Sequence[str],
@@ -273,8 +275,9 @@ def write_delete_insert(src: DataFrame, target: str, keys: Sequence[str],
 
 
 def _replace_by_keys(spark: SparkSession, src: DataFrame, target: str, keys: Sequence[str],
-                     partition_col: str | None) -> None:
-    src = _checkpoint(src)
+                     partition_col: str | None, materialized: bool = False) -> None:
+    if not materialized:
+        src = _checkpoint(src)
     tgt = spark.table(target)
     src = src.select(*tgt.columns)
     part = partition_col or (partition_columns(spark, target) or [None])[0]
@@ -287,8 +290,9 @@ def _replace_by_keys(spark: SparkSession, src: DataFrame, target: str, keys: Seq
         return
     touched = _touched_partitions(spark, src, tgt, keys, part)
     keep = anti_join(tgt.where(F.col(part).isin(touched)), src, keys)
-    out = _checkpoint(keep.unionByName(src))
-    _overwrite_partitions(spark, out, target, part, touched)
+    # A dynamic overwrite stages its output and swaps partitions at commit,
+    # so ``keep`` may read the partitions being replaced.
+    _overwrite_partitions(spark, keep.unionByName(src), target, part, touched)
 
 
 # --- time-interval refresh (SNK-9) -----------------------------------------
@@ -317,8 +321,7 @@ def write_time_interval(result: DataFrame, target: str, key: str, start, end,
     reached = tgt.where((F.col(partition_col) >= first) & (F.col(partition_col) <= last))
     keep = reached.where(~window)
     touched = [r[0] for r in reached.select(partition_col).union(result.select(partition_col)).distinct().collect()]
-    out = _checkpoint(keep.unionByName(result))
-    _overwrite_partitions(spark, out, target, partition_col, touched)
+    _overwrite_partitions(spark, keep.unionByName(result), target, partition_col, touched)
 
 
 # --- clustered layout (SNK-11) ---------------------------------------------
