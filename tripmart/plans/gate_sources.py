@@ -229,3 +229,16 @@ def scan_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
         n_files = scanned.select(F.col("_metadata.file_path")).distinct().count()
         rows.append((layout, int(n_files), int(estimated_bytes(q.select("vendor_id")))))
     return spark.createDataFrame(rows, "layout string, files_read long, estimated_bytes long")
+
+
+@gate("external_parquet_glob", """select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+  o_orderpriority from orders where o_orderdate >= timestamp '1998-01-01' and o_orderdate < timestamp '1999-01-01'""")
+def external_parquet_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders written as one Parquet folder per month; a view over the glob
+    of one year's files, schema read from the files (SRC-4)."""
+    root = scratch_dir(spark, "glob")
+    o = _orders(spark, sf_dir)
+    fname = F.concat(F.lit("orders_tripdata_"), F.date_format("o_orderdate", "yyyy-MM"), F.lit(".parquet"))
+    o.withColumn("file", fname).write.partitionBy("file").parquet(root)
+    view = f"orders_1998_{abs(hash(root)) % 10**8}"
+    return files.external_view(spark, view, f"{root}/file=orders_tripdata_1998-*.parquet").select(*ORDER_COLS)
