@@ -85,3 +85,40 @@ def scratch_database(spark: SparkSession, label: str) -> str:
     name = f"tm_{label}_{uuid.uuid4().hex[:12]}"
     spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_dir(spark, label)}'")
     return name
+
+
+# Settings for large inputs.  Input splits and post-shuffle partitions of
+# ~256 MB keep a task's working set well inside executor memory; AQE then
+# coalesces small partitions and splits skewed ones (a join partition over
+# 5x the median and 512 MB is split, its other side replicated).
+SCALE_DEFAULTS = {
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+}
+
+
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 * 1024 * 1024,
+                           minimum: int = 200) -> int:
+    """Initial shuffle partition count so that each post-shuffle partition
+    holds about ``target_bytes`` (AQE coalesces downward at run time)."""
+    return max(minimum, -(-int(input_bytes) // target_bytes))
+
+
+def apply_scale_conf(spark: SparkSession, input_bytes: int) -> dict[str, str]:
+    """Apply the large-input settings that the session has not set itself
+    (explicit cluster settings win).  Returns what was applied."""
+    applied = {}
+    cluster = spark.sparkContext.getConf()
+    wanted = dict(SQL_DEFAULTS, **SCALE_DEFAULTS)
+    wanted["spark.sql.shuffle.partitions"] = str(shuffle_partitions_for(input_bytes))
+    for k, v in wanted.items():
+        if cluster.contains(k):
+            continue
+        if k == "spark.sql.shuffle.partitions" and int(spark.conf.get(k, "200")) >= int(v):
+            continue
+        spark.conf.set(k, v)
+        applied[k] = v
+    return applied
