@@ -45,6 +45,7 @@ def test_stream_ledger_exactly_once(spark, db):
     landing, ckpt = scratch_dir(spark, "t-land"), scratch_dir(spark, "t-ckpt")
     _land(landing, "page1.json", [{"id": i, "rate_code": 1} for i in range(3)])
     _land(landing, "page2.json", [{"id": 10, "rate_code": 2}])  # a short last page
+    _land(landing, "page3.json", [])                             # an empty page
     schema = ingest.schema_with_hints(spark.createDataFrame([], "id long, rate_code long").schema,
                                       {"rate_code": spark.createDataFrame([], "x string").schema["x"].dataType})
     for _ in range(2):

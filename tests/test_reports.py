@@ -36,3 +36,12 @@ def test_top_tip_nulls_last(spark):
                                   "tip_amount double")
     r = reports.top_tip_dropoff_zone(trips, zones, "Z1", "2024-01-01", "2024-02-01").first()
     assert (r.dropoff_zone, r.tip_amount) == ("Z1", 3.0)
+
+
+def test_latest_load_integer_status(spark):
+    loads = spark.createDataFrame([("a", D(2024, 1, 1), 0), ("b", D(2024, 1, 2), 0)],
+                                  "load_id string, inserted_at timestamp_ntz, status int")
+    r = reports.latest_load(loads).first()
+    assert (r.load_id, r.status_v) == ("b", "0")
+    raw = reports.recent_loads(loads, 1).first()
+    assert raw.status_raw == "0"

@@ -64,8 +64,9 @@ def append_with_ledger(stream: DataFrame, target: str, ledger: str, checkpoint:
                        data_columns: Sequence[str] | None = None) -> None:
     """Run the stream to the end of what has landed (STR-1): rows go to
     ``target`` with ``_load_id``; each batch adds one ``ledger`` row
-    (load_id, inserted_at, status 'loaded', row_count).  A second run with
-    the same checkpoint reads nothing new."""
+    (load_id, inserted_at, status 'loaded', row_count); a batch of empty
+    pages adds none.  A second run with the same checkpoint reads nothing
+    new."""
     spark = stream.sparkSession
     cols = list(data_columns or stream.columns)
     row_schema = StructType([stream.schema[c] for c in cols] + [StructField("_load_id", StringType())])
@@ -81,6 +82,8 @@ def append_with_ledger(stream: DataFrame, target: str, ledger: str, checkpoint:
             rows.write.insertInto(target, overwrite=True)
         s.catalog.refreshTable(target)
         n = s.table(target).where(F.col("_load_id") == lid).count()
+        if n == 0:
+            return          # an empty page loads nothing and leaves no ledger row
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         entry = s.createDataFrame([(now, "loaded", n, lid)],
                                   "inserted_at timestamp, status string, row_count long, load_id string")
