@@ -128,3 +128,21 @@ def test_clustered_layout_prunes(spark, db):
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(ts_date" in plan
     assert q.count() == 10
+
+
+def test_bucketed_target_merge_shuffles_only_the_batch(spark, db, monkeypatch):
+    from tripmart.operators import joins
+    monkeypatch.setattr(joins, "BROADCAST_LIMIT_BYTES", -1)
+    monkeypatch.setattr(S, "is_bounded", lambda df, limit_bytes=-1: False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        t = f"{db}.bkt"
+        S.ensure_table(spark, t, spark.createDataFrame([], "k string, v long").schema, bucket_by=(8, ["k"]))
+        S.merge_insert_new(spark.range(100).selectExpr("cast(id as string) k", "id v"), t, ["k"])
+        src = spark.range(50, 150).selectExpr("cast(id as string) k", "id v")
+        new = S.merge_insert_new(src, t, ["k"])
+        plan = new._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+        assert spark.table(t).count() == 150
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))

@@ -60,6 +60,20 @@ def partition_columns(spark: SparkSession, name: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
 
+def bucket_columns(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isBucket]
+
+
+def _writer(df: DataFrame, partition_by: Sequence[str] = (), bucket_by: tuple[int, Sequence[str]] | None = None):
+    w = df.write.format("parquet")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    if bucket_by:
+        n, cols = bucket_by
+        w = w.bucketBy(n, *cols).sortBy(*cols)
+    return w
+
+
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
@@ -67,15 +81,15 @@ def table_exists(spark: SparkSession, name: str) -> bool:
 # --- create / replace / append (SNK-1 .. SNK-6) ----------------------------
 
 def ensure_table(spark: SparkSession, name: str, schema: StructType,
-                 partition_by: Sequence[str] = ()) -> None:
-    """``CREATE TABLE IF NOT EXISTS`` with a typed schema (SNK-1)."""
+                 partition_by: Sequence[str] = (), bucket_by: tuple[int, Sequence[str]] | None = None) -> None:
+    """``CREATE TABLE IF NOT EXISTS`` with a typed schema (SNK-1).
+
+    ``bucket_by=(n, keys)`` stores the table in ``n`` buckets hashed on the
+    merge keys: joins on those keys (the merges' anti and semi joins) then
+    shuffle only the other side, never the table."""
     if table_exists(spark, name):
         return
-    empty = spark.createDataFrame([], schema)
-    w = empty.write.format("parquet")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.saveAsTable(name)
+    _writer(spark.createDataFrame([], schema), partition_by, bucket_by).saveAsTable(name)
 
 
 def create_like(df: DataFrame, name: str) -> None:
@@ -83,12 +97,10 @@ def create_like(df: DataFrame, name: str) -> None:
     df.limit(0).write.format("parquet").saveAsTable(name)
 
 
-def write_replace(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
+def write_replace(df: DataFrame, name: str, partition_by: Sequence[str] = (),
+                  bucket_by: tuple[int, Sequence[str]] | None = None) -> None:
     """Full refresh / CTAS (SNK-3, INC-6)."""
-    w = df.write.format("parquet").mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.saveAsTable(name)
+    _writer(df, partition_by, bucket_by).mode("overwrite").saveAsTable(name)
 
 
 def write_append(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
@@ -192,6 +204,10 @@ def merge_insert_new(src: DataFrame, target: str, keys: Sequence[str],
     if is_bounded(tgt.select(*keys)):
         # Small target: its keys are broadcast, the batch is not shuffled.
         new = anti_join(src, tgt, keys)
+    elif sorted(bucket_columns(spark, target)) == sorted(keys):
+        # Target bucketed on the keys: the join reads it bucket by bucket and
+        # shuffles only the batch.
+        new = src.join(tgt.select(*keys), list(keys), "left_anti")
     elif is_bounded(src.select(*keys)):
         # Large target, bounded batch: find the batch's keys in the target by
         # a broadcast semi join (the target's key column is scanned, never
