@@ -80,3 +80,12 @@ def test_source_file_names(spark):
     df = files.with_source_file(spark.read.option("header", True).csv(root))
     assert sorted((r.filename, r.a) for r in df.collect()) == [("green_tripdata_2019-01.csv", "1"),
                                                                 ("green_tripdata_2019-01.csv", "2")]
+
+
+def test_read_months_skips_unreadable_file(spark):
+    root = scratch_dir(spark, "t-months-bad")
+    spark.createDataFrame([(1, 1.0)], "id long, x double").write.parquet(f"{root}/yellow_tripdata_2024-01.parquet")
+    _write(f"{root}/yellow_tripdata_2024-02.parquet", "part-0.parquet", "not a parquet file")
+    schema = spark.createDataFrame([], "id long, x double").schema
+    df = files.read_months(spark, root, ["yellow"], dt.date(2024, 1, 1), dt.date(2024, 2, 1), schema)
+    assert [r.id for r in df.collect()] == [1]

@@ -169,7 +169,7 @@ def read_months(spark: SparkSession, root: str, types: Sequence[str], start: _dt
                 schema: StructType, extracted_at: _dt.datetime | None = None,
                 template: str = DEFAULT_TEMPLATE) -> DataFrame:
     """Month x type Parquet fan-in (SRC-6): files of the inclusive range that
-    exist, read in one scan with schemas merged by column name (a column
+    exist and can be read, read in one scan with schemas merged by column name (a column
     missing from a file reads NULL), plus ``extracted_at`` (one value per run,
     so a retried task writes the same value).  No file found -> an empty
     frame with ``schema``."""
@@ -179,7 +179,9 @@ def read_months(spark: SparkSession, root: str, types: Sequence[str], start: _dt
     stamp = F.lit(ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz").alias("extracted_at")
     if not found:
         return spark.createDataFrame([], schema).select("*", stamp)
-    df = spark.read.option("mergeSchema", True).parquet(*found)
+    # Unreadable (corrupt or truncated) month files are skipped, as the
+    # reference skips files it fails to fetch.
+    df = spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", True).parquet(*found)
     cols = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in df.columns
             else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
     extra = [F.col(c) for c in df.columns if c not in {f.name for f in schema.fields}]
