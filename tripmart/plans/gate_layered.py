@@ -19,14 +19,19 @@ REPORT_END = "1998-09-01 12:00:00"      # a non-midnight end: its day is left ou
 RUN1, RUN2 = _dt.datetime(2024, 3, 1), _dt.datetime(2024, 3, 2)
 
 
-def _ingestions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Load 1: everything.  Load 2: load 1 plus the window re-ingested with
-    corrected tips (appended, so the window's trips exist twice)."""
+def _loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Load 1: everything.  Load 2: the window re-ingested with corrected tips."""
     first = layered.ingest_trips(spark, sf_dir, "1", RUN1)
     pick = F.coalesce(F.col("tpep_pickup_datetime"), F.col("lpep_pickup_datetime"))
     again = layered.ingest_trips(spark, sf_dir, "2", RUN2, where=in_window(
         pick, WIN_START, WIN_END, first.schema["tpep_pickup_datetime"].dataType))
-    again = again.withColumn("tip_amount", F.col("tip_amount") + F.lit(1.0))
+    return first, again.withColumn("tip_amount", F.col("tip_amount") + F.lit(1.0))
+
+
+def _ingestions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The ingestion table after load 1, and after load 2 was appended (the
+    window's trips then exist twice), as lazy frames."""
+    first, again = _loads(spark, sf_dir)
     return first, first.unionByName(again)
 
 
@@ -78,13 +83,16 @@ def dedupe_latest_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _materialised(spark: SparkSession, sf_dir: str) -> str:
     db = scratch_database(spark, "layered")
-    target = f"{db}.staged_trips"
-    first, both = _ingestions(spark, sf_dir)
+    target, ingestion = f"{db}.staged_trips", f"{db}.ingestion_trips"
+    first, again = _loads(spark, sf_dir)
     lk = layered.flex_lookup(spark)
-    initial = layered.stage_trips(first, lk, FULL_START, FULL_END)
+    # The ingestion asset is an append-only table; staging reads it.
+    tables.write_append(first, ingestion)
+    initial = layered.stage_trips(spark.table(ingestion), lk, FULL_START, FULL_END)
     tables.write_replace(initial.withColumn("pickup_month", month_start("pickup_datetime")), target,
                          ["pickup_month"])
-    refresh = layered.stage_trips(both, lk, WIN_START, WIN_END)
+    tables.write_append(again, ingestion)
+    refresh = layered.stage_trips(spark.table(ingestion), lk, WIN_START, WIN_END)
     tables.write_time_interval(refresh.withColumn("pickup_month", month_start("pickup_datetime")), target,
                                "pickup_datetime", WIN_START, WIN_END, "pickup_month", month_start)
     return target
