@@ -67,3 +67,20 @@ def test_union_trips_constants(spark):
     y = u.where("service_type = 'Yellow'")
     assert y.where("trip_type <> 1 or ehail_fee <> 0").count() == 0
     assert u.columns == T.UNIONED_COLUMNS
+
+
+def test_env_window_and_sample(spark):
+    assert T.env_window("dev") == T.DEV_SAMPLE_WINDOW and T.env_window("prod") is None
+    df = spark.createDataFrame([(D(2018, 12, 31),), (D(2019, 1, 1),), (D(2021, 1, 1),)], "pickup_datetime timestamp_ntz")
+    assert T.sample_window(df, T.env_window("dev")).count() == 1
+    assert T.sample_window(df, T.env_window("prod")).count() == 3
+
+
+def test_record_load_and_head_rows(spark, db):
+    from tripmart.plans import loads
+    loads.record_load(spark, f"{db}.loads", "l1", "loaded")
+    loads.record_load(spark, f"{db}.loads", "l2", "failed")
+    assert sorted(r.load_id for r in spark.table(f"{db}.loads").collect()) == ["l1", "l2"]
+    assert loads.head_rows(spark.range(1000), 100).count() == 100
+    d = loads.describe_table(spark.range(5).selectExpr("id", "cast(id as string) s")).collect()
+    assert [(r.column_name, r.data_type, r.row_count) for r in d] == [("id", "bigint", 5), ("s", "string", 5)]

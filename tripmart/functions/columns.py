@@ -11,10 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    DataType, DateType, DecimalType, DoubleType, FloatType, IntegerType,
-    LongType, StringType, TimestampNTZType, TimestampType,
-)
+from pyspark.sql.types import DataType, DateType, TimestampNTZType, TimestampType
 
 ColumnOrName = Column | str
 
@@ -210,14 +207,6 @@ def money(c: ColumnOrName) -> Column:
     return _c(c).cast("decimal(18,2)")
 
 
-def is_numeric_type(dt: DataType) -> bool:
-    return isinstance(dt, (IntegerType, LongType, DoubleType, FloatType, DecimalType))
-
-
-def is_text(dt: DataType) -> bool:
-    return isinstance(dt, StringType)
-
-
 def avg_rounded(c: ColumnOrName, digits: int = 2) -> Column:
     """``ROUND(AVG(c), digits)`` as DOUBLE (AGG-11).  Text values that are
     not numbers (such as a default 'N/A') are skipped; the average is taken

@@ -27,10 +27,6 @@ def _first_present(df: DataFrame, *names: str) -> Column:
     raise KeyError(f"none of {names} in {df.columns}")
 
 
-def _has(df: DataFrame, name: str) -> bool:
-    return name.lower() in {c.lower() for c in df.columns}
-
-
 def stage_green(df: DataFrame, dev_window: tuple | None = None) -> DataFrame:
     """Green raw -> common schema; rows without vendor dropped (FLT-1)."""
     c = lambda n: _first_present(df, n)
@@ -110,6 +106,12 @@ def sample_window(df: DataFrame, window: tuple | None, column: str = "pickup_dat
 # Fixed value: the development sample window of the staging models.
 DEV_SAMPLE_WINDOW = ("2019-01-01", "2021-01-01")
 
+
+def env_window(env: str, window: tuple = DEV_SAMPLE_WINDOW) -> tuple | None:
+    """The sample window of an environment (FLT-9): ``'dev'`` samples, any
+    other target (production) keeps every row."""
+    return window if env == "dev" else None
+
 UNIONED_COLUMNS = [
     "vendor_id", "rate_code_id", "pickup_location_id", "dropoff_location_id",
     "pickup_datetime", "dropoff_datetime", "store_and_fwd_flag", "passenger_count",
