@@ -49,31 +49,34 @@ def fct_monthly_zone_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.monthly_zone_revenue(fct_trips(spark, sf_dir))
 
 
-def run_models(spark: SparkSession, sf_dir: str, db: str, full_refresh: bool = False) -> dict[str, str]:
-    """Build the star schema as the model DAG does:
+def build_models(spark: SparkSession, green_raw: DataFrame, yellow_raw: DataFrame, zone_seed: DataFrame,
+                 db: str, full_refresh: bool = False, payment_lookup: DataFrame | None = None) -> dict[str, str]:
+    """Build the star schema as the model DAG does from raw
+    green and yellow trip sources and the zone seed:
     staging and intermediate models are views (SNK-6); ``dim_zones`` is a
     table; ``fct_trips`` is incremental on ``pickup_datetime`` with an upsert
     on ``trip_id`` (INC-1, SNK-8); ``dim_vendors`` and the monthly revenue
     mart are tables computed from the stored fact (SRC-15).  With
-    ``full_refresh`` every table is rebuilt (INC-6)."""
+    ``full_refresh`` every table is rebuilt (INC-6).  Returns model -> name."""
     from tripmart.functions.columns import month_start
     from tripmart.operators.incremental import build_incremental
     from tripmart.sinks import tables
 
     suffix = db.replace(".", "_")
     views = {}
-    for name, df in (("stg_green_tripdata", stg_green(spark, sf_dir)),
-                     ("stg_yellow_tripdata", stg_yellow(spark, sf_dir))):
+    for name, df in (("stg_green_tripdata", transforms.stage_green(green_raw)),
+                     ("stg_yellow_tripdata", transforms.stage_yellow(yellow_raw))):
         views[name] = f"{name}_{suffix}"
         tables.write_view(df, views[name])
     unioned = transforms.union_trips(spark.table(views["stg_green_tripdata"]),
                                      spark.table(views["stg_yellow_tripdata"]))
     views["int_trips"] = f"int_trips_{suffix}"
-    tables.write_view(transforms.int_trips(unioned, seeds.payment_type_lookup(spark)), views["int_trips"])
+    lookup = payment_lookup if payment_lookup is not None else seeds.payment_type_lookup(spark)
+    tables.write_view(transforms.int_trips(unioned, lookup), views["int_trips"])
 
-    out = {k: v for k, v in views.items()}
+    out = dict(views)
     out["dim_zones"] = f"{db}.dim_zones"
-    tables.write_replace(dim_zones(spark, sf_dir), out["dim_zones"])
+    tables.write_replace(transforms.dim_zones(zone_seed), out["dim_zones"])
 
     out["fct_trips"] = f"{db}.fct_trips"
     fct = transforms.fct_trips(spark.table(views["int_trips"]), spark.table(out["dim_zones"]))
@@ -89,3 +92,10 @@ def run_models(spark: SparkSession, sf_dir: str, db: str, full_refresh: bool = F
     out["fct_monthly_zone_revenue"] = f"{db}.fct_monthly_zone_revenue"
     tables.write_replace(aggregates.monthly_zone_revenue(stored), out["fct_monthly_zone_revenue"])
     return out
+
+
+def run_models(spark: SparkSession, sf_dir: str, db: str, full_refresh: bool = False) -> dict[str, str]:
+    """``build_models`` over the sources derived from the test tables."""
+    return build_models(spark, adapter.raw_tripdata(spark, sf_dir, "green"),
+                        adapter.raw_tripdata(spark, sf_dir, "yellow"), adapter.zones(spark, sf_dir),
+                        db, full_refresh)
