@@ -29,14 +29,14 @@ STAGED_COLUMNS = ["pickup_datetime", "dropoff_datetime", "passenger_count", "tri
                   "payment_type_name"]
 
 
-def ingest_trips(spark: SparkSession, sf_dir: str, load_id: str, extracted_at: _dt.datetime,
-                 types: Sequence[str] = ("yellow", "green"), where: Column | None = None) -> DataFrame:
-    """One ingestion load: the raw sources of ``types`` united by column name
-    (columns missing from one source read NULL), stamped with the run's
-    ``extracted_at`` and ``_dlt_load_id``."""
+def ingest(frames: Sequence[DataFrame], load_id: str, extracted_at: _dt.datetime,
+           where: Column | None = None) -> DataFrame:
+    """One ingestion load: raw frames (e.g. ``files.read_months`` of each
+    trip type) united by column name (columns missing from one source read
+    NULL), stamped with the run's ``extracted_at`` (one value per run, so a
+    retried task writes the same value) and ``_dlt_load_id``."""
     out = None
-    for t in types:
-        raw = adapter.raw_tripdata(spark, sf_dir, t)
+    for raw in frames:
         out = raw if out is None else out.unionByName(raw, allowMissingColumns=True)
     if where is not None:
         out = out.where(where)
@@ -44,6 +44,12 @@ def ingest_trips(spark: SparkSession, sf_dir: str, load_id: str, extracted_at: _
     return out.withColumn("extracted_at", stamp).withColumn("_dlt_load_id", F.lit(load_id))
 
 
+def ingest_trips(spark: SparkSession, sf_dir: str, load_id: str, extracted_at: _dt.datetime,
+                 types: Sequence[str] = ("yellow", "green"), where: Column | None = None) -> DataFrame:
+    """``ingest`` over the raw sources derived from the test tables."""
+    return ingest([adapter.raw_tripdata(spark, sf_dir, t) for t in types], load_id, extracted_at, where)
+
+
 def _pick(df: DataFrame, names: Sequence[str]) -> Column:
     present = [F.col(n) for n in names if n in df.columns]
     if not present:
