@@ -125,7 +125,9 @@ def latest_load_metrics(trips: DataFrame, loads: DataFrame, load_col: str, payme
         F.min(dd).alias("dropoff_start_date"), F.max(dd).alias("dropoff_end_date"),
         pct_where(is_credit(payment)).alias("credit_card_pct"),
         F.round(sum_zero(tip), 2).alias("total_tip_amt"))
-    j = one.join(agg, one["load_id"] == agg[load_col], "left")
+    # ``agg`` has at most one row (one per load id, and only the latest
+    # load's rows passed the semi join): a proven bound, so it is broadcast.
+    j = one.join(F.broadcast(agg), one["load_id"] == agg[load_col], "left")
     same = ((F.col("pickup_start_date") == F.col("dropoff_start_date"))
             & (F.col("pickup_end_date") == F.col("dropoff_end_date")))
     return j.select(
