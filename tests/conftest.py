@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -9,10 +8,11 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 @pytest.fixture(scope="session")
 def spark():
-    from tripmart.session import build_session
-    ckpt = tempfile.mkdtemp(prefix="tripmart-test-ckpt-")
-    s = build_session(master="local[*]", shuffle_partitions=8,
-                      extra={"spark.checkpoint.dir": ckpt})
+    from tripmart.session import build_session, work_root
+    # spark.checkpoint.dir comes from the session's configuration when set;
+    # work_root() picks a fresh local folder only when it is not.
+    s = build_session(master="local[*]", shuffle_partitions=8)
+    work_root(s)
     yield s
     s.stop()
 
