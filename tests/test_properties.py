@@ -70,3 +70,18 @@ def test_dedupe_matches_brute_force(spark, rows, descending):
             key = lambda r: (r[1] is not None, r[1] if r[1] is not None else 0, r[2])
             want.append(max(grp, key=key) if descending else min(grp, key=key))
         assert got == sorted(want)
+
+
+@SETTINGS
+@given(target=st.dictionaries(st.integers(0, 9), st.tuples(st.integers(0, 3), st.integers(0, 99)), max_size=8),
+       batch=st.dictionaries(st.integers(0, 12), st.tuples(st.integers(0, 3), st.integers(0, 99)), max_size=6))
+def test_upsert_is_replace_by_key(spark, target, batch):
+    db = scratch_database(spark, "prop")
+    t = f"{db}.u"
+    schema = "id int, v int, p int"
+    rows = lambda d: [(k, v, p) for k, (p, v) in d.items()]
+    S.write_replace(spark.createDataFrame(rows(target), schema), t, ["p"])
+    S.merge_upsert(spark.createDataFrame(rows(batch), schema), t, ["id"], "p")
+    got = sorted(tuple(r) for r in spark.table(t).select("id", "v", "p").collect())
+    want = sorted(rows({**target, **batch}))
+    assert got == want
