@@ -89,3 +89,15 @@ def test_read_months_skips_unreadable_file(spark):
     schema = spark.createDataFrame([], "id long, x double").schema
     df = files.read_months(spark, root, ["yellow"], dt.date(2024, 1, 1), dt.date(2024, 2, 1), schema)
     assert [r.id for r in df.collect()] == [1]
+
+
+def test_gzip_csv_spread_after_read(spark):
+    import gzip
+    p = scratch_dir(spark, "t-gz")
+    os.makedirs(p, exist_ok=True)
+    with gzip.open(os.path.join(p, "a.csv.gz"), "wt") as f:
+        f.write("id\n" + "\n".join(str(i) for i in range(1000)) + "\n")
+    schema = spark.createDataFrame([], "id int").schema
+    assert files.read_csv(spark, p, schema).rdd.getNumPartitions() == 1
+    df = files.read_csv(spark, p, schema, min_partitions=4)
+    assert df.rdd.getNumPartitions() == 4 and df.count() == 1000

@@ -16,12 +16,24 @@ from pyspark.sql.types import DataType, StringType, StructField, StructType, _pa
 
 def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: StructType,
              header: bool = True, columns: Sequence[str] | None = None,
-             timestamp_format: str | None = None, mode: str = "PERMISSIVE") -> DataFrame:
+             timestamp_format: str | None = None, mode: str = "PERMISSIVE",
+             min_partitions: int | None = None) -> DataFrame:
     """Typed CSV(.gz) scan (SRC-1).
 
     ``columns`` (SRC-2, copy-in with a column list): the file's fields are
     loaded by position into these names; target columns not in the list stay
-    NULL.  An unparsable value becomes NULL in PERMISSIVE mode."""
+    NULL.  An unparsable value becomes NULL in PERMISSIVE mode.
+
+    A gzip file cannot be split, so it is read by one task; ``min_partitions``
+    spreads the rows over that many partitions right after the read (a
+    round-robin shuffle) so later stages are not held to one task per file."""
+    df = _read_csv(spark, paths, schema, header, columns, timestamp_format, mode)
+    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
+        df = df.repartition(min_partitions)
+    return df
+
+
+def _read_csv(spark, paths, schema, header, columns, timestamp_format, mode) -> DataFrame:
     paths = [paths] if isinstance(paths, str) else list(paths)
     r = spark.read.option("header", header).option("mode", mode)
     if timestamp_format:
