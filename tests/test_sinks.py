@@ -140,9 +140,11 @@ def test_bucketed_target_merge_shuffles_only_the_batch(spark, db, monkeypatch):
         S.ensure_table(spark, t, spark.createDataFrame([], "k string, v long").schema, bucket_by=(8, ["k"]))
         S.merge_insert_new(spark.range(100).selectExpr("cast(id as string) k", "id v"), t, ["k"])
         src = spark.range(50, 150).selectExpr("cast(id as string) k", "id v")
-        new = S.merge_insert_new(src, t, ["k"])
+        new = S.new_rows(src, t, ["k"])
+        new.count()
         plan = new._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+        S.merge_insert_new(src, t, ["k"])
         assert spark.table(t).count() == 150
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))

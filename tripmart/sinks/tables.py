@@ -189,14 +189,18 @@ def evolve_append(df: DataFrame, name: str) -> None:
 # --- merges (SNK-7, SNK-8, SNK-10) -----------------------------------------
 
 def merge_insert_new(src: DataFrame, target: str, keys: Sequence[str],
-                     dedupe_source: bool = False) -> DataFrame:
+                     dedupe_source: bool = False) -> None:
     """Insert-only merge (SNK-7): source rows whose key is absent from the
     target are appended; target rows never change.  Duplicates inside one
     batch are all inserted (as the reference's MERGE does) unless
-    ``dedupe_source``.  A re-run inserts nothing.
+    ``dedupe_source``.  A re-run inserts nothing."""
+    new_rows(src, target, keys, dedupe_source).write.insertInto(target)
 
-    The anti join reads only the key columns of the target.  Returns the
-    inserted rows (lazy; already written)."""
+
+def new_rows(src: DataFrame, target: str, keys: Sequence[str], dedupe_source: bool = False) -> DataFrame:
+    """The rows an insert-only merge appends: ``src`` rows whose key is not in
+    the target (lazy; evaluated against the target as it is then).  The join
+    reads only the target's key columns; its strategy follows the sizes."""
     spark = src.sparkSession
     if dedupe_source:
         src = src.dropDuplicates(list(keys))
@@ -216,9 +220,7 @@ def merge_insert_new(src: DataFrame, target: str, keys: Sequence[str],
         new = anti_join(src, matched, keys)
     else:
         new = src.join(tgt.select(*keys), list(keys), "left_anti")
-    new = new.select(*tgt.columns)
-    new.write.insertInto(target)
-    return new
+    return new.select(*tgt.columns)
 
 
 def _touched_partitions(spark: SparkSession, src: DataFrame, tgt: DataFrame, keys: Sequence[str],
@@ -258,14 +260,9 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
 
 
 def _checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage: write ``df`` once as Parquet under the shared work folder
-    and read it back.  (``DataFrame.checkpoint`` would compute the plan twice,
-    once for the action and once for the checkpoint file.)  A lost executor
-    costs a re-read of those files, not a recomputation from the sources."""
-    from tripmart.session import scratch_dir
-    path = scratch_dir(df.sparkSession, "stage")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Cut lineage with a written table (``DataFrame.checkpoint`` would compute
+    the plan twice: once for the action, once for the checkpoint file)."""
+    return materialize(df, "stage")
 
 
 def merge_upsert(src: DataFrame, target: str, keys: Sequence[str], partition_col: str | None = None,
