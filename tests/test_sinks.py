@@ -148,3 +148,15 @@ def test_bucketed_target_merge_shuffles_only_the_batch(spark, db, monkeypatch):
         assert spark.table(t).count() == 150
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+
+
+def test_merge_null_key_never_matches(spark, db):
+    """As with MERGE ... ON s.k = t.k, a NULL key matches nothing: the row is
+    inserted by every run (row ids are md5 values, so never NULL in the flows)."""
+    t = f"{db}.nk"
+    S.ensure_table(spark, t, spark.createDataFrame([], "k string, v int").schema)
+    b = spark.createDataFrame([(None, 1), ("a", 2)], "k string, v int")
+    S.merge_insert_new(b, t, ["k"])
+    S.merge_insert_new(b, t, ["k"])
+    got = sorted((r.k or "", r.v) for r in spark.table(t).collect())
+    assert got == [("", 1), ("", 1), ("a", 2)]

@@ -193,7 +193,8 @@ def merge_insert_new(src: DataFrame, target: str, keys: Sequence[str],
     """Insert-only merge (SNK-7): source rows whose key is absent from the
     target are appended; target rows never change.  Duplicates inside one
     batch are all inserted (as the reference's MERGE does) unless
-    ``dedupe_source``.  A re-run inserts nothing."""
+    ``dedupe_source``.  A re-run inserts nothing (a NULL key matches nothing,
+    as in SQL, so such a row is inserted by every run)."""
     new_rows(src, target, keys, dedupe_source).write.insertInto(target)
 
 
