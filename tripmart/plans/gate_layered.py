@@ -28,7 +28,7 @@ def _loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return first, again.withColumn("tip_amount", F.col("tip_amount") + F.lit(1.0))
 
 
-def _ingestions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def ingestions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """The ingestion table after load 1, and after load 2 was appended (the
     window's trips then exist twice), as lazy frames."""
     first, again = _loads(spark, sf_dir)
@@ -37,7 +37,7 @@ def _ingestions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
 
 # --- oracle text -------------------------------------------------------------
 
-_ING = oracle.JOINED + ",\n" + oracle._raw("yellow") + f""",
+INGEST_SQL = oracle.JOINED + ",\n" + oracle.raw_sql("yellow") + f""",
 ing1 as (select *, '1' as _dlt_load_id from yellow_raw),
 ing2 as (select * from ing1 union all
          select * replace (tip_amount + 1.0 as tip_amount), '2' as _dlt_load_id from yellow_raw
@@ -49,7 +49,7 @@ _TIE = ", ".join(f"{c} desc nulls last" for c in [
     "tolls_amount", "total_amount"])
 
 
-def _staged_sql(name: str, ing: str, start: str, end: str) -> str:
+def staged_sql(name: str, ing: str, start: str, end: str) -> str:
     return f""",
 {name}_src as (select tpep_pickup_datetime as pickup_datetime, tpep_dropoff_datetime as dropoff_datetime,
     passenger_count, trip_distance, RatecodeID, store_and_fwd_flag, PULocationID as pickup_location_id,
@@ -67,17 +67,17 @@ def _staged_sql(name: str, ing: str, start: str, end: str) -> str:
     on d.payment_type = p.payment_type_id)"""
 
 
-_STAGED_FINAL = ("with " + _ING + _staged_sql("s_all", "ing1", FULL_START, FULL_END)
-                 + _staged_sql("s_win", "ing2", WIN_START, WIN_END) + f""",
+_STAGED_FINAL = ("with " + INGEST_SQL + staged_sql("s_all", "ing1", FULL_START, FULL_END)
+                 + staged_sql("s_win", "ing2", WIN_START, WIN_END) + f""",
 final as (select * from s_all where not (pickup_datetime >= timestamp '{WIN_START}'
                                          and pickup_datetime < timestamp '{WIN_END}')
           union all select * from s_win)""")
 
 
-@gate("dedupe_latest_load", "with " + _ING + _staged_sql("s_win", "ing2", WIN_START, WIN_END)
+@gate("dedupe_latest_load", "with " + INGEST_SQL + staged_sql("s_win", "ing2", WIN_START, WIN_END)
       + "\nselect * from s_win")
 def dedupe_latest_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, both = _ingestions(spark, sf_dir)
+    _, both = ingestions(spark, sf_dir)
     return layered.stage_trips(both, layered.flex_lookup(spark), WIN_START, WIN_END)
 
 

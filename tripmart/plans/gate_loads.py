@@ -23,7 +23,7 @@ _ROWID = ("md5(coalesce(cast(VendorID as varchar), '') || coalesce(strftime(lpep
           " || coalesce(cast(trip_distance as varchar), ''))")
 
 
-@gate("flow_month_load", "with " + oracle.JOINED + ",\n" + oracle._raw("green") + f"""
+@gate("flow_month_load", "with " + oracle.JOINED + ",\n" + oracle.raw_sql("green") + f"""
 select {_ROWID} as unique_row_id,
        'green_tripdata_' || strftime(lpep_pickup_datetime, '%Y-%m') || '.csv' as filename, *
 from green_raw""")

@@ -22,13 +22,13 @@ def doubles(df: DataFrame) -> DataFrame:
                        else F.col(f.name) for f in df.schema.fields])
 
 
-def _replace(cte: str, present: list[str]) -> str:
+def replace_decimals_sql(cte: str, present: list[str]) -> str:
     """``select * replace (...)`` turning the given DECIMAL columns into DOUBLE."""
     rep = ", ".join(f"cast(cast({c} as decimal(18,2)) as double) as {c}" for c in present)
     return f"select * replace ({rep}) from {cte}"
 
 
-@gate("stg_green", "with " + oracle.STAGED + "\n" + _replace("stg_green", NUMERIC_COLS))
+@gate("stg_green", "with " + oracle.STAGED + "\n" + replace_decimals_sql("stg_green", NUMERIC_COLS))
 def stg_green(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubles(warehouse.stg_green(spark, sf_dir))
 
@@ -36,7 +36,7 @@ def stg_green(spark: SparkSession, sf_dir: str) -> DataFrame:
 _YELLOW_NUM = [c for c in NUMERIC_COLS if c != "ehail_fee"]
 
 
-@gate("stg_yellow", "with " + oracle.STAGED + "\n" + _replace("stg_yellow", _YELLOW_NUM))
+@gate("stg_yellow", "with " + oracle.STAGED + "\n" + replace_decimals_sql("stg_yellow", _YELLOW_NUM))
 def stg_yellow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubles(warehouse.stg_yellow(spark, sf_dir))
 
@@ -45,7 +45,7 @@ def stg_yellow(spark: SparkSession, sf_dir: str) -> DataFrame:
 SAMPLE = ("1996-01-01", "1997-01-01")
 
 
-@gate("sample_window", "with " + oracle.STAGED + "\n" + _replace("stg_yellow", _YELLOW_NUM)
+@gate("sample_window", "with " + oracle.STAGED + "\n" + replace_decimals_sql("stg_yellow", _YELLOW_NUM)
       + f" where pickup_datetime >= timestamp '{SAMPLE[0]}' and pickup_datetime < timestamp '{SAMPLE[1]}'")
 def sample_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubles(warehouse.stg_yellow(spark, sf_dir, dev_window=SAMPLE))
@@ -63,17 +63,17 @@ def stg_fhv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.stg_fhv(spark, sf_dir)
 
 
-@gate("union_services", "with " + oracle.UNIONED + "\n" + _replace("unioned", NUMERIC_COLS))
+@gate("union_services", "with " + oracle.UNIONED + "\n" + replace_decimals_sql("unioned", NUMERIC_COLS))
 def union_services(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubles(warehouse.int_trips_unioned(spark, sf_dir))
 
 
-@gate("dedupe_first_trip", "with " + oracle.INT_TRIPS + "\n" + _replace("int_trips", NUMERIC_COLS))
+@gate("dedupe_first_trip", "with " + oracle.INT_TRIPS + "\n" + replace_decimals_sql("int_trips", NUMERIC_COLS))
 def dedupe_first_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubles(warehouse.int_trips(spark, sf_dir))
 
 
-@gate("fct_trips", "with " + oracle.FCT_TRIPS + "\n" + _replace("fct", NUMERIC_COLS))
+@gate("fct_trips", "with " + oracle.FCT_TRIPS + "\n" + replace_decimals_sql("fct", NUMERIC_COLS))
 def fct_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubles(warehouse.fct_trips(spark, sf_dir))
 

@@ -12,8 +12,8 @@ from tripmart.operators.incremental import build_incremental
 from tripmart.operators.transforms import FCT_COLUMNS, dim_vendors
 from tripmart.plans import layered, oracle, warehouse
 from tripmart.plans.gate import gate
-from tripmart.plans.gate_layered import _ING, REPORT_END, WIN_END, WIN_START, _ingestions, _staged_sql
-from tripmart.plans.gate_models import NUMERIC_COLS, _replace, doubles
+from tripmart.plans.gate_layered import INGEST_SQL, REPORT_END, WIN_END, WIN_START, ingestions, staged_sql
+from tripmart.plans.gate_models import NUMERIC_COLS, replace_decimals_sql, doubles
 from tripmart.plans.gate_sinks import FCT_CONTRACT
 from tripmart.session import scratch_database
 from tripmart.sinks import tables
@@ -144,14 +144,14 @@ _REPORT_SQL = """report as (select cast(pickup_datetime as date) as report_date,
     and cast(pickup_datetime as date) < cast(timestamp '{end}' as date) group by 1, 2)"""
 
 
-@gate("dq_asset_checks", "with " + _ING + _staged_sql("s_win", "ing2", WIN_START, WIN_END) + ",\n"
+@gate("dq_asset_checks", "with " + INGEST_SQL + staged_sql("s_win", "ing2", WIN_START, WIN_END) + ",\n"
       + _REPORT_SQL.format(start=WIN_START, end=REPORT_END) + ",\n"
       + f"lookup as (select * from {oracle.PAYMENT_FLEX_VALUES})\n" + "\nunion all\n".join(
           _check_sql("lookup", "payment_lookup", LOOKUP_CHECKS) + _check_sql("s_win", "staged_trips", STAGED_CHECKS)
           + _check_sql("report", "trips_report", REPORT_CHECKS)))
 def dq_asset_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The layered assets' column checks: lookup, staged trips, report."""
-    _, both = _ingestions(spark, sf_dir)
+    _, both = ingestions(spark, sf_dir)
     lk = seeds.payment_lookup_with_flex(spark)
     staged = layered.stage_trips(both, lk, WIN_START, WIN_END)
     report = layered.trips_report(staged, WIN_START, REPORT_END)
@@ -175,7 +175,7 @@ def dq_custom_dropoff_after_pickup(spark: SparkSession, sf_dir: str) -> DataFram
 FRESH_NOW = "2001-08-02 06:00:00"
 
 
-@gate("dq_freshness", "with " + oracle.JOINED + ",\n" + oracle._raw("green") + ",\n" + oracle._raw("yellow") + f"""
+@gate("dq_freshness", "with " + oracle.JOINED + ",\n" + oracle.raw_sql("green") + ",\n" + oracle.raw_sql("yellow") + f"""
 select 'green_tripdata' as table_name, max(lpep_pickup_datetime) as max_loaded_at,
   (epoch(timestamp '{FRESH_NOW}') - epoch(max(lpep_pickup_datetime))) / 3600.0 as age_hours
 from green_raw
@@ -205,7 +205,7 @@ def _fct_with_month(fct: DataFrame) -> DataFrame:
 t0 as (select * from fct where pickup_datetime < timestamp '{FIRST_RUN_END}' and service_type = 'Green'),
 res as (select * from t0 union all
         select * from fct where pickup_datetime > (select max(pickup_datetime) from t0))
-""" + _replace("res", NUMERIC_COLS))
+""" + replace_decimals_sql("res", NUMERIC_COLS))
 def fct_trips_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First run sees only green trips before 1998; the second run sees all
     trips and takes those past the high-water mark: the late yellow trips
@@ -220,7 +220,7 @@ def fct_trips_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubles(spark.table(target).select(*FCT_COLUMNS))
 
 
-@gate("fct_trips_increment_empty", "with " + oracle.FCT_TRIPS + "\n" + _replace("fct", NUMERIC_COLS)
+@gate("fct_trips_increment_empty", "with " + oracle.FCT_TRIPS + "\n" + replace_decimals_sql("fct", NUMERIC_COLS)
       + " where false")
 def fct_trips_increment_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An existing but empty target: max() is NULL and nothing passes."""

@@ -18,7 +18,7 @@ from pyspark.sql.types import (
 from tripmart.functions.columns import month_start, row_hash, ts_literal
 from tripmart.plans import oracle, warehouse
 from tripmart.plans.gate import gate, money_double
-from tripmart.plans.gate_models import NUMERIC_COLS, ROW_HASH_COLS, ROW_HASH_SQL, _replace, doubles
+from tripmart.plans.gate_models import NUMERIC_COLS, ROW_HASH_COLS, ROW_HASH_SQL, replace_decimals_sql, doubles
 from tripmart.session import scratch_database
 from tripmart.sinks import tables
 from tripmart.sources import adapter
@@ -291,7 +291,7 @@ FCT_CONTRACT = StructType([
 ])
 
 
-@gate("conform_contract", "with " + oracle.FCT_TRIPS + "\n" + _replace("fct", NUMERIC_COLS))
+@gate("conform_contract", "with " + oracle.FCT_TRIPS + "\n" + replace_decimals_sql("fct", NUMERIC_COLS))
 def conform_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubles(tables.conform(warehouse.fct_trips(spark, sf_dir), FCT_CONTRACT, strict=True))
 

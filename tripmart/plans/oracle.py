@@ -36,7 +36,7 @@ trips as (select
   from j)"""
 
 
-def _raw(taxi: str) -> str:
+def raw_sql(taxi: str) -> str:
     p = "lpep" if taxi == "green" else "tpep"
     status = "F" if taxi == "green" else "O"
     green_only_fee = "cast(null as double) as ehail_fee," if taxi == "green" else ""
@@ -57,7 +57,7 @@ def _raw(taxi: str) -> str:
   from j where l_linestatus = '{status}')"""
 
 
-STAGED = JOINED + ",\n" + _raw("green") + ",\n" + _raw("yellow") + """,
+STAGED = JOINED + ",\n" + raw_sql("green") + ",\n" + raw_sql("yellow") + """,
 stg_green as (select
   cast(VendorID as int) as vendor_id, cast(RatecodeID as int) as rate_code_id,
   cast(PULocationID as int) as pickup_location_id, cast(DOLocationID as int) as dropoff_location_id,
