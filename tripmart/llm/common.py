@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tripmart.sinks.tables import materialize
 
-__all__ = ["materialize", "let", "let_all", "words_of", "text_slices", "columns_only", "WHITE"]
+__all__ = ["materialize", "let", "let_all", "words_of", "word_hashes", "runs_of", "text_slices", "columns_only", "WHITE"]
 
 #: The white space that separates words: blank and the controls 9 to 13.
 WHITE = "[\\x20\\x09-\\x0D]+"
@@ -23,7 +23,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     An expression that a lambda mentions is evaluated again for every array
     element; bound to a lambda variable it is evaluated once.
     """
-    return F.element_at(F.transform(F.array(value), body), 1)
+    return F.element_at(F.transform(F.array(value), lambda bound: body(bound)), 1)
 
 
 def let_all(values: dict[str, Column], body: Callable[[Column], Column]) -> Column:
@@ -33,8 +33,18 @@ def let_all(values: dict[str, Column], body: Callable[[Column], Column]) -> Colu
 
 def words_of(text: Column) -> Column:
     """The words of a text as an array (NULL text: no words)."""
-    trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), f"^{WHITE}|{WHITE}$", "")
-    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, WHITE))
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), WHITE), "")
+
+
+def word_hashes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def runs_of(hashes: Column, size: int) -> Column:
+    """Hashes of every run of ``size`` consecutive words; ``hashes`` must be
+    bound by ``let`` (the lambda reads it for every position)."""
+    whole = F.transform(hashes, lambda h, i: F.xxhash64(h, *[F.get(hashes, i + k) for k in range(1, size)]))
+    return F.slice(whole, 1, F.greatest(F.size(hashes) - (size - 1), F.lit(0)))
 
 
 def text_slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
