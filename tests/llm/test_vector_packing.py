@@ -8,6 +8,7 @@ from tokenizers import Tokenizer
 from tripmart.llm import vector_packing as vp
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def check_packed(rows, texts, most=1024):
@@ -27,14 +28,14 @@ def check_packed(rows, texts, most=1024):
 
 
 def test_documents(spark, some_docs):
-    rows = vp.pack(spark, vp.tokenised_pieces(some_docs, PATH)).collect()
+    rows = vp.pack(spark, vp.tokenised_pieces(some_docs, PATH, RANKS)).collect()
     sequences = check_packed(rows, [r.text for r in some_docs.collect()])
     assert sum(r.length for r in rows) > 0.97 * 1024 * len(sequences)
 
 
 def test_odd_documents(spark, odd_docs, no_docs):
-    check_packed(vp.pack(spark, vp.tokenised_pieces(odd_docs, PATH)).collect(), [r.text for r in odd_docs.collect()])
-    assert vp.pack(spark, vp.tokenised_pieces(no_docs, PATH)).count() == 0
+    check_packed(vp.pack(spark, vp.tokenised_pieces(odd_docs, PATH, RANKS)).collect(), [r.text for r in odd_docs.collect()])
+    assert vp.pack(spark, vp.tokenised_pieces(no_docs, PATH, RANKS)).count() == 0
 
 
 def test_all_three_limits_hold(spark):
@@ -58,3 +59,8 @@ def test_all_three_limits_hold(spark):
 def test_oversized_vectors_stand_alone(n):
     bins, places = vp.fill_bins(np.full((n, 3), 9), np.array([4.0, 4.0, 4.0]))
     assert sorted(bins) == list(range(n)) and not places.any()
+
+
+def test_ranks_and_tokenizer_agree(spark, odd_docs):
+    plain = vp.tokenised_pieces(odd_docs, PATH).collect()
+    assert sorted(map(str, plain)) == sorted(map(str, vp.tokenised_pieces(odd_docs, PATH, RANKS).collect()))

@@ -33,7 +33,8 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 1024 tokens."""
     pieces = vector_packing.tokenised_pieces(
-        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return vector_packing.pack(spark, pieces).withColumnRenamed("id", "doc_id")
 
 

@@ -16,8 +16,9 @@ like any other rows.
 
 from __future__ import annotations
 
-import re
+import base64
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -29,56 +30,50 @@ from pyspark.sql import functions as F
 from tripmart.llm.common import materialize, text_slices
 
 GROUP_ROWS = 8192
-MEMORY = 400_000
-#: A blank before a character that isn't white space always begins a new
-#: pre-token of the byte-level pattern, so texts can be cut there.
-CUT = re.compile(r" (?=\S)")
+#: The byte-level pattern that cuts a text before merging (a fixed value).
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PIECES = ("start long, length long, ids_crc32 long, doc_tokens long, loss_tokens long, part int")
 OUT = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "segment"]
 
 
 @lru_cache(2)
-def _tokenizer(path: str):
+def _tokenizers(json_path: str, ranks_path: str | None):
+    """The tokenizer, and the faster encoder of the same vocabulary's ranks if there is one."""
     from tokenizers import Tokenizer
-    return Tokenizer.from_file(path)
+    fast = None
+    if ranks_path:
+        import tiktoken
+        with open(ranks_path, "rb") as f:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+        fast = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return Tokenizer.from_file(json_path), fast
 
 
-def _token_pieces(batches: Iterator[pa.RecordBatch], path: str, max_tokens: int, end_id: int) -> Iterator[pa.RecordBatch]:
+def _token_pieces(batches: Iterator[pa.RecordBatch], json_path: str, ranks_path: str | None, max_tokens: int,
+                  end_id: int) -> Iterator[pa.RecordBatch]:
     """Rows (id, start, length, ids_crc32, doc_tokens, loss_tokens, part) of each text."""
-    tok = _tokenizer(path)
+    tok, fast = _tokenizers(json_path, ranks_path)
+    # Only the tokenizer knows what its added tokens' strings in a text mean.
     special = [t.content for t in tok.get_added_tokens_decoder().values()]
-    cut = CUT.split
-    known: dict[str, bytes] = {}
-    first: dict[str, bytes] = {}
-    end = np.array([end_id], "<u4").tobytes()
 
-    def ids_of(texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in tok.encode_batch(texts, add_special_tokens=False)]
+    def ids_of(text: str) -> list[int]:
+        if fast is None or any(s in text for s in special):
+            return tok.encode(text, add_special_tokens=False).ids
+        return fast.encode_ordinary(text)
 
     for batch in text_slices(batches, "text"):
-        texts = [t or "" for t in batch.column("text").to_pylist()]
-        if len(known) > MEMORY:
-            known.clear()
-        if len(first) > MEMORY // 8:
-            first.clear()
-        whole = [any(s in t for s in special) for t in texts]
-        cuts = [[] if w else cut(t) for t, w in zip(texts, whole)]
-        new = list({p for c in cuts for p in c[1:] if p not in known})
-        known.update(zip(new, ids_of([" " + p for p in new])))
-        new = list({c[0] for c in cuts if c and c[0] not in first})
-        first.update(zip(new, ids_of(new)))
         rows: dict[str, list] = {k: [] for k in ("row", "start", "length", "crc", "tokens", "part")}
-        for i, c in enumerate(cuts):
-            blob = (ids_of([texts[i]])[0] if whole[i] else
-                    first[c[0]] + b"".join([known[p] for p in c[1:]])) + end
-            n = len(blob) // 4
-            for part, start in enumerate(range(0, n, max_tokens)):
+        for i, text in enumerate(batch.column("text").to_pylist()):
+            ids = ids_of(text or "")
+            ids.append(end_id)
+            blob = array("I", ids).tobytes()
+            for part, start in enumerate(range(0, len(ids), max_tokens)):
                 piece = blob[4 * start:4 * (start + max_tokens)]
                 rows["row"].append(i)
                 rows["start"].append(start)
                 rows["length"].append(len(piece) // 4)
                 rows["crc"].append(zlib.crc32(piece))
-                rows["tokens"].append(n)
+                rows["tokens"].append(len(ids))
                 rows["part"].append(part)
         at = pa.array(rows["row"], pa.int64())
         long = {k: pa.array(rows[k], pa.int64()) for k in ("start", "length", "crc", "tokens")}
@@ -88,16 +83,19 @@ def _token_pieces(batches: Iterator[pa.RecordBatch], path: str, max_tokens: int,
             ["id", "start", "length", "ids_crc32", "doc_tokens", "loss_tokens", "part"])
 
 
-def tokenised_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = 1024, end_id: int = 0,
+def tokenised_pieces(docs: DataFrame, tokenizer_path: str, ranks_path: str | None = None, max_tokens: int = 1024, end_id: int = 0,
                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each text's token ids (and ``end_id``) cut into pieces of ``max_tokens``.
 
+    ``ranks_path`` may name the same vocabulary as byte ranks with the
+    byte-level pattern; it gives the same ids in a fraction of the time.
+
     A NULL or empty text is the one piece [end_id]; NULL ids and repeated rows
     are examples like any others; other columns are not read.
     """
     named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = named.schema["id"].dataType.simpleString()
-    return named.mapInArrow(lambda it: _token_pieces(it, tokenizer_path, max_tokens, end_id), f"id {kind}, {PIECES}")
+    return named.mapInArrow(lambda it: _token_pieces(it, tokenizer_path, ranks_path, max_tokens, end_id), f"id {kind}, {PIECES}")
 
 
 def fill_bins(vectors: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -109,31 +107,35 @@ def fill_bins(vectors: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.n
     """
     n = len(vectors)
     bins, places = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    if not n:
+    # What fills a limit on its own shares a bin with nothing.
+    alone = np.flatnonzero((vectors >= limits).any(axis=1))
+    bins[alone] = np.arange(len(alone))
+    others = np.flatnonzero(~(vectors >= limits).any(axis=1))
+    if not len(others):
         return bins, places
-    kinds, which = np.unique(-vectors, axis=0, return_inverse=True)
+    kinds, which = np.unique(-vectors[others], axis=0, return_inverse=True)
     kinds, which = -kinds, which.ravel()
-    order = np.argsort(which, kind="stable")
+    order = others[np.argsort(which, kind="stable")]
     left = np.bincount(which, minlength=len(kinds))
-    ends = np.cumsum(left)
+    upto = np.cumsum(left)
     share = kinds / limits
-    weight = (share * left[:, None]).sum(axis=0)
-    weighted = share * (weight / max(weight.sum(), 1e-300))
-    bin_no, room, place, remaining = 0, limits.astype(float).copy(), 0, n
-    while remaining:
-        fits = (left > 0) & (kinds <= room).all(axis=1)
-        if fits.any():
-            k = int(np.argmax(np.where(fits, weighted @ (room / limits), -1.0)))
-        elif place:
-            bin_no, room, place = bin_no + 1, limits.astype(float).copy(), 0
-            continue
-        else:
-            k = int(np.argmax(left > 0))
-        item = order[ends[k] - left[k]]
+    need = (share * left[:, None]).sum(axis=0)
+    weighted = share * (need / need.sum())
+    bin_no, room, place = len(alone), limits.astype(float), 0
+    for _ in range(len(others)):
+        while True:
+            fits = (kinds <= room).all(axis=1)
+            gain = np.where(fits, weighted @ (room / limits), -1.0)
+            k = int(gain.argmax())
+            if gain[k] >= 0:
+                break
+            bin_no, room, place = bin_no + 1, limits.astype(float), 0
         left[k] -= 1
-        remaining -= 1
-        bins[item], places[item] = bin_no, place
+        upto[k] -= 1
+        bins[order[upto[k]]], places[order[upto[k]]] = bin_no, place
         room, place = room - kinds[k], place + 1
+        if not left[k]:
+            kinds, left, upto, weighted = (np.delete(x, k, axis=0) for x in (kinds, left, upto, weighted))
     return bins, places
 
 
