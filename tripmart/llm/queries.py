@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import chat_format, ngram_ratio, piece_codec, scaled_sketch, vector_packing
+from tripmart.llm import chat_format, ngram_ratio, piece_codec, redirects, scaled_sketch, vector_packing
 from tripmart.sources.adapter import table
 
 QUERIES = {}
@@ -95,3 +95,65 @@ def op4_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
         scaled_sketch.as_text(own).alias("fingerprint"), scaled_sketch.as_text(edited).alias("edited_fingerprint"),
         scaled_sketch.likeness(own, edited).alias("near_edited"), scaled_sketch.likeness(own, after).alias("near_next"),
         scaled_sketch.containment(own, edited).alias("kept_in_edited"))
+
+
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+@query
+def op1_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's rule and verdict; blocks reach aliases."""
+    rules = redirects.rule_table(spark, URL_RULES)
+    return redirects.judge_pages(table(spark, sf_dir, "pages"), rules).withColumnRenamed("id", "page_id")
+
+
+def _normal_sql(url: str) -> str:
+    """The normal form of an url in SQL."""
+    rest = f"case when contains({url}, '://') then substr({url}, instr({url}, '://') + 3) else '' end"
+    host = f"translate(regexp_extract({rest}, '^[^/?#]*'), '{redirects.UPPER}', '{redirects.LOWER}')"
+    path = f"regexp_extract({rest}, '^[^/?#]*([^?#]*)', 1)"
+    query_part = (f"regexp_replace(regexp_replace(regexp_extract({rest}, '^[^?#]*\\?([^#]*)', 1), '{redirects.TRACKING}', '', 'g'), '^&', '')")
+    return (f"case when {host} <> '' then 'http://' || regexp_replace({host}, '^(www|m)\\.', '') || "
+            f"regexp_replace({path}, '(/index)?(\\.html?)?/*$', '') || "
+            f"case when {query_part} <> '' then '?' || {query_part} else '' end end")
+
+
+def _sql_text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+_LINK = ("case when regexp_matches(link, '(?i)^https?://') then link when starts_with(link, '//') then 'http:' || link "
+         "when starts_with(link, '/') then 'http://' || host || link end")
+ORACLE["op1_redirects"] = f"""
+with recursive p as (
+  select page_id, url, html, case when contains(url, '://') then substr(url, instr(url, '://') + 3) else '' end as rest from pages),
+h as (
+  select page_id, url, html, translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'), '{redirects.UPPER}', '{redirects.LOWER}') as host,
+    regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) as path, {_normal_sql('url')} as a from p),
+l as (
+  select a, host, unnest([regexp_extract(regexp_extract(html, {_sql_text(redirects.CANONICAL_TAG)}), {_sql_text(redirects.HREF)}, 1),
+    regexp_extract(html, {_sql_text(redirects.REFRESH)}, 1)]) as link from h),
+t as (select a, {_LINK} as target from (select a, host, trim(link) as link from l where link <> '')),
+e as (select a, {_normal_sql('target')} as b from t),
+both_ways as (select a, b from e where b is not null union select b, a from e where b is not null),
+reach as (select a, b from both_ways union select r.a, x.b from reach r join both_ways x on r.b = x.a),
+keys as (select a from h where a is not null union select a from both_ways),
+comp as (select k.a, least(k.a, coalesce(min(r.b), k.a)) as component from keys k left join reach r on r.a = k.a group by k.a),
+rules(action, rule) as (values {', '.join(f"('{a}', '{r}')" for a, r in URL_RULES)}),
+nodes as (
+  select distinct url as node, a as k from h where url is not null union select a, a from keys),
+parts as (
+  select node, k, translate(regexp_extract(rest, '^[^/?#]*'), '{redirects.UPPER}', '{redirects.LOWER}') as host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path
+  from (select *, case when contains(node, '://') then substr(node, instr(node, '://') + 3) else '' end as rest from nodes)),
+ruled as (
+  select node, any_value(k) as k, arg_max(rule, length(rule)) as rule, arg_max(action, length(rule)) as action
+  from parts join rules on (host = split_part(rule, '/', 1) or ends_with(host, '.' || split_part(rule, '/', 1)))
+    and starts_with(path, substr(rule, instr(rule, '/')))
+  group by node),
+groups as (
+  select component, bool_or(action = 'block') and not bool_or(action = 'allow') as inherited
+  from ruled join comp on comp.a = ruled.k group by component)
+select h.page_id, h.host, h.path, ruled.rule,
+  coalesce(ruled.action, case when groups.inherited then 'block' else 'allow' end) as verdict
+from h left join ruled on ruled.node = h.url left join comp on comp.a = h.a left join groups on groups.component = comp.component"""
