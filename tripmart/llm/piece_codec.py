@@ -28,8 +28,8 @@ from tripmart.llm.common import text_slices
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 CONTROL_LIKE = {UNKNOWN, CONTROL}
-#: Entries of a worker's memory of encoded chunks; it starts anew beyond this.
-MEMORY = 400_000
+#: Entries in each half of a worker's memory of encoded chunks.
+MEMORY = 300_000
 
 
 class PieceCodec:
@@ -92,43 +92,39 @@ class PieceCodec:
     def pieces(self, text: str) -> list[str]:
         """Pieces of a text by longest matches and backtracking; a character
         without a piece stands for itself."""
-        n = len(text)
-        longest = bytearray(b"\x01") * n
-        for end, length in self.automaton.iter(text):
-            start = end - length + 1
-            if length > longest[start]:
-                longest[start] = length
-        failed = bytearray((n >> 3) + 1)
+        n, agrees = len(text), self.agrees
+        # Matches come in the order of their ends: the last that begins at a place is the longest.
+        longest = {end - size + 1: size for end, size in self.automaton.iter(text)}.get
+        failed = None  # the bitfield, from the first dead end on
         out: list[str] = []
-        pos, length = 0, longest[0] if n else 0
+        last, pos, size = "", 0, longest(0, 1)
         while pos < n:
-            piece = text[pos:pos + length]
-            end = pos + length
-            if not failed[end >> 3] & (1 << (end & 7)) and (not out or self.agrees(out[-1], piece)):
-                out.append(piece)
-                pos = end
-                length = longest[pos] if pos < n else 0
-                continue
-            length -= 1
-            while length > 1 and text[pos:pos + length] not in self.reachable:
-                length -= 1
-            if length < 1:
+            end = pos + size
+            if not (failed and failed[end >> 3] & (1 << (end & 7))):
+                piece = text[pos:end]
+                if not last or agrees(last, piece):
+                    out.append(piece)
+                    last, pos, size = piece, end, longest(end, 1)
+                    continue
+            size -= 1
+            while size > 1 and text[pos:pos + size] not in self.reachable:
+                size -= 1
+            if not size:
                 if not out:
                     raise ValueError("no encoding covers the text")
+                failed = failed or bytearray((n >> 3) + 1)
                 failed[pos >> 3] |= 1 << (pos & 7)
-                length = len(out.pop())
-                pos -= length
+                size = len(out.pop())
+                last, pos = out[-1] if out else "", pos - size
         return out
 
     def ids(self, text: str) -> list[int]:
         """Ids of a normalised text (blanks already replaced)."""
-        out: list[int] = []
-        for piece in self.pieces(text):
-            i = self.id_of.get(piece)
-            if i is None:
-                out.extend(self.byte_id[b] for b in piece.encode())
-            else:
-                out.append(i)
+        pieces = self.pieces(text)
+        out = [self.id_of.get(p) for p in pieces]
+        if None in out:
+            out = [i for p, known in zip(pieces, out)
+                   for i in ([known] if known is not None else [self.byte_id[b] for b in p.encode()])]
         return out
 
     def chunks(self, text: str) -> list[str]:
@@ -199,15 +195,16 @@ def codec(model_path: str) -> PieceCodec:
 def _encode_batches(batches: Iterator[pa.RecordBatch], model_path: str) -> Iterator[pa.RecordBatch]:
     c = codec(model_path)
     known: dict[str, bytes] = {}
+    older: dict[str, bytes] = {}
     for batch in text_slices(batches, "text"):
         blobs = []
         for text in batch.column("text").to_pylist():
             parts = c.chunks(text or "")
-            if len(known) > MEMORY:
-                known.clear()
+            if len(known) > MEMORY:  # chunks still in use come back from the older half
+                older, known = known, {}
             for p in parts:
                 if p not in known:
-                    known[p] = np.array(c.ids(p), dtype="<i4").tobytes()
+                    known[p] = older.get(p) or np.array(c.ids(p), dtype="<i4").tobytes()
             blobs.append(b"".join([known[p] for p in parts]))
         offsets = np.zeros(len(blobs) + 1, dtype=np.int32)
         np.cumsum([len(b) // 4 for b in blobs], out=offsets[1:])
@@ -219,27 +216,21 @@ def _encode_batches(batches: Iterator[pa.RecordBatch], model_path: str) -> Itera
 
 def _decode_batches(batches: Iterator[pa.RecordBatch], model_path: str) -> Iterator[pa.RecordBatch]:
     c = codec(model_path)
-    is_start = np.array([p.startswith(SPACE) for p in c.text_of])
+    surface = np.array([c.surface([i]) for i in range(len(c.text_of))], dtype=object)
+    is_byte = np.zeros(len(c.text_of), dtype=bool)
+    is_byte[list(c.byte_of)] = True
     for batch in batches:
-        known: dict[bytes, str] = {}
         texts = []
         for ids in batch.column("ids"):
-            a = np.ascontiguousarray(ids.values.to_numpy(zero_copy_only=False), dtype="<i4") if ids.is_valid else np.array([], "<i4")
-            if not len(a):
-                texts.append("")
-                continue
-            # Byte runs end where a piece with a leading space begins.
-            cuts = np.flatnonzero(is_start[a]) * 4
-            raw = a.tobytes()
-            bounds = [0, *[k for k in cuts.tolist() if k], len(raw)]
-            out = []
-            for s, e in zip(bounds, bounds[1:]):
-                key = raw[s:e]
-                t = known.get(key)
-                if t is None:
-                    t = known[key] = c.surface(np.frombuffer(key, "<i4").tolist())
-                out.append(t)
-            texts.append(c.without_lead(a, "".join(out)))
+            a = ids.values.to_numpy(zero_copy_only=False) if ids.is_valid else np.array([], np.int32)
+            parts = surface[a]
+            # Bytes are put together run by run.
+            at = np.flatnonzero(is_byte[a])
+            if len(at):
+                for run in np.split(at, np.flatnonzero(np.diff(at) > 1) + 1):
+                    parts[run[0]] = c.surface(a[run].tolist())
+                    parts[run[1:]] = ""
+            texts.append(c.without_lead(a, "".join(parts.tolist())))
         yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("ids"), pa.array(texts, pa.string())],
                                          ["id", "ids", "decoded"])
 
