@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.llm import (
-    chat_format, ngram_ratio, piece_codec, redirects, rule_ensemble, scaled_sketch, toxicity, vector_packing)
+    chat_format, ngram_ratio, piece_codec, prob_minhash, redirects, rule_ensemble, scaled_sketch, toxicity, vector_packing)
 from tripmart.llm.common import materialize
 from tripmart.llm.labelled import fold_of, usable
 from tripmart.sources.adapter import table
@@ -188,3 +188,9 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, _learned(table(spark, sf_dir, "labels"), "toxic"))
     return _scored(toxicity.score(docs, model), 0.7)
+
+
+@query
+def op10_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    return prob_minhash.classes(spark, table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
