@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.llm import (
-    chat_format, ngram_ratio, piece_codec, prob_minhash, redirects, rule_ensemble, scaled_sketch, toxicity, vector_packing)
+    chat_format, maxent_lm, ngram_ratio, piece_codec, prob_minhash, redirects, rule_ensemble, scaled_sketch, toxicity, vector_packing)
 from tripmart.llm.common import materialize
 from tripmart.llm.labelled import fold_of, usable
 from tripmart.sources.adapter import table
@@ -194,3 +194,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate class of every document."""
     return prob_minhash.classes(spark, table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op5_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of every document by the unigram base and by the maximum-entropy model."""
+    scored = maxent_lm.train_and_score(spark, table(spark, sf_dir, "documents"), fold_of(F.col("doc_id"), 5) != 1)
+    return scored.select(F.col("id").alias("doc_id"), (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score")
