@@ -3,7 +3,6 @@ from itertools import combinations
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from tripmart.llm import prob_minhash as pm
 
@@ -109,5 +108,11 @@ def test_odd_documents(spark, odd_docs, no_docs):
 def test_repeated_ids_with_different_texts(spark):
     long = " ".join(f"v{i}" for i in range(100))
     rows = [(1, long), (1, "other words"), (2, long + " end"), (None, long), (None, "lonely"), (3, "other words")]
-    got = pm.classes(spark, spark.createDataFrame(rows, "doc_id long, text string")).withColumn("id", F.col("id")).collect()
+    got = pm.classes(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(((r.id, r.class_id) for r in got), key=str) == expected(rows)
+
+
+def test_one_row_of_every_class_without_ids(spark):
+    rows = [(None, "a b"), (None, "a  b"), (None, "c"), (None, "d"), (4, "d"), (5, "e")]
+    kept = pm.keep_one(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id, " ".join(r.text.split())) for r in kept), key=str) == [(4, "d"), (5, "e"), (None, "a b"), (None, "c")]

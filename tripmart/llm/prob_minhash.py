@@ -29,6 +29,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from tripmart.llm.common import materialize, text_slices
 from tripmart.llm.components import connected_components
@@ -56,6 +57,10 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().split()
 
 
+def key_of(words: list[bytes]) -> bytes:
+    return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
+
+
 def shingles(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes in ascending order, and their weights."""
     if not words:
@@ -121,7 +126,7 @@ def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
 def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in text_slices(batches, "text"):
         words = [words_of(t) for t in batch.column("text").to_pylist()]
-        keys = [hashlib.blake2b(b" ".join(w), digest_size=16).digest() for w in words]
+        keys = [key_of(w) for w in words]
         sets = [shingles(w) for w in words]
         full = [i for i, s in enumerate(sets) if len(s[0])]
         bands: list = [[] for _ in words]
@@ -227,6 +232,11 @@ def classes(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_c
     rows are copies; a NULL id is never the smallest, and a class of NULL ids
     only has a NULL class; an empty table has no rows; other columns are not read.
     """
+    return _keyed_classes(spark, docs, id_col, text_col).select("id", "copy_id", "class_id")
+
+
+def _keyed_classes(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """As ``classes``, with each row's words' hash and its component."""
     named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     every = materialize(sketches(named, "id", "text"), "sketches")
     copies = materialize(every.groupBy("key").agg(F.min("id").alias("copy_id"), F.first("bands").alias("bands"),
@@ -253,8 +263,7 @@ def classes(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_c
         joined = joined.withColumn("component", F.col("key"))
     joined = materialize(joined, "classes")
     smallest = joined.groupBy("component").agg(F.min("copy_id").alias("class_id"))
-    named_keys = joined.join(smallest, "component").select("key", "copy_id", "class_id")
-    return every.select("id", "key").join(named_keys, "key").select("id", "copy_id", "class_id")
+    return every.select("id", "key").join(joined.join(smallest, "component"), "key")
 
 
 def _texts(named: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -266,7 +275,7 @@ def _texts(named: DataFrame, wanted: DataFrame) -> DataFrame:
         # An id may be repeated with other texts: only the text with the wanted words stays.
         for batch in text_slices(batches, "text"):
             keys = batch.column("wanted").to_pylist()
-            good = [hashlib.blake2b(b" ".join(words_of(t)), digest_size=16).digest() == k
+            good = [key_of(words_of(t)) == k
                     for t, k in zip(batch.column("text").to_pylist(), keys)]
             yield pa.RecordBatch.from_arrays([batch.column("wanted"), batch.column("text")], ["key", "text"]).filter(pa.array(good, pa.bool_()))
     return picked.mapInArrow(hold, "key binary, text string").groupBy("key").agg(F.first("text").alias("text"))
@@ -287,9 +296,20 @@ def _rest(rows: DataFrame, copies: DataFrame) -> DataFrame:
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, one of each class: that with the smallest id (of
-    repeated ids one row), or one row of a class that has NULL ids only."""
-    found = classes(spark, docs, id_col, text_col)
-    kept = found.select(F.col("class_id").alias("kept_id")).distinct()
-    rows = docs.join(kept, F.col(id_col).eqNullSafe(F.col("kept_id")), "left_semi")
-    return rows.dropDuplicates([id_col])
+    """The rows of ``docs``, one of each class: that with the smallest id; of a
+    class of NULL ids only one row.  A repeated id is one document, of which
+    one row stays.
+    """
+    found = materialize(_keyed_classes(spark, docs, id_col, text_col), "found")
+    kept = found.select(F.col("class_id").alias("kept_id")).dropna().distinct()
+    rows = docs.join(kept, F.col(id_col) == F.col("kept_id"), "left_semi").dropDuplicates([id_col])
+    nameless = found.where("class_id is null").groupBy("component").agg(F.min("key").alias("kept_key")).select("kept_key")
+    key = "words_key_" + "_" * max(map(len, docs.columns))
+
+    def with_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, text_col):
+            yield batch.append_column(key, pa.array([key_of(words_of(t)) for t in batch.column(text_col).to_pylist()], pa.binary()))
+    schema = StructType([*docs.schema.fields, StructField(key, BinaryType())])
+    nulls = docs.where(F.col(id_col).isNull()).mapInArrow(with_key, schema)
+    nulls = nulls.join(nameless, F.col(key) == F.col("kept_key"), "left_semi").dropDuplicates([key]).drop(key)
+    return rows.unionByName(nulls)

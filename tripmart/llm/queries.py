@@ -162,13 +162,17 @@ select h.page_id, h.host, h.path, ruled.rule,
 from h left join ruled on ruled.node = h.url left join comp on comp.a = h.a left join groups on groups.component = comp.component"""
 
 
+#: Scores from which a document counts as good or toxic.
+QUALITY_FROM, TOXIC_FROM = 0.5, 0.7
+
+
 def _scored(rows: DataFrame, threshold: float) -> DataFrame:
     """doc_id, held_out, score, predicted of rows with ``id`` and ``score``."""
     return rows.select(F.col("id").alias("doc_id"), (fold_of(F.col("id"), 3) == 1).alias("held_out"), "score",
                        (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
-def _learned(labels: DataFrame, label: str) -> DataFrame:
+def learned_labels(labels: DataFrame, label: str) -> DataFrame:
     """The label rows that a model may learn from."""
     return usable(labels, label).where(fold_of(F.col("label_id"), 3) != 1)
 
@@ -177,17 +181,17 @@ def _learned(labels: DataFrame, label: str) -> DataFrame:
 def op7_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document by the rule ensemble."""
     stats = materialize(rule_ensemble.with_statistics(table(spark, sf_dir, "documents")), "statistics")
-    labels = _learned(table(spark, sf_dir, "labels"), "quality")
+    labels = learned_labels(table(spark, sf_dir, "labels"), "quality")
     rows = materialize(stats.join(labels, F.col("id") == F.col("label_id")).select("stats", "label"), "labelled")
-    return _scored(stats.select("id", rule_ensemble.fit(rows).score(F.col("stats")).alias("score")), 0.5)
+    return _scored(stats.select("id", rule_ensemble.fit(rows).score(F.col("stats")).alias("score")), QUALITY_FROM)
 
 
 @query
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document by the counterfactually regularised classifier."""
     docs = table(spark, sf_dir, "documents")
-    model = toxicity.fit(docs, _learned(table(spark, sf_dir, "labels"), "toxic"))
-    return _scored(toxicity.score(docs, model), 0.7)
+    model = toxicity.fit(docs, learned_labels(table(spark, sf_dir, "labels"), "toxic"))
+    return _scored(toxicity.score(docs, model), TOXIC_FROM)
 
 
 @query

@@ -18,7 +18,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import let, let_all, words_of
+from tripmart.llm.common import let, let_all, materialize, words_of
+from tripmart.llm.labelled import sample
 
 STATISTICS = ["log_words", "word_length", "symbols", "upper", "digits", "marks", "distinct", "stutter", "line_repeats",
               "line_words", "bars", "ends"]
@@ -116,3 +117,20 @@ def fit(rows: DataFrame, trees: int = 20, depth: int = 3, lasso: float = 0.002,
     model = lasso_fit.fit(rows.select(hits.alias("x"), F.col("label").cast("double").alias("label")))
     weights = [float(w) for w in model.coefficients.toArray()]
     return RuleModel(float(model.intercept), tuple((r, w) for r, w in zip(rules, weights) if w))
+
+
+#: Labelled rows that ``fit_on`` uses at most.
+MOST_ROWS = 20_000
+
+
+def fit_on(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_rows: int = MOST_ROWS) -> RuleModel:
+    """Model from documents and (label_id, label) rows, of which at most
+    ``most_rows`` are used; only their texts are measured."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")) \
+        .join(F.broadcast(sample(labels, most_rows)), F.col("id") == F.col("label_id"))
+    return fit(materialize(rows.select(statistics_of(F.col("text")).alias("stats"), "label"), "labelled"))
+
+
+def keep_from(docs: DataFrame, model: RuleModel, threshold: float, text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, that score at least the threshold."""
+    return docs.where(let(statistics_of(F.col(text_col)), model.score) >= threshold)
