@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tripmart.functions.columns import month_start
 
@@ -93,3 +94,10 @@ def top_by(df: DataFrame, order: Sequence[Column], n: int = 1) -> DataFrame:
     TakeOrderedAndProject, a per-task top-n followed by a merge of n rows per
     task; the full input is never sorted."""
     return df.orderBy(*order).limit(n)
+
+
+def in_order(df: DataFrame, *order) -> DataFrame:
+    """A small result (one row per group of a report) in full order, with the
+    place of each row as ``position`` (SRT-4)."""
+    keys = [F.col(c) if isinstance(c, str) else c for c in order]
+    return df.withColumn("position", F.row_number().over(Window.orderBy(*keys))).orderBy("position")

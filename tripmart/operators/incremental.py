@@ -5,17 +5,35 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType, TimestampType
 
-from tripmart.functions.columns import ts_literal
 from tripmart.sinks import tables
 
 
-def high_water_mark(df: DataFrame, key: str):
-    """``max(key)`` of a table: one value read by the driver (a footer-level
-    aggregate for Parquet)."""
-    return df.agg(F.max(key)).first()[0]
+def high_water_mark(df: DataFrame, key: str, partition_col: str | None = None) -> Column | None:
+    """``max(key)`` as a literal of the key's type; None for a table without a key.
+
+    A timestamp never becomes a Python value, which would shift it by the
+    driver's zone: it travels as microseconds since the epoch, a zone-less one
+    as text.  With ``partition_col``, whose values grow with the key, only the
+    newest partition is read (all, if that one has no key).
+    """
+    kind = df.schema[key].dataType
+    top = F.max(key)
+    carried = (F.unix_micros(top) if isinstance(kind, TimestampType)
+               else top.cast("string") if isinstance(kind, TimestampNTZType) else top)
+    parts = [df]
+    if partition_col is not None:
+        newest = df.agg(F.max(partition_col).alias("newest"))
+        parts = [df.join(newest, df[partition_col] == newest["newest"], "left_semi"), df]
+    for rows in parts:
+        value = rows.agg(carried.alias("mark")).first()["mark"]
+        if value is not None:
+            mark = F.lit(value)
+            return F.timestamp_micros(mark) if isinstance(kind, TimestampType) else mark.cast(kind)
+    return None
 
 
 def incremental_filter(df: DataFrame, target: str, key: str, on_empty: str = "reference",
@@ -33,16 +51,15 @@ def incremental_filter(df: DataFrame, target: str, key: str, on_empty: str = "re
     spark = df.sparkSession
     if not tables.table_exists(spark, target):
         return df
-    hwm = high_water_mark(spark.table(target), key)
-    if hwm is None:
+    stored = spark.table(target)
+    mark = high_water_mark(stored, key, partition_col if partition_col in stored.columns else None)
+    if mark is None:
         return df if on_empty == "all" else df.where(F.lit(False))
     if lookback is not None:
-        hwm = hwm - lookback
-    like = df.schema[key].dataType
-    pred = F.col(key) > ts_literal(hwm, like)
-    if partition_col is not None:
-        part_of = partition_of or F.to_date
-        pred = pred & (F.col(partition_col) >= part_of(ts_literal(hwm, like)))
+        mark = mark - F.lit(lookback)
+    pred = F.col(key) > mark
+    if partition_col is not None and partition_col in df.columns:
+        pred = pred & (F.col(partition_col) >= (partition_of or F.to_date)(mark))
     return df.where(pred)
 
 
@@ -55,7 +72,7 @@ def build_incremental(df: DataFrame, target: str, unique_key: str, key: str, par
     if not tables.table_exists(spark, target):
         tables.write_replace(df, target, [partition_col])
         return
-    new = incremental_filter(df, target, key, on_empty)
+    new = incremental_filter(df, target, key, on_empty, partition_col=partition_col, partition_of=partition_of)
     have = set(spark.table(target).columns)
     added = [f for f in df.schema.fields if f.name not in have]
     if added:

@@ -1,15 +1,15 @@
-"""Join helpers: broadcast only behind a size check, anti/semi joins."""
+"""Join helpers.  No broadcast is forced: the planner broadcasts a side below
+``spark.sql.autoBroadcastJoinThreshold`` and adaptive execution decides again
+on measured sizes, splitting hot keys otherwise."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# A dimension is broadcast only when the optimizer's size estimate of its plan
-# is below this bound; above it the join is left to the planner (sort-merge or
-# shuffled hash join, with AQE's skew-join split for hot keys).
+# A batch counts as small below this estimate; that picks between two plans
+# with the same rows.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
 
@@ -22,25 +22,15 @@ def estimated_bytes(df: DataFrame) -> int:
         return -1
 
 
-def maybe_broadcast(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Broadcast hint when the side has a proven (estimated) size bound."""
-    size = estimated_bytes(df)
-    if 0 <= size <= limit_bytes:
-        return F.broadcast(df)
-    return df
-
-
 def anti_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``left`` whose key is absent from ``right`` (JN-7).  Null keys
-    never match, so they are kept, as with SQL ``NOT EXISTS`` on equality.
-    The key side is broadcast when its size is bounded, so ``left`` is
-    filtered where it lies instead of being shuffled."""
-    return left.join(maybe_broadcast(right.select(*keys)), list(keys), "left_anti")
+    never match, so they are kept, as with SQL ``NOT EXISTS`` on equality."""
+    return left.join(right.select(*keys), list(keys), "left_anti")
 
 
 def semi_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``left`` whose key occurs in ``right`` (same broadcast rule)."""
-    return left.join(maybe_broadcast(right.select(*keys)), list(keys), "left_semi")
+    """Rows of ``left`` whose key occurs in ``right``."""
+    return left.join(right.select(*keys), list(keys), "left_semi")
 
 
 def is_bounded(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> bool:

@@ -16,7 +16,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.operators.joins import maybe_broadcast
 
 RESULT_SCHEMA = "table_name string, check_name string, column_name string, violations bigint, passed boolean"
 
@@ -95,7 +94,7 @@ def duplicated_groups(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def orphans(df: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Child rows whose non-NULL key is absent from the parent (DQ-4)."""
-    keys = maybe_broadcast(parent.select(F.col(parent_column).alias("__pk")).distinct())
+    keys = parent.select(F.col(parent_column).alias("__pk")).distinct()
     return df.where(F.col(column).isNotNull()).join(keys, F.col(column) == F.col("__pk"), "left_anti")
 
 

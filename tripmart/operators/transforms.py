@@ -15,7 +15,6 @@ from pyspark.sql.types import ArrayType, MapType, StructType
 from tripmart.functions.columns import (
     cast_int, minutes_between, numeric, safe_cast, surrogate_key, vendor_name,
 )
-from tripmart.operators.joins import maybe_broadcast
 
 # --- staging (PRJ-1 .. PRJ-4) -----------------------------------------------
 
@@ -191,7 +190,7 @@ def enrich_payment(trips: DataFrame, lookup: DataFrame, null_code: int | None =
     if null_code is not None:
         t = t.withColumn(code_col, F.coalesce(F.col(code_col), F.lit(null_code)))
     lk = lookup.select(F.col(lookup_code).alias("__code"), F.col(lookup_name).alias("__name"))
-    j = t.join(maybe_broadcast(lk), t[code_col] == lk["__code"], "left")
+    j = t.join(lk, t[code_col] == lk["__code"], "left")
     return j.withColumn(out_name, F.coalesce(F.col("__name"), F.lit(unknown))).drop("__code", "__name")
 
 
@@ -201,12 +200,12 @@ def enrich_zones(trips: DataFrame, zones: DataFrame, how: str = "left",
     """Two joins to the same zone dimension, in the pickup and dropoff roles
     (JN-2 inner, JN-3 left).  Adds pickup_/dropoff_ borough and zone."""
     z = zones.select("location_id", "borough", "zone")
-    pz = maybe_broadcast(z.select(F.col("location_id").alias("__pz_id"),
+    pz = z.select(F.col("location_id").alias("__pz_id"),
                                   F.col("borough").alias("pickup_borough"),
-                                  F.col("zone").alias("pickup_zone")))
-    dz = maybe_broadcast(z.select(F.col("location_id").alias("__dz_id"),
+                                  F.col("zone").alias("pickup_zone"))
+    dz = z.select(F.col("location_id").alias("__dz_id"),
                                   F.col("borough").alias("dropoff_borough"),
-                                  F.col("zone").alias("dropoff_zone")))
+                                  F.col("zone").alias("dropoff_zone"))
     j = trips.join(pz, trips[pickup_col] == pz["__pz_id"], how)
     j = j.join(dz, j[dropoff_col] == dz["__dz_id"], how)
     return j.drop("__pz_id", "__dz_id")

@@ -74,19 +74,30 @@ def distinct_vendors_in_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @gate("trips_by_month", W + """
-select cast(date_trunc('month', pickup_datetime) as date) as month, count(*) as trips
-from trips group by 1""")
+select month, trips, cast(row_number() over (order by month) as int) as position from (
+  select cast(date_trunc('month', pickup_datetime) as date) as month, count(*) as trips
+  from trips where vendor_id is not null group by 1)""")
 def trips_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.trips_by_month(adapter.trips(spark, sf_dir))
+    """Trips without a vendor have their pickup time removed: they must not be counted."""
+    planted = F.when(F.col("vendor_id").isNotNull(), F.col("pickup_datetime"))
+    return reports.trips_by_month(adapter.trips(spark, sf_dir).withColumn("pickup_datetime", planted))
 
 
 @gate("payment_mix", W + """
-select coalesce(cast(payment_type as varchar), 'Unknown') as payment_type, count(*) as trips
-from trips group by 1""")
+select payment_type, trips, cast(row_number() over (order by trips desc, payment_type) as int) as position from (
+  select coalesce(cast(payment_type as varchar), 'UNKNOWN') as payment_type, count(*) as trips
+  from trips group by 1)""")
 def payment_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.payment_mix(adapter.trips(spark, sf_dir))
 
 
+@gate("distinct_payment_types", W + """
+select payment_type, cast(row_number() over (order by payment_type nulls last) as int) as position from (
+  select cast(payment_type as varchar) as payment_type from trips group by 1)""")
+def distinct_payment_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.distinct_payment_types(adapter.trips(spark, sf_dir))
+
+
 @gate("pickup_range", W + """
 select count(*) as total_trips, min(pickup_datetime) as first_pickup, max(pickup_datetime) as last_pickup,
        min(dropoff_datetime) as first_dropoff, max(dropoff_datetime) as last_dropoff from trips""")
@@ -106,9 +117,9 @@ from trips order by pickup_datetime desc nulls last, dropoff_datetime desc nulls
   l_orderkey, l_partkey, l_suppkey, trip_distance, fare_amount limit 10""")
 def latest_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = adapter.trips(spark, sf_dir).select(*_LATEST_COLS)
-    order = [F.col("pickup_datetime").desc_nulls_last(), F.col("dropoff_datetime").desc_nulls_last(),
-             "l_orderkey", "l_partkey", "l_suppkey", "trip_distance", "fare_amount"]
-    r = t.orderBy(*order).limit(10)
+    # Of equal pickups the later dropoff comes first.
+    longest = F.col("dropoff_datetime").desc_nulls_last()
+    r = reports.latest(t, "pickup_datetime", 10, (longest, "l_orderkey", "l_partkey", "l_suppkey", "trip_distance", "fare_amount"))
     return r.select(*[money_double(c).alias(c) if c in ("trip_distance", "fare_amount", "tip_amount",
                                                         "total_amount") else F.col(c)
                       for c in _LATEST_COLS])
@@ -154,26 +165,23 @@ def credit_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _latest_metrics_sql(all_pending: bool) -> str:
+    """One ranked ledger row, joined to the metrics of every load."""
     return "with " + API + _ledger_sql(all_pending) + f""",
-loads as (select load_id, inserted_at, lower(trim(cast(status as varchar))) as status_v from ledger),
-latest_loaded as (select * from loads where status_v = 'loaded'
-                  order by inserted_at desc, load_id desc limit 1),
-latest_any as (select * from loads order by inserted_at desc, load_id desc limit 1),
-latest as (select * from latest_loaded union all
-           select * from latest_any where not exists (select 1 from latest_loaded)),
-base as (select t._dlt_load_id, cast(t.trip_pickup_date_time as date) as pickup_date,
-                cast(t.trip_dropoff_date_time as date) as dropoff_date,
-                t.payment_type as payment_type_v, coalesce(t.tip_amt, 0) as tip_amt
-         from api t join latest l on t._dlt_load_id = l.load_id)
-select (select load_id from latest) as latest_load_id,
-       (select status_v from latest) as latest_status_normalized,
-       min(pickup_date) as pickup_start_date, max(pickup_date) as pickup_end_date,
-       min(dropoff_date) as dropoff_start_date, max(dropoff_date) as dropoff_end_date,
-       case when min(pickup_date) = min(dropoff_date) and max(pickup_date) = max(dropoff_date)
-            then 'MATCH' else 'DIFFER' end as date_span_check,
-       {_credit_sql('payment_type_v')} as credit_card_pct,
-       cast(round(sum(tip_amt), 2) as double) as total_tip_amt
-from base"""
+ranked as (
+  select load_id, trim(lower(status)) as state,
+         row_number() over (order by trim(lower(status)) = 'loaded' desc, inserted_at desc, load_id desc) as place
+  from ledger),
+per_load as (
+  select _dlt_load_id,
+    min(trip_pickup_date_time)::date as p0, max(trip_pickup_date_time)::date as p1,
+    min(trip_dropoff_date_time)::date as d0, max(trip_dropoff_date_time)::date as d1,
+    {_credit_sql('payment_type')} as share, sum(tip_amt) as tips
+  from api group by _dlt_load_id)
+select load_id as latest_load_id, state as latest_status_normalized,
+  p0 as pickup_start_date, p1 as pickup_end_date, d0 as dropoff_start_date, d1 as dropoff_end_date,
+  if((p0, p1) = (d0, d1), 'MATCH', 'DIFFER') as date_span_check,
+  share as credit_card_pct, round(coalesce(tips, 0), 2)::double as total_tip_amt
+from ranked left join per_load on per_load._dlt_load_id = ranked.load_id where place = 1"""
 
 
 def _latest_metrics(spark: SparkSession, sf_dir: str, all_pending: bool) -> DataFrame:

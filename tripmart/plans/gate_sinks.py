@@ -172,6 +172,46 @@ def delete_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _out_orders(spark.table(target))
 
 
+# --- the partition of rows without a month ----------------------------------
+
+NO_MONTH_TARGET, NO_MONTH_SOURCE = "2-HIGH", "1-URGENT"
+
+
+def _undated(o: DataFrame, priority: str) -> DataFrame:
+    """Orders of one priority lose their date, so they are in the partition without a month."""
+    return _monthly(o.withColumn("o_orderdate", F.when(F.col("o_orderpriority") != priority, F.col("o_orderdate"))))
+
+
+def _null_partition(spark: SparkSession, sf_dir: str, write) -> DataFrame:
+    """Loaded orders include undated ones.  The source moves some of them into
+    a month, others out of their month, adds new ones of both kinds, and
+    leaves the rest where they are."""
+    db = scratch_database(spark, "undated")
+    target = f"{db}.orders_fact"
+    o = _orders(spark, sf_dir)
+    tables.write_replace(_undated(o.where(_between("o_orderdate", end=SPLIT)), NO_MONTH_TARGET), target, ["order_month"])
+    write(_undated(o.where(_between("o_orderdate", start=UPSERT_FROM)), NO_MONTH_SOURCE), target)
+    return _out_orders(spark.table(target))
+
+
+_UNDATED = ("select o_orderkey, o_custkey, o_orderstatus, o_totalprice, "
+            "case when o_orderpriority <> '{p}' then o_orderdate end as o_orderdate, o_orderpriority from {t}")
+_NULL_PART = _O + f"""old as ({_UNDATED.format(p=NO_MONTH_TARGET, t='t0')}),
+src as ({_UNDATED.format(p=NO_MONTH_SOURCE, t='o')} where o.o_orderdate >= timestamp '{UPSERT_FROM}'),
+res as (select * from old where {{key}} not in (select {{key}} from src) union all select * from src)
+""" + _OUT
+
+
+@gate("merge_upsert_null_partition", _NULL_PART.format(key="o_orderkey"))
+def merge_upsert_null_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _null_partition(spark, sf_dir, lambda src, target: tables.merge_upsert(src, target, ["o_orderkey"], "order_month"))
+
+
+@gate("delete_insert_null_partition", _NULL_PART.format(key="o_custkey"))
+def delete_insert_null_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _null_partition(spark, sf_dir, lambda src, target: tables.write_delete_insert(src, target, ["o_custkey"], "order_month"))
+
+
 # --- time-interval refresh ---------------------------------------------------
 
 WIN_START, WIN_END = "2024-01-10 12:00:00", "2024-01-20 00:00:00"

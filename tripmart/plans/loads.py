@@ -23,6 +23,7 @@ ROW_ID_FIELDS = {
                  "fare_amount", "trip_distance"],
     "warehouse": ["VendorID", "{p}_pickup_datetime", "{p}_dropoff_datetime", "PULocationID", "DOLocationID"],
 }
+EPOCH = _dt.datetime(1970, 1, 1, tzinfo=_dt.timezone.utc)
 PREFIX = {"yellow": "tpep", "green": "lpep"}
 
 
@@ -63,8 +64,12 @@ def load_month(spark: SparkSession, raw: DataFrame, taxi: str, year: int, month:
 def record_load(spark: SparkSession, ledger: str, load_id: str, status: str,
                 inserted_at: _dt.datetime | None = None) -> None:
     """Append one ledger row (INC-4): load id, time, status."""
-    ts = inserted_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    row = spark.createDataFrame([(load_id, ts, status)], "load_id string, inserted_at timestamp, status string")
+    at = F.current_timestamp()
+    if inserted_at is not None:
+        if inserted_at.tzinfo is None:  # a time without a zone is UTC
+            inserted_at = inserted_at.replace(tzinfo=_dt.timezone.utc)
+        at = F.timestamp_micros(F.lit((inserted_at - EPOCH) // _dt.timedelta(microseconds=1)))
+    row = spark.range(1).select(F.lit(load_id).alias("load_id"), at.alias("inserted_at"), F.lit(status).alias("status"))
     tables.write_append(row, ledger)
 
 

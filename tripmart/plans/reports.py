@@ -4,15 +4,14 @@ Q-14..Q-16).  Each takes DataFrames and parameters and returns a lazy result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmart.functions.columns import (
     in_range_inclusive, in_window, is_credit, month_start, normalize_text, on_date,
     pct_where, sum_zero,
 )
-from tripmart.operators.aggregates import count_rows, top_by
-from tripmart.operators.joins import maybe_broadcast
+from tripmart.operators.aggregates import count_rows, in_order, top_by
 
 
 def short_trips(trips: DataFrame, max_distance=1) -> DataFrame:
@@ -33,7 +32,7 @@ def top_zone_on_day(trips: DataFrame, zones: DataFrame, day) -> DataFrame:
     sharing a name are merged, as the reference groups by name."""
     like = trips.schema["pickup_datetime"].dataType
     t = trips.where(on_date("pickup_datetime", day, like))
-    z = maybe_broadcast(zones.select("location_id", "zone"))
+    z = zones.select("location_id", "zone")
     j = t.join(z, t["pickup_location_id"] == z["location_id"], "inner")
     g = j.groupBy(F.col("zone").alias("pickup_zone")).agg(F.sum("total_amount").alias("total_revenue"))
     return top_by(g, [F.col("total_revenue").desc_nulls_last(), F.col("pickup_zone").asc()], 1)
@@ -44,9 +43,8 @@ def top_tip_dropoff_zone(trips: DataFrame, zones: DataFrame, pickup_zone: str, s
     (Q-4).  Two inner joins to the zone dimension; NULL tips sort last."""
     like = trips.schema["pickup_datetime"].dataType
     t = trips.where(in_window("pickup_datetime", start, end, like))
-    pz = maybe_broadcast(zones.where(F.col("zone") == pickup_zone)
-                              .select(F.col("location_id").alias("__pz")))
-    dz = maybe_broadcast(zones.select(F.col("location_id").alias("__dz"), F.col("zone").alias("dropoff_zone")))
+    pz = zones.where(F.col("zone") == pickup_zone).select(F.col("location_id").alias("__pz"))
+    dz = zones.select(F.col("location_id").alias("__dz"), F.col("zone").alias("dropoff_zone"))
     j = t.join(pz, t["pickup_location_id"] == pz["__pz"], "inner")
     j = j.join(dz, j["dropoff_location_id"] == dz["__dz"], "inner")
     return top_by(j.select("dropoff_zone", "tip_amount"),
@@ -66,14 +64,21 @@ def distinct_in_range(df: DataFrame, value: str, ts: str, start, end, date_col:
 
 
 def trips_by_month(trips: DataFrame, ts: str = "pickup_datetime") -> DataFrame:
-    """Trips per month, months as DATE (AGG-5)."""
-    return trips.groupBy(month_start(ts).alias("month")).agg(F.count(F.lit(1)).alias("trips"))
+    """Trips per month in order, months as DATE; trips without a time are not counted (AGG-5, SRT-4)."""
+    months = trips.where(F.col(ts).isNotNull()).groupBy(month_start(ts).alias("month"))
+    return in_order(months.agg(F.count(F.lit(1)).alias("trips")), "month")
 
 
-def payment_mix(trips: DataFrame, col: str = "payment_type", unknown: str = "Unknown") -> DataFrame:
-    """Trips per payment category, NULL counted as ``unknown`` (AGG-6)."""
+def payment_mix(trips: DataFrame, col: str = "payment_type", unknown: str = "UNKNOWN") -> DataFrame:
+    """Trips per payment category, the most frequent first, NULL counted as ``unknown`` (AGG-6, SRT-4)."""
     cat = F.coalesce(F.col(col).cast("string"), F.lit(unknown))
-    return trips.groupBy(cat.alias("payment_type")).agg(F.count(F.lit(1)).alias("trips"))
+    mix = trips.groupBy(cat.alias("payment_type")).agg(F.count(F.lit(1)).alias("trips"))
+    return in_order(mix, F.desc("trips"), "payment_type")
+
+
+def distinct_payment_types(trips: DataFrame, col: str = "payment_type") -> DataFrame:
+    """The payment types that occur, in order (Q-15)."""
+    return in_order(trips.select(F.col(col).cast("string").alias("payment_type")).distinct(), F.col("payment_type").asc_nulls_last())
 
 
 def date_range(trips: DataFrame, pickup: str = "pickup_datetime", dropoff: str = "dropoff_datetime") -> DataFrame:
@@ -83,9 +88,9 @@ def date_range(trips: DataFrame, pickup: str = "pickup_datetime", dropoff: str =
                      F.min(dropoff).alias("first_dropoff"), F.max(dropoff).alias("last_dropoff"))
 
 
-def latest(trips: DataFrame, ts: str, n: int = 10, tie_breakers: tuple[str, ...] = ()) -> DataFrame:
+def latest(trips: DataFrame, ts: str, n: int = 10, tie_breakers: tuple[str | Column, ...] = ()) -> DataFrame:
     """``ORDER BY ts DESC NULLS LAST LIMIT n`` with a total order (SRT-3)."""
-    order = [F.col(ts).desc_nulls_last()] + [F.col(c).asc_nulls_last() for c in tie_breakers]
+    order = [F.col(ts).desc_nulls_last()] + [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in tie_breakers]
     return top_by(trips, order, n)
 
 
@@ -114,24 +119,23 @@ def latest_load(loads: DataFrame, loaded_status: str = "loaded") -> DataFrame:
 def latest_load_metrics(trips: DataFrame, loads: DataFrame, load_col: str, payment: str, tip: str,
                         pickup: str, dropoff: str) -> DataFrame:
     """Metrics of the rows of the latest load (INC-5): date spans, the
-    MATCH/DIFFER span flag, credit share and tips.  The one-row latest load is
-    joined by key (JN-6); the result has one row even when that load holds
-    no trips."""
-    one = latest_load(loads)
-    rows = trips.join(maybe_broadcast(one.select(F.col("load_id").alias(load_col))), load_col, "left_semi")
+    MATCH/DIFFER span flag, credit share and tips.
+
+    The ledger is asked once for its one row; the load id then is a literal,
+    which prunes the load's partition or reaches the file reader (JN-6).  The
+    result has one row even when the load holds no trips or there is none."""
+    newest = latest_load(loads).select("load_id", "status_v").first()
+    load_id, status = newest if newest else (None, None)
     pd_, dd = F.to_date(pickup), F.to_date(dropoff)
-    agg = rows.groupBy(load_col).agg(
+    agg = trips.where(F.col(load_col) == F.lit(load_id)).agg(
         F.min(pd_).alias("pickup_start_date"), F.max(pd_).alias("pickup_end_date"),
         F.min(dd).alias("dropoff_start_date"), F.max(dd).alias("dropoff_end_date"),
         pct_where(is_credit(payment)).alias("credit_card_pct"),
         F.round(sum_zero(tip), 2).alias("total_tip_amt"))
-    # ``agg`` has at most one row (one per load id, and only the latest
-    # load's rows passed the semi join): a proven bound, so it is broadcast.
-    j = one.join(F.broadcast(agg), one["load_id"] == agg[load_col], "left")
     same = ((F.col("pickup_start_date") == F.col("dropoff_start_date"))
             & (F.col("pickup_end_date") == F.col("dropoff_end_date")))
-    return j.select(
-        F.col("load_id").alias("latest_load_id"), F.col("status_v").alias("latest_status_normalized"),
+    return agg.select(
+        F.lit(load_id).cast("string").alias("latest_load_id"), F.lit(status).cast("string").alias("latest_status_normalized"),
         "pickup_start_date", "pickup_end_date", "dropoff_start_date", "dropoff_end_date",
         F.when(same, F.lit("MATCH")).otherwise(F.lit("DIFFER")).alias("date_span_check"),
         "credit_card_pct", "total_tip_amt")

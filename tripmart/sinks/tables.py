@@ -35,15 +35,23 @@ class MergeKeyError(ValueError):
     """More than one source row per key in an upsert."""
 
 
-@contextmanager
-def dynamic_overwrite(spark: SparkSession):
-    key = "spark.sql.sources.partitionOverwriteMode"
-    old = spark.conf.get(key, "static")
-    spark.conf.set(key, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, old)
+def overwrite_partitions(path: str, schema: StructType, spark: SparkSession, target: str) -> None:
+    """Dynamic partition overwrite of ``target`` with the rows stored at
+    ``path``.  The overwrite mode is a session setting that table inserts read,
+    so the write runs in a session of its own; other writers of the caller's
+    session are not affected."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    rows = own.read.schema(schema).parquet(path).select(*[f"`{c}`" for c in own.table(target).columns])
+    part = partition_columns(own, target)
+    spread(rows, part).write.insertInto(target, overwrite=True)
+
+
+def spread(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows brought together by partition value before a partitioned write, so
+    that a partition gets few files instead of one from every task; adaptive
+    execution splits a partition that is larger than the advisory size."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
 
 
 def _sql_literal(v) -> str:
@@ -65,7 +73,7 @@ def bucket_columns(spark: SparkSession, name: str) -> list[str]:
 
 
 def _writer(df: DataFrame, partition_by: Sequence[str] = (), bucket_by: tuple[int, Sequence[str]] | None = None):
-    w = df.write.format("parquet")
+    w = (df if bucket_by else spread(df, partition_by)).write.format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
     if bucket_by:
@@ -108,26 +116,35 @@ def write_append(df: DataFrame, name: str, partition_by: Sequence[str] = ()) ->
     again, by design."""
     spark = df.sparkSession
     if table_exists(spark, name):
-        df.select(*spark.table(name).columns).write.insertInto(name)
+        _insert(df, name)
     else:
-        w = df.write.format("parquet")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.saveAsTable(name)
+        _writer(df, partition_by).saveAsTable(name)
+
+
+def _insert(df: DataFrame, name: str) -> None:
+    spark = df.sparkSession
+    rows = df.select(*spark.table(name).columns)
+    spread(rows, partition_columns(spark, name)).write.insertInto(name)
 
 
 def write_truncate_insert(df: DataFrame, name: str) -> None:
     """Empty the table, keep its definition, insert ``df`` (SNK-5)."""
     spark = df.sparkSession
     spark.sql(f"TRUNCATE TABLE {name}")
-    df.select(*spark.table(name).columns).write.insertInto(name)
+    _insert(df, name)
 
 
 def write_view(df: DataFrame, name: str) -> None:
-    """View (SNK-6): a named, lazily evaluated plan."""
+    """Session view (SNK-6): a named, lazily evaluated plan."""
     df.createOrReplaceTempView(name)
 
 
+def write_stored_view(spark: SparkSession, name: str, query: str) -> None:
+    """View kept in the catalog (SNK-6): later sessions see it.  Such a view
+    is stored as SQL text over stored tables or views."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
+
+
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """JSON files (SNK-15), one object per line."""
     df.write.mode(mode).json(path)
@@ -181,9 +198,8 @@ def evolve_append(df: DataFrame, name: str) -> None:
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({cols})")
         spark.catalog.refreshTable(name)
         target = spark.table(name)
-    out = df.select(*[F.col(c) if c in df.columns else F.lit(None).cast(target.schema[c].dataType).alias(c)
-                      for c in target.columns])
-    out.write.insertInto(name)
+    _insert(df.select(*[F.col(c) if c in df.columns else F.lit(None).cast(target.schema[c].dataType).alias(c)
+                        for c in target.columns]), name)
 
 
 # --- merges (SNK-7, SNK-8, SNK-10) -----------------------------------------
@@ -195,58 +211,66 @@ def merge_insert_new(src: DataFrame, target: str, keys: Sequence[str],
     batch are all inserted (as the reference's MERGE does) unless
     ``dedupe_source``.  A re-run inserts nothing (a NULL key matches nothing,
     as in SQL, so such a row is inserted by every run)."""
-    new_rows(src, target, keys, dedupe_source).write.insertInto(target)
+    spark = src.sparkSession
+    if dedupe_source:
+        src = src.dropDuplicates(list(keys))
+    if _meets_by_batch(spark, src, target, keys):
+        # The batch is read twice (its keys, then its rows): compute it once.
+        with staged(src, "batch") as (rows, _):
+            _insert(new_rows(rows, target, keys), target)
+    else:
+        _insert(new_rows(src, target, keys), target)
+
+
+def _meets_by_batch(spark: SparkSession, src: DataFrame, target: str, keys: Sequence[str]) -> bool:
+    """A bounded batch against a large target that isn't bucketed on the keys."""
+    return (sorted(bucket_columns(spark, target)) != sorted(keys) and is_bounded(src.select(*keys))
+            and not is_bounded(spark.table(target).select(*keys)))
 
 
 def new_rows(src: DataFrame, target: str, keys: Sequence[str], dedupe_source: bool = False) -> DataFrame:
     """The rows an insert-only merge appends: ``src`` rows whose key is not in
     the target (lazy; evaluated against the target as it is then).  The join
-    reads only the target's key columns; its strategy follows the sizes."""
+    reads only the target's key columns.
+
+    A target bucketed on the keys is read bucket by bucket and only the batch
+    is shuffled.  Otherwise a small batch finds its keys in a large target by
+    a semi join first, so that the target's keys are not shuffled."""
     spark = src.sparkSession
     if dedupe_source:
         src = src.dropDuplicates(list(keys))
     tgt = spark.table(target)
-    if is_bounded(tgt.select(*keys)):
-        # Small target: its keys are broadcast, the batch is not shuffled.
-        new = anti_join(src, tgt, keys)
-    elif sorted(bucket_columns(spark, target)) == sorted(keys):
-        # Target bucketed on the keys: the join reads it bucket by bucket and
-        # shuffles only the batch.
-        new = src.join(tgt.select(*keys), list(keys), "left_anti")
-    elif is_bounded(src.select(*keys)):
-        # Large target, bounded batch: find the batch's keys in the target by
-        # a broadcast semi join (the target's key column is scanned, never
-        # shuffled), then drop those from the batch.
-        matched = semi_join(tgt.select(*keys), src, keys)
-        new = anti_join(src, matched, keys)
-    else:
-        new = src.join(tgt.select(*keys), list(keys), "left_anti")
-    return new.select(*tgt.columns)
-
-
-def _touched_partitions(spark: SparkSession, src: DataFrame, tgt: DataFrame, keys: Sequence[str],
-                        part: str) -> list:
-    """Partitions holding a source row or a target row whose key is in the
-    source.  Their number is bounded by the partitioning (days/months), not
-    by the data, so collecting the list is safe."""
-    src_parts = src.select(part)
-    hit_parts = semi_join(tgt.select(*keys, part), src, keys).select(part)
-    return [r[0] for r in src_parts.union(hit_parts).distinct().collect()]
-
-
-def _overwrite_partitions(spark: SparkSession, out: DataFrame, target: str, part: str,
-                          touched: list) -> None:
-    """Dynamic overwrite of the partitions present in ``out``, then drop the
-    touched partitions that ``out`` left empty (a dynamic overwrite never
-    removes a partition it writes no row to)."""
-    cols = spark.table(target).columns
-    # Partition values only: a scan of the partition column, no data columns.
-    written = {r[0] for r in out.select(part).distinct().collect()}
-    with dynamic_overwrite(spark):
-        out.select(*cols).write.insertInto(target, overwrite=True)
-    for p in touched:
-        if p not in written and p is not None:
-            spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({part} = {_sql_literal(p)})")
+    known = tgt.select(*keys)
+    if _meets_by_batch(spark, src, target, keys):
+        known = semi_join(known, src, keys)
+    return anti_join(src, known, keys).select(*tgt.columns)
+
+
+def _touched_partitions(src: DataFrame, tgt: DataFrame, keys: Sequence[str], part: str) -> DataFrame:
+    """Partitions (one column, distinct) holding a source row or a target row
+    whose key is in the source; NULL is a partition like any other."""
+    return src.select(part).unionByName(semi_join(tgt.select(*keys, part), src, keys).select(part)).distinct()
+
+
+def _rows_of(tgt: DataFrame, parts: DataFrame, part: str) -> DataFrame:
+    """The target's rows in the given partitions (NULL included)."""
+    named = parts.select(F.col(part).alias("__touched"))
+    return tgt.join(named, F.col(part).eqNullSafe(F.col("__touched")), "left_semi")
+
+
+def _swap_partitions(spark: SparkSession, out: DataFrame, target: str, part: str, touched: DataFrame) -> None:
+    """Replace the touched partitions by ``out``, computed once: a dynamic
+    overwrite of the partitions that have rows, then a drop of those left
+    empty (a dynamic overwrite never removes a partition it writes no row to).
+    Only the emptied partitions' values come to the driver."""
+    with staged(out.select(*spark.table(target).columns), "swap") as (rows, path):
+        empty = touched.select(F.col(part).alias("__touched")).join(
+            rows.select(part).distinct(), F.col("__touched").eqNullSafe(F.col(part)), "left_anti")
+        emptied = [r[0] for r in empty.collect()]
+        overwrite_partitions(path, rows.schema, spark, target)
+        for p in emptied:
+            value = "null" if p is None else _sql_literal(p)
+            spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({part} = {value})")
     spark.catalog.refreshTable(target)
 
 
@@ -260,53 +284,60 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage with a written table (``DataFrame.checkpoint`` would compute
-    the plan twice: once for the action, once for the checkpoint file)."""
-    return materialize(df, "stage")
+@contextmanager
+def staged(df: DataFrame, label: str):
+    """(frame, folder) of ``df`` written once to the shared work folder; the
+    folder goes when the block ends, so a merge leaves no copies behind."""
+    from tripmart.session import scratch_dir
+    spark = df.sparkSession
+    path = scratch_dir(spark, label)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path), path
+    finally:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def merge_upsert(src: DataFrame, target: str, keys: Sequence[str], partition_col: str | None = None,
                  check_unique: bool = True) -> None:
     """Upsert (SNK-8): target rows whose key is in the source are replaced by
     the source row, other source rows inserted.  More than one source row per
-    key raises ``MergeKeyError`` (the target engine rejects it too).
+    key raises ``MergeKeyError`` (the target engine rejects it too); a NULL
+    key matches nothing, so any number of such rows is inserted.
 
     Only the partitions touched by the source (or by a matched target row,
     when a key moves partition) are rewritten."""
     spark = src.sparkSession
-    src = _checkpoint(src)   # computed once; the check and the merge read the files
-    if check_unique and duplicate_keys(src, keys, skip_null_keys=False).limit(1).count() > 0:
-        raise MergeKeyError(f"source has more than one row for some key of {list(keys)}")
-    _replace_by_keys(spark, src, target, keys, partition_col, materialized=True)
+    with staged(src.select(*spark.table(target).columns), "source") as (rows, _):
+        if check_unique and duplicate_keys(rows, keys, skip_null_keys=True).limit(1).count() > 0:
+            raise MergeKeyError(f"source has more than one row for some key of {list(keys)}")
+        _replace_by_keys(spark, rows, target, keys, partition_col)
 
 
 def write_delete_insert(src: DataFrame, target: str, keys: Sequence[str],
                         partition_col: str | None = None) -> None:
     """Delete every target row whose key occurs in the source, then insert
     the source (SNK-10).  Keys need not be unique."""
-    _replace_by_keys(src.sparkSession, src, target, keys, partition_col)
+    spark = src.sparkSession
+    with staged(src.select(*spark.table(target).columns), "source") as (rows, _):
+        _replace_by_keys(spark, rows, target, keys, partition_col)
 
 
 def _replace_by_keys(spark: SparkSession, src: DataFrame, target: str, keys: Sequence[str],
-                     partition_col: str | None, materialized: bool = False) -> None:
-    if not materialized:
-        src = _checkpoint(src)
+                     partition_col: str | None) -> None:
+    """``src`` is stored, so it may be read several times."""
     tgt = spark.table(target)
-    src = src.select(*tgt.columns)
     part = partition_col or (partition_columns(spark, target) or [None])[0]
     if part is None:
         # Unpartitioned: the whole table is the one partition.
-        keep = anti_join(tgt, src, keys)
-        out = _checkpoint(keep.unionByName(src))
-        out.write.insertInto(target, overwrite=True)
+        with staged(anti_join(tgt, src, keys).unionByName(src), "swap") as (out, _):
+            out.write.insertInto(target, overwrite=True)
         spark.catalog.refreshTable(target)
         return
-    touched = _touched_partitions(spark, src, tgt, keys, part)
-    keep = anti_join(tgt.where(F.col(part).isin(touched)), src, keys)
-    # A dynamic overwrite stages its output and swaps partitions at commit,
-    # so ``keep`` may read the partitions being replaced.
-    _overwrite_partitions(spark, keep.unionByName(src), target, part, touched)
+    with staged(_touched_partitions(src, tgt, keys, part), "touched") as (touched, _):
+        keep = anti_join(_rows_of(tgt, touched, part), src, keys)
+        _swap_partitions(spark, keep.unionByName(src), target, part, touched)
 
 
 # --- time-interval refresh (SNK-9) -----------------------------------------
@@ -327,15 +358,14 @@ def write_time_interval(result: DataFrame, target: str, key: str, start, end,
     tgt = spark.table(target)
     like = tgt.schema[key].dataType
     window = in_window(key, start, end, like)
-    result = _checkpoint(result.select(*tgt.columns))
-    if result.where(~window | F.col(key).isNull()).limit(1).count() > 0:
-        raise ValueError("time_interval result has rows outside the window")
-    first = part_of(ts_literal(start, like))
-    last = part_of(ts_literal(end, like))
-    reached = tgt.where((F.col(partition_col) >= first) & (F.col(partition_col) <= last))
-    keep = reached.where(~window)
-    touched = [r[0] for r in reached.select(partition_col).union(result.select(partition_col)).distinct().collect()]
-    _overwrite_partitions(spark, keep.unionByName(result), target, partition_col, touched)
+    with staged(result.select(*tgt.columns), "window") as (rows, _):
+        if rows.where(~window | F.col(key).isNull()).limit(1).count() > 0:
+            raise ValueError("time_interval result has rows outside the window")
+        first = part_of(ts_literal(start, like))
+        last = part_of(ts_literal(end, like))
+        reached = tgt.where((F.col(partition_col) >= first) & (F.col(partition_col) <= last))
+        touched = reached.select(partition_col).unionByName(rows.select(partition_col)).distinct()
+        _swap_partitions(spark, reached.where(~window).unionByName(rows), target, partition_col, touched)
 
 
 # --- clustered layout (SNK-11) ---------------------------------------------

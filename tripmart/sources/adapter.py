@@ -18,7 +18,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.operators.joins import maybe_broadcast
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -36,8 +35,8 @@ def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     j = l.join(o, l["l_orderkey"] == o["o_orderkey"], "inner")
-    j = j.join(maybe_broadcast(c), j["o_custkey"] == c["c_custkey"], "inner")
-    j = j.join(maybe_broadcast(s), j["l_suppkey"] == s["s_suppkey"], "inner")
+    j = j.join(c, j["o_custkey"] == c["c_custkey"], "inner")
+    j = j.join(s, j["l_suppkey"] == s["s_suppkey"], "inner")
     return j
 
 

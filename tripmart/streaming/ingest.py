@@ -13,7 +13,6 @@ failure rewrites its own partition instead of appending twice.
 
 from __future__ import annotations
 
-import datetime as _dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -77,18 +76,15 @@ def append_with_ledger(stream: DataFrame, target: str, ledger: str, checkpoint:
         # The batch runs in the stream's own session: settings go there.
         s = batch.sparkSession
         lid = load_id_of(batch_id)
-        rows = batch.select(*cols).withColumn("_load_id", F.lit(lid))
-        with tables.dynamic_overwrite(s):
-            rows.write.insertInto(target, overwrite=True)
-        s.catalog.refreshTable(target)
-        n = s.table(target).where(F.col("_load_id") == lid).count()
-        if n == 0:
-            return          # an empty page loads nothing and leaves no ledger row
-        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        entry = s.createDataFrame([(now, "loaded", n, lid)],
-                                  "inserted_at timestamp, status string, row_count long, load_id string")
-        with tables.dynamic_overwrite(s):
-            entry.select(*s.table(ledger).columns).write.insertInto(ledger, overwrite=True)
+        with tables.staged(batch.select(*cols).withColumn("_load_id", F.lit(lid)), "batch") as (rows, path):
+            n = rows.count()
+            if n == 0:
+                return      # an empty page loads nothing and leaves no ledger row
+            tables.overwrite_partitions(path, rows.schema, s, target)
+        entry = s.range(1).select(F.lit(lid).alias("load_id"), F.current_timestamp().alias("inserted_at"),
+                                  F.lit("loaded").alias("status"), F.lit(n).cast("long").alias("row_count"))
+        with tables.staged(entry, "ledger") as (rows, path):
+            tables.overwrite_partitions(path, rows.schema, s, ledger)
 
     q = (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
@@ -100,7 +96,10 @@ def append_with_ledger(stream: DataFrame, target: str, ledger: str, checkpoint:
 
 def merge_stream(stream: DataFrame, target: str, keys: Sequence[str], checkpoint: str) -> None:
     """Insert-only merge of every micro-batch into ``target`` (STR-2).  A
-    replayed batch inserts nothing, so the result is exactly-once."""
+    replayed batch inserts none of the rows that have a key, so for them the
+    result is exactly-once; a row with a NULL key matches nothing and is
+    inserted again by a replay (``append_with_ledger`` replays such rows
+    exactly, as it replaces the batch's own partition)."""
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         tables.merge_insert_new(batch, target, keys)
 
