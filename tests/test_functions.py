@@ -90,10 +90,42 @@ def test_sum_zero_vs_sum(spark):
 
 def test_scale_conf_sizes_partitions(spark):
     from tripmart.session import apply_scale_conf, shuffle_partitions_for
-    assert shuffle_partitions_for(100 * 2**40) == 409600
+    assert shuffle_partitions_for(100 * 2**40) == 32768   # the stated ceiling
+    assert shuffle_partitions_for(2**40) == 4096
     assert shuffle_partitions_for(10 * 2**20) == 200
     applied = apply_scale_conf(spark, 2**40)
     # the test session sets shuffle partitions in its builder: cluster settings win
     assert spark.conf.get("spark.sql.shuffle.partitions") == "8" and "spark.sql.shuffle.partitions" not in applied
     assert applied["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 * 1024)
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 * 1024 * 1024))
+
+
+def test_settings_of_a_session_that_sets_nothing():
+    """A session of its own process: nothing set, so the input's size decides."""
+    code = """
+from tripmart.session import apply_scale_conf, build_session
+s = build_session(master="local[1]")
+assert not s.sparkContext.getConf().contains("spark.sql.shuffle.partitions")
+applied = apply_scale_conf(s, 2**40)
+assert applied["spark.sql.shuffle.partitions"] == "4096" == s.conf.get("spark.sql.shuffle.partitions")
+apply_scale_conf(s, 2**30)
+assert s.conf.get("spark.sql.shuffle.partitions") == "200"
+print("as expected")
+"""
+    import subprocess
+    import sys
+    run = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120)
+    assert "as expected" in run.stdout, run.stderr[-1500:]
+
+
+def test_no_local_folder_on_a_cluster(spark, monkeypatch):
+    import pytest
+    from tripmart import session
+
+    class Fake:
+        conf = type("C", (), {"get": staticmethod(lambda k, d=None: None)})()
+        sparkContext = type("S", (), {"master": "local-cluster[2,1,512]", "getCheckpointDir": staticmethod(lambda: None),
+                                      "getConf": staticmethod(lambda: type("K", (), {"get": staticmethod(lambda k, d=None: None)})())})()
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.work_root(Fake())
+    assert session.is_one_machine(spark)

@@ -1,6 +1,7 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql.types import DoubleType, LongType, StringType
 
 from tripmart.session import scratch_dir
@@ -14,9 +15,16 @@ def _write(path, name, text, binary=False):
 
 
 def test_csv_surplus_column_and_bad_value(spark):
+    """Both fail the typed read; the permissive mode (external tables) takes what fits."""
+    schema = spark.createDataFrame([], "id int, amount double").schema
+    for text in ("id,amount\n1,2.5,extra\n", "id,amount\nx,3\n"):
+        p = scratch_dir(spark, "t-csv")
+        _write(p, "a.csv", text)
+        with pytest.raises(Exception, match="MALFORMED|FAILFAST|Malformed"):
+            files.read_csv(spark, p, schema).collect()
     p = scratch_dir(spark, "t-csv")
     _write(p, "a.csv", "id,amount\n1,2.5,extra\nx,3\n")
-    df = files.read_csv(spark, p, spark.createDataFrame([], "id int, amount double").schema)
+    df = files.read_csv(spark, p, schema, mode="PERMISSIVE")
     assert sorted((r.id if r.id is not None else -1, r.amount) for r in df.collect()) == [(-1, 3.0), (1, 2.5)]
 
 
@@ -82,13 +90,74 @@ def test_source_file_names(spark):
                                                                 ("green_tripdata_2019-01.csv", "2")]
 
 
-def test_read_months_skips_unreadable_file(spark):
+def test_read_months_fails_on_a_truncated_file_unless_it_is_skipped(spark):
     root = scratch_dir(spark, "t-months-bad")
     spark.createDataFrame([(1, 1.0)], "id long, x double").write.parquet(f"{root}/yellow_tripdata_2024-01.parquet")
-    _write(f"{root}/yellow_tripdata_2024-02.parquet", "part-0.parquet", "not a parquet file")
+    spark.range(2000).selectExpr("id", "cast(id as double) x").coalesce(1).write.parquet(f"{root}/whole.parquet")
+    whole = next(f for f in os.listdir(f"{root}/whole.parquet") if f.startswith("part-"))
+    with open(f"{root}/whole.parquet/{whole}", "rb") as f:
+        good = f.read()
+    cut, garbled = f"{root}/yellow_tripdata_2024-02.parquet", f"{root}/yellow_tripdata_2024-03.parquet"
+    _write(cut, "part-0.parquet", good[:len(good) // 2], True)
+    _write(garbled, "part-0.parquet", good[:300] + bytes(x ^ 255 for x in good[300:3000]) + good[3000:], True)  # the footer is whole
     schema = spark.createDataFrame([], "id long, x double").schema
-    df = files.read_months(spark, root, ["yellow"], dt.date(2024, 1, 1), dt.date(2024, 2, 1), schema)
-    assert [r.id for r in df.collect()] == [1]
+    span = (["yellow"], dt.date(2024, 1, 1), dt.date(2024, 3, 1))
+    with pytest.raises(Exception):
+        files.read_months(spark, root, *span, schema).collect()
+    bad = files.unreadable(spark, files.month_paths(spark, root, *span))
+    assert bad == [cut, garbled]
+    assert [r.id for r in files.read_months(spark, root, *span, schema, skip=bad).collect()] == [1]
+
+
+def test_read_months_widens_types(spark):
+    root = scratch_dir(spark, "t-widen")
+    for month, kinds in ((1, "id int, fee int, note int"), (2, "id bigint, fee double, note string"), (3, "id double, fee bigint, note int")):
+        spark.createDataFrame([(1, 2, 3)], "a int, b int, c int").selectExpr(
+            *[f"cast({c} as {k.split()[1]}) as {k.split()[0]}" for c, k in zip("abc", kinds.split(", "))]) \
+            .write.parquet(f"{root}/green_tripdata_2024-{month:02d}.parquet")
+    schema = spark.createDataFrame([], "id bigint").schema
+    df = files.read_months(spark, root, ["green"], dt.date(2024, 1, 1), dt.date(2024, 3, 1), schema)
+    assert [f.dataType.simpleString() for f in df.schema.fields][:3] == ["bigint", "double", "string"]
+    assert [tuple(r)[:3] for r in df.collect()] == [(1, 2.0, "3")] * 3
+
+
+def test_only_whole_trip_file_names_count(spark):
+    names = ["/x/yellow_tripdata_2020-01.csv", "/x/fhv_tripdata_2020-12.csv.gz", "/x/foo_tripdata_2020-01.csv",
+             "/x/old_yellow_tripdata_2020-01_bak.txt", "/green_tripdata_2020-01/readme.md", "green_tripdata_2019-07.csv"]
+    df = spark.createDataFrame([(n,) for n in names], "p string")
+    got = [r.t for r in df.select(files.parse_trip_filename(df["p"])[0].alias("t")).collect()]
+    assert got == ["yellow", "fhv", "", "", "", "green"]
+
+
+def test_headers_are_read_per_file_and_quoted_names_kept(spark):
+    p = scratch_dir(spark, "t-headers")
+    _write(p, "a.csv", 'VendorID,"fare, total"\n1,x\n')
+    _write(p, "b.csv", "extra,VendorID\ny,2\n")
+    df = files.read_csv_header_typed(spark, p, {"vendorid": "int"})
+    assert sorted((r["VendorID"], r["fare, total"], r["extra"]) for r in df.collect()) == [(1, "x", None), (2, None, "y")]
+    _write(p, "c.csv", "VendorID\nnot a number\n")
+    with pytest.raises(Exception):
+        files.read_csv_header_typed(spark, p, {"vendorid": "int"}).collect()
+    inferred = files.read_csv_header_typed(spark, p, {"vendorid": "int"}, on_bad_value="infer")
+    assert sorted(r["VendorID"] for r in inferred.collect()) == ["1", "2", "not a number"]
+
+
+def test_trip_schemas_and_backfill(spark, db):
+    from tripmart.plans import loads
+    from tripmart.sources.trips import TYPE_MAP, trip_schema
+    assert len(trip_schema("yellow").fields) == 18 and len(trip_schema("green").fields) == 20 and TYPE_MAP["airport_fee"] == "decimal(38,9)"
+    root = scratch_dir(spark, "t-backfill")
+    header = ",".join(f.name for f in trip_schema("green").fields)
+    for month, rows in ((1, ["1", "2"]), (3, ["3"])):
+        lines = [f"{v},2020-0{month}-05 10:00:00,2020-0{month}-05 10:30:00,N,1,7,8,1,2.5,10.0,0,0.5,1,0,,0.3,12.3,1,1,0" for v in rows]
+        _write(root, f"green_tripdata_2020-0{month}.csv", "\n".join([header, *lines]) + "\n")
+    span = (["green", "yellow"], dt.date(2020, 1, 1), dt.date(2020, 4, 1))
+    names = ["green_tripdata_2020-01.csv", "green_tripdata_2020-03.csv"]
+    for _ in range(2):
+        assert loads.backfill(spark, root, *span, db) == names
+    got = spark.table(f"{db}.green_tripdata").collect()
+    assert sorted((r.VendorID, r.filename) for r in got) == [("1", names[0]), ("2", names[0]), ("3", names[1])]
+    assert spark.table(f"{db}.green_tripdata").where("ehail_fee is null and total_amount = 12.3").count() == 3
 
 
 def test_gzip_csv_spread_after_read(spark):

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DateType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DataType, DateType, DoubleType, FloatType, TimestampNTZType, TimestampType
 
 ColumnOrName = Column | str
 
@@ -67,12 +67,19 @@ def numeric(c: ColumnOrName) -> Column:
 
 def render(c: ColumnOrName, data_type: DataType | None = None) -> Column:
     """Stable text of a value for hashing: dates ``yyyy-MM-dd``, timestamps
-    ``yyyy-MM-dd HH:mm:ss``, everything else its string cast."""
+    ``yyyy-MM-dd HH:mm:ss``, floating point numbers in plain decimal notation
+    without an exponent (10000000.0, 0.05), everything else its string cast."""
     col = _c(c)
     if isinstance(data_type, DateType):
         return F.date_format(col, "yyyy-MM-dd")
     if isinstance(data_type, (TimestampType, TimestampNTZType)):
         return F.date_format(col, "yyyy-MM-dd HH:mm:ss")
+    if isinstance(data_type, (DoubleType, FloatType)):
+        # Engines agree on decimals but not on when to write an exponent.
+        exact = col.try_cast("decimal(38,9)")
+        digits = F.rtrim(exact.cast("string"), F.lit("0"))
+        plain = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
+        return F.when(exact.cast(data_type) == col, plain).otherwise(col.cast("string"))
     return col.cast("string")
 
 
@@ -202,11 +209,6 @@ def sum_zero(c: ColumnOrName) -> Column:
     return F.sum(F.coalesce(_c(c), F.lit(0)))
 
 
-def money(c: ColumnOrName) -> Column:
-    """Money as DECIMAL(18,2): exact and order-independent sums."""
-    return _c(c).cast("decimal(18,2)")
-
-
 def avg_rounded(c: ColumnOrName, digits: int = 2) -> Column:
     """``ROUND(AVG(c), digits)`` as DOUBLE (AGG-11).  Text values that are
     not numbers (such as a default 'N/A') are skipped; the average is taken

@@ -1,22 +1,26 @@
 """Exact top-k cosine retrieval over an embedding table (Q-17, re-aimed from
 the retrieval half of a RAG flow).
 
-Queries are a bounded set (e.g. one centroid per label).  They are embedded in
-the plan as literal arrays, chunk by chunk, so every item row is scored
-against every query of the chunk inside one codegen'd projection: no cross
-join, no shuffle of the item table.  The per-query top-k is a
-``row_number() <= k`` window: Spark inserts a partial per-task limit before the
-shuffle, so each task sends at most k rows per query however large a query's
-candidate set is.
+The item table is scanned once per chunk of queries.  Every Arrow batch of
+items is scored against all queries of the chunk by one matrix product and
+gives at most ``k`` rows per query, so no rows for all pairs come into being;
+the rest is a ``row_number() <= k`` window, which Spark precedes with a limit
+per task.  The query set is small by contract (e.g. one centroid per label);
+a chunk bounds what is broadcast whatever its number.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Queries per literal chunk; bounds the size of the generated expression.
-QUERY_CHUNK = 256
+# Queries per broadcast matrix.
+QUERY_CHUNK = 1024
 
 
 def centroids(df: DataFrame, group: str, vec: str) -> DataFrame:
@@ -28,50 +32,63 @@ def centroids(df: DataFrame, group: str, vec: str) -> DataFrame:
     return per.select(group, F.transform("s", lambda s: s["x"]).alias("centroid"))
 
 
-def _dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0).cast("double"), lambda acc, v: acc + v)
+def _unit(m: np.ndarray) -> np.ndarray:
+    """Rows of length one; rows of length zero become NaN."""
+    norm = np.sqrt((m * m).sum(axis=1, keepdims=True))
+    return np.divide(m, norm, out=np.full_like(m, np.nan), where=norm > 0)
 
 
-def _norm(a: Column) -> Column:
-    return F.sqrt(_dot(a, a))
+def _best_of_batches(batches: Iterator[pa.RecordBatch], shared, k: int, kinds: tuple[pa.DataType, pa.DataType]) -> Iterator[pa.RecordBatch]:
+    qids, queries = shared.value
+    for batch in batches:
+        ids = batch.column("item")
+        vectors = [v if v is not None and len(v) == queries.shape[1] else [0.0] * queries.shape[1] for v in batch.column("v").to_pylist()]
+        if not vectors:
+            continue
+        scores = queries @ _unit(np.array(vectors, dtype=np.float64)).T
+        by_id = np.empty(len(ids), np.int64)
+        by_id[pc.sort_indices(ids).to_numpy()] = np.arange(len(ids))
+        rows, of = [], []
+        for q, row in enumerate(scores):
+            row = np.where(np.isnan(row), -np.inf, row)
+            near = np.arange(len(row)) if len(row) <= k else np.flatnonzero(row >= np.partition(row, -k)[-k])
+            top = near[np.lexsort((by_id[near], -row[near]))[:k]]
+            rows.append(top)
+            of += [q] * len(top)
+        at, of = np.concatenate(rows), np.array(of)
+        found = scores[of, at]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([qids[q] for q in of], kinds[0]), ids.take(pa.array(at)), pa.array(found, mask=np.isnan(found))],
+            ["qid", "item", "score"])
 
 
 def top_k_cosine(items: DataFrame, id_col: str, vec_col: str, queries: DataFrame, qid_col: str,
                  qvec_col: str, k: int = 10) -> DataFrame:
     """For every query, the ``k`` items with the highest cosine similarity
-    (ties: smaller item id first): (query id, rank, item id, score)."""
-    it = items.select(F.col(id_col).alias("__id"),
-                      F.transform(vec_col, lambda x: x.cast("double")).alias("__v"))
-    it = it.withColumn("__n", _norm(F.col("__v")))
-    out = None
+    (ties: smaller item id first): (query id, rank, item id, score).  A vector
+    that is NULL, zero or of another length has no score and comes last."""
+    from pyspark.sql.pandas.types import to_arrow_type
+    spark = items.sparkSession
+    it = items.select(F.col(id_col).alias("item"), F.col(vec_col).cast("array<double>").alias("v"))
+    qs = queries.select(F.col(qid_col).alias("qid"), F.col(qvec_col).cast("array<double>").alias("q")).where("q is not null")
+    q_type, id_type = qs.schema["qid"].dataType, it.schema["item"].dataType
+    kinds = (to_arrow_type(q_type), to_arrow_type(id_type))
+    schema = f"qid {q_type.simpleString()}, item {id_type.simpleString()}, score double"
+    out = spark.createDataFrame([], schema)
     chunk: list = []
 
-    def flush(rows):
-        scores = []
-        for qid, qv in rows:
-            qv = [float(x) for x in qv]
-            qn = sum(x * x for x in qv) ** 0.5
-            lit_vec = F.array(*[F.lit(x) for x in qv])
-            s = F.when((F.col("__n") > 0) & F.lit(qn > 0),
-                       _dot(F.col("__v"), lit_vec) / (F.col("__n") * F.lit(qn)))
-            scores.append(F.struct(F.lit(qid).alias("qid"), s.alias("score")))
-        ex = it.select("__id", F.explode(F.array(*scores)).alias("q"))
-        return ex.select(F.col("q.qid").alias(qid_col), F.col("__id").alias(id_col),
-                         F.col("q.score").alias("score"))
+    def flush() -> None:
+        nonlocal out
+        if chunk:
+            shared = spark.sparkContext.broadcast(([r["qid"] for r in chunk], _unit(np.array([r["q"] for r in chunk], dtype=np.float64))))
+            out = out.unionByName(it.mapInArrow(lambda batches: _best_of_batches(batches, shared, k, kinds), schema))
+            chunk.clear()
 
-    # The query set streams through the driver chunk by chunk (it is small by
-    # contract; chunking keeps each plan bounded if it is not).
-    for r in queries.select(qid_col, qvec_col).toLocalIterator():
-        chunk.append((r[0], r[1]))
-        if len(chunk) == QUERY_CHUNK:
-            part = flush(chunk)
-            out = part if out is None else out.unionByName(part)
-            chunk = []
-    if chunk:
-        part = flush(chunk)
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        return items.sparkSession.createDataFrame([], f"{qid_col} long, rank int, {id_col} long, score double")
-    w = Window.partitionBy(qid_col).orderBy(F.col("score").desc_nulls_last(), F.col(id_col).asc())
+    for r in qs.toLocalIterator():
+        if len(chunk) == QUERY_CHUNK or (chunk and len(r["q"]) != len(chunk[0]["q"])):
+            flush()
+        chunk.append(r)
+    flush()
+    w = Window.partitionBy("qid").orderBy(F.col("score").desc_nulls_last(), F.col("item").asc())
     ranked = out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    return ranked.select(qid_col, "rank", id_col, "score")
+    return ranked.select(F.col("qid").alias(qid_col), "rank", F.col("item").alias(id_col), "score")

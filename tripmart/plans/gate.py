@@ -57,3 +57,20 @@ def warehouse_build(spark: SparkSession, sf_dir: str) -> DataFrame:
                     *[money_double(dst).alias(dst) for _, dst in REVENUE_SUMS],
                     "total_monthly_trips", "avg_monthly_passenger_count",
                     "avg_monthly_trip_distance")
+
+
+@gate("warehouse_full_refresh", oracle.MONTHLY_ZONE_REVENUE)
+def warehouse_full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fact table of an older layout (a column too many, one too few, stale
+    rows) is rebuilt by a full refresh (INC-6)."""
+    from tripmart.session import scratch_database
+    from tripmart.sinks import tables
+    db = scratch_database(spark, "refresh")
+    old = warehouse.fct_trips(spark, sf_dir).drop("tip_amount").withColumn("old_column", F.lit(1))
+    tables.write_replace(old.limit(100), f"{db}.fct_trips")
+    built = warehouse.run_models(spark, sf_dir, db, full_refresh=True)
+    m = spark.table(built["fct_monthly_zone_revenue"])
+    return m.select("pickup_zone", "revenue_month", "service_type",
+                    *[money_double(dst).alias(dst) for _, dst in REVENUE_SUMS],
+                    "total_monthly_trips", "avg_monthly_passenger_count",
+                    "avg_monthly_trip_distance")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +27,9 @@ FCT_CHECKS = [("unique", "trip_id", ()), ("not_null", "trip_id", ()), ("not_null
               ("not_null", "service_type", ()), ("accepted_values", "service_type", ("Green", "Yellow")),
               ("not_null", "pickup_datetime", ()), ("not_null", "total_amount", ()),
               # planted violation: code 0 (unknown payment) is not in the list
-              ("accepted_values", "payment_type", (1, 2, 3, 4, 5, 6))]
+              ("accepted_values", "payment_type", (1, 2, 3, 4, 5, 6)),
+              # planted as well: code 0 is not positive
+              ("positive", "payment_type", ()), ("positive", "total_amount", ())]
 ZONE_CHECKS = [("unique", "location_id", ()), ("not_null", "location_id", ())]
 VENDOR_CHECKS = [("unique", "vendor_id", ()), ("not_null", "vendor_id", ())]
 REVENUE_CHECKS = [("not_null", "pickup_zone", ()), ("not_null", "revenue_month", ()),
@@ -176,20 +180,33 @@ FRESH_NOW = "2001-08-02 06:00:00"
 
 
 @gate("dq_freshness", "with " + oracle.JOINED + ",\n" + oracle.raw_sql("green") + ",\n" + oracle.raw_sql("yellow") + f"""
-select 'green_tripdata' as table_name, max(lpep_pickup_datetime) as max_loaded_at,
-  (epoch(timestamp '{FRESH_NOW}') - epoch(max(lpep_pickup_datetime))) / 3600.0 as age_hours
-from green_raw
-union all
-select 'yellow_tripdata', max(tpep_pickup_datetime),
-  (epoch(timestamp '{FRESH_NOW}') - epoch(max(tpep_pickup_datetime))) / 3600.0 from yellow_raw""")
+select *, case when age_hours is null or age_hours > 48 then 'error' when age_hours > 24 then 'warn' else 'pass' end as status
+from (
+  select 'green_tripdata' as table_name, max(lpep_pickup_datetime) as max_loaded_at,
+    (epoch(timestamp '{FRESH_NOW}') - epoch(max(lpep_pickup_datetime))) / 3600.0 as age_hours from green_raw
+  union all
+  select 'yellow_tripdata', max(tpep_pickup_datetime),
+    (epoch(timestamp '{FRESH_NOW}') - epoch(max(tpep_pickup_datetime))) / 3600.0 from yellow_raw
+  union all
+  select 'yellow_an_hour_later', max(tpep_pickup_datetime), 1.0 from yellow_raw
+  union all
+  select 'yellow_30_hours_later', max(tpep_pickup_datetime), 30.0 from yellow_raw
+  union all
+  select 'no_rows', null, null)""")
 def dq_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Age of the newest pickup of each raw source at a fixed run time (the
-    status column says pass / warn / error; the oracle checks the ages)."""
+    """Age and status of the newest pickup of each raw source at a fixed run
+    time, at run times within each limit, and of an empty source."""
     g = Q.freshness(adapter.raw_tripdata(spark, sf_dir, "green"), "lpep_pickup_datetime", FRESH_NOW,
                     table="green_tripdata")
     y = Q.freshness(adapter.raw_tripdata(spark, sf_dir, "yellow"), "tpep_pickup_datetime", FRESH_NOW,
                     table="yellow_tripdata")
-    return g.unionByName(y).select("table_name", "max_loaded_at", "age_hours")
+    yellow = adapter.raw_tripdata(spark, sf_dir, "yellow").select("tpep_pickup_datetime")
+    newest = yellow.agg(F.max("tpep_pickup_datetime").cast("string")).first()[0]
+    for name, hours in (("yellow_an_hour_later", 1), ("yellow_30_hours_later", 30)):
+        now = _dt.datetime.fromisoformat(newest) + _dt.timedelta(hours=hours)
+        y = y.unionByName(Q.freshness(yellow, "tpep_pickup_datetime", now, table=name))
+    none = Q.freshness(yellow.where(F.lit(False)), "tpep_pickup_datetime", FRESH_NOW, table="no_rows")
+    return g.unionByName(y).unionByName(none)
 
 
 # --- incremental fact ---------------------------------------------------------

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripmart.operators.similarity import centroids, top_k_cosine
 from tripmart.plans.gate import gate
@@ -20,10 +21,10 @@ s as (select c.label, e.vec_id, list_cosine_similarity(e.v, c.centroid) as score
       from e join c on true),
 r as (select label, vec_id, row_number() over (partition by label order by score desc nulls last, vec_id) as rank
       from s)
-select label, cast(rank as int) as rank, vec_id from r where rank <= {TOP_K}""")
+select label, cast(rank as int) as rank, vec_id, round(r.score, 6) as score from r where rank <= {TOP_K}""")
 def embedding_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten embeddings nearest (cosine) to each label's centroid."""
     emb = adapter.table(spark, sf_dir, "embeddings")
     c = centroids(emb, "label", "embedding")
     r = top_k_cosine(emb, "vec_id", "embedding", c, "label", "centroid", TOP_K)
-    return r.select("label", "rank", "vec_id")
+    return r.select("label", "rank", "vec_id", F.round("score", 6).alias("score"))

@@ -36,6 +36,21 @@ def _orders_schema(spark: SparkSession, sf_dir: str) -> StructType:
     return _orders(spark, sf_dir).schema
 
 
+def named_files(df: DataFrame, name, root: str, header: bool = True) -> None:
+    """One CSV file per value of ``name``, with that file name, as the files
+    come from their publisher (a month's file is bounded)."""
+    spark = df.sparkSession
+    df.withColumn("source", name).repartition("source").write.partitionBy("source").option("header", header).csv(root + "-parts")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(hadoop.Path(root))
+    for folder in fs.listStatus(hadoop.Path(root + "-parts")):
+        if folder.isDirectory():
+            target = folder.getPath().getName().partition("=")[2]
+            part, = [f for f in fs.listStatus(folder.getPath()) if f.getPath().getName().startswith("part-")]
+            fs.rename(part.getPath(), hadoop.Path(root, target))
+
+
 # --- CSV ---------------------------------------------------------------------
 
 @gate("csv_typed_scan", "select * from orders")
@@ -60,6 +75,28 @@ def csv_copy_in(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged.withColumn("o_totalprice", F.col("o_totalprice").cast("double"))
 
 
+@gate("csv_copy_in_unset", """select cast(null as varchar) as unique_row_id, cast(null as varchar) as filename, o_orderkey, o_custkey,
+  o_orderstatus, cast(cast(o_totalprice as decimal(18,2)) as double) as o_totalprice, o_orderdate, o_orderpriority from orders""")
+def csv_copy_in_unset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Right after the copy the columns that are not in its list are NULL."""
+    path = scratch_dir(spark, "copy")
+    _orders(spark, sf_dir).write.option("header", False).csv(path)
+    staged = files.read_csv(spark, path, LOADED_SCHEMA, header=False, columns=ORDER_COLS)
+    return staged.withColumn("o_totalprice", F.col("o_totalprice").cast("double"))
+
+
+@gate("quoted_zone_csv", """select n_nationkey as locationid, r_name as borough, n_name || ', "' || r_name || '"' as zone,
+  'Boro Zone' as service_zone from nation join region on n_regionkey = r_regionkey""")
+def quoted_zone_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quoted comma-separated seed whose zone names hold commas and quotes (SRC-11)."""
+    path = scratch_dir(spark, "zones")
+    z = adapter.zones(spark, sf_dir)
+    z = z.withColumn("zone", F.concat("zone", F.lit(', "'), "borough", F.lit('"')))
+    z.toDF("LocationID", "Borough", "Zone", "service_zone").write.option("header", True).option("quoteAll", True) \
+        .option("escape", '"').csv(path)
+    return files.read_seed(spark, path)
+
+
 @gate("csv_external", "select * from orders")
 def csv_external(spark: SparkSession, sf_dir: str) -> DataFrame:
     """External CSV table whose files carry a surplus trailing column."""
@@ -146,17 +183,19 @@ select lower(service_type) || '_tripdata_' || strftime(pickup_datetime, '%Y-%m')
        cast(month(pickup_datetime) as int) as file_month, count(*) as rows
 from trips group by all""")
 def rows_by_source_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trips written as one CSV folder per (type, month) file name, read back;
-    the file name is parsed from each row's path and rows counted per file."""
+    """Trips written as one CSV file per (type, month), read back; the file
+    name is parsed from each row's path and rows counted per file."""
     path = scratch_dir(spark, "files")
     t = adapter.trips(spark, sf_dir)
-    name = F.concat(F.lower("service_type"), F.lit("_tripdata_"), F.date_format("pickup_datetime", "yyyy-MM"),
-                    F.lit(".csv"))
-    t.select("l_orderkey", "pickup_datetime", "fare_amount", name.alias("source")) \
-        .write.partitionBy("source").option("header", True).csv(path)
-    back = spark.read.option("header", True).schema("l_orderkey bigint, pickup_datetime timestamp_ntz, "
-                                                   "fare_amount decimal(18,2), source string").csv(path)
-    named = files.with_source_file(back.drop("source"))
+    name = F.concat(F.lower("service_type"), F.lit("_tripdata_"), F.date_format("pickup_datetime", "yyyy-MM"), F.lit(".csv"))
+    rows = t.select("l_orderkey", "pickup_datetime", "fare_amount")
+    named_files(t.select("l_orderkey", "pickup_datetime", "fare_amount", name.alias("source")), F.col("source"), path)
+    # Files that only look like trip files are not read.
+    decoy = F.concat(F.lit("old_yellow_tripdata_2020-0"), F.lit("1_bak.csv"))
+    named_files(rows.limit(5), decoy, path + "-decoys")
+    back = spark.read.option("header", True).schema("l_orderkey bigint, pickup_datetime timestamp_ntz, fare_amount decimal(18,2)") \
+        .csv([path, path + "-decoys"])
+    named = files.with_source_file(back)
     return named.groupBy("filename", "taxi", "file_year", "file_month").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -171,15 +210,17 @@ EXTRACTED_AT = _dt.datetime(2024, 2, 1)
 from orders where o_orderdate >= timestamp '1997-06-01'""")
 def month_fan_in(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders written as one Parquet folder per month; 1998 files carry an
-    extra column, 1999 files lack one, months after the data have no file."""
+    extra column and customer keys as DOUBLE, 1999 files lack a column and
+    have customer keys as INT, months after the data have no file."""
     root = scratch_dir(spark, "months")
     o = _orders(spark, sf_dir)
     fname = F.concat(F.lit("orders_tripdata_"), F.date_format("o_orderdate", "yyyy-MM"), F.lit(".parquet"))
     yr = F.year("o_orderdate")
     o.where((yr != 1998) & (yr != 1999)).withColumn("file", fname).write.partitionBy("file").parquet(root)
     o.where(yr == 1998).withColumn("o_comment", F.concat(F.lit("c-"), "o_orderstatus")) \
+        .withColumn("o_custkey", F.col("o_custkey").cast("double")) \
         .withColumn("file", fname).write.mode("append").partitionBy("file").parquet(root)
-    o.where(yr == 1999).drop("o_orderpriority").withColumn("file", fname) \
+    o.where(yr == 1999).drop("o_orderpriority").withColumn("o_custkey", F.col("o_custkey").cast("int")).withColumn("file", fname) \
         .write.mode("append").partitionBy("file").parquet(root)
     template = "{root}/file={taxi}_tripdata_{year:04d}-{month:02d}.parquet"
     return files.read_months(spark, root, ["orders"], FAN_START, FAN_END, o.schema, EXTRACTED_AT, template)
@@ -208,27 +249,36 @@ def distinct_vendors_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      RANGE_START, RANGE_END, date_col="dropoff_date")
 
 
-@gate("scan_estimate")
-def scan_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files read and estimated bytes of the same range query on a plain and
-    on the date-partitioned copy of the trips (INC-7)."""
-    db = scratch_database(spark, "plain")
-    plain = f"{db}.trips_plain"
+def _in_days(df: DataFrame, date_col: str) -> DataFrame:
+    from tripmart.functions.columns import ts_literal
+    return df.where((F.col(date_col) >= ts_literal(RANGE_START).cast("date")) & (F.col(date_col) <= ts_literal(RANGE_END).cast("date")))
+
+
+def _layouts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """What a scan of the range reads of a plain and of the date-partitioned copy of the trips."""
+    plain = f"{scratch_database(spark, 'plain')}.trips_plain"
     adapter.trips(spark, sf_dir).select("vendor_id", "pickup_datetime", "dropoff_datetime", "fare_amount",
                                         "total_amount").write.format("parquet").saveAsTable(plain)
-    part = _clustered_trips(spark, sf_dir)
-    rows = []
-    for layout, name, date_col in (("plain", plain, None), ("partitioned", part, "dropoff_date")):
-        q = reports.distinct_in_range(spark.table(name), "vendor_id", "dropoff_datetime",
-                                      RANGE_START, RANGE_END, date_col=date_col)
-        scanned = spark.table(name)
-        if date_col:
-            from tripmart.functions.columns import ts_literal
-            scanned = scanned.where((F.col(date_col) >= ts_literal(RANGE_START).cast("date"))
-                                    & (F.col(date_col) <= ts_literal(RANGE_END).cast("date")))
-        n_files = scanned.select(F.col("_metadata.file_path")).distinct().count()
-        rows.append((layout, int(n_files), int(estimated_bytes(q.select("vendor_id")))))
-    return spark.createDataFrame(rows, "layout string, files_read long, estimated_bytes long")
+    return {"plain": spark.table(plain), "partitioned": _in_days(spark.table(_clustered_trips(spark, sf_dir)), "dropoff_date")}
+
+
+def scan_report(spark: SparkSession, sf_dir: str) -> dict[str, dict[str, int]]:
+    """Files and estimated bytes of the range scan on both layouts (INC-7), for the bench."""
+    return {name: {"files_read": scanned.select(F.col("_metadata.file_path")).distinct().count(),
+                   "estimated_bytes": estimated_bytes(scanned.select("vendor_id", "dropoff_datetime"))}
+            for name, scanned in _layouts(spark, sf_dir).items()}
+
+
+@gate("scan_estimate", "with " + oracle.TRIPS + f"""
+select 'plain' as layout, count(*) as rows_scanned from trips
+union all
+select 'partitioned', count(*) from trips
+where cast(dropoff_datetime as date) between date '{RANGE_START[:10]}' and date '{RANGE_END[:10]}'""")
+def scan_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that the scan of a date range has to read on a plain and on the date-partitioned copy of the trips (INC-7)."""
+    parts = [scanned.agg(F.count(F.lit(1)).alias("rows_scanned")).select(F.lit(name).alias("layout"), "rows_scanned")
+             for name, scanned in _layouts(spark, sf_dir).items()]
+    return parts[0].unionByName(parts[1])
 
 
 @gate("external_parquet_glob", """select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,

@@ -37,6 +37,25 @@ def _event_schema(spark: SparkSession, sf_dir: str):
 def stream_append_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages landed, streamed with a ledger, then the stream is run again
     (it reads nothing new): every event exactly once."""
+    return spark.table(f"{_stream_twice(spark, sf_dir)}.events").select(*EVENT_COLS)
+
+
+@gate("stream_ledger", f"""
+select 'loaded' as status, cast(ceil(count(distinct event_id // {PAGE_SIZE}) / {PAGES_PER_BATCH}.0) as bigint) as loads,
+  cast(count(*) as bigint) as rows, true as ids_in_order, true as rows_agree from events""")
+def stream_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger of the same runs: one loaded row per batch, numbered without
+    a gap, whose row counts are those of the rows with its load id."""
+    db = _stream_twice(spark, sf_dir)
+    found = spark.table(f"{db}.events").groupBy("_load_id").agg(F.count(F.lit(1)).alias("found"))
+    ledger = spark.table(f"{db}.loads").join(found, F.col("load_id") == F.col("_load_id"), "left")
+    return ledger.groupBy("status").agg(
+        F.count(F.lit(1)).alias("loads"), F.sum("row_count").alias("rows"),
+        (F.max(F.substring("load_id", 6, 10).cast("long")) == F.count(F.lit(1)) - 1).alias("ids_in_order"),
+        F.min((F.col("row_count") == F.col("found")).cast("int")).cast("boolean").alias("rows_agree"))
+
+
+def _stream_twice(spark: SparkSession, sf_dir: str) -> str:
     ev = adapter.table(spark, sf_dir, "events").select(*EVENT_COLS)
     landing, ckpt = scratch_dir(spark, "landing"), scratch_dir(spark, "stream-ckpt")
     _land_pages(ev, landing)
@@ -45,7 +64,7 @@ def stream_append_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _ in range(2):
         stream = ingest.page_stream(spark, landing, schema.add("page", "long"), max_files_per_trigger=PAGES_PER_BATCH)
         ingest.append_with_ledger(stream, f"{db}.events", f"{db}.loads", ckpt, EVENT_COLS)
-    return spark.table(f"{db}.events").select(*EVENT_COLS)
+    return db
 
 
 @gate("stream_merge", "select event_id, ts, user_id, event_type, value, props from events")

@@ -8,12 +8,15 @@ disappear: the staged frame is never materialised on its own.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.functions.columns import row_hash
 from tripmart.sinks import tables
+from tripmart.sources import files
+from tripmart.sources.trips import trip_schema
 
 # The fields of the load row id.  The row-store variant hashes
 # seven fields, the warehouse variant five; both concatenate without a
@@ -24,6 +27,8 @@ ROW_ID_FIELDS = {
     "warehouse": ["VendorID", "{p}_pickup_datetime", "{p}_dropoff_datetime", "PULocationID", "DOLocationID"],
 }
 EPOCH = _dt.datetime(1970, 1, 1, tzinfo=_dt.timezone.utc)
+#: Buckets of a load target on its row id: a merge then shuffles the month, not the table.
+ROW_ID_BUCKETS = 16
 PREFIX = {"yellow": "tpep", "green": "lpep"}
 
 
@@ -57,10 +62,26 @@ def load_month(spark: SparkSession, raw: DataFrame, taxi: str, year: int, month:
     if mode == "replace":
         tables.write_replace(staged, target)
         return
-    tables.ensure_table(spark, target, staged.schema)
+    tables.ensure_table(spark, target, staged.schema, bucket_by=(ROW_ID_BUCKETS, ["unique_row_id"]))
     tables.merge_insert_new(staged, target, ["unique_row_id"])
 
 
+def backfill(spark: SparkSession, root: str, types: Sequence[str], start: _dt.date, end: _dt.date, db: str,
+             variant: str = "rowstore", mode: str = "merge", template: str = "{root}/{name}") -> list[str]:
+    """Load every existing month file of the range and types, oldest first,
+    each into its type's table ``<db>.<taxi>_tripdata`` (INC-2).  Files are
+    typed by the shipped schemas; months without a file are left out; a second
+    run inserts nothing.  Returns the names of the loaded files."""
+    done = []
+    for year, month, taxi in files.plan_months(start, end, types):
+        name = trip_file_name(taxi, year, month)
+        path = template.format(root=root, name=name)
+        if files.path_exists(spark, path):
+            load_month(spark, files.read_csv(spark, path, trip_schema(taxi)), taxi, year, month, f"{db}.{taxi}_tripdata", variant, mode)
+            done.append(name)
+    return done
+
+
 def record_load(spark: SparkSession, ledger: str, load_id: str, status: str,
                 inserted_at: _dt.datetime | None = None) -> None:
     """Append one ledger row (INC-4): load id, time, status."""

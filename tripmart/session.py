@@ -9,6 +9,7 @@ folder ourselves when the session has none (local runs and tests).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -24,17 +25,20 @@ SQL_DEFAULTS = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str = "local[*]", shuffle_partitions: int | None = None,
                   app_name: str = "tripmart", extra: dict | None = None) -> SparkSession:
+    """A session with the settings this package expects.  The number of shuffle
+    partitions is left to the cluster, or to ``apply_scale_conf``, unless given."""
     builder = (
         SparkSession.builder.master(master)
         .appName(app_name)
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in SQL_DEFAULTS.items():
         builder = builder.config(k, v)
     for k, v in (extra or {}).items():
@@ -49,7 +53,9 @@ def work_root(spark: SparkSession) -> str:
     """The shared folder for durable intermediate data.
 
     Reads ``spark.checkpoint.dir`` from the session (or the context's current
-    checkpoint dir); sets a fresh local one only when none is configured.
+    checkpoint dir).  Where none is configured, a session in one machine's
+    process (``local[...]``) gets a fresh local one; on a cluster that is an
+    error, as no executor would see the driver's folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
@@ -63,23 +69,24 @@ def work_root(spark: SparkSession) -> str:
         # getCheckpointDir() appends a per-application uuid folder; its parent
         # is the folder somebody chose.
         return os.path.dirname(current.rstrip("/"))
+    if not is_one_machine(spark):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="tripmart-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local
 
 
+def is_one_machine(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process (local-cluster ones are not)."""
+    return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new, never reused folder under the shared work root."""
     return f"{work_root(spark)}/tripmart-{label}-{uuid.uuid4().hex[:12]}"
 
 
-def scratch_table(spark: SparkSession, label: str) -> tuple[str, str]:
-    """(unique table name, location under the shared work root)."""
-    suffix = uuid.uuid4().hex[:12]
-    return f"tm_{label}_{suffix}", f"{work_root(spark)}/tripmart-tables/{label}_{suffix}"
-
-
 def scratch_database(spark: SparkSession, label: str) -> str:
     """A new database whose managed tables live under the shared work root."""
     name = f"tm_{label}_{uuid.uuid4().hex[:12]}"
@@ -99,26 +106,28 @@ SCALE_DEFAULTS = {
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
 }
 
+#: More reducers than this cost the driver more (a block status for each of
+#: map tasks x reducers) than smaller partitions gain: beyond 256 MB x this
+#: (8 TB shuffled at once) partitions grow and spill to disk instead.
+MOST_SHUFFLE_PARTITIONS = 32_768
+
 
 def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 * 1024 * 1024,
-                           minimum: int = 200) -> int:
+                           minimum: int = 200, most: int = MOST_SHUFFLE_PARTITIONS) -> int:
     """Initial shuffle partition count so that each post-shuffle partition
-    holds about ``target_bytes`` (AQE coalesces downward at run time)."""
-    return max(minimum, -(-int(input_bytes) // target_bytes))
+    holds about ``target_bytes``, within bounds (AQE coalesces downward at run time)."""
+    return min(most, max(minimum, -(-int(input_bytes) // target_bytes)))
 
 
 def apply_scale_conf(spark: SparkSession, input_bytes: int) -> dict[str, str]:
-    """Apply the large-input settings that the session has not set itself
-    (explicit cluster settings win).  Returns what was applied."""
+    """Apply the large-input settings that the cluster's or the session's
+    configuration does not set (explicit settings win).  Returns what was applied."""
     applied = {}
     cluster = spark.sparkContext.getConf()
     wanted = dict(SQL_DEFAULTS, **SCALE_DEFAULTS)
     wanted["spark.sql.shuffle.partitions"] = str(shuffle_partitions_for(input_bytes))
     for k, v in wanted.items():
-        if cluster.contains(k):
-            continue
-        if k == "spark.sql.shuffle.partitions" and int(spark.conf.get(k, "200")) >= int(v):
-            continue
-        spark.conf.set(k, v)
-        applied[k] = v
+        if not cluster.contains(k):
+            spark.conf.set(k, v)
+            applied[k] = v
     return applied

@@ -124,6 +124,11 @@ def write_append(df: DataFrame, name: str, partition_by: Sequence[str] = ()) ->
 def _insert(df: DataFrame, name: str) -> None:
     spark = df.sparkSession
     rows = df.select(*spark.table(name).columns)
+    buckets = bucket_columns(spark, name)
+    if buckets:
+        # Dealt out like the buckets, so that each bucket gets one file of the insert.
+        spec = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+        rows = rows.repartition(int(spec["Num Buckets"]), *buckets)
     spread(rows, partition_columns(spark, name)).write.insertInto(name)
 
 

@@ -11,18 +11,21 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StringType, StructField, StructType, _parse_datatype_string
+from pyspark.sql.types import (
+    DataType, DoubleType, IntegralType, LongType, NumericType, StringType, StructField, StructType, _parse_datatype_string)
 
 
 def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: StructType,
              header: bool = True, columns: Sequence[str] | None = None,
-             timestamp_format: str | None = None, mode: str = "PERMISSIVE",
+             timestamp_format: str | None = None, mode: str = "FAILFAST",
              min_partitions: int | None = None) -> DataFrame:
     """Typed CSV(.gz) scan (SRC-1).
 
     ``columns`` (SRC-2, copy-in with a column list): the file's fields are
     loaded by position into these names; target columns not in the list stay
-    NULL.  An unparsable value becomes NULL in PERMISSIVE mode.
+    NULL.  A value that cannot be parsed and a surplus or missing field fail
+    the read; ``mode='PERMISSIVE'`` makes such values NULL and drops surplus
+    fields.
 
     A gzip file cannot be split, so it is read by one task; ``min_partitions``
     spreads the rows over that many partitions right after the read (a
@@ -68,11 +71,6 @@ def external_view(spark: SparkSession, name: str, pattern: str, fmt: str = "parq
     return df
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """Single Parquet file or folder (SRC-5)."""
-    return spark.read.parquet(path)
-
-
 def read_json(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """JSON with schema inference (SRC-8)."""
     return spark.read.option("multiLine", multiline).json(path)
@@ -88,8 +86,9 @@ def read_json_records(spark: SparkSession, path: str, record_path: str,
 
 def read_seed(spark: SparkSession, path: str, sep: str = ",", lower_header: bool = True) -> DataFrame:
     """Delimited seed file (SRC-10, SRC-11): header row, inferred types, CRLF
-    line ends accepted; header names lower-cased."""
-    df = spark.read.option("header", True).option("inferSchema", True).option("sep", sep).csv(path)
+    line ends accepted; a quoted field may hold the delimiter, and a quote
+    written twice; header names lower-cased."""
+    df = spark.read.option("header", True).option("inferSchema", True).option("sep", sep).option("escape", '"').csv(path)
     if lower_header:
         df = df.toDF(*[c.strip().lower() for c in df.columns])
     return df
@@ -111,31 +110,88 @@ def schema_from_header(header: Iterable[str], type_map: Mapping[str, str | DataT
     return StructType(fields)
 
 
+def _hadoop(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """The files of a file, folder or glob, without hidden ones."""
+    fs, p = _hadoop(spark, path)
+    found = []
+    for status in fs.globStatus(p) or []:
+        for s in (fs.listStatus(status.getPath()) if status.isDirectory() else [status]):
+            if s.isFile() and s.getPath().getName()[0] not in "._":
+                found.append(s.getPath().toString())
+    return sorted(found)
+
+
+def header_of(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
+    """Names in a file's first line; quoted names may hold the separator."""
+    rows = spark.read.option("header", False).option("sep", sep).csv(path).limit(1).collect()
+    return [(c or "").lstrip("\ufeff") for c in rows[0]] if rows else []
+
+
 def read_csv_header_typed(spark: SparkSession, path: str, type_map: Mapping[str, str | DataType],
-                          sep: str = ",") -> DataFrame:
-    """CSV typed from its own header line (SRC-12).  Only the first line of
-    the files is read on the driver; if the typed read cannot be planned, the
-    reader falls back to type inference."""
-    first = spark.read.text(path).limit(1).collect()
-    if not first:
-        return spark.read.option("header", True).option("sep", sep).csv(path)
-    header = first[0][0].lstrip("﻿").split(sep)
-    schema = schema_from_header(header, type_map)
-    try:
-        return spark.read.option("header", True).option("sep", sep).option("enforceSchema", True) \
-            .schema(schema).csv(path)
-    except Exception:  # pragma: no cover - fallback mirrors the reference
-        return spark.read.option("header", True).option("sep", sep).option("inferSchema", True).csv(path)
+                          sep: str = ",", on_bad_value: str = "fail") -> DataFrame:
+    """CSV typed from the files' own header lines (SRC-12).
+
+    Files are grouped by their header, so a file with other columns is read by
+    its own; a column missing from a group is NULL.  A value that does not fit
+    its type fails the read; ``on_bad_value='infer'`` reads a group with such
+    values with inferred types instead (which costs a pass to find out)."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for f in data_files(spark, path):
+        header = header_of(spark, f, sep)
+        if header:
+            groups.setdefault(tuple(header), []).append(f)
+    if not groups:
+        return spark.createDataFrame([], StructType([]))
+    reader = lambda: spark.read.option("header", True).option("sep", sep)
+    parts = []
+    for header, members in groups.items():
+        df = reader().option("mode", "FAILFAST").option("enforceSchema", True) \
+            .schema(schema_from_header(header, type_map)).csv(members)
+        if on_bad_value == "infer":
+            try:
+                df.write.format("noop").mode("overwrite").save()
+            except Exception:  # noqa: BLE001 - the reader's errors have no common class
+                df = reader().option("inferSchema", True).csv(members)
+        parts.append(df)
+    return union_widened(parts)
+
+
+def wider(types: Sequence[DataType]) -> DataType:
+    """A type that holds the values of all the given ones."""
+    kinds = list(dict.fromkeys(types))
+    if len(kinds) == 1:
+        return kinds[0]
+    if all(isinstance(t, IntegralType) for t in kinds):
+        return LongType()
+    return DoubleType() if all(isinstance(t, NumericType) for t in kinds) else StringType()
+
+
+def union_widened(parts: Sequence[DataFrame]) -> DataFrame:
+    """Rows of all parts by column name; differing types are widened, missing columns NULL."""
+    types: dict[str, list[DataType]] = {}
+    for df in parts:
+        for f in df.schema.fields:
+            types.setdefault(f.name, []).append(f.dataType)
+    out = None
+    for df in parts:
+        cast = df.select(*[F.col(f"`{c}`").cast(wider(types[c])).alias(c) for c in df.columns])
+        out = cast if out is None else out.unionByName(cast, allowMissingColumns=True)
+    return out
 
 
 # --- file names as data (SRC-13, FN-18) ------------------------------------
 
-# Fixed value: the pattern of trip file names, <taxi>_tripdata_<yyyy>-<mm>.
-TRIP_FILE_PATTERN = r"([a-z]+)_tripdata_(\d{4})-(\d{2})"
+# Fixed value: a whole trip file name, <taxi>_tripdata_<yyyy>-<mm>.csv or .csv.gz.
+TRIP_FILE_PATTERN = r"(?:^|/)(yellow|green|fhv)_tripdata_(\d{4})-(\d{2})\.csv(?:\.gz)?$"
 
 
 def parse_trip_filename(path: Column) -> tuple[Column, Column, Column]:
-    """(taxi, year, month) parsed from a path; '' taxi when it does not match."""
+    """(taxi, year, month) of a path whose file name is a trip file's; '' for others."""
     return (F.regexp_extract(path, TRIP_FILE_PATTERN, 1),
             F.regexp_extract(path, TRIP_FILE_PATTERN, 2),
             F.regexp_extract(path, TRIP_FILE_PATTERN, 3))
@@ -169,33 +225,60 @@ def plan_months(start: _dt.date, end: _dt.date, types: Sequence[str]) -> list[tu
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    fs, p = _hadoop(spark, path)
+    return fs.exists(p)
 
 
 DEFAULT_TEMPLATE = "{root}/{taxi}_tripdata_{year:04d}-{month:02d}.parquet"
 
 
+def month_paths(spark: SparkSession, root: str, types: Sequence[str], start: _dt.date, end: _dt.date,
+                template: str = DEFAULT_TEMPLATE) -> list[str]:
+    """The files of the inclusive range that exist."""
+    paths = [template.format(root=root, taxi=t, year=y, month=m) for y, m, t in plan_months(start, end, types)]
+    return [p for p in paths if path_exists(spark, p)]
+
+
+def unreadable(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """Those of the Parquet files that cannot be read to their end (each is read once)."""
+    bad = []
+    for p in paths:
+        try:
+            spark.read.option("ignoreCorruptFiles", False).parquet(p).write.format("noop").mode("overwrite").save()
+        except Exception:  # noqa: BLE001 - the reader's errors have no common class
+            bad.append(p)
+    return bad
+
+
 def read_months(spark: SparkSession, root: str, types: Sequence[str], start: _dt.date, end: _dt.date,
                 schema: StructType, extracted_at: _dt.datetime | None = None,
-                template: str = DEFAULT_TEMPLATE) -> DataFrame:
-    """Month x type Parquet fan-in (SRC-6): files of the inclusive range that
-    exist and can be read, read in one scan with schemas merged by column name (a column
-    missing from a file reads NULL), plus ``extracted_at`` (one value per run,
-    so a retried task writes the same value).  No file found -> an empty
-    frame with ``schema``."""
-    paths = [template.format(root=root, taxi=t, year=y, month=m) for y, m, t in plan_months(start, end, types)]
-    found = [p for p in paths if path_exists(spark, p)]
+                template: str = DEFAULT_TEMPLATE, skip: Sequence[str] = ()) -> DataFrame:
+    """Month x type Parquet fan-in (SRC-6): the files of the inclusive range
+    that exist, united by column name.  Files with the same footer schema are
+    one scan; columns of ``schema`` are cast to its types, other columns whose
+    types differ are widened, a column missing from a file reads NULL.
+    ``extracted_at`` is one value per run, so a retried task writes the same.
+    No file found -> an empty frame with ``schema``.
+
+    A file that cannot be read fails the run.  To leave whole files out, name
+    them in ``skip``, for instance ``skip=unreadable(spark, month_paths(...))``
+    after reporting that list."""
+    found = [p for p in month_paths(spark, root, types, start, end, template) if p not in set(skip)]
     ts = extracted_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     stamp = F.lit(ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz").alias("extracted_at")
     if not found:
         return spark.createDataFrame([], schema).select("*", stamp)
-    # Unreadable (corrupt or truncated) month files are skipped, as the
-    # reference skips files it fails to fetch.
-    df = spark.read.option("mergeSchema", True).option("ignoreCorruptFiles", True).parquet(*found)
-    cols = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in df.columns
-            else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
-    extra = [F.col(c) for c in df.columns if c not in {f.name for f in schema.fields}]
+    reader = spark.read.option("ignoreCorruptFiles", False).option("mergeSchema", False)
+    groups: dict[str, tuple[StructType, list[str]]] = {}
+    for p in found:
+        footer = reader.parquet(p).schema
+        groups.setdefault(footer.json(), (footer, []))[1].append(p)
+    wanted = {f.name: f.dataType for f in schema.fields}
+    parts = []
+    for footer, paths in groups.values():
+        df = reader.schema(footer).parquet(*paths)
+        parts.append(df.select(*[F.col(f"`{c}`").cast(wanted[c]).alias(c) if c in wanted else F.col(f"`{c}`") for c in df.columns]))
+    df = union_widened(parts)
+    cols = [F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    extra = [F.col(c) for c in df.columns if c not in wanted]
     return df.select(*cols, *extra, stamp)
-
