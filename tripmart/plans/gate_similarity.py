@@ -19,7 +19,7 @@ c as (select label, list(m order by i) as centroid
       from (select label, i, avg(val) as m from x group by label, i) group by label),
 s as (select c.label, e.vec_id, list_cosine_similarity(e.v, c.centroid) as score
       from e join c on true),
-r as (select label, vec_id, row_number() over (partition by label order by score desc nulls last, vec_id) as rank
+r as (select label, vec_id, score, row_number() over (partition by label order by score desc nulls last, vec_id) as rank
       from s)
 select label, cast(rank as int) as rank, vec_id, round(r.score, 6) as score from r where rank <= {TOP_K}""")
 def embedding_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
