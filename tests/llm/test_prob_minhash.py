@@ -3,6 +3,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tripmart.llm import prob_minhash as pm
 
@@ -86,11 +87,11 @@ def test_classes_against_all_pairs(spark):
     assert len({r.class_id for r in got}) < len({t for _, t in rows})
 
 
-def test_blocks_find_what_pivots_leave(spark, monkeypatch):
+@pytest.mark.parametrize("bound", ["BLOCK", "BLOCK_BYTES"])
+def test_blocks_find_what_pivots_leave(spark, monkeypatch, bound):
     """Without pivots every pair of a bucket is met in the blocks, whatever their number."""
-    monkeypatch.setattr(pm._Linker, "verify", lambda self, pairs, real=pm._Linker.verify, seen=[]: (
-        real(self, pairs) if len(seen) >= 1 else seen.append(1) is None and False))
-    monkeypatch.setattr(pm, "BLOCK", 3)
+    monkeypatch.setattr(pm, "_pivot_pairs", lambda members: members.select(F.col("key").alias("a"), F.col("key").alias("b")))
+    monkeypatch.setattr(pm, bound, 3 if bound == "BLOCK" else 3000)
     rows = families(9)
     got = pm.classes(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(((r.id, r.class_id) for r in got), key=str) == expected(rows)

@@ -10,12 +10,12 @@ for most shingles is after one arrival.
 
 Banding: ROWS registers make a band, and documents that share a band are
 candidates.  Texts of equal words are one candidate.  In a band's bucket all
-are compared with the most central member, then with the most central one that
-is not yet linked to it; what a bucket still holds of several components is
-compared sketch by sketch in blocks.  So every pair that shares a band is
-linked, compared, or in one component already, without all pairs of a bucket
-being made.  A pair counts if its exact probability Jaccard likeness is at
-least THRESHOLD; classes are the connected components of such pairs.
+are compared with the most central member; what the bucket then still holds of
+several components is compared in blocks, first by sketches, then by texts.  So
+every pair that shares a band is compared or in one component already, and no
+rows are made for all pairs of a bucket.  A pair counts if its exact
+probability Jaccard likeness is at least THRESHOLD; classes are the connected
+components of such pairs.
 """
 
 from __future__ import annotations
@@ -39,7 +39,8 @@ REGISTERS, ROWS = 80, 4
 THRESHOLD = 0.8
 #: Sketches of pairs at the threshold agree less than this once in some 100,000 pairs.
 LEAST_AGREEMENT = 0.6
-BLOCK = 1024
+#: Documents and bytes of text of a block.
+BLOCK, BLOCK_BYTES = 1024, 8 << 20
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -153,23 +154,51 @@ def _compare_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
 
-def _block_pairs(table: pa.Table) -> pa.Table:
-    """Pairs across two blocks of a bucket (or within one) whose sketches agree
-    well and that are in different components."""
+def _block_links(table: pa.Table) -> pa.Table:
+    """Links between two blocks of a bucket (or within one), enough to join all
+    components that the blocks' pairs can join.
+
+    A pair is looked at in the first bucket that it shares.  The likeliest
+    pairs by their sketches come first, and a pair whose components are joined
+    by then isn't compared any more.
+    """
     def part(side: int):
         rows = table.filter(pc.equal(table["side"], side)).sort_by("key")
         sketches = np.frombuffer(b"".join(rows["sketch"].to_pylist()), "<u2").reshape(-1, REGISTERS)
-        return rows["key"].to_pylist(), rows["component"].to_pylist(), sketches
-    keys, of, left = part(0)
-    other_keys, other_of, right = part(1)
-    if not len(right):
-        other_keys, other_of, right = keys, of, left
-    out = set()
-    for i in range(len(left)):
-        for j in np.flatnonzero((right == left[i]).mean(axis=1) >= LEAST_AGREEMENT):
-            if of[i] != other_of[j]:
-                out.add((min(keys[i], other_keys[j]), max(keys[i], other_keys[j])))
-    a, b = zip(*sorted(out)) if out else ((), ())
+        bands = rows["bands"].combine_chunks().values.to_numpy().reshape(len(rows), -1) if len(rows) else None
+        return rows["key"].to_pylist(), rows["component"].to_pylist(), rows["text"].to_pylist(), sketches, bands
+    first, second = part(0), part(1)
+    within = not second[0]
+    second = first if within else second
+    before = table["band"][0].as_py()
+    root: dict[bytes, bytes] = {}
+
+    def find(x: bytes) -> bytes:
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+    pairs = []
+    for i in range(len(first[0])):
+        agreement = (second[3] == first[3][i]).mean(axis=1)
+        good = agreement >= LEAST_AGREEMENT
+        if before:
+            good &= ~(second[4][:, :before] == first[4][i, :before]).any(axis=1)
+        if within:
+            good[:i + 1] = False
+        pairs += [(-agreement[j], i, int(j)) for j in np.flatnonzero(good) if first[1][i] != second[1][j]]
+    sets: dict[bytes, tuple] = {}
+
+    def shingles_of(side, k: int):
+        if side[0][k] not in sets:
+            sets[side[0][k]] = shingles(words_of(side[2][k]))
+        return sets[side[0][k]]
+    links = []
+    for _, i, j in sorted(pairs):
+        x, y = find(first[1][i]), find(second[1][j])
+        if x != y and likeness(shingles_of(first, i), shingles_of(second, j)) >= THRESHOLD:
+            root[max(x, y)] = min(x, y)
+            links.append((first[0][i], second[0][j]))
+    a, b = zip(*links) if links else ((), ())
     return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
 
@@ -180,48 +209,50 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return named.mapInArrow(_sketch_batches, f"id {kind}, key binary, bands array<bigint>, sketch binary")
 
 
-class _Linker:
-    """The steps that turn candidates into verified links."""
-
-    def __init__(self, spark: SparkSession, members: DataFrame, texts: DataFrame):
-        self.members = members  # bucket, key, weight
-        self.texts = texts  # key, text
-        self.links = spark.createDataFrame([], "a binary, b binary")
-        self.component: DataFrame | None = None
-
-    def verify(self, pairs: DataFrame) -> bool:
-        """Add the links among the pairs (a, b); whether there were any pairs."""
-        pairs = materialize(pairs.where("a != b").distinct(), "pairs")
-        if pairs.isEmpty():
-            return False
-        a = self.texts.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
-        b = self.texts.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
-        found = materialize(pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b")
-                            .mapInArrow(_compare_batches, "a binary, b binary"), "links")
-        self.links = self.links.unionByName(found)
-        self.component = materialize(connected_components(self.links, "near").select(
-            F.col("node").alias("key"), "component"), "near")
-        return True
-
-    def placed(self) -> DataFrame:
-        """Members with their component, in the buckets that hold more than one."""
-        rows = self.members if self.component is None else self.members.join(self.component, "key", "left")
-        own = F.col("key") if self.component is None else F.coalesce("component", "key")
-        rows = rows.select("bucket", "key", "weight", own.alias("component"))
-        open_ = rows.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
-        return materialize(rows.join(open_.select("bucket"), "bucket"), "open")
-
-    def pivot_pairs(self, rows: DataFrame, again: bool) -> DataFrame:
-        """Every member with its bucket's most central one; with ``again`` with
-        the most central one outside that one's component."""
-        top = F.max(F.struct("weight", "key", "component")).alias("top")
-        pivots = rows.groupBy("bucket").agg(top).select("bucket", "top")
-        met = rows.join(pivots, "bucket")
-        if again:
-            outside = met.where("component != top.component")
-            second = outside.select("bucket", "weight", "key", "component").groupBy("bucket").agg(top).select("bucket", "top")
-            met = rows.join(second, "bucket")
-        return met.where("component != top.component").select(F.col("key").alias("a"), F.col("top.key").alias("b"))
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are alike enough, by their texts."""
+    a = texts.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
+    b = texts.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
+    return (pairs.where("a != b").distinct().join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b")
+            .mapInArrow(_compare_batches, "a binary, b binary"))
+
+
+def _pivot_pairs(members: DataFrame) -> DataFrame:
+    """Every member of a bucket with the bucket's most central one."""
+    top = members.groupBy("bucket").agg(F.max(F.struct("weight", "key")).alias("top")).select("bucket", "top")
+    return members.join(top, "bucket").select(F.col("key").alias("a"), F.col("top.key").alias("b"))
+
+
+def _components(links: DataFrame) -> DataFrame:
+    """(key, component) of the linked keys."""
+    return materialize(connected_components(links, "near").select(F.col("node").alias("key"), "component"), "near")
+
+
+def _open_members(members: DataFrame, component: DataFrame) -> DataFrame:
+    """Members with their component, in the buckets that hold more than one component."""
+    rows = members.join(component, "key", "left").select("band", "bucket", "key", F.coalesce("component", "key").alias("component"))
+    open_ = rows.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
+    return rows.join(open_.select("bucket"), "bucket")
+
+
+def _rest(rows: DataFrame, copies: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) between the components that still meet in a bucket.
+
+    A bucket is dealt into blocks, bounded in rows and in text; a block meets
+    itself (side 0 alone) and every other block once, as side 0 the later
+    ones, as side 1 the earlier ones.
+    """
+    rows = materialize(rows.join(texts.select("key", F.octet_length("text").alias("size")), "key"), "open")
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("size") / BLOCK_BYTES)).cast("int")
+    dealt = rows.drop("size").join(rows.groupBy("bucket").agg(blocks.alias("blocks")), "bucket") \
+        .withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    met = dealt.select("band", "bucket", "key", "component", F.explode(F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda o: F.struct(F.least(F.col("block"), o).alias("i"), F.greatest(F.col("block"), o).alias("j"),
+                           (o < F.col("block")).cast("int").alias("side")))).alias("meet"))
+    full = met.join(copies.select("key", "bands", "sketch"), "key").join(texts, "key")
+    return (full.select("band", "bucket", "meet.i", "meet.j", "meet.side", "key", "component", "bands", "sketch", "text")
+            .groupBy("bucket", "i", "j").applyInArrow(_block_links, "a binary, b binary"))
 
 
 def classes(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -241,26 +272,20 @@ def _keyed_classes(spark: SparkSession, docs: DataFrame, id_col: str, text_col:
     every = materialize(sketches(named, "id", "text"), "sketches")
     copies = materialize(every.groupBy("key").agg(F.min("id").alias("copy_id"), F.first("bands").alias("bands"),
                                                   F.first("sketch").alias("sketch")), "copies")
-    exploded = copies.select("key", F.explode("bands").alias("bucket"))
+    exploded = copies.select("key", F.posexplode("bands").alias("band", "bucket"))
     shared = exploded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = materialize(exploded.join(shared, "bucket").select("bucket", "key", "n"), "members")
+    members = materialize(exploded.join(shared, "bucket").select("band", "bucket", "key", "n"), "members")
     central = materialize(members.groupBy("key").agg(F.sum("n").alias("weight")), "central")
-    members = materialize(members.drop("n").join(central, "key"), "members")
+    members = members.join(central, "key").select("band", "bucket", "key", "weight")
     # One text for each set of words that shares a bucket; the words' hash finds it among repeated ids.
     wanted = every.select("id", "key").join(central.select("key"), "key").groupBy("key").agg(F.min("id").alias("id"))
     texts = materialize(_texts(named, wanted), "texts")
-    linker = _Linker(spark, members, texts)
-    rows = linker.placed()
-    for again in (False, True):
-        if not linker.verify(linker.pivot_pairs(rows, again)):
-            break
-        rows = linker.placed()
-    linker.verify(_rest(rows, copies))
-    joined = copies.select("key", "copy_id")
-    if linker.component is not None:
-        joined = joined.join(linker.component, "key", "left").withColumn("component", F.coalesce("component", "key"))
-    else:
-        joined = joined.withColumn("component", F.col("key"))
+    links = materialize(_verified(_pivot_pairs(members), texts), "links")
+    component = _components(links)
+    more = materialize(_rest(_open_members(members, component), copies, texts), "links")
+    if not more.isEmpty():
+        component = _components(links.unionByName(more))
+    joined = copies.select("key", "copy_id").join(component, "key", "left").withColumn("component", F.coalesce("component", "key"))
     joined = materialize(joined, "classes")
     smallest = joined.groupBy("component").agg(F.min("copy_id").alias("class_id"))
     return every.select("id", "key").join(joined.join(smallest, "component"), "key")
@@ -281,20 +306,6 @@ def _texts(named: DataFrame, wanted: DataFrame) -> DataFrame:
     return picked.mapInArrow(hold, "key binary, text string").groupBy("key").agg(F.first("text").alias("text"))
 
 
-def _rest(rows: DataFrame, copies: DataFrame) -> DataFrame:
-    """Candidate pairs of the buckets that still hold several components, found by comparing sketches in blocks."""
-    sizes = rows.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    dealt = (rows.join(sizes, "bucket").join(copies.select("key", "sketch"), "key")
-             .withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")))
-    # A block meets itself (side 0 alone) and every other block once, as side 0 with later ones, as side 1 with earlier ones.
-    met = dealt.select("bucket", "key", "component", "sketch", F.explode(F.transform(
-        F.sequence(F.lit(0), F.col("blocks") - 1),
-        lambda o: F.struct(F.least(F.col("block"), o).alias("i"), F.greatest(F.col("block"), o).alias("j"),
-                           (o < F.col("block")).cast("int").alias("side")))).alias("meet"))
-    return (met.select("bucket", "meet.i", "meet.j", "meet.side", "key", "component", "sketch")
-            .groupBy("bucket", "i", "j").applyInArrow(_block_pairs, "a binary, b binary"))
-
-
 def keep_one(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, one of each class: that with the smallest id; of a
     class of NULL ids only one row.  A repeated id is one document, of which
