@@ -50,7 +50,7 @@ PRIOR = 4.0
 #: Words whose counts are broadcast, at most, and their longest length in bytes.
 DICTIONARY, LONGEST = 1 << 18, 64
 FLUSH = 300_000
-CHUNK = 1 << 15
+CHUNK = 1 << 13
 BLOCK = 1 << 14
 NEVER = -1e30
 
@@ -68,12 +68,9 @@ def tail_class(symbol):
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, tail, n) counted within the task, flushed at a bounded size."""
+    """(word, n) counted within the task, flushed at a bounded size."""
     def table(counts: Counter) -> pa.RecordBatch:
-        words = list(counts)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(words, pa.binary()), pa.array([tail_class(tail_symbol(w)) for w in words], pa.int32()),
-             pa.array(list(counts.values()), pa.int64())], ["word", "tail", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
     counts: Counter = Counter()
     for batch in text_slices(batches, "text"):
         for text in batch.column("text").to_pylist():
@@ -108,16 +105,35 @@ class Vocabulary:
         return np.log10((c + 0.5) / (self.tail_tokens[tail] + 0.5 * (self.tail_types[tail] + 1)))
 
 
+def _tail_of(word: str) -> Column:
+    """``tail_class(tail_symbol(word))`` as an expression."""
+    ends = F.crc32(F.when(F.length(word) > 3, F.substring(word, -3, 3)).otherwise(F.col(word)))
+    return F.pmod(F.pmod(ends, F.lit(TAIL_SYMBOLS)), F.lit(TAIL_CLASSES)).cast("int")
+
+
 def count_words(docs: DataFrame) -> DataFrame:
     """(word, tail, n) of the words of the column ``text``."""
-    return docs.select("text").mapInArrow(_count_batches, "word binary, tail int, n long") \
-        .groupBy("word", "tail").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(_count_batches, "word binary, n long") \
+        .groupBy("word").agg(F.sum("n").alias("n")).select("word", _tail_of("word").alias("tail"), "n")
 
 
 def vocabulary(counts: DataFrame, n_texts: int) -> tuple[Vocabulary, dict[bytes | None, int]]:
-    """What the counts give, and the place of each head token."""
-    most = counts.where(F.length("word") <= LONGEST).orderBy(F.desc("n"), "word").limit(DICTIONARY).select("word", "n")
-    # Longer words can be frequent as well, but they stay in the tail.
+    """What the counts give, and the place of each head token.
+
+    The dictionary holds all words from some frequency on, the lowest that
+    keeps it within its bound; longer words can be frequent as well, but they
+    stay in the tail.
+    """
+    step = F.floor(16 * F.log2(F.col("n").cast("double"))).cast("int")
+    short = counts.where(F.length("word") <= LONGEST)
+    sizes = {r["step"]: r["words"] for r in short.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words")).collect()}
+    least, room = 1 << 20, DICTIONARY
+    for k in sorted(sizes, reverse=True):
+        room -= sizes[k]
+        if room < 0:
+            break
+        least = k
+    most = short.where(step >= least).select("word", "n")
     words = [(bytes(r["word"]), r["n"]) for r in most.toLocalIterator(prefetchPartitions=False)]
     words.sort(key=lambda x: (-x[1], x[0]))
     head = sorted([*words[:HEAD - 1], (None, n_texts)], key=lambda x: (-x[1], x[0] is not None, x[0] or b""))
@@ -134,40 +150,55 @@ def vocabulary(counts: DataFrame, n_texts: int) -> tuple[Vocabulary, dict[bytes
                       [w for w, _ in head], np.array([c for _, c in head], np.int64), tokens_of, types_of), place
 
 
+class _Places(dict):
+    """Words' places; -1 for others."""
+
+    def __missing__(self, word: bytes) -> int:
+        return -1
+
+
 def _token_batches(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     """Each text's symbols, its sums over dictionary words, and its other words."""
     v, place = shared.value
-    at = v.symbol
-    symbols = np.array([place.get(w, -1) if w in place else tail_symbol(w) for w in at], np.int64)
-    base = v.base_log(v.count)
+    at = _Places(v.symbol).__getitem__
+    symbols = np.array([place[w] if w in place else tail_symbol(w) for w in v.symbol] or [0], np.int64)
+    count = v.count if len(v.count) else np.zeros(1, np.int64)
+    base = v.base_log(count)
     in_tail = symbols >= HEAD
-    tail = np.where(in_tail, v.tail_log(v.count, tail_class(np.where(in_tail, symbols, HEAD))), 0.0)
+    tail = np.where(in_tail, v.tail_log(count, tail_class(np.where(in_tail, symbols, HEAD))), 0.0)
     end_count = int(v.head_counts[v.end])
     for batch in text_slices(batches, "text"):
-        out: dict[str, list] = {k: [] for k in ("n_tokens", "n_known", "base", "tail", "symbols", "rest")}
+        out: dict[str, list] = {k: [] for k in ("n_tokens", "n_known", "base", "tail", "symbols")}
+        rest_words: list[bytes] = []
+        rest_times: list[int] = []
+        offsets = [0]
         for text in batch.column("text").to_pylist():
             words = tokens(text)
-            where = np.array([at.get(w, -1) for w in words], np.int64)
+            where = np.fromiter(map(at, words), np.int64, len(words))
             missing = np.flatnonzero(where < 0)
             sym = np.empty(len(words) + 1, "<u2")
-            if len(at):
-                sym[:-1] = symbols[where]
+            sym[:-1] = symbols[where]
             sym[-1] = v.end
-            rest = [words[i] for i in missing.tolist()]
-            sym[missing] = [tail_symbol(w) for w in rest]
-            known = where[where >= 0]
+            known = where
+            if len(missing):
+                others = [words[i] for i in missing.tolist()]
+                sym[missing] = [tail_symbol(w) for w in others]
+                known = where[where >= 0]
+                times = Counter(others)
+                rest_words += times
+                rest_times += times.values()
+            offsets.append(len(rest_words))
             out["n_tokens"].append(len(words) + 1)
             out["n_known"].append(len(known) + (end_count > 0))
             out["base"].append(float(base[known].sum() + v.base_log(end_count)))
             out["tail"].append(float(tail[known].sum()))
             out["symbols"].append(sym.tobytes())
-            out["rest"].append([{"word": w, "tail": tail_class(tail_symbol(w)), "times": n} for w, n in sorted(Counter(rest).items())])
-        rest_type = pa.list_(pa.struct([("word", pa.binary()), ("tail", pa.int32()), ("times", pa.int64())]))
-        kinds = {"n_tokens": pa.int64(), "n_known": pa.int64(), "base": pa.float64(), "tail": pa.float64(), "symbols": pa.binary(),
-                 "rest": rest_type}
+        rest = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(
+            [pa.array(rest_words, pa.binary()), pa.array(rest_times, pa.int64())], ["word", "times"]))
+        kinds = {"n_tokens": pa.int64(), "n_known": pa.int64(), "base": pa.float64(), "tail": pa.float64(), "symbols": pa.binary()}
         yield pa.RecordBatch.from_arrays(
-            [batch.column(c) for c in ("row", "id", "training")] + [pa.array(out[c], kinds[c]) for c in out],
-            ["row", "id", "training", *out])
+            [batch.column(c) for c in ("row", "id", "training")] + [pa.array(out[c], kinds[c]) for c in out] + [rest],
+            ["row", "id", "training", *out, "rest"])
 
 
 @dataclass
@@ -205,27 +236,38 @@ def contexts(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return line[at], text, np.stack([one, SYMBOLS + two, 2 * SYMBOLS + three, 3 * SYMBOLS + pair % PAIRS]).astype(np.uint16)
 
 
-def log_softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=1, keepdims=True)
-    x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
-    return x
-
-
 def class_of(target: np.ndarray) -> np.ndarray:
     return np.where(target < HEAD, target // PER_CLASS, HEAD_CLASSES + tail_class(target))
 
 
 def forward(w: Weights, target: np.ndarray, rows: np.ndarray):
-    """Log probabilities of all classes, of the words in the class of each head
-    target, the head targets' places, and their word-weight rows."""
-    classes = w.class_bias + w.by_class[rows[0]]
+    """Logits of all classes, of the words in the class of each head target,
+    the head targets' places, and their word-weight rows.  Weights move by
+    bounded steps, so exponentials of logits stay in range."""
+    classes = w.by_class.take(rows[0], axis=0)
     for r in rows[1:]:
-        classes += w.by_class[r]
+        classes += w.by_class.take(r, axis=0)
+    classes += w.class_bias
     head = np.flatnonzero(target < HEAD)
     own = (target[head] // PER_CLASS).astype(np.int64)
     word_rows = [rows[k][head].astype(np.int64) * HEAD_CLASSES + own for k in (0, 1)]
-    words = w.word_bias[own] + w.by_word[word_rows[0]] + w.by_word[word_rows[1]]
-    return log_softmax(classes), log_softmax(words), head, word_rows
+    words = w.by_word.take(word_rows[0], axis=0)
+    words += w.by_word.take(word_rows[1], axis=0)
+    words += w.word_bias.take(own, axis=0)
+    return classes, words, head, word_rows
+
+
+def chosen_logs(logits: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """Log probability of one outcome per row."""
+    logs = logits[np.arange(len(which)), which]
+    np.exp(logits, out=logits)
+    return logs.astype(np.float64) - np.log(logits.sum(axis=1, dtype=np.float64))
+
+
+def chances(logits: np.ndarray) -> np.ndarray:
+    np.exp(logits, out=logits)
+    logits /= logits.sum(axis=1, keepdims=True)
+    return logits
 
 
 def text_log10(w: Weights, texts: list[np.ndarray]) -> np.ndarray:
@@ -235,8 +277,8 @@ def text_log10(w: Weights, texts: list[np.ndarray]) -> np.ndarray:
     for s in range(0, len(target), CHUNK):
         t, x, r = target[s:s + CHUNK], text[s:s + CHUNK], rows[:, s:s + CHUNK]
         classes, words, head, _ = forward(w, t, r)
-        logs = classes[np.arange(len(t)), class_of(t)].astype(np.float64)
-        logs[head] += words[np.arange(len(head)), t[head] % PER_CLASS]
+        logs = chosen_logs(classes, class_of(t))
+        logs[head] += chosen_logs(words, t[head] % PER_CLASS)
         total += np.bincount(x, logs, len(texts))
     return total / math.log(10)
 
@@ -247,7 +289,7 @@ def _sum_rows(into: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
         order = np.argsort(rows, kind="stable")
         ordered = rows[order]
         starts = np.flatnonzero(np.diff(ordered, prepend=ordered[0].astype(np.int64) - 1))
-        into[ordered[starts]] += np.add.reduceat(values[order], starts, axis=0)
+        into[ordered[starts]] += np.add.reduceat(values.take(order, axis=0), starts, axis=0)
 
 
 class Sums:
@@ -263,19 +305,21 @@ class Sums:
 
     def add(self, w: Weights, texts: list[np.ndarray]) -> None:
         target, _, rows = contexts(texts)
+        seen: list[list[np.ndarray]] = [[], []]
         for s in range(0, len(target), CHUNK):
             t, r = target[s:s + CHUNK], rows[:, s:s + CHUNK]
             classes, words, head, word_rows = forward(w, t, r)
-            chance, own = np.exp(classes), class_of(t)
+            chance, own = chances(classes), class_of(t)
             for row in r:
                 _sum_rows(self.expected, row, chance)
-                self.seen += np.bincount(row.astype(np.int64) * CLASSES + own, minlength=ROWS * CLASSES).reshape(ROWS, CLASSES)
-            chance = np.exp(words)
-            place = t[head] % PER_CLASS
+                seen[0].append(row.astype(np.int32) * CLASSES + own)
+            chance, place = chances(words), t[head] % PER_CLASS
             for row in word_rows:
                 _sum_rows(self.word_expected, row.astype(np.uint16), chance)
-                flat = np.bincount(row * PER_CLASS + place, minlength=self.word_seen.size)
-                self.word_seen += flat.reshape(self.word_seen.shape)
+                seen[1].append(row * PER_CLASS + place)
+        for found, into in zip(seen, (self.seen, self.word_seen)):
+            if found:
+                into += np.bincount(np.concatenate(found), minlength=into.size).reshape(into.shape)
 
     def step(self, w: Weights, rate: float = RATE) -> Weights:
         """The weights moved along the gradient, scaled by the expectation and the prior."""
@@ -357,7 +401,7 @@ def train_and_score(spark: SparkSession, docs: DataFrame, training: Column, id_c
     texts = materialize(named.mapInArrow(
         lambda it: _token_batches(it, words),
         f"row long, id {kind}, training boolean, n_tokens long, n_known long, base double, tail double, symbols binary, "
-        "rest array<struct<word: binary, tail: int, times: long>>"), "tokens")
+        "rest array<struct<word: binary, times: long>>"), "tokens")
     w = Weights.start(v)
     for k in range(rounds if v.n else 0):
         slice_ = texts.where(F.col("training") & (F.pmod(F.xxhash64("row"), F.lit(rounds)) == k)).select("symbols")
@@ -377,12 +421,12 @@ def train_and_score(spark: SparkSession, docs: DataFrame, training: Column, id_c
 
 def _other_words(texts: DataFrame, counts: DataFrame, v: Vocabulary) -> DataFrame:
     """Each row's sums over the words that are not in the broadcast dictionary."""
-    used = texts.select("row", F.explode("rest").alias("r")).select("row", "r.word", F.col("r.tail").alias("own_tail"), "r.times")
-    joined = used.join(counts.select("word", "n"), "word", "left")
+    used = texts.select("row", F.explode("rest").alias("r")).select("row", "r.word", "r.times")
+    joined = used.join(counts.select("word", "n"), "word", "left").withColumn("tail", _tail_of("word"))
     c = F.coalesce("n", F.lit(0)) + 0.5
     room = F.array(*[F.lit(float(t + 0.5 * (k + 1))) for t, k in zip(v.tail_tokens.tolist(), v.tail_types.tolist())])
     whole = float(v.n + 0.5 * (v.distinct + 1))
     return joined.groupBy("row").agg(
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("more_known"),
         F.sum(F.col("times") * F.log10(c / whole)).alias("more_base"),
-        F.sum(F.col("times") * F.log10(c / F.get(room, F.col("own_tail")))).alias("more_tail"))
+        F.sum(F.col("times") * F.log10(c / F.get(room, F.col("tail")))).alias("more_tail"))
