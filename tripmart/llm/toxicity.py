@@ -116,9 +116,10 @@ def descend(labels: np.ndarray, own: list, swapped: list, n_features: int, chang
     """Weights (the last is the intercept) of the regularised logistic loss, by momentum descent with a per-feature rate."""
     n = len(labels)
     rows, cols = _flat(own)
-    pairs = [i for i, s in enumerate(swapped) if s is not None]
-    swap_rows, swap_cols = _flat([swapped[i] for i in pairs])
-    own_rows, own_cols = _flat([own[i] for i in pairs])
+    # The features in which a text and its counterfactual differ; the others' weights don't change the score.
+    pairs = [(set(own[i]), set(s)) for i, s in enumerate(swapped) if s is not None and s != own[i]]
+    swap_rows, swap_cols = _flat([sorted(s - o) for o, s in pairs])
+    own_rows, own_cols = _flat([sorted(o - s) for o, s in pairs])
     w, speed = np.zeros(n_features + 1), np.zeros(n_features + 1)
     share = np.clip(labels.mean(), 1e-3, 1 - 1e-3)
     w[-1] = math.log(share / (1 - share))
