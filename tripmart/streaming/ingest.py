@@ -8,7 +8,8 @@ what has landed, then stop", which is how the reference's paged load runs.
 
 Every micro-batch is written with a load id derived from its batch id, into
 partitions keyed by that id (dynamic overwrite): a batch replayed after a
-failure rewrites its own partition instead of appending twice.
+failure rewrites its own partition instead of appending twice.  Ledger rows
+are grouped, a block of batches to a partition.
 """
 
 from __future__ import annotations
@@ -26,8 +27,13 @@ LEDGER_SCHEMA = StructType([
     StructField("inserted_at", TimestampType()),
     StructField("status", StringType()),
     StructField("row_count", LongType()),
+    StructField("load_block", LongType()),
 ])
 
+#: Ledger rows of so many batches share a partition, so the ledger has one
+#: small file per block of batches and not one per batch.
+LEDGER_BLOCK = 1000
+
 
 def schema_with_hints(schema: StructType, hints: Mapping[str, DataType]) -> StructType:
     """Apply column type hints (e.g. a code read as text, a tax as double) to
@@ -70,7 +76,7 @@ def append_with_ledger(stream: DataFrame, target: str, ledger: str, checkpoint:
     cols = list(data_columns or stream.columns)
     row_schema = StructType([stream.schema[c] for c in cols] + [StructField("_load_id", StringType())])
     _ensure(spark, target, row_schema, "_load_id")
-    _ensure(spark, ledger, LEDGER_SCHEMA, "load_id")
+    _ensure(spark, ledger, LEDGER_SCHEMA, "load_block")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         # The batch runs in the stream's own session: settings go there.
@@ -81,9 +87,14 @@ def append_with_ledger(stream: DataFrame, target: str, ledger: str, checkpoint:
             if n == 0:
                 return      # an empty page loads nothing and leaves no ledger row
             tables.overwrite_partitions(path, rows.schema, s, target)
+        block = batch_id // LEDGER_BLOCK
         entry = s.range(1).select(F.lit(lid).alias("load_id"), F.current_timestamp().alias("inserted_at"),
-                                  F.lit("loaded").alias("status"), F.lit(n).cast("long").alias("row_count"))
-        with tables.staged(entry, "ledger") as (rows, path):
+                                  F.lit("loaded").alias("status"), F.lit(n).cast("long").alias("row_count"),
+                                  F.lit(block).cast("long").alias("load_block"))
+        # A replayed batch replaces its own row; the block's other rows are written again with it.
+        s.catalog.refreshTable(ledger)
+        others = s.table(ledger).where((F.col("load_block") == block) & (F.col("load_id") != lid))
+        with tables.staged(others.unionByName(entry), "ledger") as (rows, path):
             tables.overwrite_partitions(path, rows.schema, s, ledger)
 
     q = (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
