@@ -64,10 +64,14 @@ class PieceCodec:
                 self.text_of[i] = model.trainer_spec.unk_surface
         # Pieces that their own characters do not merge to can't occur in an encoding.
         self.reachable = {p for p in self.id_of if len(p) == 1 or self.merge(p) == [p]}
+        # A single character always matches, as a piece or as itself.
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
         for p in self.reachable:
-            self.automaton.add_word(p)
+            if len(p) > 1:
+                self.automaton.add_word(p)
         self.automaton.make_automaton()
+        #: Length of the longest shorter piece that a piece begins with; 0 for a single character.
+        self.shorter = {p: next(n for n in range(len(p) - 1, -1, -1) if n < 2 or p[:n] in self.reachable) for p in self.reachable}
         self.inner_space = any(SPACE in p.lstrip(SPACE) for p in self.reachable)
         self.agrees = lru_cache(1 << 18)(self._agrees)
 
@@ -92,7 +96,7 @@ class PieceCodec:
     def pieces(self, text: str) -> list[str]:
         """Pieces of a text by longest matches and backtracking; a character
         without a piece stands for itself."""
-        n, agrees = len(text), self.agrees
+        n, agrees, shorter = len(text), self.agrees, self.shorter.get
         # Matches come in the order of their ends: the last that begins at a place is the longest.
         longest = {end - size + 1: size for end, size in self.automaton.iter(text)}.get
         failed = None  # the bitfield, from the first dead end on
@@ -100,15 +104,12 @@ class PieceCodec:
         last, pos, size = "", 0, longest(0, 1)
         while pos < n:
             end = pos + size
-            if not (failed and failed[end >> 3] & (1 << (end & 7))):
-                piece = text[pos:end]
-                if not last or agrees(last, piece):
-                    out.append(piece)
-                    last, pos, size = piece, end, longest(end, 1)
-                    continue
-            size -= 1
-            while size > 1 and text[pos:pos + size] not in self.reachable:
-                size -= 1
+            piece = text[pos:end]
+            if not (failed and failed[end >> 3] & (1 << (end & 7))) and (not last or agrees(last, piece)):
+                out.append(piece)
+                last, pos, size = piece, end, longest(end, 1)
+                continue
+            size = shorter(piece, 0)
             if not size:
                 if not out:
                     raise ValueError("no encoding covers the text")
