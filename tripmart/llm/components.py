@@ -49,7 +49,8 @@ def connected_components(edges: DataFrame, label: str = "cc") -> DataFrame:
         later = found.select(F.col("node").alias("to"), F.col("to").alias("last"))
         found = step.join(later, "to", "left").select("node", F.coalesce("last", "to").alias("to"))
     found = materialize(found, label)
-    names = found.groupBy("to").agg(F.min("node").alias("component"))
+    # Written, so that the join reads two plain shuffles and a large component can be split.
+    names = materialize(found.groupBy("to").agg(F.min("node").alias("component")), label)
     named = found.join(names, "to").select("node", "component")
     alone = loops.join(named.select("node"), "node", "left_anti").select("node", F.col("node").alias("component"))
     return named.unionByName(alone)

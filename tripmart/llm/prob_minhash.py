@@ -217,9 +217,16 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             .mapInArrow(_compare_batches, "a binary, b binary"))
 
 
+def _stored_groups(grouped: DataFrame) -> DataFrame:
+    """A grouped frame, written, so that a join with it reads two plain
+    shuffles: adaptive execution splits a hot key of such a join, but not one
+    whose other side is an aggregate over the same shuffle."""
+    return materialize(grouped, "groups")
+
+
 def _pivot_pairs(members: DataFrame) -> DataFrame:
     """Every member of a bucket with the bucket's most central one."""
-    top = members.groupBy("bucket").agg(F.max(F.struct("weight", "key")).alias("top")).select("bucket", "top")
+    top = _stored_groups(members.groupBy("bucket").agg(F.max(F.struct("weight", "key")).alias("top")))
     return members.join(top, "bucket").select(F.col("key").alias("a"), F.col("top.key").alias("b"))
 
 
@@ -232,7 +239,7 @@ def _open_members(members: DataFrame, component: DataFrame) -> DataFrame:
     """Members with their component, in the buckets that hold more than one component."""
     rows = members.join(component, "key", "left").select("band", "bucket", "key", F.coalesce("component", "key").alias("component"))
     open_ = rows.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
-    return rows.join(open_.select("bucket"), "bucket")
+    return rows.join(_stored_groups(open_.select("bucket")), "bucket")
 
 
 def _rest(rows: DataFrame, copies: DataFrame, texts: DataFrame) -> DataFrame:
@@ -244,7 +251,7 @@ def _rest(rows: DataFrame, copies: DataFrame, texts: DataFrame) -> DataFrame:
     """
     rows = materialize(rows.join(texts.select("key", F.octet_length("text").alias("size")), "key"), "open")
     blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("size") / BLOCK_BYTES)).cast("int")
-    dealt = rows.drop("size").join(rows.groupBy("bucket").agg(blocks.alias("blocks")), "bucket") \
+    dealt = rows.drop("size").join(_stored_groups(rows.groupBy("bucket").agg(blocks.alias("blocks"))), "bucket") \
         .withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     met = dealt.select("band", "bucket", "key", "component", F.explode(F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
@@ -273,7 +280,7 @@ def _keyed_classes(spark: SparkSession, docs: DataFrame, id_col: str, text_col:
     copies = materialize(every.groupBy("key").agg(F.min("id").alias("copy_id"), F.first("bands").alias("bands"),
                                                   F.first("sketch").alias("sketch")), "copies")
     exploded = copies.select("key", F.posexplode("bands").alias("band", "bucket"))
-    shared = exploded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = _stored_groups(exploded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     members = materialize(exploded.join(shared, "bucket").select("band", "bucket", "key", "n"), "members")
     central = materialize(members.groupBy("key").agg(F.sum("n").alias("weight")), "central")
     members = members.join(central, "key").select("band", "bucket", "key", "weight")
@@ -287,7 +294,7 @@ def _keyed_classes(spark: SparkSession, docs: DataFrame, id_col: str, text_col:
         component = _components(links.unionByName(more))
     joined = copies.select("key", "copy_id").join(component, "key", "left").withColumn("component", F.coalesce("component", "key"))
     joined = materialize(joined, "classes")
-    smallest = joined.groupBy("component").agg(F.min("copy_id").alias("class_id"))
+    smallest = _stored_groups(joined.groupBy("component").agg(F.min("copy_id").alias("class_id")))
     return every.select("id", "key").join(joined.join(smallest, "component"), "key")
 
 
