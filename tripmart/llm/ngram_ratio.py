@@ -23,10 +23,10 @@ BUCKETS = 1 << 15
 #: Rows of the trusted target that are used at most; chosen by a hash of their id.
 MOST_TRUSTED = 20_000
 #: Documents with a lower mean log ratio are not kept.
-THRESHOLD = -0.07
+THRESHOLD = -0.05
 SMOOTHING = 1.0
 #: A bucket seen r times in the corpus counts with the weight r / (r + RARE).
-RARE = 10.0
+RARE = 100.0
 SYMBOLS = "[#*$%&|<>]"
 
 
