@@ -69,24 +69,24 @@ def sketches(docs: DataFrame, scale: int = SCALE, id_col: str = "doc_id", text_c
     return docs.select(F.col(id_col).alias("id"), sketch(F.col(text_col), scale).alias("sketch"))
 
 
-def following(ids: DataFrame) -> DataFrame:
-    """For each distinct (id, half): the (id, half) of the next larger id; the largest is followed by the smallest.
+def following(keys: DataFrame) -> DataFrame:
+    """For each distinct (k, half): the (k, half) of the next larger key; the largest is followed by the smallest.
 
-    The ids are sorted into ranges; neighbours are found within a range, and
+    The keys are sorted into ranges; neighbours are found within a range, and
     the range's last row takes the first of the range after it.  Only one row
     per range meets in one task.
     """
-    ranged = materialize(ids.repartitionByRange("id").select(
-        F.spark_partition_id().alias("part"), F.struct("id", "half").alias("k")), "ids")
-    firsts = ranged.groupBy("part").agg(F.min("k").alias("first"))
+    ranged = materialize(keys.repartitionByRange("k").select(
+        F.spark_partition_id().alias("part"), F.struct("k", "half").alias("own")), "keys")
+    firsts = ranged.groupBy("part").agg(F.min("own").alias("first"))
     by_part = Window.orderBy("part")
     whole = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     after = firsts.select(F.col("part").alias("of_part"), F.coalesce(
         F.lead("first").over(by_part), F.first("first").over(whole)).alias("after"))
-    inside = ranged.withColumn("up", F.lead("k").over(Window.partitionBy("part").orderBy("k")))
+    inside = ranged.withColumn("up", F.lead("own").over(Window.partitionBy("part").orderBy("own")))
     return (inside.join(F.broadcast(after), F.col("part") == F.col("of_part"))
-            .select(F.col("k.id").alias("id"), F.coalesce("up", "after").alias("up"))
-            .select("id", F.col("up.id").alias("up_id"), F.col("up.half").alias("up_half")))
+            .select(F.col("own.k").alias("k"), F.coalesce("up", "after").alias("up"))
+            .select("k", F.col("up.k").alias("up_k"), F.col("up.half").alias("up_half")))
 
 
 def compare_with_edits(spark: SparkSession, docs: DataFrame, scale: int = SCALE, id_col: str = "doc_id",
@@ -99,20 +99,18 @@ def compare_with_edits(spark: SparkSession, docs: DataFrame, scale: int = SCALE,
     empty; NULL is the smallest id; of rows with equal ids the smallest text is
     the neighbour; a lone document is its own; extra columns are not read.
     """
-    named = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    # A struct of the id is equal to itself even if the id is NULL, so plain joins and groupings by it share a shuffle.
+    named = docs.select(F.struct(F.col(id_col).alias("id")).alias("k"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     half = F.floor(F.char_length("text") / 2).cast("int")
-    ids = named.groupBy("id").agg(F.max(half).alias("half"))
     # To each document: who needs it as its next document, and how much of it.
-    needed = following(ids)
-    source = named.select(F.col("id").alias("of_id"), "text")
-    lent = (source.join(needed, F.col("of_id").eqNullSafe(F.col("id")))
-            .select("up_id", F.substring("text", F.lit(1), F.col("up_half")).alias("lead"),
-                    sketch(F.col("text"), scale).alias("next"))
-            .groupBy("up_id").agg(F.min(F.struct("lead", "next")).alias("lent")))
+    needed = following(named.groupBy("k").agg(F.max(half).alias("half")))
+    lent = (named.join(needed, "k")
+            .select("up_k", F.substring("text", F.lit(1), F.col("up_half")).alias("lead"), sketch(F.col("text"), scale).alias("next"))
+            .groupBy("up_k").agg(F.min(F.struct("lead", "next")).alias("lent")))
     n = F.char_length("text")
-    joined = named.join(lent, F.col("id").eqNullSafe(F.col("up_id")))
+    joined = named.join(lent, F.col("k") == F.col("up_k"))
     edited = F.concat(F.substring("text", F.lit(1), n - F.floor(n / 2).cast("int")),
                       F.substring("lent.lead", F.lit(1), F.floor(n / 2).cast("int")))
-    return (joined.select("id", n.cast("long").alias("n_chars"), sketch(F.col("text"), scale).alias("own"),
+    return (joined.select("k.id", n.cast("long").alias("n_chars"), sketch(F.col("text"), scale).alias("own"),
                           edited.alias("edited_text"), F.col("lent.next").alias("next"))
             .withColumn("edited", sketch(F.col("edited_text"), scale)))
