@@ -1,4 +1,5 @@
 import random
+from fractions import Fraction
 from itertools import combinations
 
 import numpy as np
@@ -117,3 +118,41 @@ def test_one_row_of_every_class_without_ids(spark):
     rows = [(None, "a b"), (None, "a  b"), (None, "c"), (None, "d"), (4, "d"), (5, "e")]
     kept = pm.keep_one(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(((r.doc_id, " ".join(r.text.split())) for r in kept), key=str) == [(4, "d"), (5, "e"), (None, "a b"), (None, "c")]
+
+
+def exact_definition(a, b):
+    a, b = ({e: int(x) for e, x in zip(s[0].tolist(), s[1])} for s in (a, b))
+    return sum(1 / sum(max(Fraction(a.get(e, 0), a[d]), Fraction(b.get(e, 0), b[d])) for e in a.keys() | b.keys()) for d in a.keys() & b.keys())
+
+
+def test_exact_likeness_without_rounding():
+    rnd = random.Random(5)
+    for _ in range(100):
+        a, b = weighted(rnd, rnd.randint(1, 25)), weighted(rnd, rnd.randint(1, 25))
+        assert pm.exact_likeness(a, b) == exact_definition(a, b)
+        assert pm.alike(a, b) == (exact_definition(a, b) >= Fraction(4, 5))
+
+
+def pair_at_threshold(k, name):
+    """Two texts with 4k common ones of 5k shingles, and a third with one common shingle less."""
+    words = [f"{name}{i}" for i in range(5 * k + 4)]
+    return " ".join(words), " ".join(words[:4 * k + 4]), " ".join(words[:4 * k + 3])
+
+
+def test_pairs_at_the_threshold_are_alike():
+    for k in range(1, 200):
+        whole, at, under = (pm.shingles(pm.words_of(t)) for t in pair_at_threshold(k, "w"))
+        assert pm.alike(whole, at) and pm.alike(at, whole) and not pm.alike(whole, under) and not pm.alike(under, whole)
+    twice = [(s[0], s[1] * 2) for s in map(pm.shingles, map(pm.words_of, pair_at_threshold(3, "w")))]
+    assert pm.alike(*twice[:2]) and not pm.alike(twice[0], twice[2])
+
+
+@pytest.mark.parametrize("pivots", [True, False])
+def test_classes_of_pairs_at_the_threshold(spark, monkeypatch, pivots):
+    """On both ways that pairs are compared, those whose rounded sum is under 0.8."""
+    if not pivots:
+        monkeypatch.setattr(pm, "_pivot_pairs", lambda members: members.select(F.col("key").alias("a"), F.col("key").alias("b")))
+    sizes = [k for k in range(1, 100) if pm.likeness(*(pm.shingles(pm.words_of(t)) for t in pair_at_threshold(k, "w")[:2])) < pm.THRESHOLD]
+    rows = [(2 * k + i, pair_at_threshold(k, f"n{k}w")[i]) for k in sizes for i in (0, 1)]
+    got = pm.classes(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(sizes) > 20 and {(r.id, r.class_id) for r in got} == {(i, i // 2 * 2) for i, _ in rows}

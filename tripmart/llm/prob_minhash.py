@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,8 @@ from tripmart.llm.components import connected_components
 SHINGLE = 5
 REGISTERS, ROWS = 80, 4
 THRESHOLD = 0.8
+#: Sums of rounded terms nearer to the threshold than this are decided exactly.
+ROUNDING = 1e-9
 #: Sketches of pairs at the threshold agree less than this once in some 100,000 pairs.
 LEAST_AGREEMENT = 0.6
 #: Documents and bytes of text of a block.
@@ -109,19 +112,38 @@ def bands_of(values: np.ndarray, rows: int = ROWS) -> np.ndarray:
     return total.view(np.int64)
 
 
-def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Exact probability Jaccard likeness of two weighted shingle sets: the sum
-    over common shingles d of 1 / sum over all e of max(a(e)/a(d), b(e)/b(d))."""
-    common, at_a, at_b = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    if not len(common):
-        return 0.0
+def _common_terms(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, ...]:
+    """For each common shingle d, by a(d) / b(d): a(d), b(d), the weights of a
+    that count in its term's sum over a(d), and those of b over b(d)."""
+    _, at_a, at_b = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
     wa, wb = a[1][at_a], b[1][at_b]
     order = np.argsort(wa / wb, kind="stable")
     wa, wb = wa[order], wb[order]
     from_here = np.cumsum(wa[::-1])[::-1]
     before = np.cumsum(wb) - wb
     only_a, only_b = a[1].sum() - wa.sum(), b[1].sum() - wb.sum()
-    return float((1 / ((from_here + only_a) / wa + (before + only_b) / wb)).sum())
+    return wa, wb, from_here + only_a, before + only_b
+
+
+def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
+    """Probability Jaccard likeness of two weighted shingle sets: the sum over
+    common shingles d of 1 / sum over all e of max(a(e)/a(d), b(e)/b(d))."""
+    wa, wb, of_a, of_b = _common_terms(a, b)
+    return float((1 / (of_a / wa + of_b / wb)).sum())
+
+
+def exact_likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> Fraction:
+    """As ``likeness``, without rounding; weights are counts.  Shingles of equal
+    weights have equal terms, so there are few different ones."""
+    wa, wb, of_a, of_b = (x.astype(np.int64) for x in _common_terms(a, b))
+    terms, times = np.unique(np.stack([wa * wb, of_a * wb + of_b * wa]), axis=1, return_counts=True)
+    return sum((Fraction(n * x, y) for x, y, n in zip(*terms.tolist(), times.tolist())), Fraction(0))
+
+
+def alike(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> bool:
+    """Whether the likeness is THRESHOLD or more, a likeness of just THRESHOLD included."""
+    near = likeness(a, b) - THRESHOLD
+    return near > 0 if abs(near) > ROUNDING else exact_likeness(a, b) >= Fraction(str(THRESHOLD))
 
 
 def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,7 +172,7 @@ def _compare_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         for text, other in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()):
             if held[0] != other:  # the pairs of a pivot mostly come one after another
                 held = (other, shingles(words_of(other)))
-            good.append(likeness(shingles(words_of(text)), held[1]) >= THRESHOLD)
+            good.append(alike(shingles(words_of(text)), held[1]))
         yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
 
@@ -195,7 +217,7 @@ def _block_links(table: pa.Table) -> pa.Table:
     links = []
     for _, i, j in sorted(pairs):
         x, y = find(first[1][i]), find(second[1][j])
-        if x != y and likeness(shingles_of(first, i), shingles_of(second, j)) >= THRESHOLD:
+        if x != y and alike(shingles_of(first, i), shingles_of(second, j)):
             root[max(x, y)] = min(x, y)
             links.append((first[0][i], second[0][j]))
     a, b = zip(*links) if links else ((), ())
