@@ -156,3 +156,16 @@ def test_classes_of_pairs_at_the_threshold(spark, monkeypatch, pivots):
     rows = [(2 * k + i, pair_at_threshold(k, f"n{k}w")[i]) for k in sizes for i in (0, 1)]
     got = pm.classes(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert len(sizes) > 20 and {(r.id, r.class_id) for r in got} == {(i, i // 2 * 2) for i, _ in rows}
+
+
+def test_keep_one_of_repeated_ids_with_different_texts(spark):
+    """Every class keeps one row, whatever ids its texts share with others."""
+    long = " ".join(f"v{i}" for i in range(100))
+    rows = [(1, long, "p"), (1, "other words", "p"), (2, long + " end", "p"), (3, "other words", "p"), (1, "other  words", "q"),
+            (5, "more", "p"), (5, "words", "p"), (None, "more", "p")]
+    results = []
+    for data in (rows, rows[::-1]):
+        docs = spark.createDataFrame(data, "doc_id long, text string, source string")
+        results.append(sorted(tuple(r) for r in pm.keep_one(spark, docs.repartition(4)).collect()))
+    assert results[0] == results[1]
+    assert [(i, " ".join(t.split())) for i, t, _ in results[0]] == sorted([(1, long), (1, "other words"), (5, "more"), (5, "words")])

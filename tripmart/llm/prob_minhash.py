@@ -292,11 +292,13 @@ def classes(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_c
     rows are copies; a NULL id is never the smallest, and a class of NULL ids
     only has a NULL class; an empty table has no rows; other columns are not read.
     """
-    return _keyed_classes(spark, docs, id_col, text_col).select("id", "copy_id", "class_id")
+    every, joined = _keyed_components(spark, docs, id_col, text_col)
+    smallest = _stored_groups(joined.groupBy("component").agg(F.min("copy_id").alias("class_id")))
+    return every.select("id", "key").join(joined.join(smallest, "component"), "key").select("id", "copy_id", "class_id")
 
 
-def _keyed_classes(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """As ``classes``, with each row's words' hash and its component."""
+def _keyed_components(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The sketches of all rows; (key, copy_id, component) of all words' hashes."""
     named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     every = materialize(sketches(named, "id", "text"), "sketches")
     copies = materialize(every.groupBy("key").agg(F.min("id").alias("copy_id"), F.first("bands").alias("bands"),
@@ -315,9 +317,7 @@ def _keyed_classes(spark: SparkSession, docs: DataFrame, id_col: str, text_col:
     if not more.isEmpty():
         component = _components(links.unionByName(more))
     joined = copies.select("key", "copy_id").join(component, "key", "left").withColumn("component", F.coalesce("component", "key"))
-    joined = materialize(joined, "classes")
-    smallest = _stored_groups(joined.groupBy("component").agg(F.min("copy_id").alias("class_id")))
-    return every.select("id", "key").join(joined.join(smallest, "component"), "key")
+    return every, materialize(joined, "classes")
 
 
 def _texts(named: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -336,20 +336,23 @@ def _texts(named: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, one of each class: that with the smallest id; of a
-    class of NULL ids only one row.  A repeated id is one document, of which
-    one row stays.
+    """The rows of ``docs``, one of each class: that with the smallest id, NULL
+    ids last, and of equal ids the smallest hash of the words.  Texts of other
+    classes under the same id stay as well; of rows with the same id and words
+    that with the smallest hash of its columns stays.
     """
-    found = materialize(_keyed_classes(spark, docs, id_col, text_col), "found")
-    kept = found.select(F.col("class_id").alias("kept_id")).dropna().distinct()
-    rows = docs.join(kept, F.col(id_col) == F.col("kept_id"), "left_semi").dropDuplicates([id_col])
-    nameless = found.where("class_id is null").groupBy("component").agg(F.min("key").alias("kept_key")).select("kept_key")
-    key = "words_key_" + "_" * max(map(len, docs.columns))
+    _, joined = _keyed_components(spark, docs, id_col, text_col)
+    first = joined.groupBy("component").agg(F.min(F.struct(F.col("copy_id").isNull(), F.col("copy_id").alias("id"), "key")).alias("first"))
+    kept = first.select(F.struct("first.id", "first.key").alias("kept"))
+    unused = "_" * max(map(len, docs.columns))
+    key, mark, row = "words_key_" + unused, "mark_" + unused, "row_" + unused
 
     def with_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, text_col):
             yield batch.append_column(key, pa.array([key_of(words_of(t)) for t in batch.column(text_col).to_pylist()], pa.binary()))
-    schema = StructType([*docs.schema.fields, StructField(key, BinaryType())])
-    nulls = docs.where(F.col(id_col).isNull()).mapInArrow(with_key, schema)
-    nulls = nulls.join(nameless, F.col(key) == F.col("kept_key"), "left_semi").dropDuplicates([key]).drop(key)
-    return rows.unionByName(nulls)
+    keyed = docs.mapInArrow(with_key, StructType([*docs.schema.fields, StructField(key, BinaryType())]))
+    marked = keyed.withColumn(mark, F.struct(F.col(id_col).alias("id"), F.col(key).alias("key"))).drop(key)
+    # The id and the words' hash are one column, so that the join's partitions are those of the groups, and NULL ids meet.
+    rows = marked.join(kept, F.col(mark) == F.col("kept"), "left_semi")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return rows.groupBy(mark).agg(F.min_by(whole, F.sha2(F.to_json(whole), 256)).alias(row)).select(f"{row}.*")
