@@ -74,3 +74,19 @@ def test_no_documents_or_no_trusted_ones(spark, no_docs, some_docs):
 def test_the_trusted_target_is_bounded(spark, some_docs):
     counts = ng.bucket_counts(some_docs, some_docs.select("doc_id"), most_trusted=3)
     assert counts.agg({"target": "sum"}).first()[0] < counts.agg({"raw": "sum"}).first()[0] / 10
+
+
+def test_every_trusted_document_is_counted(spark):
+    """More of them than the 20,000 that were once the most."""
+    docs = spark.range(20_500).selectExpr("id as doc_id", "concat('a b', id % 7) as text")
+    got = ng.bucket_counts(docs, docs.select("doc_id")).agg({"raw": "sum", "target": "sum"}).first()
+    assert got["sum(raw)"] == got["sum(target)"] == 3 * 20_500
+
+
+def test_a_target_of_little_evidence_weighs_little(spark):
+    def ratios(target, **options):
+        rows = [(0, 100_000, target), (1, 100_000, 0)]
+        return ng.log_ratios(spark.createDataFrame(rows, "bucket int, raw long, target long"), buckets=2, **options)
+    assert [abs(r) < 0.1 * abs(p) for r, p in zip(ratios(6, rare_target=ng.RARE_TARGET), ratios(6))] == [True, True]
+    assert ratios(60_000, rare_target=ng.RARE_TARGET) == ratios(60_000)
+    assert ratios(0, rare_target=ng.RARE_TARGET) == [0.0, 0.0]

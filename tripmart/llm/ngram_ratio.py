@@ -20,13 +20,13 @@ from pyspark.sql import functions as F
 from tripmart.llm.common import let, let_all, runs_of, word_hashes, words_of
 
 BUCKETS = 1 << 15
-#: Rows of the trusted target that are used at most; chosen by a hash of their id.
-MOST_TRUSTED = 20_000
 #: Documents with a lower mean log ratio are not kept.
 THRESHOLD = -0.05
 SMOOTHING = 1.0
 #: A bucket seen r times in the corpus counts with the weight r / (r + RARE).
 RARE = 100.0
+#: The same for the target: the count that a bucket would have in it if the target were like the corpus.
+RARE_TARGET = 30.0
 SYMBOLS = "[#*$%&|<>]"
 
 
@@ -56,17 +56,18 @@ def gram_buckets(hashes: Column, buckets: int) -> Column:
 
 
 def bucket_counts(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, id_col: str = "doc_id",
-                  text_col: str = "text", most_trusted: int = MOST_TRUSTED) -> DataFrame:
+                  text_col: str = "text", most_trusted: int | None = None) -> DataFrame:
     """(bucket, raw, target): n-grams of all documents and of the trusted ones.
 
-    ``trusted`` has the ids in its first column; at most ``most_trusted`` of
-    them are used, which bounds what is broadcast.
+    ``trusted`` has the ids in its first column; all of them are used unless
+    the caller sets a bound, which takes the first by a hash.
     """
     name = trusted.columns[0]
-    ids = (trusted.select(F.col(name).alias("trusted_id")).where(F.col("trusted_id").isNotNull()).distinct()
-           .orderBy(F.xxhash64("trusted_id"), "trusted_id").limit(most_trusted))
+    ids = (trusted.select(F.col(name).alias("trusted_id")).where(F.col("trusted_id").isNotNull()).distinct())
+    if most_trusted is not None:
+        ids = ids.orderBy(F.xxhash64("trusted_id"), "trusted_id").limit(most_trusted)
     named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    flagged = named.join(F.broadcast(ids), F.col("id") == F.col("trusted_id"), "left")
+    flagged = named.join(ids, F.col("id") == F.col("trusted_id"), "left")
     grams = flagged.select(F.col("trusted_id").isNotNull().cast("long").alias("is_target"),
                            F.explode(let(word_hashes(words_of(F.col("text"))),
                                          lambda h: gram_buckets(h, buckets))).alias("bucket"))
@@ -74,15 +75,21 @@ def bucket_counts(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, i
 
 
 def log_ratios(counts: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING,
-               rare: float = RARE) -> list[float]:
+               rare: float = RARE, rare_target: float = 0.0) -> list[float]:
     """The log ratio of every bucket, drawn towards 0 for buckets hardly ever
-    seen; the counts are at most ``buckets`` rows."""
+    seen, or, with ``rare_target``, hardly ever to be expected in the target;
+    the counts are at most ``buckets`` rows."""
     raw, target = [0] * buckets, [0] * buckets
     for r in counts.select("bucket", "raw", "target").toLocalIterator():
         raw[r["bucket"]], target[r["bucket"]] = r["raw"], r["target"]
     from_raw = sum(raw) + smoothing * buckets
     from_target = sum(target) + smoothing * buckets
-    return [round((math.log((t + smoothing) / from_target) - math.log((r + smoothing) / from_raw)) * r / (r + rare), 5)
+    share = sum(target) / max(sum(raw), 1)
+
+    def weight(r: int) -> float:
+        expected = r * share
+        return min(r / (r + rare), expected / (expected + rare_target) if expected else float(not rare_target))
+    return [round((math.log((t + smoothing) / from_target) - math.log((r + smoothing) / from_raw)) * weight(r), 5)
             for r, t in zip(raw, target)]
 
 
@@ -129,4 +136,4 @@ def judge(docs: DataFrame, ratios: list[float], threshold: float = THRESHOLD, id
 
 def filter_by_ratio(spark: SparkSession, docs: DataFrame, trusted: DataFrame, **options) -> DataFrame:
     """Count, weigh and judge all documents."""
-    return judge(docs, log_ratios(bucket_counts(docs, trusted)), **options)
+    return judge(docs, log_ratios(bucket_counts(docs, trusted), rare_target=RARE_TARGET), **options)
