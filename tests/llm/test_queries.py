@@ -10,7 +10,7 @@ from tripmart.llm.queries import ORACLE, QUERIES
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_rows_as_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "conversations", "labels"):
+    for t in ("documents", "pages", "conversations", "labels", "benchmark"):
         con.sql(f"create view {t} as from '{SF}/{t}.parquet'")
     got = QUERIES[name](spark, SF)
     columns = sorted(got.columns)

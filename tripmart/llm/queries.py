@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.llm import (
-    chat_format, maxent_lm, ngram_ratio, piece_codec, prob_minhash, redirects, rule_ensemble, scaled_sketch, toxicity, vector_packing)
+    chat_format, lexical_search, main_text, maxent_lm, ngram_ratio, piece_codec, prob_minhash, redirects, rule_ensemble,
+    scaled_sketch, toxicity, vector_packing)
 from tripmart.llm.common import materialize
 from tripmart.llm.labelled import fold_of, usable
 from tripmart.sources.adapter import table
@@ -206,3 +207,45 @@ def op5_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = maxent_lm.train_and_score(spark, table(spark, sf_dir, "documents"), fold_of(F.col("doc_id"), 5) != 1)
     return scored.select(F.col("id").alias("doc_id"), (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
                          "base_score", "score")
+
+
+@query
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    rows = main_text.extract(table(spark, sf_dir, "pages"))
+    return rows.select(F.col("id").alias("page_id"), "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+# The tables' pages hold one article of headings and paragraphs, which SQL can cut out by its tags.
+ORACLE["op11_main_text"] = r"""
+with a as (select page_id, url, coalesce(regexp_extract(html, '<article>(.*)</article>', 1, 's'), '') as article from pages),
+b as (
+  select page_id, url, list_filter(list_transform(regexp_split_to_array(article, '</?(?:h1|p)>'), lambda x: trim(regexp_replace(
+    replace(replace(replace(replace(regexp_replace(regexp_replace(replace(x, '<br>', ' '), '<[^>]*>', '', 'g'), '&amp;?', '&#38', 'g'),
+      '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&#38', '&'), '\s+', ' ', 'g'))), lambda x: x <> '') as blocks from a)
+select page_id, url, coalesce(array_to_string(blocks, chr(10)), '') as text, length(coalesce(array_to_string(blocks, chr(10)), '')) as n_chars
+from b"""
+
+
+@query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return lexical_search.search(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
+
+
+_TERMS_SQL = r"regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+ORACLE["op13_lexical_search"] = f"""
+with d as (select row_number() over () as doc, doc_id, {_TERMS_SQL} as terms from documents),
+q as (select distinct item_id, translate(unnest({_TERMS_SQL}), '{redirects.UPPER}', '{redirects.LOWER}') as term from benchmark),
+s as (select count(*) filter (len(terms) > 0) as n_docs, sum(len(terms))::bigint as all_terms from d),
+o as (select doc, any_value(doc_id) as doc_id, any_value(len(terms))::bigint as n, term, count(*) as tf
+  from (select doc, doc_id, terms, translate(unnest(terms), '{redirects.UPPER}', '{redirects.LOWER}') as term from d) group by doc, term),
+w as (select term, cast(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) as bigint) as w from o, s group by term, n_docs),
+sums as (
+  select item_id, doc, any_value(doc_id) as doc_id,
+    cast(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // all_terms)))) as bigint) as score
+  from q join o using (term) join w using (term), s group by item_id, doc),
+ranked as (
+  select item_id, doc_id, score, row_number() over (partition by item_id order by score desc, doc_id nulls first) as rank
+  from sums where score > 0)
+select item_id, cast(rank as integer) as rank, doc_id, score from ranked where rank <= 10"""
