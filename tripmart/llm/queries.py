@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.llm import (
-    chat_format, lexical_search, main_text, maxent_lm, ngram_ratio, piece_codec, prob_minhash, redirects, rule_ensemble,
+    chat_format, lexical_search, main_text, maxent_lm, ngram_ratio, piece_codec, prefix_trie, prob_minhash, redirects, rule_ensemble,
     scaled_sketch, toxicity, vector_packing)
 from tripmart.llm.common import materialize
 from tripmart.llm.labelled import fold_of, usable
@@ -227,6 +227,51 @@ select page_id, url, coalesce(array_to_string(blocks, chr(10)), '') as text, len
 from b"""
 
 
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes of the rebuilt conversations' prefix trie."""
+    turns = prefix_trie.rebuilt(table(spark, sf_dir, "conversations"))
+    return prefix_trie.nodes(spark, turns)
+
+
+# The remainder of the unsigned crc32 of a decimal, bit by bit.
+_HEAD_SQL = """cast(xor(list_reduce(list_concat([4294967295::bigint], flatten(list_transform(string_split(cast(c as varchar), ''),
+  lambda x: list_transform(range(8), lambda i: (ascii(x)::bigint >> i) & 1)))),
+  lambda r, b: case when (r & 1) <> b then xor(r >> 1, 3988292384::bigint) else r >> 1 end), 4294967295::bigint) % 9 as bigint)"""
+ORACLE["op12_prefix_trie"] = f"""
+with t as (
+  select *, row_number() over (partition by c order by turn nulls first, sha256(turn_text)) as i
+  from (select conv_id as c, turn, strlen(coalesce(text, '')) as bytes,
+    strlen(coalesce(role, '')) || ':' || coalesce(role, '') || strlen(coalesce(text, '')) || ':' || coalesce(text, '') as turn_text
+    from conversations where conv_id is not null)),
+k as (select c, {_HEAD_SQL} as h from (select distinct c from t)),
+r as (
+  select k.c, t.i, 0 as own, t.turn_text, t.bytes from k join t on t.c = k.c - k.c % 5 and t.i <= k.h
+  union all select k.c, t.i, 1, t.turn_text, t.bytes from k join t on t.c = k.c and t.i > k.h),
+p as (
+  select c, row_number() over w as depth, bytes, sha256(string_agg(turn_text, '') over w) as prefix
+  from r window w as (partition by c order by own, i)),
+a as (select c, 0 as depth, 0 as bytes, '' as prefix from k union all select c, depth, bytes, prefix from p),
+e as (select c, max(depth) as depth from a group by c),
+n as (
+  select a.depth, a.prefix, min(a.c) as conv_id, count(*) as n_convs, any_value(a.bytes) as bytes,
+    sha256(coalesce(string_agg(cast(a.c as varchar), ',' order by a.c) filter (e.depth = a.depth), '')) as ends_sha256
+  from a join e using (c) group by a.depth, a.prefix),
+up as (
+  select n.depth, n.prefix, n.n_convs, n.bytes, x.depth as over_depth, x.prefix as over_prefix
+  from n join a x on x.c = n.conv_id and x.depth <= n.depth),
+kids as (select over_depth as depth, over_prefix as prefix, count(*) as n_children from up where depth = over_depth + 1 group by all),
+sums as (
+  select over_depth as depth, over_prefix as prefix, sum((n_convs - 1) * bytes) as saved_tokens,
+    count(*) filter (not exists (select 1 from kids where kids.depth = up.depth and kids.prefix = up.prefix)) as n_leaves
+  from up group by all)
+select n.conv_id, n.depth, m.conv_id as parent_conv_id, n.n_convs, coalesce(kids.n_children, 0) as n_children, sums.n_leaves,
+  cast(sums.saved_tokens as bigint) as saved_tokens, n.ends_sha256
+from n join sums using (depth, prefix) left join kids using (depth, prefix)
+left join (select up.depth, up.prefix, n.conv_id from up join n on n.depth = up.over_depth and n.prefix = up.over_prefix
+  where up.depth = up.over_depth + 1) m on m.depth = n.depth and m.prefix = n.prefix"""
+
+
 @query
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best documents of every benchmark item."""
