@@ -50,10 +50,13 @@ def test_statistics_and_scores_against_brute_force(spark, some_docs, odd_docs):
             if r.doc_id in ids:
                 target.update(buckets(r.text, n))
         assert {r.bucket: (r.raw, r.target) for r in counts.collect()} == {b: (raw[b], target[b]) for b in raw}
-        ratios = ng.log_ratios(counts, buckets=n)
-        expect = [round((math.log((target[b] + 1) / (sum(target.values()) + n))
-                         - math.log((raw[b] + 1) / (sum(raw.values()) + n))) * raw[b] / (raw[b] + ng.RARE), 5) for b in range(n)]
-        assert ratios == pytest.approx(expect, abs=2e-5)
+        for rare_target in (ng.RARE_TARGET, 0.0):
+            ratios = ng.log_ratios(counts, buckets=n, rare_target=rare_target)
+            likely = [raw[b] * sum(target.values()) / max(1, sum(raw.values())) for b in range(n)]
+            weight = [min(raw[b] / (raw[b] + ng.RARE), x / (x + rare_target) if x else 1.0 - bool(rare_target)) for b, x in enumerate(likely)]
+            expect = [round((math.log((target[b] + 1) / (sum(target.values()) + n))
+                             - math.log((raw[b] + 1) / (sum(raw.values()) + n))) * weight[b], 5) for b in range(n)]
+            assert ratios == pytest.approx(expect, abs=2e-5)
         key = lambda x: (x[0] is None, x[0] or 0, x[1:])
         got = sorted(((r.id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in
                       ng.judge(docs, ratios).collect()), key=key)
@@ -90,3 +93,19 @@ def test_a_target_of_little_evidence_weighs_little(spark):
     assert [abs(r) < 0.1 * abs(p) for r, p in zip(ratios(6, rare_target=ng.RARE_TARGET), ratios(6))] == [True, True]
     assert ratios(60_000, rare_target=ng.RARE_TARGET) == ratios(60_000)
     assert ratios(0, rare_target=ng.RARE_TARGET) == [0.0, 0.0]
+
+
+def test_the_map_lets_all_trusted_rows_through(spark, some_docs):
+    ids = some_docs.select("doc_id").where("doc_id % 3 = 0")
+    for bits, most in ((1 << 26, 1.0), (1 << 16, 1.1), (8, 9.0)):
+        kept = [r.doc_id for r in ng.with_mapped_id(some_docs.select("doc_id"), ids, "doc_id", bits).collect()]
+        assert set(kept) >= {r.doc_id for r in ids.collect()} and len(kept) <= most * ids.count()
+    want = sorted(map(tuple, ng.bucket_counts(some_docs, ids, 64).collect()))
+    assert sorted(map(tuple, ng.bucket_counts(some_docs, ids, 64, map_bits=8).collect())) == want
+
+
+def test_the_same_plan_at_every_size(spark, some_docs):
+    """Only the bounded map is broadcast; the raw counts need no join."""
+    plan = ng.bucket_counts(some_docs, some_docs.select("doc_id"))._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+    assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == 1

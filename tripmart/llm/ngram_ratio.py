@@ -55,23 +55,47 @@ def gram_buckets(hashes: Column, buckets: int) -> Column:
                     F.transform(runs_of(hashes, 2), lambda h: F.pmod(h, F.lit(buckets)).cast("int")))
 
 
+#: Bits of the map of trusted ids that spares other rows' texts the shuffle (8 MB).
+MAP_BITS = 1 << 26
+_BITMAP = 32_768
+
+
+def with_mapped_id(rows: DataFrame, ids: DataFrame, id_col: str, map_bits: int = MAP_BITS) -> DataFrame:
+    """The rows whose id has its bit in a bitmap of the hashed ``ids`` (one
+    column): all rows with one of these ids and few others.  The map is
+    broadcast; it has ``map_bits`` bits at most, whatever the number of ids."""
+    spot = F.pmod(F.xxhash64(F.col(id_col)), F.lit(map_bits))
+    part, place = F.floor(spot / _BITMAP), (spot % _BITMAP).cast("int")
+    bits = ids.select(F.col(ids.columns[0]).alias(id_col)).groupBy(part.alias("map_part")).agg(
+        F.bitmap_construct_agg(place).alias("map"))
+    byte = F.conv(F.hex(F.substring(F.col("map"), F.floor(F.col("map_place") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return (rows.withColumn("map_part", part).withColumn("map_place", place).join(F.broadcast(bits), "map_part")
+            .where(F.getbit(byte, F.col("map_place") % 8) == 1).drop("map_part", "map_place", "map"))
+
+
 def bucket_counts(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, id_col: str = "doc_id",
-                  text_col: str = "text", most_trusted: int | None = None) -> DataFrame:
+                  text_col: str = "text", most_trusted: int | None = None, map_bits: int = MAP_BITS) -> DataFrame:
     """(bucket, raw, target): n-grams of all documents and of the trusted ones.
 
     ``trusted`` has the ids in its first column; all of them are used unless
     the caller sets a bound, which takes the first by a hash.
+
+    The raw counts come from one scan without a join.  For the target, a
+    bounded bitmap lets the trusted rows and few others through, and a join on
+    the ids decides; it is the same kind of join at every size, and moves about
+    as much text as is trusted.
     """
     name = trusted.columns[0]
     ids = (trusted.select(F.col(name).alias("trusted_id")).where(F.col("trusted_id").isNotNull()).distinct())
     if most_trusted is not None:
         ids = ids.orderBy(F.xxhash64("trusted_id"), "trusted_id").limit(most_trusted)
     named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    flagged = named.join(ids, F.col("id") == F.col("trusted_id"), "left")
-    grams = flagged.select(F.col("trusted_id").isNotNull().cast("long").alias("is_target"),
-                           F.explode(let(word_hashes(words_of(F.col("text"))),
-                                         lambda h: gram_buckets(h, buckets))).alias("bucket"))
-    return grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("is_target").alias("target"))
+    target = with_mapped_id(named, ids, "id", map_bits).join(ids.hint("merge"), F.col("id") == F.col("trusted_id")).select("text")
+
+    def grams(rows: DataFrame, raw: int) -> DataFrame:
+        every = F.explode(let(word_hashes(words_of(F.col("text"))), lambda h: gram_buckets(h, buckets)))
+        return rows.select(every.alias("bucket"), F.lit(raw).cast("long").alias("raw"), F.lit(1 - raw).cast("long").alias("target"))
+    return grams(named, 1).unionByName(grams(target, 0)).groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
 
 
 def log_ratios(counts: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING,
