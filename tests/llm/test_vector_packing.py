@@ -64,3 +64,20 @@ def test_oversized_vectors_stand_alone(n):
 def test_ranks_and_tokenizer_agree(spark, odd_docs):
     plain = vp.tokenised_pieces(odd_docs, PATH).collect()
     assert sorted(map(str, plain)) == sorted(map(str, vp.tokenised_pieces(odd_docs, PATH, RANKS).collect()))
+
+
+@pytest.mark.parametrize("space", [" ", "\n", " \n\u00a0"])
+def test_long_runs_of_white_space(space):
+    """The faster encoder's pattern fails on them; the ids are the tokenizer's."""
+    import pyarrow as pa
+    n = 1_500_000 // len(space)
+    texts = ["a" + space * n + "b c", space * (vp.LONG_RUN // len(space) - 1) + "x", space * n]
+    batch = pa.record_batch([pa.array([1, 2, 3]), pa.array(texts)], names=["id", "text"])
+    tok = Tokenizer.from_file(PATH)
+    got = {}
+    for out in vp._token_pieces(iter([batch]), PATH, RANKS, 1024, 0):
+        for r in out.to_pylist():
+            got.setdefault(r["id"], []).append(r["ids_crc32"])
+    for i, text in enumerate(texts, 1):
+        ids = np.array(tok.encode(text, add_special_tokens=False).ids + [0], "<u4")
+        assert got[i] == [zlib.crc32(ids[s:s + 1024].tobytes()) for s in range(0, len(ids), 1024)]

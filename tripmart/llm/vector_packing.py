@@ -17,6 +17,7 @@ like any other rows.
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -32,6 +33,9 @@ from tripmart.llm.common import materialize, text_slices
 GROUP_ROWS = 8192
 #: The byte-level pattern that cuts a text before merging (a fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: White space in a row from which a text goes to the tokenizer itself.
+LONG_RUN = 50_000
+_LONG_SPACE = re.compile(rf"\s{{{LONG_RUN}}}")
 PIECES = ("start long, length long, ids_crc32 long, doc_tokens long, loss_tokens long, part int")
 OUT = ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "segment"]
 
@@ -53,11 +57,12 @@ def _token_pieces(batches: Iterator[pa.RecordBatch], json_path: str, ranks_path:
                   end_id: int) -> Iterator[pa.RecordBatch]:
     """Rows (id, start, length, ids_crc32, doc_tokens, loss_tokens, part) of each text."""
     tok, fast = _tokenizers(json_path, ranks_path)
-    # Only the tokenizer knows what its added tokens' strings in a text mean.
+    # Only the tokenizer knows what its added tokens' strings in a text mean, and
+    # only it takes any run of white space: the other's pattern goes back over it and fails on a long one.
     special = [t.content for t in tok.get_added_tokens_decoder().values()]
 
     def ids_of(text: str) -> list[int]:
-        if fast is None or any(s in text for s in special):
+        if fast is None or any(s in text for s in special) or (len(text) >= LONG_RUN and _LONG_SPACE.search(text)):
             return tok.encode(text, add_special_tokens=False).ids
         return fast.encode_ordinary(text)
 
