@@ -72,3 +72,18 @@ def test_odd_rows_and_missing_labels(spark, odd_docs, no_docs):
             scores = stats.select("id", re_.fit(rows).score(F.col("stats")).alias("score")).collect()
             assert len(scores) == n and all(0 <= r.score <= 1 for r in scores)
     assert spark.range(1).select(fold_of(F.lit(None).cast("long"), 3).alias("f")).first().f == 0
+
+
+def test_labels_that_no_statistic_tells_apart(spark):
+    """No rule grows: the score is the share of ones."""
+    rows = spark.range(60).select(re_.statistics_of(F.lit("the same text")).alias("stats"), (F.col("id") % 2).cast("int").alias("label"))
+    for labelled, share in ((rows, 0.5), (rows.where("id < 40 or label = 0"), 20 / 50)):
+        score = rows.limit(1).select(re_.fit(labelled).score(F.col("stats")).alias("s")).first().s
+        assert score == pytest.approx(share, abs=0.02)
+
+
+def test_every_path_reaches_the_lasso(spark):
+    """Without a penalty to speak of, more than the 150 rules that were once the most."""
+    noise = [F.pmod(F.xxhash64("id", F.lit(k)), F.lit(1000)) / 1000 for k in range(len(re_.STATISTICS))]
+    rows = spark.range(3000).select(F.struct(*[x.alias(n) for x, n in zip(noise, re_.STATISTICS)]).alias("stats"), ((noise[0] > 0.5) != (noise[7] * noise[9] > 0.2)).cast("int").alias("label"))
+    assert len(re_.fit(rows, lasso=0.0).rules) > 150

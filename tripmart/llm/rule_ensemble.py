@@ -95,22 +95,23 @@ def simplified(conditions: list[Condition]) -> tuple[Condition, ...]:
     return tuple((s, op, b) for (s, op), b in sorted(tight.items()))
 
 
-def fit(rows: DataFrame, trees: int = 20, depth: int = 3, lasso: float = 0.002, most_rules: int = 150, seed: int = 11) -> RuleModel:
-    """Model from rows of ``stats`` and ``label`` (0 or 1).  Without both labels
-    it scores the share of ones, 0.5 without any label."""
+def fit(rows: DataFrame, trees: int = 20, depth: int = 3, lasso: float = 0.002, seed: int = 11) -> RuleModel:
+    """Model from rows of ``stats`` and ``label`` (0 or 1).  All distinct paths
+    of the trees go to the lasso.  Without both labels, or where no statistic
+    tells them apart, it scores the share of ones, 0.5 without any label."""
     counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    share = (counts.get(1, 0) + 0.5) / (sum(counts.values()) + 1)
+    constant = RuleModel(math.log(share / (1 - share)), ())
     if len(counts) < 2:
-        share = (counts.get(1, 0) + 0.5) / (sum(counts.values()) + 1)
-        return RuleModel(math.log(share / (1 - share)), ())
+        return constant
     vector = array_to_vector(F.array(*[F.col("stats")[s] for s in STATISTICS]))
     weight = F.when(F.col("label") == 1, F.lit(1.0)).otherwise(F.lit(min(20.0, max(1.0, counts[1] / counts[0]))))
     forest = RandomForestClassifier(featuresCol="x", labelCol="label", weightCol="w", numTrees=trees, maxDepth=depth,
                                     subsamplingRate=0.7, featureSubsetStrategy="onethird", seed=seed)
     grown = forest.fit(rows.select(vector.alias("x"), F.col("label").cast("double").alias("label"), weight.alias("w")))
-    rules = sorted({r for t in grown.trees for r in paths(t.toDebugString)})
+    rules = sorted({r for t in grown.trees for r in paths(t.toDebugString)}, key=lambda r: (len(r), r))
     if not rules:
-        return fit(rows.where("label = 1"))
-    rules = sorted(rules, key=lambda r: (len(r), r))[:most_rules]
+        return constant
     hits = array_to_vector(F.array(*[F.when(holds(r, F.col("stats")), 1.0).otherwise(0.0) for r in rules]))
     lasso_fit = LogisticRegression(featuresCol="x", labelCol="label", elasticNetParam=1.0, regParam=lasso, maxIter=40,
                                    standardization=False)
