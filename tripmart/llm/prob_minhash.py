@@ -309,7 +309,7 @@ def _keyed_components(spark: SparkSession, docs: DataFrame, id_col: str, text_co
     central = materialize(members.groupBy("key").agg(F.sum("n").alias("weight")), "central")
     members = members.join(central, "key").select("band", "bucket", "key", "weight")
     # One text for each set of words that shares a bucket; the words' hash finds it among repeated ids.
-    wanted = every.select("id", "key").join(central.select("key"), "key").groupBy("key").agg(F.min("id").alias("id"))
+    wanted = copies.join(central, "key").select("key", F.col("copy_id").alias("id"))
     texts = materialize(_texts(named, wanted), "texts")
     links = materialize(_verified(_pivot_pairs(members), texts), "links")
     component = _components(links)
