@@ -108,3 +108,69 @@ def test_ledger_times_do_not_shift(spark, db, far_zone):
     assert {(r.load_id, r.at) for r in got} == {(x, "2024-01-01 12:00:00") for x in "abc"}
     loads.record_load(spark, f"{db}.ledger", "now", "loaded")
     assert spark.table(f"{db}.ledger").where("load_id = 'now' and abs(unix_micros(inserted_at) - unix_micros(current_timestamp())) < 6e7").count() == 1
+
+
+
+def test_a_merge_writes_its_output_once(spark, db, monkeypatch):
+    """No stored copy of a plain source, of the touched partitions or of the output."""
+    t = table(spark, db, [(i, "a", str(i % 4)) for i in range(40)])
+    table(spark, db, [(i, "b", str(i % 2)) for i in range(0, 60, 5)], "src")
+    copies = []
+    monkeypatch.setattr(S, "staged", lambda df, label: copies.append(label))
+    S.merge_upsert(spark.table(f"{db}.src"), t, ["id"], "p")
+    want = {**{i: ("a", str(i % 4)) for i in range(40)}, **{i: ("b", str(i % 2)) for i in range(0, 60, 5)}}
+    assert content(spark, t) == sorted(((i, *v) for i, v in want.items()), key=str)
+    S.write_delete_insert(spark.table(f"{db}.src").where("id > 30"), t, ["id"], "p")
+    assert copies == []
+
+
+def test_untouched_partitions_are_neither_read_nor_written(spark, db):
+    t = table(spark, db, [(i, "a", str(i % 4)) for i in range(40)])
+    files = lambda: {r.f: r.p for r in spark.table(t).select(F.input_file_name().alias("f"), "p").distinct().collect()}
+    before = files()
+    S.merge_upsert(spark.createDataFrame([(1, "x", "1"), (100, "y", "3")], ROWS), t, ["id"], "p")
+    after = files()
+    assert {p for f, p in before.items() if f in after} == {"0", "2"}
+    plan = S._rows_of(spark.table(t), "p", ["1", "it's"])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [p#" in plan and "it's" in plan
+
+
+def test_odd_partition_values_are_emptied(spark, db):
+    odd = ["it's", "a\\b", "x=y/z", "ü %"]
+    t = table(spark, db, [(i, "a", p) for i, p in enumerate(odd)])
+    S.merge_upsert(spark.createDataFrame([(i, "b", "new") for i in range(4)], ROWS), t, ["id"], "p")
+    assert content(spark, t) == [(i, "b", "new") for i in range(4)]
+
+
+def test_an_overwrite_without_a_row(spark, db):
+    """The window's only partition is emptied; an empty source touches nothing."""
+    rows = spark.createDataFrame([(1, "2024-01-02 10:00:00")], "id int, s string").select(
+        "id", F.col("s").cast("timestamp_ntz").alias("ts"), F.to_date("s").alias("d"))
+    S.write_replace(rows, f"{db}.w", ["d"])
+    S.merge_upsert(rows.where("id = 9"), f"{db}.w", ["id"], "d")
+    assert spark.table(f"{db}.w").count() == 1
+    S.write_time_interval(rows.where("id = 9"), f"{db}.w", "ts", "2024-01-02", "2024-01-03", "d")
+    assert spark.table(f"{db}.w").count() == 0
+
+
+def test_a_failed_refresh_leaves_the_table(spark, db):
+    """A row outside the window or in a partition beyond it fails the write; nothing is replaced."""
+    rows = spark.createDataFrame([(1, "2024-01-02 10:00:00"), (2, "2024-01-05 10:00:00")], "id int, s string").select(
+        "id", F.col("s").cast("timestamp_ntz").alias("ts"), F.to_date("s").alias("d"))
+    S.write_replace(rows, f"{db}.w", ["d"])
+    beyond = rows.where("id = 1").withColumn("d", F.lit("2024-01-05").cast("date"))
+    for bad in (rows, rows.withColumn("ts", F.lit(None).cast("timestamp_ntz")), beyond):
+        with pytest.raises(ValueError):
+            S.write_time_interval(bad, f"{db}.w", "ts", "2024-01-02", "2024-01-03", "d")
+        assert sorted(r.id for r in spark.table(f"{db}.w").collect()) == [1, 2]
+
+
+def test_the_writing_session_has_the_callers_settings(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        with S.session_like(spark, **{"spark.sql.sources.partitionOverwriteMode": "dynamic"}) as own:
+            assert own.conf.get("spark.sql.shuffle.partitions") == "13"
+            assert own.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "dynamic"
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")

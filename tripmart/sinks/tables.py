@@ -15,11 +15,13 @@ or driver loss converges.  One writer per table at a time.
 
 from __future__ import annotations
 
-import datetime as _dt
+import json
+import re
+import uuid
 from collections.abc import Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -35,16 +37,46 @@ class MergeKeyError(ValueError):
     """More than one source row per key in an upsert."""
 
 
-def overwrite_partitions(path: str, schema: StructType, spark: SparkSession, target: str) -> None:
-    """Dynamic partition overwrite of ``target`` with the rows stored at
-    ``path``.  The overwrite mode is a session setting that table inserts read,
-    so the write runs in a session of its own; other writers of the caller's
-    session are not affected."""
+@contextmanager
+def session_like(spark: SparkSession, **settings: str):
+    """A session of its own with the caller's settings and some others, so
+    that a write under other settings does not touch the caller's writers."""
     own = spark.newSession()
-    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    rows = own.read.schema(schema).parquet(path).select(*[f"`{c}`" for c in own.table(target).columns])
-    part = partition_columns(own, target)
-    spread(rows, part).write.insertInto(target, overwrite=True)
+    for key, value in {**spark.conf.getAll, **settings}.items():
+        if own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    yield own
+
+
+def overwrite_partitions(rows: DataFrame, target: str) -> list[str | None]:
+    """Replace the partitions of ``target`` in which ``rows`` has rows, by one
+    dynamic overwrite, and return them (as text; NULL is None).
+
+    ``rows`` is computed once and written once: it may read the target, as the
+    new files take the partitions' place only when the write is complete, and
+    the partitions are noted while the rows pass.  The overwrite mode is a
+    session setting, so the plan goes to a session of its own as a view."""
+    spark = rows.sparkSession
+    part = partition_columns(spark, target)[0]
+    name = f"overwrite_{uuid.uuid4().hex}"
+    noted = Observation(name)
+    values = F.to_json(F.collect_set(F.struct(F.col(part).cast("string").alias("value"))))
+    rows.select(*[f"`{c}`" for c in spark.table(target).columns]).createGlobalTempView(name)
+    try:
+        with session_like(spark, **{"spark.sql.sources.partitionOverwriteMode": "dynamic"}) as own:
+            seen = own.table(f"global_temp.{name}").observe(noted, values.alias("values"))
+            spread(seen, [part]).write.insertInto(target, overwrite=True)
+            try:
+                written = noted.get["values"]
+            except Exception:
+                # A plan found to be empty is not run, so nothing was noted and nothing written.
+                if not own.table(f"global_temp.{name}").isEmpty():
+                    raise
+                written = "[]"
+    finally:
+        spark.catalog.dropGlobalTempView(name)
+    spark.catalog.refreshTable(target)
+    return [v.get("value") for v in json.loads(written)]
 
 
 def spread(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -54,16 +86,6 @@ def spread(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partition_by) if partition_by else df
 
 
-def _sql_literal(v) -> str:
-    if isinstance(v, _dt.datetime):
-        return f"timestamp'{v.isoformat(sep=' ')}'"
-    if isinstance(v, _dt.date):
-        return f"date'{v.isoformat()}'"
-    if isinstance(v, str):
-        return "'" + v.replace("'", "''") + "'"
-    return str(v)
-
-
 def partition_columns(spark: SparkSession, name: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
@@ -251,34 +273,54 @@ def new_rows(src: DataFrame, target: str, keys: Sequence[str], dedupe_source: bo
     return anti_join(src, known, keys).select(*tgt.columns)
 
 
-def _touched_partitions(src: DataFrame, tgt: DataFrame, keys: Sequence[str], part: str) -> DataFrame:
-    """Partitions (one column, distinct) holding a source row or a target row
-    whose key is in the source; NULL is a partition like any other."""
-    return src.select(part).unionByName(semi_join(tgt.select(*keys, part), src, keys).select(part)).distinct()
+def _values(parts: DataFrame) -> list[str | None]:
+    """The distinct values of a partition column, as text; no more than the
+    table's partitions, which the catalog keeps on the driver as well."""
+    return [r[0] for r in parts.select(F.col(parts.columns[0]).cast("string").alias("value")).distinct().collect()]
 
 
-def _rows_of(tgt: DataFrame, parts: DataFrame, part: str) -> DataFrame:
-    """The target's rows in the given partitions (NULL included)."""
-    named = parts.select(F.col(part).alias("__touched"))
-    return tgt.join(named, F.col(part).eqNullSafe(F.col("__touched")), "left_semi")
+def _rows_of(tgt: DataFrame, part: str, values: list[str | None]) -> DataFrame:
+    """The target's rows in the given partitions (NULL included).  The values
+    are literals, so no other partition is listed or read."""
+    kind = tgt.schema[part].dataType
+    known = [F.lit(v).cast(kind) for v in values if v is not None]
+    found = F.col(part).isin(known) if known else F.lit(False)
+    return tgt.where(found | F.col(part).isNull() if None in values else found)
 
 
-def _swap_partitions(spark: SparkSession, out: DataFrame, target: str, part: str, touched: DataFrame) -> None:
-    """Replace the touched partitions by ``out``, computed once: a dynamic
-    overwrite of the partitions that have rows, then a drop of those left
-    empty (a dynamic overwrite never removes a partition it writes no row to).
-    Only the emptied partitions' values come to the driver."""
-    with staged(out.select(*spark.table(target).columns), "swap") as (rows, path):
-        empty = touched.select(F.col(part).alias("__touched")).join(
-            rows.select(part).distinct(), F.col("__touched").eqNullSafe(F.col(part)), "left_anti")
-        emptied = [r[0] for r in empty.collect()]
-        overwrite_partitions(path, rows.schema, spark, target)
-        for p in emptied:
-            value = "null" if p is None else _sql_literal(p)
-            spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({part} = {value})")
+def _swap_partitions(out: DataFrame, target: str, part: str, touched: list[str | None]) -> None:
+    """Replace the touched partitions by ``out``: one dynamic overwrite, then a
+    drop of those left empty (such an overwrite never removes a partition it
+    writes no row to)."""
+    spark = out.sparkSession
+    for value in set(touched) - set(overwrite_partitions(out, target)):
+        text = "null" if value is None else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({part} = {text})")
     spark.catalog.refreshTable(target)
 
 
+#: Plan steps whose rows come again alike and cheaply when they are read twice.
+_PLAIN_STEPS = frozenset("Relation Project Filter SubqueryAlias View Union LocalRelation".split())
+
+
+def reads_alike(df: DataFrame) -> bool:
+    """Whether reading ``df`` twice costs two plain scans and gives the same
+    rows: files, projections, filters and unions without a value of the moment."""
+    plan = df._jdf.queryExecution().analyzed()
+    steps = {re.split(r"[^A-Za-z]", line.lstrip(" :+-'"))[0] for line in plan.toString().splitlines() if line.strip()}
+    return bool(plan.deterministic()) and steps <= _PLAIN_STEPS and not re.search(r"current_|localtimestamp|\bnow\(", plan.toString())
+
+
+@contextmanager
+def read_alike(df: DataFrame, label: str):
+    """``df`` itself if it may be read several times, else its stored copy."""
+    if reads_alike(df):
+        yield df
+    else:
+        with staged(df, label) as (rows, _):
+            yield rows
+
+
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once as Parquet under the shared work folder and return a
     frame reading it: later actions reuse the files instead of recomputing
@@ -314,7 +356,7 @@ def merge_upsert(src: DataFrame, target: str, keys: Sequence[str], partition_col
     Only the partitions touched by the source (or by a matched target row,
     when a key moves partition) are rewritten."""
     spark = src.sparkSession
-    with staged(src.select(*spark.table(target).columns), "source") as (rows, _):
+    with read_alike(src.select(*spark.table(target).columns), "source") as rows:
         if check_unique and duplicate_keys(rows, keys, skip_null_keys=True).limit(1).count() > 0:
             raise MergeKeyError(f"source has more than one row for some key of {list(keys)}")
         _replace_by_keys(spark, rows, target, keys, partition_col)
@@ -325,13 +367,13 @@ def write_delete_insert(src: DataFrame, target: str, keys: Sequence[str],
     """Delete every target row whose key occurs in the source, then insert
     the source (SNK-10).  Keys need not be unique."""
     spark = src.sparkSession
-    with staged(src.select(*spark.table(target).columns), "source") as (rows, _):
+    with read_alike(src.select(*spark.table(target).columns), "source") as rows:
         _replace_by_keys(spark, rows, target, keys, partition_col)
 
 
 def _replace_by_keys(spark: SparkSession, src: DataFrame, target: str, keys: Sequence[str],
                      partition_col: str | None) -> None:
-    """``src`` is stored, so it may be read several times."""
+    """``src`` may be read several times."""
     tgt = spark.table(target)
     part = partition_col or (partition_columns(spark, target) or [None])[0]
     if part is None:
@@ -340,13 +382,17 @@ def _replace_by_keys(spark: SparkSession, src: DataFrame, target: str, keys: Seq
             out.write.insertInto(target, overwrite=True)
         spark.catalog.refreshTable(target)
         return
-    with staged(_touched_partitions(src, tgt, keys, part), "touched") as (touched, _):
-        keep = anti_join(_rows_of(tgt, touched, part), src, keys)
-        _swap_partitions(spark, keep.unionByName(src), target, part, touched)
+    # Partitions with a source row or a target row whose key is in the source; only keys and partitions are read for them.
+    touched = _values(src.select(part).unionByName(semi_join(tgt.select(*keys, part), src, keys).select(part)))
+    if touched:
+        _swap_partitions(anti_join(_rows_of(tgt, part, touched), src, keys).unionByName(src), target, part, touched)
 
 
 # --- time-interval refresh (SNK-9) -----------------------------------------
 
+OUTSIDE = "time_interval result has rows outside the window"
+
+
 def write_time_interval(result: DataFrame, target: str, key: str, start, end,
                         partition_col: str, partition_of=None) -> None:
     """Replace the target rows with ``start <= key < end`` by ``result``.
@@ -363,14 +409,19 @@ def write_time_interval(result: DataFrame, target: str, key: str, start, end,
     tgt = spark.table(target)
     like = tgt.schema[key].dataType
     window = in_window(key, start, end, like)
-    with staged(result.select(*tgt.columns), "window") as (rows, _):
-        if rows.where(~window | F.col(key).isNull()).limit(1).count() > 0:
-            raise ValueError("time_interval result has rows outside the window")
-        first = part_of(ts_literal(start, like))
-        last = part_of(ts_literal(end, like))
-        reached = tgt.where((F.col(partition_col) >= first) & (F.col(partition_col) <= last))
-        touched = reached.select(partition_col).unionByName(rows.select(partition_col)).distinct()
-        _swap_partitions(spark, reached.where(~window).unionByName(rows), target, partition_col, touched)
+    first, last = (part_of(ts_literal(t, like)) for t in (start, end))
+    in_reach = (F.col(partition_col) >= first) & (F.col(partition_col) <= last)
+    # A row outside the window or its partitions fails the write before anything is replaced.
+    fits = F.coalesce(window & in_reach, F.lit(False))
+    rows = result.select(*[F.when(fits, F.col(c)).otherwise(F.raise_error(F.lit(OUTSIDE)).cast(tgt.schema[c].dataType)).alias(c)
+                           if c == partition_col else F.col(c) for c in tgt.columns])
+    reached = tgt.where(in_reach)
+    try:
+        _swap_partitions(reached.where(~window).unionByName(rows), target, partition_col, _values(reached.select(partition_col)))
+    except Exception as e:
+        if OUTSIDE in str(e):
+            raise ValueError(OUTSIDE) from e
+        raise
 
 
 # --- clustered layout (SNK-11) ---------------------------------------------

@@ -86,7 +86,7 @@ def append_with_ledger(stream: DataFrame, target: str, ledger: str, checkpoint:
             n = rows.count()
             if n == 0:
                 return      # an empty page loads nothing and leaves no ledger row
-            tables.overwrite_partitions(path, rows.schema, s, target)
+            tables.overwrite_partitions(rows, target)
         block = batch_id // LEDGER_BLOCK
         entry = s.range(1).select(F.lit(lid).alias("load_id"), F.current_timestamp().alias("inserted_at"),
                                   F.lit("loaded").alias("status"), F.lit(n).cast("long").alias("row_count"),
@@ -95,7 +95,7 @@ def append_with_ledger(stream: DataFrame, target: str, ledger: str, checkpoint:
         s.catalog.refreshTable(ledger)
         others = s.table(ledger).where((F.col("load_block") == block) & (F.col("load_id") != lid))
         with tables.staged(others.unionByName(entry), "ledger") as (rows, path):
-            tables.overwrite_partitions(path, rows.schema, s, ledger)
+            tables.overwrite_partitions(rows, ledger)
 
     q = (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
