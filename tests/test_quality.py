@@ -1,5 +1,7 @@
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from tripmart.operators import quality as Q
 
 
@@ -44,3 +46,21 @@ def test_custom_value_and_freshness(spark):
     assert Q.freshness(df, "t", "2024-01-01 12:00:00").first().status == "pass"
     assert Q.freshness(df, "t", "2024-01-02 06:00:00").first().status == "warn"
     assert Q.freshness(df, "t", "2024-01-03 06:00:00").first().status == "error"
+
+
+def test_all_key_checks_in_one_shuffle_by_key(spark):
+    rows = [(1, 1.5, "a", dt.datetime(2024, 1, 1), b"x"), (1, 0.0, "a:1", None, b"x"), (2, -0.0, None, dt.datetime(2024, 1, 1), None),
+            (3, float("nan"), "a", None, b"y"), (None, float("nan"), "1", dt.datetime(2024, 1, 2), b"\xff"), (None, None, "a", None, b"\xfe")]
+    df = spark.createDataFrame(rows, "i int, d double, s string, t timestamp, b binary").withColumn("l", F.array("i"))
+    sets = [("i",), ("d",), ("s",), ("t",), ("b",), ("i", "s"), ("s", "i"), ("d", "t")]
+    checks = [Q.unique_combination(*c) if len(c) > 1 else Q.unique(*c) for c in sets] + [Q.unique("l")]
+    got = {(r.check_name, r.column_name): r.violations for r in Q.run_checks(df, checks, "t").collect()}
+    want = {(c.kind, ",".join(c.columns)): Q.duplicated_groups(df, c.columns).count() for c in checks}
+    assert got == want and want[("unique", "d")] == 2 and want[("unique", "l")] >= 1
+    plan = Q.run_checks(df, checks[:-1], "t")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 2
+
+
+def test_keys_that_join_to_the_same_text_differ(spark):
+    df = spark.createDataFrame([("a", "1:b"), ("a1:", "b"), ("1", "11"), ("11", "1")], "x string, y string")
+    assert Q.duplicate_counts(df, [("x", "y")]).first() == (0,)

@@ -1,8 +1,8 @@
 """Data-quality checks (DQ-1 .. DQ-11).
 
 A suite runs every row-level check of one table in a single pass (one
-aggregate of conditional counts); uniqueness and relationship checks are one
-aggregate / anti join each.  The result is a DataFrame with one row per
+aggregate of conditional counts) and all its uniqueness checks in another (one
+shuffle by key); relationship checks are an anti join each.  The result is a DataFrame with one row per
 check: (table_name, check_name, column_name, violations, passed).  Nothing is
 collected to the driver except by ``custom_value`` and ``freshness``, which
 read one value.
@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType, BinaryType, DoubleType, FloatType, StringType, TimestampType
 
 
 RESULT_SCHEMA = "table_name string, check_name string, column_name string, violations bigint, passed boolean"
@@ -57,6 +58,7 @@ def relationships(c: str, parent: DataFrame, parent_column: str) -> Check:
     return Check("relationships", (c,), parent=parent, parent_column=parent_column)
 
 
+KEY_KINDS = ("unique", "unique_combination_of_columns")
 ROW_KINDS = ("not_null", "accepted_values", "non_negative", "positive")
 
 
@@ -92,6 +94,45 @@ def duplicated_groups(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return g.where(F.col("__n") > 1)
 
 
+def _key_text(df: DataFrame, cols: Sequence[str]) -> Column | None:
+    """A text that is equal exactly for equal keys, NULL if a column is; None
+    where a column's type has no such text."""
+    parts = []
+    for c in cols:
+        kind = df.schema[c].dataType
+        if isinstance(kind, (FloatType, DoubleType)):
+            value = (F.col(c) + F.lit(0).cast(kind)).cast("string")       # -0.0 equals 0.0
+        elif isinstance(kind, BinaryType):
+            value = F.hex(c)
+        elif isinstance(kind, TimestampType):
+            value = F.unix_micros(c).cast("string")                       # local times repeat when clocks go back
+        elif isinstance(kind, AtomicType) and (not isinstance(kind, StringType) or kind == StringType()):
+            value = F.col(c).cast("string")
+        else:
+            return None
+        parts += [F.char_length(value).cast("string"), F.lit(":"), value] if len(cols) > 1 else [value]
+    return F.concat(*parts)
+
+
+def duplicate_counts(df: DataFrame, key_sets: Sequence[Sequence[str]]) -> DataFrame:
+    """One row of ``d0``, ``d1``, ...: for each key set the number of keys that
+    occur more than once (NULLs as in ``duplicated_groups``).  The rows are
+    expanded to one for each key set and meet in one shuffle by (set, key)."""
+    keys = [F.struct(F.lit(i).alias("set"), _key_text(df, cols).alias("key")) for i, cols in enumerate(key_sets)]
+    grouped = (df.select(F.explode(F.array(*keys)).alias("k")).where(F.col("k.key").isNotNull())
+               .groupBy("k.set", "k.key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1))
+    return grouped.agg(*[F.count(F.when(F.col("set") == i, 1)).alias(f"d{i}") for i in range(len(key_sets))])
+
+
+def _rows_of_counts(counts: DataFrame, checks: Sequence[Check], names: Sequence[str], table: str) -> DataFrame:
+    """Result rows from one row with a count per check."""
+    rows = F.array(*[F.struct(F.lit(c.kind).alias("check_name"), F.lit(",".join(c.columns)).alias("column_name"),
+                              F.col(n).alias("violations")) for c, n in zip(checks, names)])
+    return counts.select(F.explode(rows).alias("r")).select(
+        F.lit(table).alias("table_name"), "r.check_name", "r.column_name",
+        F.col("r.violations").cast("bigint").alias("violations"), (F.col("r.violations") == 0).alias("passed"))
+
+
 def orphans(df: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Child rows whose non-NULL key is absent from the parent (DQ-4)."""
     keys = parent.select(F.col(parent_column).alias("__pk")).distinct()
@@ -104,15 +145,17 @@ def run_checks(df: DataFrame, checks: Sequence[Check], table: str) -> DataFrame:
     parts: list[DataFrame] = []
     row_checks = [c for c in checks if c.kind in ROW_KINDS]
     if row_checks:
-        counts = df.agg(*[F.count(F.when(_violation(c), 1)).alias(f"v{i}") for i, c in enumerate(row_checks)])
-        rows = F.array(*[F.struct(F.lit(c.kind).alias("check_name"), F.lit(c.columns[0]).alias("column_name"),
-                                  F.col(f"v{i}").alias("violations")) for i, c in enumerate(row_checks)])
-        parts.append(counts.select(F.explode(rows).alias("r")).select(
-            F.lit(table).alias("table_name"), "r.check_name", "r.column_name",
-            F.col("r.violations").cast("bigint").alias("violations"),
-            (F.col("r.violations") == 0).alias("passed")))
+        names = [f"v{i}" for i in range(len(row_checks))]
+        counts = df.agg(*[F.count(F.when(_violation(c), 1)).alias(n) for c, n in zip(row_checks, names)])
+        parts.append(_rows_of_counts(counts, row_checks, names, table))
+    key_checks = [c for c in checks if c.kind in KEY_KINDS and _key_text(df, c.columns) is not None]
+    if key_checks:
+        counts = duplicate_counts(df, [c.columns for c in key_checks])
+        parts.append(_rows_of_counts(counts, key_checks, [f"d{i}" for i in range(len(key_checks))], table))
     for c in checks:
-        if c.kind in ("unique", "unique_combination_of_columns"):
+        if c.kind in KEY_KINDS:
+            if c in key_checks:
+                continue
             parts.append(_one(table, c, duplicated_groups(df, c.columns).agg(F.count(F.lit(1)).alias("n"))))
         elif c.kind == "relationships":
             o = orphans(df, c.columns[0], c.parent, c.parent_column)

@@ -85,3 +85,52 @@ def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     ingest.merge_stream(ingest.page_stream(spark, landing, schema, PAGES_PER_BATCH).select(*EVENT_COLS), target,
                         ["event_id"], ckpt)
     return spark.table(target)
+
+
+# --- replays -------------------------------------------------------------------
+
+def _forget_last_batch(spark: SparkSession, checkpoint: str) -> None:
+    """Take back the commit of the checkpoint's last batch, as if the run had
+    died right after it wrote the rows: the next run reads that batch again."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    commits = [f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().isdigit()]
+    fs.delete(max(commits, key=lambda p: int(p.getName())), False)
+
+
+def _keyless(events: DataFrame) -> DataFrame:
+    """Every seventh event has no id."""
+    return events.withColumn("event_id", F.when(F.col("event_id") % 7 != 3, F.col("event_id")))
+
+
+REPLAY_SQL = """select case when event_id % 7 <> 3 then event_id end as event_id, ts, user_id, event_type, value, props from events"""
+
+
+@gate("stream_merge_replay", REPLAY_SQL)
+def stream_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last batch is merged, forgotten and merged again; many of its rows
+    have no key.  Every event is there once."""
+    landing, ckpt = scratch_dir(spark, "landing"), scratch_dir(spark, "stream-ckpt")
+    target = f"{scratch_database(spark, 'sreplay')}.events"
+    schema = _event_schema(spark, sf_dir)
+    tables.ensure_table(spark, target, _keyless(spark.createDataFrame([], schema)).schema.add("_batch_id", "long"))
+    _land_pages(adapter.table(spark, sf_dir, "events"), landing)
+    for _ in range(2):
+        stream = ingest.page_stream(spark, landing, schema.add("page", "long"), PAGES_PER_BATCH).select(*EVENT_COLS)
+        ingest.merge_stream(_keyless(stream), target, ["event_id"], ckpt)
+        _forget_last_batch(spark, ckpt)
+    return spark.table(target).select(*EVENT_COLS)
+
+
+@gate("stream_append_replay", REPLAY_SQL)
+def stream_append_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last batch is appended, forgotten and appended again: it replaces its own rows."""
+    landing, ckpt = scratch_dir(spark, "landing"), scratch_dir(spark, "stream-ckpt")
+    db = scratch_database(spark, "areplay")
+    schema = _event_schema(spark, sf_dir)
+    _land_pages(adapter.table(spark, sf_dir, "events"), landing)
+    for _ in range(2):
+        stream = ingest.page_stream(spark, landing, schema.add("page", "long"), PAGES_PER_BATCH)
+        ingest.append_with_ledger(_keyless(stream), f"{db}.events", f"{db}.loads", ckpt, EVENT_COLS)
+        _forget_last_batch(spark, ckpt)
+    return spark.table(f"{db}.events").select(*EVENT_COLS)

@@ -21,7 +21,7 @@ import uuid
 from collections.abc import Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -249,6 +249,21 @@ def merge_insert_new(src: DataFrame, target: str, keys: Sequence[str],
         _insert(new_rows(src, target, keys), target)
 
 
+def merge_insert_missing(src: DataFrame, target: str, keys: Sequence[str], of_batch: Column) -> None:
+    """Insert-only merge of a batch that may be in the target already, wholly
+    or in part; ``of_batch`` tells its rows there.  Adds the rows that the merge
+    would insert into the rest of the target and that aren't there yet, counted
+    as often as they occur, so NULL and repeated keys come out as after one
+    merge (INC-3).  Columns must be comparable (no maps)."""
+    tgt = src.sparkSession.table(target)
+    already = tgt.where(of_batch)
+    if already.isEmpty():
+        merge_insert_new(src, target, keys)
+        return
+    due = anti_join(src, tgt.where(~F.coalesce(of_batch, F.lit(False))), keys).select(*tgt.columns)
+    _insert(due.exceptAll(already), target)
+
+
 def _meets_by_batch(spark: SparkSession, src: DataFrame, target: str, keys: Sequence[str]) -> bool:
     """A bounded batch against a large target that isn't bucketed on the keys."""
     return (sorted(bucket_columns(spark, target)) != sorted(keys) and is_bounded(src.select(*keys))

@@ -6,10 +6,11 @@ file exactly once (the processed-file log lives in the checkpoint, in the
 shared work folder).  ``trigger(availableNow=True)`` turns a run into "process
 what has landed, then stop", which is how the reference's paged load runs.
 
-Every micro-batch is written with a load id derived from its batch id, into
-partitions keyed by that id (dynamic overwrite): a batch replayed after a
-failure rewrites its own partition instead of appending twice.  Ledger rows
-are grouped, a block of batches to a partition.
+Every micro-batch is written with a mark derived from its batch id and is
+appended.  Only the first batch of a run can be one that an earlier run wrote
+and did not commit; if the table holds rows with its mark, they are taken into
+account, so a replay leaves the table as one run would.  Batches are grouped, a
+block of them to a partition.
 """
 
 from __future__ import annotations
@@ -30,8 +31,8 @@ LEDGER_SCHEMA = StructType([
     StructField("load_block", LongType()),
 ])
 
-#: Ledger rows of so many batches share a partition, so the ledger has one
-#: small file per block of batches and not one per batch.
+#: So many batches share a partition, in the target and in the ledger, so the
+#: number of partitions does not follow that of the batches.
 LEDGER_BLOCK = 1000
 
 
@@ -68,34 +69,41 @@ def _ensure(spark: SparkSession, name: str, schema: StructType, part: str) -> No
 def append_with_ledger(stream: DataFrame, target: str, ledger: str, checkpoint: str,
                        data_columns: Sequence[str] | None = None) -> None:
     """Run the stream to the end of what has landed (STR-1): rows go to
-    ``target`` with ``_load_id``; each batch adds one ``ledger`` row
-    (load_id, inserted_at, status 'loaded', row_count); a batch of empty
-    pages adds none.  A second run with the same checkpoint reads nothing
-    new."""
+    ``target`` with ``_load_id``, in partitions of ``LEDGER_BLOCK`` batches;
+    each batch adds one ``ledger`` row (load_id, inserted_at, status 'loaded',
+    row_count); a batch of empty pages adds none.  A second run with the same
+    checkpoint reads nothing new, and a batch that an earlier run wrote, wholly
+    or in part, replaces its own rows."""
     spark = stream.sparkSession
     cols = list(data_columns or stream.columns)
-    row_schema = StructType([stream.schema[c] for c in cols] + [StructField("_load_id", StringType())])
-    _ensure(spark, target, row_schema, "_load_id")
+    row_schema = StructType([stream.schema[c] for c in cols] + [StructField("_load_id", StringType()), StructField("load_block", LongType())])
+    _ensure(spark, target, row_schema, "load_block")
     _ensure(spark, ledger, LEDGER_SCHEMA, "load_block")
+    state = {"first": True}
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        # The batch runs in the stream's own session: settings go there.
+        # The batch runs in the stream's own session.
         s = batch.sparkSession
-        lid = load_id_of(batch_id)
-        with tables.staged(batch.select(*cols).withColumn("_load_id", F.lit(lid)), "batch") as (rows, path):
-            n = rows.count()
-            if n == 0:
-                return      # an empty page loads nothing and leaves no ledger row
-            tables.overwrite_partitions(rows, target)
-        block = batch_id // LEDGER_BLOCK
+        lid, block = load_id_of(batch_id), F.lit(batch_id // LEDGER_BLOCK).cast("long")
+        rows = batch.select(*cols, F.lit(lid).alias("_load_id"), block.alias("load_block"))
+        here = s.table(target).where(F.col("load_block") == block)
+        mine = F.col("_load_id") == lid
+        if state["first"] and not here.where(mine).isEmpty():
+            tables.overwrite_partitions(here.where(~mine).unionByName(rows), target)
+        else:
+            tables.write_append(rows, target)
+        state["first"] = False
+        s.catalog.refreshTable(target)
+        # The batch's files hold no other mark, so just these are read.
+        n = s.table(target).where((F.col("load_block") == block) & mine).count()
+        if n == 0:
+            return      # an empty page loads nothing and leaves no ledger row
         entry = s.range(1).select(F.lit(lid).alias("load_id"), F.current_timestamp().alias("inserted_at"),
-                                  F.lit("loaded").alias("status"), F.lit(n).cast("long").alias("row_count"),
-                                  F.lit(block).cast("long").alias("load_block"))
+                                  F.lit("loaded").alias("status"), F.lit(n).cast("long").alias("row_count"), block.alias("load_block"))
         # A replayed batch replaces its own row; the block's other rows are written again with it.
         s.catalog.refreshTable(ledger)
         others = s.table(ledger).where((F.col("load_block") == block) & (F.col("load_id") != lid))
-        with tables.staged(others.unionByName(entry), "ledger") as (rows, path):
-            tables.overwrite_partitions(rows, ledger)
+        tables.overwrite_partitions(others.unionByName(entry), ledger)
 
     q = (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
@@ -105,14 +113,27 @@ def append_with_ledger(stream: DataFrame, target: str, ledger: str, checkpoint:
     spark.catalog.refreshTable(ledger)
 
 
-def merge_stream(stream: DataFrame, target: str, keys: Sequence[str], checkpoint: str) -> None:
-    """Insert-only merge of every micro-batch into ``target`` (STR-2).  A
-    replayed batch inserts none of the rows that have a key, so for them the
-    result is exactly-once; a row with a NULL key matches nothing and is
-    inserted again by a replay (``append_with_ledger`` replays such rows
-    exactly, as it replaces the batch's own partition)."""
+def merge_stream(stream: DataFrame, target: str, keys: Sequence[str], checkpoint: str, batch_column: str = "_batch_id") -> None:
+    """Insert-only merge of every micro-batch into ``target`` (STR-2).
+
+    If the target has a column ``batch_column`` (long), every row carries its
+    batch's number there, and the result is exactly-once for all rows: a batch
+    that an earlier run inserted, wholly or in part, adds just the rows that
+    are missing, those with a NULL key or a repeated key included.  Without
+    that column a replay inserts none of the rows that have a key, and rows
+    with a NULL key, which match nothing, again."""
+    state = {"first": True}
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        tables.merge_insert_new(batch, target, keys)
+        if batch_column not in batch.sparkSession.table(target).columns:
+            tables.merge_insert_new(batch, target, keys)
+            return
+        rows = batch.withColumn(batch_column, F.lit(batch_id).cast("long"))
+        if state["first"]:
+            tables.merge_insert_missing(rows, target, keys, F.col(batch_column) == batch_id)
+        else:
+            tables.merge_insert_new(rows, target, keys)
+        state["first"] = False
 
     q = (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
