@@ -170,3 +170,22 @@ def test_gzip_csv_spread_after_read(spark):
     assert files.read_csv(spark, p, schema).rdd.getNumPartitions() == 1
     df = files.read_csv(spark, p, schema, min_partitions=4)
     assert df.rdd.getNumPartitions() == 4 and df.count() == 1000
+
+
+def test_files_merged_by_one_job_as_one_after_another(spark, db):
+    from tripmart.plans import loads
+    from tripmart.sources.trips import trip_schema
+    root = scratch_dir(spark, "t-at-once")
+    header = ",".join(f.name for f in trip_schema("green").fields)
+    line = "{v},2020-01-05 10:00:00,2020-01-05 10:30:00,N,1,7,8,1,2.5,10.0,0,0.5,1,0,,0.3,{t},1,1,0"
+    # Vendor 1 comes twice in January and again in February, vendor 2 in February and March.
+    for month, rows in ((1, [(1, 1.0), (1, 2.0)]), (2, [(1, 9.0), (2, 3.0), (2, 4.0)]), (3, [(2, 9.0), (3, 5.0)])):
+        _write(root, f"green_tripdata_2020-0{month}.csv", "\n".join([header, *(line.format(v=v, t=t) for v, t in rows)]) + "\n")
+    spark.sql(f"CREATE DATABASE {db}_b")
+    span = (["green"], dt.date(2019, 12, 1), dt.date(2020, 4, 1))
+    got = []
+    for name, at_once in ((db, 1), (f"{db}_b", 12)):
+        for _ in range(2):
+            assert len(loads.backfill(spark, root, *span, name, at_once=at_once)) == 3
+        got.append(sorted((r.VendorID, r.filename[-6:-4], r.total_amount) for r in spark.table(f"{name}.green_tripdata").collect()))
+    assert got[0] == got[1] == [(1, "01", 1.0), (1, "01", 2.0), (2, "02", 3.0), (2, "02", 4.0), (3, "03", 5.0)]

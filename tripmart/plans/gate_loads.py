@@ -17,32 +17,39 @@ from tripmart.sources import adapter, files
 from tripmart.sources.trips import trip_schema
 
 
-def _green_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = adapter.raw_tripdata(spark, sf_dir, "green")
-    fname = F.concat(F.lit("green_tripdata_"), F.date_format("lpep_pickup_datetime", "yyyy-MM"), F.lit(".csv"))
-    return loads.stage_for_load(raw, "green", fname, "rowstore")
+def _row_id_sql(taxi: str, variant: str = "rowstore") -> str:
+    parts = [f"coalesce(strftime({c}, '%Y-%m-%d %H:%M:%S'), '')" if c.endswith("datetime") else f"coalesce(cast({c} as varchar), '')"
+             for c in loads.row_id_fields(taxi, variant)]
+    return f"md5({' || '.join(parts)})"
 
 
-_ROWID = ("md5(coalesce(cast(VendorID as varchar), '') || coalesce(strftime(lpep_pickup_datetime, '%Y-%m-%d %H:%M:%S'), '')"
-          " || coalesce(strftime(lpep_dropoff_datetime, '%Y-%m-%d %H:%M:%S'), '') || coalesce(cast(PULocationID as varchar), '')"
-          " || coalesce(cast(DOLocationID as varchar), '') || coalesce(cast(fare_amount as varchar), '')"
-          " || coalesce(cast(trip_distance as varchar), ''))")
+def _load_sql(taxi: str) -> str:
+    p = loads.PREFIX[taxi]
+    return f"""select {_row_id_sql(taxi)} as unique_row_id, '{taxi}_tripdata_' || strftime({p}_pickup_datetime, '%Y-%m') || '.csv' as filename,
+  VendorID, {p}_pickup_datetime as pickup_datetime, {p}_dropoff_datetime as dropoff_datetime, PULocationID, DOLocationID, fare_amount, trip_distance
+from {taxi}_raw"""
 
 
-@gate("flow_month_load", "with " + oracle.JOINED + ",\n" + oracle.raw_sql("green") + f"""
-select {_ROWID} as unique_row_id,
-       'green_tripdata_' || strftime(lpep_pickup_datetime, '%Y-%m') || '.csv' as filename, *
-from green_raw""")
+@gate("flow_month_load", "with " + oracle.JOINED + ",\n" + oracle.raw_sql("green") + ",\n" + oracle.raw_sql("yellow") + "\n"
+      + _load_sql("green") + "\nunion all\n" + _load_sql("yellow"))
 def flow_month_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every green file staged with row id and file name, merged into the
-    main table twice: the second run inserts nothing."""
+    """Every file of both kinds staged with row id and file name, merged into
+    the kind's main table twice: the second run inserts nothing."""
     db = scratch_database(spark, "flow")
-    target = f"{db}.green_tripdata"
-    staged = _green_staged(spark, sf_dir)
-    tables.ensure_table(spark, target, staged.schema)
-    for _ in range(2):
-        tables.merge_insert_new(staged, target, ["unique_row_id"])
-    return spark.table(target)
+    out = None
+    for taxi, p in loads.PREFIX.items():
+        raw = adapter.raw_tripdata(spark, sf_dir, taxi)
+        fname = F.concat(F.lit(f"{taxi}_tripdata_"), F.date_format(f"{p}_pickup_datetime", "yyyy-MM"), F.lit(".csv"))
+        staged = loads.stage_for_load(raw, taxi, fname, "rowstore")
+        target = f"{db}.{taxi}_tripdata"
+        tables.ensure_table(spark, target, staged.schema)
+        for _ in range(2):
+            tables.merge_insert_new(staged, target, ["unique_row_id"])
+        rows = spark.table(target).select(
+            "unique_row_id", "filename", "VendorID", F.col(f"{p}_pickup_datetime").alias("pickup_datetime"),
+            F.col(f"{p}_dropoff_datetime").alias("dropoff_datetime"), "PULocationID", "DOLocationID", "fare_amount", "trip_distance")
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 @gate("rows_for_file_pattern", "with " + oracle.TRIPS + """,
@@ -65,27 +72,29 @@ def rows_for_file_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.count(F.when(fn == "green_tripdata_1998-03.csv", 1)).alias("rows_one_file"))
 
 
-BACKFILL_START, BACKFILL_END = _dt.date(1997, 10, 1), _dt.date(1998, 2, 28)
+def _months_around(raw: DataFrame, pickup: str) -> tuple[_dt.date, _dt.date]:
+    """From the month before the first trip to the one after the last: there is no file for these two."""
+    first, last = raw.agg(F.add_months(F.trunc(F.min(pickup), "month"), -1), F.add_months(F.trunc(F.max(pickup), "month"), 1)).first()
+    return first, last
+
+
 _TYPED = {"string": "varchar", "int": "int", "double": "double", "timestamp_ntz": "timestamp"}
 
 
 def _backfill_sql(taxi: str, variant: str) -> str:
-    """The backfilled rows of a kind: raw trips of the months in the file schema's types, with row id and file name."""
+    """The backfilled rows of a kind: all raw trips in the file schema's types, with row id and file name."""
     p = loads.PREFIX[taxi]
     typed = ", ".join(f"cast({f.name} as {_TYPED[f.dataType.simpleString()]}) as {f.name}" for f in trip_schema(taxi).fields)
-    parts = [f"coalesce(strftime({c}, '%Y-%m-%d %H:%M:%S'), '')" if c.endswith("datetime") else f"coalesce(cast({c} as varchar), '')"
-             for c in loads.row_id_fields(taxi, variant)]
-    return f"""select md5({' || '.join(parts)}) as unique_row_id,
+    return f"""select {_row_id_sql(taxi, variant)} as unique_row_id,
   '{taxi}_tripdata_' || strftime({p}_pickup_datetime, '%Y-%m') || '.csv' as filename, '{taxi}' as taxi, VendorID, PULocationID,
-  {p}_pickup_datetime as pickup_datetime, fare_amount, payment_type from (select {typed} from {taxi}_raw)
-where {p}_pickup_datetime >= timestamp '{BACKFILL_START}' and {p}_pickup_datetime < timestamp '{BACKFILL_END}' + interval 1 day"""
+  {p}_pickup_datetime as pickup_datetime, fare_amount, payment_type from (select {typed} from {taxi}_raw)"""
 
 
 @gate("flow_backfill", "with " + oracle.JOINED + ",\n" + oracle.raw_sql("green") + ",\n" + oracle.raw_sql("yellow") + "\n"
       + _backfill_sql("green", "rowstore") + "\nunion all\n" + _backfill_sql("yellow", "warehouse"))
 def flow_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Month files of both kinds loaded over a range of months, each kind with
-    its own row id, twice: the second run inserts nothing (INC-2)."""
+    """All month files of both kinds, each kind with its own row id, loaded twice, with
+    a month without a file at each end: the second run inserts nothing (INC-2)."""
     db, root = scratch_database(spark, "backfill"), scratch_dir(spark, "backfill-files")
     out = None
     for taxi, variant in (("green", "rowstore"), ("yellow", "warehouse")):
@@ -95,7 +104,7 @@ def flow_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
         month = F.date_format(f"{p}_pickup_datetime", "yyyy-MM")
         named_files(typed, F.concat(F.lit(f"{taxi}_tripdata_"), month, F.lit(".csv")), f"{root}/{taxi}")
         for _ in range(2):
-            loads.backfill(spark, f"{root}/{taxi}", [taxi], BACKFILL_START, BACKFILL_END, db, variant)
+            loads.backfill(spark, f"{root}/{taxi}", [taxi], *_months_around(raw, f"{p}_pickup_datetime"), db, variant)
         rows = spark.table(f"{db}.{taxi}_tripdata").select(
             "unique_row_id", "filename", F.lit(taxi).alias("taxi"), "VendorID", "PULocationID",
             F.col(f"{p}_pickup_datetime").alias("pickup_datetime"), "fare_amount", "payment_type")
@@ -104,7 +113,7 @@ def flow_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @gate("flow_month_replace", "with " + oracle.JOINED + ",\n" + oracle.raw_sql("yellow") + "\nselect filename, count(*) as rows from (\n"
-      + _backfill_sql("yellow", "warehouse") + "\n) where filename = 'yellow_tripdata_1998-02.csv' group by 1")
+      + _backfill_sql("yellow", "warehouse") + "\n) where filename = (select 'yellow_tripdata_' || strftime(max(tpep_pickup_datetime), '%Y-%m') || '.csv' from yellow_raw) group by 1")
 def flow_month_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The warehouse flow's mode: a table is rebuilt from each month's file, so the last month stays."""
     db, root = scratch_database(spark, "replace"), scratch_dir(spark, "replace-files")
@@ -112,7 +121,7 @@ def flow_month_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = raw.select(*[F.col(f.name).cast(f.dataType) for f in trip_schema("yellow").fields])
     month = F.date_format("tpep_pickup_datetime", "yyyy-MM")
     named_files(typed, F.concat(F.lit("yellow_tripdata_"), month, F.lit(".csv")), root)
-    loads.backfill(spark, root, ["yellow"], BACKFILL_START, BACKFILL_END, db, "warehouse", "replace")
+    loads.backfill(spark, root, ["yellow"], *_months_around(raw, "tpep_pickup_datetime"), db, "warehouse", "replace")
     return spark.table(f"{db}.yellow_tripdata").groupBy("filename").agg(F.count(F.lit(1)).alias("rows"))
 
 

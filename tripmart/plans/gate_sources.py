@@ -206,24 +206,32 @@ EXTRACTED_AT = _dt.datetime(2024, 2, 1)
 @gate("month_fan_in", """select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
   case when year(o_orderdate) = 1999 then null else o_orderpriority end as o_orderpriority,
   case when year(o_orderdate) = 1998 then 'c-' || o_orderstatus end as o_comment,
+  case year(o_orderdate) when 1998 then cast(o_custkey as double) when 1999 then cast(cast(o_totalprice as decimal(20,2)) as double)
+    when 2000 then cast(cast(o_orderkey as decimal(18,4)) / 8 as double) end as o_extra,
   timestamp '2024-02-01 00:00:00' as extracted_at
 from orders where o_orderdate >= timestamp '1997-06-01'""")
 def month_fan_in(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders written as one Parquet folder per month; 1998 files carry an
     extra column and customer keys as DOUBLE, 1999 files lack a column and
-    have customer keys as INT, months after the data have no file."""
+    have customer keys as INT, months after the data have no file.  A column
+    of the files only is BIGINT in 1998, DECIMAL(20,2) in 1999, DECIMAL(18,4)
+    in 2000 and absent from the others."""
     root = scratch_dir(spark, "months")
     o = _orders(spark, sf_dir)
     fname = F.concat(F.lit("orders_tripdata_"), F.date_format("o_orderdate", "yyyy-MM"), F.lit(".parquet"))
     yr = F.year("o_orderdate")
-    o.where((yr != 1998) & (yr != 1999)).withColumn("file", fname).write.partitionBy("file").parquet(root)
-    o.where(yr == 1998).withColumn("o_comment", F.concat(F.lit("c-"), "o_orderstatus")) \
+    o.where(~yr.isin(1998, 1999, 2000)).withColumn("file", fname).write.partitionBy("file").parquet(root)
+    o.where(yr == 2000).withColumn("o_extra", (F.col("o_orderkey") / 8).cast("decimal(18,4)")) \
+        .withColumn("file", fname).write.mode("append").partitionBy("file").parquet(root)
+    o.where(yr == 1998).withColumn("o_comment", F.concat(F.lit("c-"), "o_orderstatus")).withColumn("o_extra", F.col("o_custkey")) \
         .withColumn("o_custkey", F.col("o_custkey").cast("double")) \
         .withColumn("file", fname).write.mode("append").partitionBy("file").parquet(root)
-    o.where(yr == 1999).drop("o_orderpriority").withColumn("o_custkey", F.col("o_custkey").cast("int")).withColumn("file", fname) \
+    o.where(yr == 1999).drop("o_orderpriority").withColumn("o_custkey", F.col("o_custkey").cast("int")) \
+        .withColumn("o_extra", F.col("o_totalprice").cast("decimal(20,2)")).withColumn("file", fname) \
         .write.mode("append").partitionBy("file").parquet(root)
     template = "{root}/file={taxi}_tripdata_{year:04d}-{month:02d}.parquet"
-    return files.read_months(spark, root, ["orders"], FAN_START, FAN_END, o.schema, EXTRACTED_AT, template)
+    found = files.read_months(spark, root, ["orders"], FAN_START, FAN_END, o.schema, EXTRACTED_AT, template)
+    return found.withColumn("o_extra", F.col("o_extra").cast("double"))
 
 
 # --- partitioned layout ----------------------------------------------------------

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tripmart.functions.columns import row_hash
 from tripmart.sinks import tables
@@ -66,20 +67,48 @@ def load_month(spark: SparkSession, raw: DataFrame, taxi: str, year: int, month:
     tables.merge_insert_new(staged, target, ["unique_row_id"])
 
 
+def load_files(spark: SparkSession, paths: Sequence[str], taxi: str, target: str, variant: str = "rowstore") -> None:
+    """Merge several month files of a type into ``target`` by one job, with
+    the rows that merging them one after another gives: a row id that occurs
+    in several files comes from the first of them, with all its rows there."""
+    raw = files.read_csv(spark, paths, trip_schema(taxi))
+    # A file may be a folder of parts.
+    name = F.regexp_extract("_metadata.file_path", rf"({taxi}_tripdata_\d{{4}}-\d{{2}}\.csv)(?:/[^/]*)?$", 1)
+    staged = stage_for_load(raw.select("*", name.alias("__file")), taxi, F.col("__file"), variant).drop("__file")
+    first = F.min("filename").over(Window.partitionBy("unique_row_id"))
+    kept = staged if len(paths) == 1 else staged.withColumn("__first", first).where(F.col("filename") == F.col("__first")).drop("__first")
+    tables.ensure_table(spark, target, kept.schema, bucket_by=(ROW_ID_BUCKETS, ["unique_row_id"]))
+    tables.merge_insert_new(kept, target, ["unique_row_id"])
+
+
+#: Month files of a type that a backfill merges by one job.
+MONTHS_AT_ONCE = 12
+
+
 def backfill(spark: SparkSession, root: str, types: Sequence[str], start: _dt.date, end: _dt.date, db: str,
-             variant: str = "rowstore", mode: str = "merge", template: str = "{root}/{name}") -> list[str]:
+             variant: str = "rowstore", mode: str = "merge", template: str = "{root}/{name}", at_once: int = MONTHS_AT_ONCE) -> list[str]:
     """Load every existing month file of the range and types, oldest first,
-    each into its type's table ``<db>.<taxi>_tripdata`` (INC-2).  Files are
-    typed by the shipped schemas; months without a file are left out; a second
-    run inserts nothing.  Returns the names of the loaded files."""
-    done = []
+    each into its type's table ``<db>.<taxi>_tripdata`` (INC-2), ``at_once``
+    files by a job.  Files are typed by the shipped schemas; months without a
+    file are left out; a second run inserts nothing.  With ``mode='replace'``
+    each file replaces the table, so only the last one has to be read.
+    Returns the names of the files found."""
+    found = []
     for year, month, taxi in files.plan_months(start, end, types):
         name = trip_file_name(taxi, year, month)
         path = template.format(root=root, name=name)
         if files.path_exists(spark, path):
-            load_month(spark, files.read_csv(spark, path, trip_schema(taxi)), taxi, year, month, f"{db}.{taxi}_tripdata", variant, mode)
-            done.append(name)
-    return done
+            found.append((taxi, year, month, name, path))
+    for taxi in dict.fromkeys(types):
+        own = [f for f in found if f[0] == taxi]
+        target = f"{db}.{taxi}_tripdata"
+        if mode == "replace" and own:
+            _, year, month, _, path = own[-1]
+            load_month(spark, files.read_csv(spark, path, trip_schema(taxi)), taxi, year, month, target, variant, mode)
+        elif mode != "replace":
+            for i in range(0, len(own), at_once):
+                load_files(spark, [f[4] for f in own[i:i + at_once]], taxi, target, variant)
+    return [f[3] for f in found]
 
 
 def record_load(spark: SparkSession, ledger: str, load_id: str, status: str,

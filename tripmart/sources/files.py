@@ -6,13 +6,16 @@ Readers return lazy DataFrames.  CSV is split by the reader unless gzipped
 
 from __future__ import annotations
 
+import csv
 import datetime as _dt
 from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    DataType, DoubleType, IntegralType, LongType, NumericType, StringType, StructField, StructType, _parse_datatype_string)
+from pyspark.sql.types import DataType, StringType, StructField, StructType, _parse_datatype_string
+
+from tripmart.sources.widening import same, union_widened
 
 
 def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: StructType,
@@ -126,10 +129,29 @@ def data_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(found)
 
 
-def header_of(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
-    """Names in a file's first line; quoted names may hold the separator."""
-    rows = spark.read.option("header", False).option("sep", sep).csv(path).limit(1).collect()
-    return [(c or "").lstrip("\ufeff") for c in rows[0]] if rows else []
+def first_lines(spark: SparkSession, paths: Sequence[str], threads: int = 16) -> list[str]:
+    """The first line of every file (compressed ones too; '' for an empty one).
+    The driver opens the files themselves, some at a time, and reads their
+    beginning: no Spark job, whatever the number of files."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def first(path: str) -> str:
+        fs, p = _hadoop(spark, path)
+        stream = fs.open(p)
+        try:
+            codec = codecs.getCodec(p)
+            text = jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8")
+            return jvm.java.io.BufferedReader(text).readLine() or ""
+        finally:
+            stream.close()
+    with ThreadPoolExecutor(threads) as pool:
+        return list(pool.map(first, paths))
+
+
+def header_names(line: str, sep: str = ",") -> list[str]:
+    """Names in a header line; quoted names may hold the separator."""
+    return next(csv.reader([line.removeprefix("\ufeff")], delimiter=sep), [])
 
 
 def read_csv_header_typed(spark: SparkSession, path: str, type_map: Mapping[str, str | DataType],
@@ -141,8 +163,9 @@ def read_csv_header_typed(spark: SparkSession, path: str, type_map: Mapping[str,
     its type fails the read; ``on_bad_value='infer'`` reads a group with such
     values with inferred types instead (which costs a pass to find out)."""
     groups: dict[tuple[str, ...], list[str]] = {}
-    for f in data_files(spark, path):
-        header = header_of(spark, f, sep)
+    found = data_files(spark, path)
+    for f, line in zip(found, first_lines(spark, found)):
+        header = header_names(line, sep)
         if header:
             groups.setdefault(tuple(header), []).append(f)
     if not groups:
@@ -157,33 +180,10 @@ def read_csv_header_typed(spark: SparkSession, path: str, type_map: Mapping[str,
                 df.write.format("noop").mode("overwrite").save()
             except Exception:  # noqa: BLE001 - the reader's errors have no common class
                 df = reader().option("inferSchema", True).csv(members)
-        parts.append(df)
+        parts.append((df, members[0]))
     return union_widened(parts)
 
 
-def wider(types: Sequence[DataType]) -> DataType:
-    """A type that holds the values of all the given ones."""
-    kinds = list(dict.fromkeys(types))
-    if len(kinds) == 1:
-        return kinds[0]
-    if all(isinstance(t, IntegralType) for t in kinds):
-        return LongType()
-    return DoubleType() if all(isinstance(t, NumericType) for t in kinds) else StringType()
-
-
-def union_widened(parts: Sequence[DataFrame]) -> DataFrame:
-    """Rows of all parts by column name; differing types are widened, missing columns NULL."""
-    types: dict[str, list[DataType]] = {}
-    for df in parts:
-        for f in df.schema.fields:
-            types.setdefault(f.name, []).append(f.dataType)
-    out = None
-    for df in parts:
-        cast = df.select(*[F.col(f"`{c}`").cast(wider(types[c])).alias(c) for c in df.columns])
-        out = cast if out is None else out.unionByName(cast, allowMissingColumns=True)
-    return out
-
-
 # --- file names as data (SRC-13, FN-18) ------------------------------------
 
 # Fixed value: a whole trip file name, <taxi>_tripdata_<yyyy>-<mm>.csv or .csv.gz.
@@ -254,9 +254,10 @@ def read_months(spark: SparkSession, root: str, types: Sequence[str], start: _dt
                 schema: StructType, extracted_at: _dt.datetime | None = None,
                 template: str = DEFAULT_TEMPLATE, skip: Sequence[str] = ()) -> DataFrame:
     """Month x type Parquet fan-in (SRC-6): the files of the inclusive range
-    that exist, united by column name.  Files with the same footer schema are
-    one scan; columns of ``schema`` are cast to its types, other columns whose
-    types differ are widened, a column missing from a file reads NULL.
+    that exist, united by column name.  Files whose columns have the same types
+    are one scan; columns of ``schema`` are cast to its types, other columns
+    whose types differ are widened, a column missing from a file reads NULL.  A
+    value that would change by either fails the run, with its file named.
     ``extracted_at`` is one value per run, so a retried task writes the same.
     No file found -> an empty frame with ``schema``.
 
@@ -268,17 +269,36 @@ def read_months(spark: SparkSession, root: str, types: Sequence[str], start: _dt
     stamp = F.lit(ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz").alias("extracted_at")
     if not found:
         return spark.createDataFrame([], schema).select("*", stamp)
-    reader = spark.read.option("ignoreCorruptFiles", False).option("mergeSchema", False)
-    groups: dict[str, tuple[StructType, list[str]]] = {}
-    for p in found:
-        footer = reader.parquet(p).schema
-        groups.setdefault(footer.json(), (footer, []))[1].append(p)
-    wanted = {f.name: f.dataType for f in schema.fields}
-    parts = []
-    for footer, paths in groups.values():
-        df = reader.schema(footer).parquet(*paths)
-        parts.append(df.select(*[F.col(f"`{c}`").cast(wanted[c]).alias(c) if c in wanted else F.col(f"`{c}`") for c in df.columns]))
-    df = union_widened(parts)
+    reader = lambda: spark.read.option("ignoreCorruptFiles", False)
+    df = union_widened([(reader().schema(footer).parquet(*paths), paths[0]) for footer, paths in schema_groups(spark, found)], schema)
+    wanted = {f.name for f in schema.fields}
     cols = [F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
     extra = [F.col(c) for c in df.columns if c not in wanted]
     return df.select(*cols, *extra, stamp)
+
+
+def schema_groups(spark: SparkSession, paths: Sequence[str]) -> list[tuple[StructType, list[str]]]:
+    """The Parquet files in groups whose columns have the same types, each with
+    its merged schema.  All footers are read by one job; only where types differ
+    is the list halved until they don't, so the number of jobs follows the number of
+    changes and not of files.  A file without a readable footer raises."""
+    groups: dict[str, tuple[dict, list[str]]] = {}
+
+    def visit(some: Sequence[str]) -> None:
+        try:
+            merged = spark.read.option("ignoreCorruptFiles", False).option("mergeSchema", True).parquet(*some).schema
+        except Exception:  # noqa: BLE001 - conflicts and damage have no common class
+            if len(some) == 1:
+                raise
+            visit(some[:len(some) // 2])
+            visit(some[len(some) // 2:])
+            return
+        fields = {f.name: f for f in merged.fields}
+        for known, members in groups.values():
+            if all(same(f.dataType, known[n].dataType) for n, f in fields.items() if n in known):
+                known.update({n: f for n, f in fields.items() if n not in known})
+                members.extend(some)
+                return
+        groups[some[0]] = (fields, list(some))
+    visit(list(paths))
+    return [(StructType(list(fields.values())), members) for fields, members in groups.values()]
