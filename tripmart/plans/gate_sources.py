@@ -12,8 +12,9 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
+from pyspark.sql.window import Window
 
-from tripmart.functions.columns import avg_rounded, row_hash
+from tripmart.functions.columns import avg_rounded, month_start, row_hash
 from tripmart.operators.joins import estimated_bytes
 from tripmart.operators.transforms import keep_columns
 from tripmart.plans import oracle, reports
@@ -22,7 +23,8 @@ from tripmart.plans.gate_models import ROW_HASH_COLS, ROW_HASH_SQL
 from tripmart.plans.gate_reports import RANGE_END, RANGE_START
 from tripmart.plans.gate_sinks import LOADED_SCHEMA
 from tripmart.session import scratch_database, scratch_dir
-from tripmart.sinks import tables
+from tripmart.sinks import layout, tables
+from tripmart.sinks.tables import materialize
 from tripmart.sources import adapter, files
 
 ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
@@ -289,6 +291,53 @@ def scan_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+LAYOUT_FROM, LAYOUT_TO = "1998-02-01", "1998-05-31"
+LAYOUT_KEYS = (100, 400)
+LAYOUT_FILES = 32
+
+
+def layout_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a query on a range of dates and customers reads of three copies of
+    the orders (in no order, partitioned by month, in Z-order of both columns):
+    layout, rows found, and files, row groups, rows and bytes by the footers;
+    ``same_rows``: the reached files alone hold all rows found."""
+    db = scratch_database(spark, "layouts")
+    o = _orders(spark, sf_dir)
+    o.repartition(LAYOUT_FILES, F.xxhash64("o_orderkey")).write.format("parquet").saveAsTable(f"{db}.plain")
+    tables.write_replace(o.withColumn("order_month", month_start("o_orderdate")), f"{db}.partitioned", ["order_month"])
+    layout.write_z_ordered(o, f"{db}.z_ordered", ["o_orderdate", "o_custkey"], LAYOUT_FILES)
+    kinds = StructType([o.schema["o_orderdate"], o.schema["o_custkey"]])
+    low, high = (F.lit(x).cast(kinds["o_orderdate"].dataType) for x in (f"{LAYOUT_FROM} 00:00:00", f"{LAYOUT_TO} 23:59:59"))
+    keys = tuple(F.lit(k).cast("long") for k in LAYOUT_KEYS)
+    found = F.col("o_orderdate").between(low, high) & F.col("o_custkey").between(*keys)
+    out = None
+    for name in ("plain", "partitioned", "z_ordered"):
+        zones = layout.zone_map(spark, layout.files_of(spark, f"{db}.{name}"), kinds)
+        hit = layout.reached(zones, {"o_orderdate": (low, high), "o_custkey": keys})
+        n = spark.table(f"{db}.{name}").where(found).count()
+        names = [r.file for r in hit.select("file").distinct().collect()]
+        held = spark.read.schema(o.schema).parquet(*names).where(found).count() if names else 0
+        row = layout.scan_cost(hit, kinds.names).select(F.lit(name).alias("layout"), F.lit(n).cast("long").alias("found"), "*",
+                                                        F.lit(held == n).alias("same_rows"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@gate("layout_scan", f"""
+with n as (select count(*) as found from orders where o_orderdate >= timestamp '{LAYOUT_FROM}' and o_orderdate <= timestamp '{LAYOUT_TO} 23:59:59'
+  and o_custkey between {LAYOUT_KEYS[0]} and {LAYOUT_KEYS[1]})
+select layout, found, less, less as fewer_files, less as fewer_groups, less as fewer_bytes, true as same_rows
+from n, (values ('plain', false), ('partitioned', true), ('z_ordered', true)) as l(layout, less)""")
+def layout_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows from less than half the files, row groups and bytes of
+    the plain copy, where the layout follows the query (INC-7, SNK-11)."""
+    every = Window.partitionBy(F.lit(1))      # three rows
+    less = {c: F.col(c) * 2 < F.max(F.when(F.col("layout") == "plain", F.col(c))).over(every) for c in ("files", "row_groups", "bytes")}
+    return materialize(layout_costs(spark, sf_dir), "costs").select(
+        "layout", "found", (less["files"] & less["row_groups"] & less["bytes"]).alias("less"), less["files"].alias("fewer_files"),
+        less["row_groups"].alias("fewer_groups"), less["bytes"].alias("fewer_bytes"), "same_rows")
+
+
 @gate("external_parquet_glob", """select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
   o_orderpriority from orders where o_orderdate >= timestamp '1998-01-01' and o_orderdate < timestamp '1999-01-01'""")
 def external_parquet_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
