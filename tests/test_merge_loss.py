@@ -131,7 +131,7 @@ def test_untouched_partitions_are_neither_read_nor_written(spark, db):
     S.merge_upsert(spark.createDataFrame([(1, "x", "1"), (100, "y", "3")], ROWS), t, ["id"], "p")
     after = files()
     assert {p for f, p in before.items() if f in after} == {"0", "2"}
-    plan = S._rows_of(spark.table(t), "p", ["1", "it's"])._jdf.queryExecution().executedPlan().toString()
+    plan = S.rows_of_partitions(spark.table(t), "p", ["1", "it's"])._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [p#" in plan and "it's" in plan
 
 

@@ -74,3 +74,38 @@ def warehouse_full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
                     *[money_double(dst).alias(dst) for _, dst in REVENUE_SUMS],
                     "total_monthly_trips", "avg_monthly_passenger_count",
                     "avg_monthly_trip_distance")
+
+
+#: Bounds of the increments, and the trips that the last one sends again with another month and fare.
+INCREMENT_BOUNDS = ("1997-01-01", "2000-01-01")
+_RESENT = "substr(trip_id, 1, 1) in ('0', '7') and pickup_datetime < timestamp '2000-01-01'"
+
+
+@gate("mart_increments", oracle.MONTHLY_ZONE_REVENUE.replace("\nfrom fct\n", f"""
+from (select * replace (case when {_RESENT} then pickup_datetime + interval 40 day else pickup_datetime end as pickup_datetime,
+  case when {_RESENT} then fare_amount + 1 else fare_amount end as fare_amount) from fct) as final
+"""))
+def mart_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The revenue mart kept by increments: early trips, later ones, then the
+    latest with some of the earlier moved to another month, this one run twice.
+    It equals the mart of all trips as they are in the end."""
+    from tripmart.functions.columns import month_start
+    from tripmart.operators import rollup
+    from tripmart.session import scratch_database
+    from tripmart.sinks.tables import materialize
+    db = scratch_database(spark, "increments")
+    fct = materialize(warehouse.fct_trips(spark, sf_dir), "trips")
+    first, last = (F.lit(b).cast("timestamp_ntz") for b in INCREMENT_BOUNDS)
+    moved = fct.where(_RESENT.replace("timestamp '", "timestamp_ntz '")).withColumn(
+        "pickup_datetime", F.col("pickup_datetime") + F.expr("interval 40 days")).withColumn("fare_amount", (F.col("fare_amount") + 1).cast(fct.schema["fare_amount"].dataType))
+    pickup = F.col("pickup_datetime")
+    increments = [fct.where(pickup < first), fct.where((pickup >= first) & (pickup < last)),
+                  fct.where(~(pickup < last) | pickup.isNull()).unionByName(moved)]
+    for number, rows in [*enumerate(increments), (2, increments[2])]:
+        rollup.add_increment(rows.withColumn("pickup_month", month_start("pickup_datetime")), f"{db}.fct_trips", f"{db}.zone_revenue",
+                             rollup.zone_revenue(), "trip_id", "pickup_month", number)
+    m = rollup.zone_revenue_report(spark.table(f"{db}.zone_revenue"))
+    return m.select("pickup_zone", "revenue_month", "service_type",
+                    *[money_double(dst).alias(dst) for _, dst in REVENUE_SUMS],
+                    "total_monthly_trips", "avg_monthly_passenger_count",
+                    "avg_monthly_trip_distance")

@@ -288,13 +288,13 @@ def new_rows(src: DataFrame, target: str, keys: Sequence[str], dedupe_source: bo
     return anti_join(src, known, keys).select(*tgt.columns)
 
 
-def _values(parts: DataFrame) -> list[str | None]:
+def partition_values(parts: DataFrame) -> list[str | None]:
     """The distinct values of a partition column, as text; no more than the
     table's partitions, which the catalog keeps on the driver as well."""
     return [r[0] for r in parts.select(F.col(parts.columns[0]).cast("string").alias("value")).distinct().collect()]
 
 
-def _rows_of(tgt: DataFrame, part: str, values: list[str | None]) -> DataFrame:
+def rows_of_partitions(tgt: DataFrame, part: str, values: list[str | None]) -> DataFrame:
     """The target's rows in the given partitions (NULL included).  The values
     are literals, so no other partition is listed or read."""
     kind = tgt.schema[part].dataType
@@ -303,7 +303,7 @@ def _rows_of(tgt: DataFrame, part: str, values: list[str | None]) -> DataFrame:
     return tgt.where(found | F.col(part).isNull() if None in values else found)
 
 
-def _swap_partitions(out: DataFrame, target: str, part: str, touched: list[str | None]) -> None:
+def swap_partitions(out: DataFrame, target: str, part: str, touched: list[str | None]) -> None:
     """Replace the touched partitions by ``out``: one dynamic overwrite, then a
     drop of those left empty (such an overwrite never removes a partition it
     writes no row to)."""
@@ -398,9 +398,9 @@ def _replace_by_keys(spark: SparkSession, src: DataFrame, target: str, keys: Seq
         spark.catalog.refreshTable(target)
         return
     # Partitions with a source row or a target row whose key is in the source; only keys and partitions are read for them.
-    touched = _values(src.select(part).unionByName(semi_join(tgt.select(*keys, part), src, keys).select(part)))
+    touched = partition_values(src.select(part).unionByName(semi_join(tgt.select(*keys, part), src, keys).select(part)))
     if touched:
-        _swap_partitions(anti_join(_rows_of(tgt, part, touched), src, keys).unionByName(src), target, part, touched)
+        swap_partitions(anti_join(rows_of_partitions(tgt, part, touched), src, keys).unionByName(src), target, part, touched)
 
 
 # --- time-interval refresh (SNK-9) -----------------------------------------
@@ -432,7 +432,7 @@ def write_time_interval(result: DataFrame, target: str, key: str, start, end,
                            if c == partition_col else F.col(c) for c in tgt.columns])
     reached = tgt.where(in_reach)
     try:
-        _swap_partitions(reached.where(~window).unionByName(rows), target, partition_col, _values(reached.select(partition_col)))
+        swap_partitions(reached.where(~window).unionByName(rows), target, partition_col, partition_values(reached.select(partition_col)))
     except Exception as e:
         if OUTSIDE in str(e):
             raise ValueError(OUTSIDE) from e
