@@ -87,6 +87,24 @@ def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(target)
 
 
+@gate("stream_merge_indexed", "select event_id, ts, user_id, event_type, value, props from events")
+def stream_merge_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``stream_merge``, into a target by day with a key index: a batch reads
+    only the days that its keys can be in."""
+    ev = adapter.table(spark, sf_dir, "events").select(*EVENT_COLS)
+    landing, ckpt = scratch_dir(spark, "landing"), scratch_dir(spark, "stream-ckpt")
+    target = f"{scratch_database(spark, 'sindex')}.events"
+    schema = _event_schema(spark, sf_dir)
+    day = F.to_date("ts").alias("event_date")
+    tables.ensure_table(spark, target, ev.select("*", day).schema, ["event_date"])
+    tables.build_key_index(spark, target, ["event_id"])
+    for rows, offset in ((ev, 0), (ev.where(F.col("event_id") < REDELIVERED_PAGES * PAGE_SIZE), 1_000_000)):
+        _land_pages(rows, landing, page_offset=offset)
+        stream = ingest.page_stream(spark, landing, schema.add("page", "long"), PAGES_PER_BATCH).select(*EVENT_COLS, day)
+        ingest.merge_stream(stream, target, ["event_id"], ckpt)
+    return spark.table(target).select(*EVENT_COLS)
+
+
 # --- replays -------------------------------------------------------------------
 
 def _forget_last_batch(spark: SparkSession, checkpoint: str) -> None:

@@ -27,6 +27,7 @@ from pyspark.sql.types import StructType
 
 from tripmart.operators.aggregates import duplicate_keys
 from tripmart.operators.joins import anti_join, is_bounded, semi_join
+from tripmart.sinks import key_index
 
 
 class ContractError(ValueError):
@@ -58,6 +59,7 @@ def overwrite_partitions(rows: DataFrame, target: str) -> list[str | None]:
     session setting, so the plan goes to a session of its own as a view."""
     spark = rows.sparkSession
     part = partition_columns(spark, target)[0]
+    drop_key_index(spark, target)
     name = f"overwrite_{uuid.uuid4().hex}"
     noted = Observation(name)
     values = F.to_json(F.collect_set(F.struct(F.col(part).cast("string").alias("value"))))
@@ -130,6 +132,7 @@ def create_like(df: DataFrame, name: str) -> None:
 def write_replace(df: DataFrame, name: str, partition_by: Sequence[str] = (),
                   bucket_by: tuple[int, Sequence[str]] | None = None) -> None:
     """Full refresh / CTAS (SNK-3, INC-6)."""
+    drop_key_index(df.sparkSession, name)
     _writer(df, partition_by, bucket_by).mode("overwrite").saveAsTable(name)
 
 
@@ -143,8 +146,10 @@ def write_append(df: DataFrame, name: str, partition_by: Sequence[str] = ()) ->
         _writer(df, partition_by).saveAsTable(name)
 
 
-def _insert(df: DataFrame, name: str) -> None:
+def _insert(df: DataFrame, name: str, keeps_index: bool = False) -> None:
     spark = df.sparkSession
+    if not keeps_index:
+        drop_key_index(spark, name)
     rows = df.select(*spark.table(name).columns)
     buckets = bucket_columns(spark, name)
     if buckets:
@@ -241,6 +246,14 @@ def merge_insert_new(src: DataFrame, target: str, keys: Sequence[str],
     spark = src.sparkSession
     if dedupe_source:
         src = src.dropDuplicates(list(keys))
+    if has_key_index(spark, target, keys):
+        part = partition_columns(spark, target)[0]
+        with staged(src, "batch") as (rows, _), staged(new_rows(rows, target, keys), "new") as (added, _):
+            # Bits before rows: a run that fails in between leaves too many bits, never too few.
+            key_index.bitmaps(added, keys, part).write.insertInto(key_index.name_of(target))
+            spark.catalog.refreshTable(key_index.name_of(target))
+            _insert(added, target, keeps_index=True)
+        return
     if _meets_by_batch(spark, src, target, keys):
         # The batch is read twice (its keys, then its rows): compute it once.
         with staged(src, "batch") as (rows, _):
@@ -264,6 +277,32 @@ def merge_insert_missing(src: DataFrame, target: str, keys: Sequence[str], of_ba
     _insert(due.exceptAll(already), target)
 
 
+def build_key_index(spark: SparkSession, target: str, keys: Sequence[str]) -> None:
+    """Index the keys of a partitioned table (``key_index``); insert-only merges
+    on these keys then read only the partitions that a batch's keys can be in,
+    and keep the index.  Building it again makes it compact.  Any other write to
+    the table drops the index, after which merges read all keys as before."""
+    index = key_index.name_of(target)
+    found = key_index.bitmaps(spark.table(target), keys, partition_columns(spark, target)[0])
+    drop_key_index(spark, target)
+    found.write.format("parquet").saveAsTable(index)
+    spark.sql(f"ALTER TABLE {index} SET TBLPROPERTIES ('{_INDEXED}' = '{','.join(keys)}')")
+
+
+_INDEXED = "indexed_keys"
+
+
+def has_key_index(spark: SparkSession, target: str, keys: Sequence[str]) -> bool:
+    index = key_index.name_of(target)
+    if not table_exists(spark, index):
+        return False
+    return spark.sql(f"SHOW TBLPROPERTIES {index} ('{_INDEXED}')").first()["value"] == ",".join(keys)
+
+
+def drop_key_index(spark: SparkSession, target: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {key_index.name_of(target)}")
+
+
 def _meets_by_batch(spark: SparkSession, src: DataFrame, target: str, keys: Sequence[str]) -> bool:
     """A bounded batch against a large target that isn't bucketed on the keys."""
     return (sorted(bucket_columns(spark, target)) != sorted(keys) and is_bounded(src.select(*keys))
@@ -275,14 +314,19 @@ def new_rows(src: DataFrame, target: str, keys: Sequence[str], dedupe_source: bo
     the target (lazy; evaluated against the target as it is then).  The join
     reads only the target's key columns.
 
-    A target bucketed on the keys is read bucket by bucket and only the batch
-    is shuffled.  Otherwise a small batch finds its keys in a large target by
+    Of a target with a key index only the partitions are read that the index
+    names.  A target bucketed on the keys is read bucket by bucket and only the
+    batch is shuffled.  Otherwise a small batch finds its keys in a large target by
     a semi join first, so that the target's keys are not shuffled."""
     spark = src.sparkSession
     if dedupe_source:
         src = src.dropDuplicates(list(keys))
     tgt = spark.table(target)
     known = tgt.select(*keys)
+    if has_key_index(spark, target, keys):
+        part = partition_columns(spark, target)[0]
+        reached = partition_values(key_index.partitions_with(spark.table(key_index.name_of(target)), src, keys))
+        return anti_join(src, rows_of_partitions(tgt, part, reached).select(*keys), keys).select(*tgt.columns)
     if _meets_by_batch(spark, src, target, keys):
         known = semi_join(known, src, keys)
     return anti_join(src, known, keys).select(*tgt.columns)
@@ -394,6 +438,7 @@ def _replace_by_keys(spark: SparkSession, src: DataFrame, target: str, keys: Seq
     if part is None:
         # Unpartitioned: the whole table is the one partition.
         with staged(anti_join(tgt, src, keys).unionByName(src), "swap") as (out, _):
+            drop_key_index(spark, target)
             out.write.insertInto(target, overwrite=True)
         spark.catalog.refreshTable(target)
         return
