@@ -102,3 +102,11 @@ def test_no_documents_or_no_training(spark, no_docs, odd_docs):
     assert lm.train_and_score(spark, no_docs, F.lit(True)).count() == 0
     got = lm.train_and_score(spark, odd_docs, F.lit(None).cast("boolean")).collect()
     assert len(got) == 11 and all(r.train_tokens == 0 and r.n_known == 0 and math.isfinite(r.score) for r in got)
+
+
+def test_scores_do_not_depend_on_how_rows_are_stored(spark, some_docs):
+    docs = some_docs.select("doc_id", "text")
+    training = fold_of(F.col("doc_id"), 5) != 1
+    one, other = ({r.id: r.score for r in lm.train_and_score(spark, d, training).collect()}
+                  for d in (docs.coalesce(1), docs.repartition(7, F.hash("text")).sortWithinPartitions(F.desc("doc_id"))))
+    assert one.keys() == other.keys() and all(abs(one[i] - other[i]) <= 1e-4 * abs(one[i]) for i in one)

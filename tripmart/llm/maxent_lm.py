@@ -388,7 +388,8 @@ def train_and_score(spark: SparkSession, docs: DataFrame, training: Column, id_c
 
     ``training`` says which rows the model learns from (NULL: not).  A NULL text
     is empty: its one token is the end.  NULL ids and repeated rows are texts
-    like others.  Without training texts both models know no words and every
+    like others.  The rounds' slices are dealt by ids and contents, so scores do not
+    depend on how the rows are stored, but for the rounding of sums.  Without training texts both models know no words and every
     token has the one probability left.  Other columns are not read.
     """
     named = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"),
@@ -404,7 +405,7 @@ def train_and_score(spark: SparkSession, docs: DataFrame, training: Column, id_c
         "rest array<struct<word: binary, times: long>>"), "tokens")
     w = Weights.start(v)
     for k in range(rounds if v.n else 0):
-        slice_ = texts.where(F.col("training") & (F.pmod(F.xxhash64("row"), F.lit(rounds)) == k)).select("symbols")
+        slice_ = texts.where(F.col("training") & (F.pmod(F.xxhash64("id", "symbols"), F.lit(rounds)) == k)).select("symbols")
         shared = spark.sparkContext.broadcast(w)
         w = gather(slice_, shared).step(w)
         shared.unpersist()
