@@ -189,3 +189,21 @@ def test_files_merged_by_one_job_as_one_after_another(spark, db):
             assert len(loads.backfill(spark, root, *span, name, at_once=at_once)) == 3
         got.append(sorted((r.VendorID, r.filename[-6:-4], r.total_amount) for r in spark.table(f"{name}.green_tripdata").collect()))
     assert got[0] == got[1] == [(1, "01", 1.0), (1, "01", 2.0), (2, "02", 3.0), (2, "02", 4.0), (3, "03", 5.0)]
+
+
+def test_variant_records_keep_absent_and_null_apart(spark):
+    from tripmart.operators.transforms import keep_record_columns
+    p = scratch_dir(spark, "t-variant")
+    _write(p, "a.json", '{"products": [{"brand": "A", "price": 2.50, "it\'s": 1}, {"price": null}, null, {"brand": {"x": [1]}}]}\n{"products": []}\n{"other": 1}\n')
+    recs = files.read_json_variants(spark, p, "$.products")
+    got = [tuple(r) for r in keep_record_columns(recs, ["brand", "price", "it's"]).collect()]
+    assert got == [("A", "2.5", "1"), ("N/A", None, "N/A"), ("N/A", "N/A", "N/A"), ('{"x":[1]}', "N/A", "N/A")]
+
+
+def test_scale_settings_leave_explicit_ones(spark):
+    from tripmart.session import apply_scale_conf
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.maxPartitionBytes", "7000000")
+    applied = apply_scale_conf(own, 1 << 40)
+    assert own.conf.get("spark.sql.files.maxPartitionBytes") == "7000000" and "spark.sql.files.maxPartitionBytes" not in applied
+    assert applied["spark.sql.autoBroadcastJoinThreshold"] == own.conf.get("spark.sql.autoBroadcastJoinThreshold")

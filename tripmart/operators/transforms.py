@@ -224,6 +224,19 @@ def keep_columns(df: DataFrame, columns: Sequence[str], default: str = "N/A") ->
     return df.select(*out)
 
 
+def keep_record_columns(records: DataFrame, columns: Sequence[str], default: str = "N/A", record: str = "record") -> DataFrame:
+    """Runtime column list over VARIANT records (PRJ-6): a present key as text,
+    an absent one as ``default``, an explicit null as NULL."""
+    def kept(name: str) -> Column:
+        quote = '"' if "'" in name else "'"
+        if quote in name:
+            raise ValueError(f"a path can't name {name}")
+        path = f"$[{quote}{name}{quote}]"
+        value = F.variant_get(record, path, "variant")
+        return F.when(value.isNull(), F.lit(default)).when(~F.is_variant_null(value), F.try_variant_get(record, path, "string")).alias(name)
+    return records.select(*[kept(c) for c in columns])
+
+
 # --- models (Q-10, Q-11) ---------------------------------------------------
 
 DEDUPE_KEYS = ["vendor_id", "pickup_datetime", "pickup_location_id", "service_type"]

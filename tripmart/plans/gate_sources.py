@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 
 from tripmart.functions.columns import avg_rounded, month_start, row_hash
 from tripmart.operators.joins import estimated_bytes
-from tripmart.operators.transforms import keep_columns
+from tripmart.operators.transforms import keep_columns, keep_record_columns
 from tripmart.plans import oracle, reports
 from tripmart.plans.gate import gate
 from tripmart.plans.gate_models import ROW_HASH_COLS, ROW_HASH_SQL
@@ -167,6 +167,22 @@ def json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("brand", F.col("price").try_cast("double").alias("price"))
 
 
+@gate("json_record_nulls", """select p_partkey as id, case p_size when 1 then 'N/A' when 2 then null else p_brand end as brand,
+  case when p_size = 3 then null else p_retailprice end as price, 'N/A' as colour from part""")
+def json_record_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records in which a key is absent (N/A) or explicitly null (NULL)."""
+    path = scratch_dir(spark, "json-nulls")
+    p = adapter.table(spark, sf_dir, "part")
+    brand = F.when(F.col("p_size") != 2, F.col("p_brand")).alias("brand")
+    price = F.when(F.col("p_size") != 3, F.col("p_retailprice")).alias("price")
+    text = lambda *fields: F.to_json(F.struct(F.col("p_partkey").alias("id"), *fields), {"ignoreNullFields": "false"})
+    rows = p.select(F.floor(F.col("p_partkey") / 100).alias("page"), F.when(F.col("p_size") == 1, text(price)).otherwise(text(brand, price)).alias("r"))
+    docs = rows.groupBy("page").agg(F.concat(F.lit('{"products": ['), F.array_join(F.collect_list("r"), ", "), F.lit("]}")).alias("value"))
+    docs.select("value").write.text(path)
+    kept = keep_record_columns(files.read_json_variants(spark, path, "$.products"), ["id", "brand", "price", "colour"])
+    return kept.select(F.col("id").cast("long").alias("id"), "brand", F.col("price").cast("double").alias("price"), "colour")
+
+
 @gate("avg_price_by_brand", "with " + _PRODUCTS_SQL + """
 select brand, cast((2 * sum(cast(cast(price as decimal(18,2)) * 100 as bigint)) + count(*))
                    // (2 * count(*)) as double) / 100 as avg_price

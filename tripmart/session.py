@@ -120,14 +120,18 @@ def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 * 1024 * 10
 
 
 def apply_scale_conf(spark: SparkSession, input_bytes: int) -> dict[str, str]:
-    """Apply the large-input settings that the cluster's or the session's
-    configuration does not set (explicit settings win).  Returns what was applied."""
+    """Apply the large-input settings that neither the cluster's configuration
+    nor the session sets (explicit settings win: a value other than Spark's
+    default is one).  Returns what was applied."""
     applied = {}
     cluster = spark.sparkContext.getConf()
+    defaults = spark.newSession().conf
     wanted = dict(SQL_DEFAULTS, **SCALE_DEFAULTS)
     wanted["spark.sql.shuffle.partitions"] = str(shuffle_partitions_for(input_bytes))
     for k, v in wanted.items():
-        if not cluster.contains(k):
+        # A value that an earlier call set may be set anew.
+        if not cluster.contains(k) and spark.conf.get(k, None) in (defaults.get(k, None), spark.conf.get(f"tripmart.scale.{k}", None)):
             spark.conf.set(k, v)
+            spark.conf.set(f"tripmart.scale.{k}", v)
             applied[k] = v
     return applied

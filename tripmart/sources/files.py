@@ -87,6 +87,17 @@ def read_json_records(spark: SparkSession, path: str, record_path: str,
     return docs.select(F.explode_outer(record_path).alias("__r")).select("__r.*")
 
 
+def read_json_variants(spark: SparkSession, path: str, record_path: str, multiline: bool = False) -> DataFrame:
+    """Records of the array under ``record_path`` (a JSON path, ``$.products``)
+    of each document, one VARIANT ``record`` per row.  No schema is inferred, so
+    there is no pass for it, records may differ, and a key that is absent and one
+    that is null stay apart (``keep_record_columns``).  A document without the
+    array has no records; an element that is null is one."""
+    docs = spark.read.option("singleVariantColumn", "document").option("multiLine", multiline).option("mode", "FAILFAST").json(path)
+    records = F.variant_get("document", record_path, "array<variant>")
+    return docs.select(F.explode(records).alias("record"))
+
+
 def read_seed(spark: SparkSession, path: str, sep: str = ",", lower_header: bool = True) -> DataFrame:
     """Delimited seed file (SRC-10, SRC-11): header row, inferred types, CRLF
     line ends accepted; a quoted field may hold the delimiter, and a quote
