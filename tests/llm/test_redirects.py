@@ -75,3 +75,26 @@ def test_longest_rule_wins(spark):
     urls = ["http://x.b.com/ok/1", "http://b.com/ok", "http://ab.com/", "http://same.com/", "http://q.com/nono", "http://q.com"]
     got = {r.node: (r.rule, r.action) for r in rd.matched(spark.createDataFrame([(u,) for u in urls], "node string"), rules).collect()}
     assert got == {urls[0]: ("b.com/ok/", "allow"), urls[1]: ("b.com/", "block"), urls[3]: ("same.com/", "allow"), urls[4]: ("com/no", "block")}
+
+
+def test_links_in_all_their_spellings(spark):
+    html = {
+        "<link href=http://t.net/a rel=canonical>": "http://t.net/a", "<LINK rel='canonical' HREF = ' http://t.net/b '/>": "http://t.net/b",
+        "<meta content=\"0; URL='http://t.net/c'\" http-equiv=refresh>": "http://t.net/c",
+        "<meta http-equiv='Refresh' content='5;url=http://t.net/d?x=1;y'>": "http://t.net/d?x=1;y",
+        "<link rel=canonical href='d.html'>": "http://p.org/x/d", "<link rel=canonical href='./e?q=1'>": "http://p.org/x/e?q=1",
+        "<link rel=canonical href='/f'>": "http://p.org/f", "<link rel=canonical href='../g'>": None, "<link rel=canonical href='#top'>": None,
+        "<link rel=canonical href='mailto:a@b.c'>": None, "<meta name=x content='url=http://t.net/z'>": None}
+    pages = spark.createDataFrame([("http://p.org/x/page.html", h) for h in html], "url string, html string")
+    got = {r.b for r in rd.alias_edges(pages).collect()} - {"http://p.org/x/page"}
+    assert got == {v for v in html.values() if v}
+    bare = spark.createDataFrame([("http://p.org", "<link rel=canonical href='h'>")], "url string, html string")
+    assert "http://p.org/h" in {r.b for r in rd.alias_edges(bare).collect()}
+
+
+def test_the_rules_are_the_side_that_moves(spark):
+    """Not the exploded urls: the rules are literals of known size."""
+    urls = spark.range(1000).selectExpr("concat('http://h', id, '.example.org/es/') as node")
+    plan = rd.matched(urls, rd.rule_table(spark, [*URL_RULES, ("block", "it's.com/\\x")]))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "BuildRight" in plan and "SortMergeJoin" not in plan
+    assert rd.rule_table(spark, [("block", "it's.com/\\x")]).first()["rule"] == "it's.com/\\x" and rd.rule_table(spark, []).count() == 0

@@ -127,7 +127,9 @@ def _sql_text(value: str) -> str:
 
 
 _LINK = ("case when regexp_matches(link, '(?i)^https?://') then link when starts_with(link, '//') then 'http:' || link "
-         "when starts_with(link, '/') then 'http://' || host || link end")
+         "when starts_with(link, '/') then 'http://' || host || link "
+         f"when not regexp_matches(link, {_sql_text(redirects.NOT_RELATIVE)}) then 'http://' || host || "
+         "case when path = '' then '/' else regexp_replace(path, '[^/]*$', '') end || regexp_replace(link, '^(\\./)+', '') end")
 ORACLE["op1_redirects"] = f"""
 with recursive p as (
   select page_id, url, html, case when contains(url, '://') then substr(url, instr(url, '://') + 3) else '' end as rest from pages),
@@ -135,9 +137,9 @@ h as (
   select page_id, url, html, translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'), '{redirects.UPPER}', '{redirects.LOWER}') as host,
     regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) as path, {_normal_sql('url')} as a from p),
 l as (
-  select a, host, unnest([regexp_extract(regexp_extract(html, {_sql_text(redirects.CANONICAL_TAG)}), {_sql_text(redirects.HREF)}, 1),
-    regexp_extract(html, {_sql_text(redirects.REFRESH)}, 1)]) as link from h),
-t as (select a, {_LINK} as target from (select a, host, trim(link) as link from l where link <> '')),
+  select a, host, path, unnest([regexp_extract(regexp_extract(html, {_sql_text(redirects.CANONICAL_TAG)}), {_sql_text(redirects.HREF)}, 1),
+    regexp_extract(regexp_extract(html, {_sql_text(redirects.REFRESH_TAG)}), {_sql_text(redirects.REFRESH_URL)}, 1)]) as link from h),
+t as (select a, {_LINK} as target from (select a, host, path, trim(link) as link from l where link <> '')),
 e as (select a, {_normal_sql('target')} as b from t),
 both_ways as (select a, b from e where b is not null union select b, a from e where b is not null),
 reach as (select a, b from both_ways union select r.a, x.b from reach r join both_ways x on r.b = x.a),

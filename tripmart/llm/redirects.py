@@ -19,8 +19,11 @@ from tripmart.llm.components import connected_components
 
 TRACKING = "(^|&)(utm_[a-z]+|ref|fbclid|gclid)=[^&]*"
 CANONICAL_TAG = r"(?i)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"
-HREF = r"(?i)\bhref\s*=\s*[\"']([^\"'<>]+)[\"']"
-REFRESH = r"(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*\burl\s*=\s*([^\"'<>\s]+)"
+HREF = r"(?i)\bhref\s*=\s*[\"']?\s*([^\"'<>\s]+)"
+REFRESH_TAG = r"(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"
+REFRESH_URL = r"(?i)\burl\s*=\s*[\"']?\s*([^\"'<>\s]+)"
+#: Links that are completed neither from the page's host nor from its folder.
+NOT_RELATIVE = r"(?i)^([a-z][a-z0-9+.-]*:|[#?])|(^|/)\.\.(/|$)"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -50,9 +53,12 @@ def normal_form(url: Column) -> Column:
 
 def absolute(link: Column, base: Column) -> Column:
     """A link's url: absolute links as they are, ``//host`` and ``/path`` ones
-    completed from the page's url; others (relative or with another scheme) NULL."""
+    completed from the page's host, others from its folder; links with another
+    scheme, to a place in the page or through a parent folder are NULL."""
+    folder = F.regexp_replace(F.regexp_replace(path_of(base), "[^/]*$", ""), "^$", "/")
     return (F.when(link.rlike("(?i)^https?://"), link).when(link.startswith("//"), F.concat(F.lit("http:"), link))
-            .when(link.startswith("/"), F.concat(F.lit("http://"), host_of(base), link)))
+            .when(link.startswith("/"), F.concat(F.lit("http://"), host_of(base), link))
+            .when(~link.rlike(NOT_RELATIVE), F.concat(F.lit("http://"), host_of(base), folder, F.regexp_replace(link, r"^(\./)+", ""))))
 
 
 def alias_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -61,7 +67,8 @@ def alias_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html")
     url, html = F.col("url"), F.col("html")
     named = pages.select(F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     spelled = named.select(url.alias("a"), normal_form(url).alias("b"))
-    links = F.array(F.regexp_extract(F.regexp_extract(html, CANONICAL_TAG, 0), HREF, 1), F.regexp_extract(html, REFRESH, 1))
+    links = F.array(F.regexp_extract(F.regexp_extract(html, CANONICAL_TAG, 0), HREF, 1),
+                    F.regexp_extract(F.regexp_extract(html, REFRESH_TAG, 0), REFRESH_URL, 1))
     linked = named.select(normal_form(url).alias("a"), "url", F.explode(links).alias("link")).where("link != ''") \
         .select("a", normal_form(absolute(F.trim("link"), url)).alias("b"))
     return spelled.unionByName(linked).dropna().distinct()
@@ -70,7 +77,13 @@ def alias_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html")
 def rule_table(spark: SparkSession, rules: list[tuple[str, str]]) -> DataFrame:
     """(rule, action, rule_host, rule_path) of (action, host and path) pairs."""
     rows = [(rule, action, rule.partition("/")[0].lower(), "/" + rule.partition("/")[2]) for action, rule in rules]
-    return spark.createDataFrame(rows, "rule string, action string, rule_host string, rule_path string")
+    columns = ["rule", "action", "rule_host", "rule_path"]
+    if not rows:
+        return spark.range(0).select(*[F.lit("").alias(c) for c in columns])
+    # A relation of literals: the planner knows its size, so it is the side that moves, not the urls.
+    text = lambda v: "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    body = ", ".join("(" + ", ".join(map(text, row)) + ")" for row in rows)
+    return spark.sql(f"select * from (values {body}) as t({', '.join(columns)})")
 
 
 def matched(urls: DataFrame, rules: DataFrame) -> DataFrame:
