@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 from tripmart.functions.columns import avg_rounded, month_start, row_hash
 from tripmart.operators.joins import estimated_bytes
 from tripmart.operators.transforms import keep_columns, keep_record_columns
-from tripmart.plans import oracle, reports
+from tripmart.plans import loads, oracle, reports
 from tripmart.plans.gate import gate
 from tripmart.plans.gate_models import ROW_HASH_COLS, ROW_HASH_SQL
 from tripmart.plans.gate_reports import RANGE_END, RANGE_START
@@ -25,7 +25,7 @@ from tripmart.plans.gate_sinks import LOADED_SCHEMA
 from tripmart.session import scratch_database, scratch_dir
 from tripmart.sinks import layout, tables
 from tripmart.sinks.tables import materialize
-from tripmart.sources import adapter, files
+from tripmart.sources import adapter, files, trips
 
 ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
@@ -141,6 +141,49 @@ def header_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_csv_header_typed(spark, path, TYPE_MAP)
 
 
+_RAW_COLS = """cast({vendor} as int) as vendor, cast({pu} as int) as pu, cast({do} as int) as do_, cast({pay} as int) as payment_type,
+  cast({rate} as int) as rate_code, {yellow} as yellow_pickup, {green} as green_pickup, {fhv} as fhv_pickup, cast({fare} as double) as fare,
+  cast({fee} as double) as ehail_fee, {base} as base, {affiliated} as affiliated, cast({sr} as int) as sr_flag"""
+_TRIP_COLS = dict(vendor="VendorID", pu="PULocationID", do="DOLocationID", pay="payment_type", rate="RatecodeID", yellow="null", green="null",
+                  fhv="null", fare="fare_amount", fee="null", base="null", affiliated="null", sr="null")
+_FHV_COLS = dict(dict.fromkeys(_TRIP_COLS, "null"), pu="case when l_linenumber = 6 then 99 else c_nationkey end", do="s_nationkey", fhv="o_orderdate",
+                 base="case when l_linenumber <> 7 then format('B{:05d}', l_suppkey) end", affiliated="format('B{:05d}', c_custkey % 1000)",
+                 sr="case when l_returnflag = 'R' then 1 end")
+TRIP_TYPES = "int,int,int,int,int,timestamp_ntz,timestamp_ntz,timestamp_ntz,decimal(38,9),decimal(38,9),string,string,int"
+
+
+@gate("header_trip_types", "with " + oracle.JOINED + ",\n" + oracle.raw_sql("green") + ",\n" + oracle.raw_sql("yellow") + f"""
+select *, '{TRIP_TYPES}' as types from (
+  select {_RAW_COLS.format(**dict(_TRIP_COLS, green="lpep_pickup_datetime", fee="ehail_fee"))} from green_raw
+  union all select {_RAW_COLS.format(**dict(_TRIP_COLS, yellow="tpep_pickup_datetime"))} from yellow_raw
+  union all select {_RAW_COLS.format(**_FHV_COLS)} from j)""")
+def header_trip_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of all three kinds in one folder, typed from their headers by the
+    shipped type map; each kind has columns that the others lack (SRC-12)."""
+    path = scratch_dir(spark, "trip-heads")
+    for taxi in ("green", "yellow", "fhv"):
+        raw = adapter.raw_tripdata(spark, sf_dir, taxi)
+        typed = raw.select(*[F.col(c).cast(trips.TYPE_MAP[c.lower()]) for c in raw.columns])
+        typed.write.mode("append").option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
+    back = files.read_csv_header_typed(spark, path, trips.TYPE_MAP)
+    names = ["VendorID", "PULocationID", "DOLocationID", "payment_type", "RatecodeID", "tpep_pickup_datetime", "lpep_pickup_datetime", "pickup_datetime",
+             "fare_amount", "ehail_fee", "dispatching_base_num", "Affiliated_base_number", "SR_Flag"]
+    kinds = ",".join(back.select(n).schema[0].dataType.simpleString() for n in names)
+    out = ["vendor", "pu", "do_", "payment_type", "rate_code", "yellow_pickup", "green_pickup", "fhv_pickup", "fare", "ehail_fee", "base", "affiliated", "sr_flag"]
+    return back.select(*[(F.col(n).cast("double") if o in ("fare", "ehail_fee") else F.col(n)).alias(o) for n, o in zip(names, out)],
+                       F.lit(kinds).alias("types"))
+
+
+@gate("head_rows", "select least(count(*), 100) as rows, true as all_in_table, true as all_different from orders")
+def head_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first rows of a scan: as many as asked for, rows of the table, each once (SRC-14)."""
+    o = _orders(spark, sf_dir)
+    head = materialize(loads.head_rows(o, 100), "head")
+    found = head.join(o.withColumn("known", F.lit(1)), ORDER_COLS, "left")
+    return found.agg(F.count(F.lit(1)).alias("rows"), (F.count("known") == F.count(F.lit(1))).alias("all_in_table"),
+                     (F.countDistinct("o_orderkey") == F.count(F.lit(1))).alias("all_different"))
+
+
 # --- JSON --------------------------------------------------------------------
 
 # Products are written as documents {"products": [...]} of at most 100
