@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tripmart.plans.gate import gate
 from tripmart.session import scratch_database, scratch_dir
 from tripmart.sinks import tables
-from tripmart.sources import adapter
+from tripmart.sources import adapter, pages
 from tripmart.streaming import ingest
 
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
@@ -152,3 +152,28 @@ def stream_append_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
         ingest.append_with_ledger(_keyless(stream), f"{db}.events", f"{db}.loads", ckpt, EVENT_COLS)
         _forget_last_batch(spark, ckpt)
     return spark.table(f"{db}.events").select(*EVENT_COLS)
+
+
+# --- the paged source's end -----------------------------------------------------
+
+SMALL_PAGE, SHORT_PAGE, SHORT_ROWS = 100, 3, 40
+
+
+@gate("paged_source_end", f"""with p as (select event_id, event_id // {SMALL_PAGE} as page, event_id % {SMALL_PAGE} as place from events)
+select 1 as run, event_id from p where page < {SHORT_PAGE} or (page = {SHORT_PAGE} and place < {SHORT_ROWS})
+union all select 2, event_id from p where page >= {SHORT_PAGE} and page < 8""")
+def paged_source_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed pages of which one is short: those after it are not read.  Once
+    it has grown, the next run starts there and ends before a page that is missing."""
+    landing = scratch_dir(spark, "pages")
+    ev = adapter.table(spark, sf_dir, "events").select("event_id", F.floor(F.col("event_id") / SMALL_PAGE).alias("page"))
+    full = ev.where("page <> 8")
+    late = (F.col("page") == SHORT_PAGE) & (F.col("event_id") % SMALL_PAGE >= SHORT_ROWS)
+    land = lambda rows: rows.repartition("page").write.mode("append").partitionBy("page").json(landing)
+    land(full.where(~late))
+    schema = ev.select("event_id").schema
+    first, start = pages.read_pages(spark, landing, schema, SMALL_PAGE, 0)
+    first = tables.materialize(first.select(F.lit(1).alias("run"), "event_id"), "run")
+    land(full.where(late))
+    second, _ = pages.read_pages(spark, landing, schema, SMALL_PAGE, start)
+    return first.unionByName(second.select(F.lit(2).alias("run"), "event_id"))
