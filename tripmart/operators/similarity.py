@@ -32,34 +32,48 @@ def centroids(df: DataFrame, group: str, vec: str) -> DataFrame:
     return per.select(group, F.transform("s", lambda s: s["x"]).alias("centroid"))
 
 
-def _unit(m: np.ndarray) -> np.ndarray:
+def unit_rows(m: np.ndarray) -> np.ndarray:
     """Rows of length one; rows of length zero become NaN."""
     norm = np.sqrt((m * m).sum(axis=1, keepdims=True))
     return np.divide(m, norm, out=np.full_like(m, np.nan), where=norm > 0)
 
 
+def vectors_of(column: pa.ListArray, width: int) -> np.ndarray:
+    """The vectors of a list column as rows; those that are NULL or of another
+    length are zero.  Columns of whole vectors are the Arrow values, reshaped."""
+    lengths = pc.fill_null(pc.list_value_length(column), -1).to_numpy(zero_copy_only=False)
+    fits = lengths == width
+    values = column.filter(pa.array(fits)).flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(-1, width)
+    if fits.all():
+        return values
+    out = np.zeros((len(column), width))
+    out[fits] = values
+    return out
+
+
+def best_rows(ids: pa.Array, vectors: np.ndarray, qids: list, queries: np.ndarray, k: int, kinds: tuple[pa.DataType, pa.DataType]) -> pa.RecordBatch:
+    """(qid, item, score) of the k best of some items for every query."""
+    scores = queries @ unit_rows(vectors).T
+    by_id = np.empty(len(ids), np.int64)
+    by_id[pc.sort_indices(ids).to_numpy()] = np.arange(len(ids))
+    rows, of = [], []
+    for q, row in enumerate(scores):
+        row = np.where(np.isnan(row), -np.inf, row)
+        near = np.arange(len(row)) if len(row) <= k else np.flatnonzero(row >= np.partition(row, -k)[-k])
+        top = near[np.lexsort((by_id[near], -row[near]))[:k]]
+        rows.append(top)
+        of += [q] * len(top)
+    at, of = np.concatenate(rows), np.array(of)
+    found = scores[of, at]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([qids[q] for q in of], kinds[0]), ids.take(pa.array(at)), pa.array(found, mask=np.isnan(found))], ["qid", "item", "score"])
+
+
 def _best_of_batches(batches: Iterator[pa.RecordBatch], shared, k: int, kinds: tuple[pa.DataType, pa.DataType]) -> Iterator[pa.RecordBatch]:
     qids, queries = shared.value
     for batch in batches:
-        ids = batch.column("item")
-        vectors = [v if v is not None and len(v) == queries.shape[1] else [0.0] * queries.shape[1] for v in batch.column("v").to_pylist()]
-        if not vectors:
-            continue
-        scores = queries @ _unit(np.array(vectors, dtype=np.float64)).T
-        by_id = np.empty(len(ids), np.int64)
-        by_id[pc.sort_indices(ids).to_numpy()] = np.arange(len(ids))
-        rows, of = [], []
-        for q, row in enumerate(scores):
-            row = np.where(np.isnan(row), -np.inf, row)
-            near = np.arange(len(row)) if len(row) <= k else np.flatnonzero(row >= np.partition(row, -k)[-k])
-            top = near[np.lexsort((by_id[near], -row[near]))[:k]]
-            rows.append(top)
-            of += [q] * len(top)
-        at, of = np.concatenate(rows), np.array(of)
-        found = scores[of, at]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([qids[q] for q in of], kinds[0]), ids.take(pa.array(at)), pa.array(found, mask=np.isnan(found))],
-            ["qid", "item", "score"])
+        if batch.num_rows:
+            yield best_rows(batch.column("item"), vectors_of(batch.column("v"), queries.shape[1]), qids, queries, k, kinds)
 
 
 def top_k_cosine(items: DataFrame, id_col: str, vec_col: str, queries: DataFrame, qid_col: str,
@@ -80,7 +94,7 @@ def top_k_cosine(items: DataFrame, id_col: str, vec_col: str, queries: DataFrame
     def flush() -> None:
         nonlocal out
         if chunk:
-            shared = spark.sparkContext.broadcast(([r["qid"] for r in chunk], _unit(np.array([r["q"] for r in chunk], dtype=np.float64))))
+            shared = spark.sparkContext.broadcast(([r["qid"] for r in chunk], unit_rows(np.array([r["q"] for r in chunk], dtype=np.float64))))
             out = out.unionByName(it.mapInArrow(lambda batches: _best_of_batches(batches, shared, k, kinds), schema))
             chunk.clear()
 

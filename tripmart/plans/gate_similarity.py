@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmart.operators import ivf
 from tripmart.operators.similarity import centroids, top_k_cosine
 from tripmart.plans.gate import gate
+from tripmart.session import scratch_database
+from tripmart.sinks.tables import materialize
 from tripmart.sources import adapter
 
 TOP_K = 10
@@ -28,3 +31,23 @@ def embedding_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = centroids(emb, "label", "embedding")
     r = top_k_cosine(emb, "vec_id", "embedding", c, "label", "centroid", TOP_K)
     return r.select("label", "rank", "vec_id", F.round("score", 6).alias("score"))
+
+
+@gate("embedding_ivf", """select count(*) filter (vec_id % 20 = 0) as queries, count(*) as rows, true as recall_from_0_9, true as exact_agrees
+from embeddings""")
+def embedding_ivf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding whose id is divisible by 20 searched in an inverted
+    file of all: the share of the exact ten nearest that it finds, and the
+    search of all cells against the exact one."""
+    emb = adapter.table(spark, sf_dir, "embeddings")
+    name = f"{scratch_database(spark, 'ivf')}.vectors"
+    ivf.build(emb, "vec_id", "embedding", name)
+    asked = emb.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query"), "embedding")
+    exact = materialize(top_k_cosine(emb, "vec_id", "embedding", asked, "query", "embedding", TOP_K), "exact")
+    near = materialize(ivf.search(spark, name, asked, "query", "embedding", TOP_K).select("query", F.col("item").alias("vec_id"), F.lit(1).alias("hit")), "near")
+    whole = ivf.search(spark, name, asked, "query", "embedding", TOP_K, exact=True).select(
+        "query", F.col("item").alias("vec_id"), F.col("rank").alias("same"))
+    met = exact.join(near, ["query", "vec_id"], "left").join(whole, ["query", "vec_id"], "left")
+    counted = met.agg(F.countDistinct("query").alias("queries"), (F.count("hit") >= 0.9 * F.count(F.lit(1))).alias("recall_from_0_9"),
+                      F.bool_and(F.coalesce(F.col("same") == F.col("rank"), F.lit(False))).alias("exact_agrees"))
+    return counted.select("queries", F.lit(spark.table(name).count()).alias("rows"), "recall_from_0_9", "exact_agrees")
