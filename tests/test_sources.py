@@ -187,7 +187,7 @@ def test_files_merged_by_one_job_as_one_after_another(spark, db):
     for name, at_once in ((db, 1), (f"{db}_b", 12)):
         for _ in range(2):
             assert len(loads.backfill(spark, root, *span, name, at_once=at_once)) == 3
-        got.append(sorted((r.VendorID, r.filename[-6:-4], r.total_amount) for r in spark.table(f"{name}.green_tripdata").collect()))
+        got.append(sorted((int(r.VendorID), r.filename[-6:-4], r.total_amount) for r in spark.table(f"{name}.green_tripdata").collect()))
     assert got[0] == got[1] == [(1, "01", 1.0), (1, "01", 2.0), (2, "02", 3.0), (2, "02", 4.0), (3, "03", 5.0)]
 
 
