@@ -4,15 +4,27 @@ The probability of a token is that of its class times that of the token within
 its class.  The HEAD most frequent tokens (the end of a text is one) form
 classes of neighbouring frequency, and a softmax over each class's words; all
 other words belong to tail classes by a hash of their last bytes, within which
-they have their smoothed relative frequency, unknown words sharing one place.
+they start from their smoothed relative frequency, unknown words sharing one
+place.
 
-Both softmaxes are maximum-entropy models over features of the three tokens
+These two softmaxes are maximum-entropy models over features of the three tokens
 before: the last one, the two skips, and the hashed pair of the last two.  In
 each round a slice of the training texts gives, for each feature and outcome,
 how often it occurred and how often the model expects it; tasks send these sums
 through a two-level shuffle, and the weights move by the difference, scaled by
 the expectation.  The slices together are all training texts.
 
+Within a tail class a third softmax has a weight for every (last word, word)
+that the training texts hold, so what it learns grows with the corpus.  Its
+penalty is CONTEXT_PRIOR times the divergence from the relative frequencies p;
+a feature n times seen, in a context N times seen with its class, has gradient
+n - N q + CONTEXT_PRIOR (p - q), and as the features of a context don't overlap,
+one update makes it zero for all: the weight is log(1 + n / (CONTEXT_PRIOR p)),
+the log normaliser log(1 + N / CONTEXT_PRIOR).  The counts n and N are summed in
+shards of the hashed features, whose number grows with the tokens.  Texts lie in
+blocks of a bounded number of tokens; a block sends each of its features once to
+its shard, with its training count, and gets the sum back.
+
 Counts cover all training tokens.  The most frequent words' counts, bounded in
 number and length, are broadcast; all others meet their counts in a join.
 """
@@ -27,11 +39,13 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.llm.common import materialize, text_slices
+from tripmart.llm.prob_minhash import mixed
 
 HEAD, PER_CLASS, TAIL_CLASSES, TAIL_SYMBOLS = 256, 16, 32, 768
 HEAD_CLASSES = HEAD // PER_CLASS
@@ -49,6 +63,14 @@ RATE = 0.35
 PRIOR = 4.0
 #: Words whose counts are broadcast, at most, and their longest length in bytes.
 DICTIONARY, LONGEST = 1 << 18, 64
+#: Strength of the tail words' relative frequencies against what a context has shown.
+CONTEXT_PRIOR = 40.0
+#: Tokens of a block of texts (a longer text is a block of its own), and tokens for each shard of features.
+BLOCK_TOKENS, SHARD_TOKENS = 1 << 19, 1 << 21
+#: Words as units: their place in the dictionary; others by a hash, from OTHER on; the place before a text.
+OTHER, START_UNIT = 1 << 31, 1 << 29
+#: Second parts of the features that count contexts: this and the class.
+CONTEXT = 1 << 30
 FLUSH = 300_000
 CHUNK = 1 << 13
 BLOCK = 1 << 14
@@ -98,6 +120,12 @@ class Vocabulary:
     def end(self) -> int:
         return self.head_words.index(None)
 
+    def chance(self) -> np.ndarray:
+        """Relative frequency within its class of each dictionary word (of head words: not used)."""
+        tail = np.array([tail_class(tail_symbol(w)) for w in self.symbol], np.int64)
+        head = {w for w in self.head_words if w is not None}
+        return np.array([1.0 if w in head else p for w, p in zip(self.symbol, 10 ** self.tail_log(self.count, tail))])
+
     def base_log(self, c):
         return np.log10((c + 0.5) / (self.n + 0.5 * (self.distinct + 1)))
 
@@ -158,8 +186,9 @@ class _Places(dict):
 
 
 def _token_batches(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
-    """Each text's symbols, its sums over dictionary words, and its other words."""
+    """Each text's symbols and units, its block, its sums over dictionary words, and its other words."""
     v, place = shared.value
+    block, held = TaskContext.get().partitionId() << 32, 0
     at = _Places(v.symbol).__getitem__
     symbols = np.array([place[w] if w in place else tail_symbol(w) for w in v.symbol] or [0], np.int64)
     count = v.count if len(v.count) else np.zeros(1, np.int64)
@@ -168,7 +197,7 @@ def _token_batches(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.Rec
     tail = np.where(in_tail, v.tail_log(count, tail_class(np.where(in_tail, symbols, HEAD))), 0.0)
     end_count = int(v.head_counts[v.end])
     for batch in text_slices(batches, "text"):
-        out: dict[str, list] = {k: [] for k in ("n_tokens", "n_known", "base", "tail", "symbols")}
+        out: dict[str, list] = {k: [] for k in ("block", "n_tokens", "n_known", "base", "tail", "symbols", "units")}
         rest_words: list[bytes] = []
         rest_times: list[int] = []
         offsets = [0]
@@ -180,8 +209,13 @@ def _token_batches(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.Rec
             sym[:-1] = symbols[where]
             sym[-1] = v.end
             known = where
+            units = where.astype("<u4")
+            if held and held + len(sym) > BLOCK_TOKENS:
+                block, held = block + 1, 0
+            held += len(sym)
             if len(missing):
                 others = [words[i] for i in missing.tolist()]
+                units[missing] = [OTHER | xxhash.xxh32_intdigest(w) for w in others]
                 sym[missing] = [tail_symbol(w) for w in others]
                 known = where[where >= 0]
                 times = Counter(others)
@@ -193,9 +227,11 @@ def _token_batches(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.Rec
             out["base"].append(float(base[known].sum() + v.base_log(end_count)))
             out["tail"].append(float(tail[known].sum()))
             out["symbols"].append(sym.tobytes())
+            out["units"].append(units.tobytes())
+            out["block"].append(block)
         rest = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(
             [pa.array(rest_words, pa.binary()), pa.array(rest_times, pa.int64())], ["word", "times"]))
-        kinds = {"n_tokens": pa.int64(), "n_known": pa.int64(), "base": pa.float64(), "tail": pa.float64(), "symbols": pa.binary()}
+        kinds = {"block": pa.int64(), "units": pa.binary(), "n_tokens": pa.int64(), "n_known": pa.int64(), "base": pa.float64(), "tail": pa.float64(), "symbols": pa.binary()}
         yield pa.RecordBatch.from_arrays(
             [batch.column(c) for c in ("row", "id", "training")] + [pa.array(out[c], kinds[c]) for c in out] + [rest],
             ["row", "id", "training", *out, "rest"])
@@ -376,14 +412,101 @@ def gather(slice_: DataFrame, shared) -> Sums:
     return Sums(flat)
 
 
-def _score_batches(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
-    for batch, texts in _symbol_batches(batches):
-        names = [c for c in batch.schema.names if c != "symbols"]
-        yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(text_log10(shared.value, texts))], [*names, "model"])
+@dataclass(frozen=True)
+class Tail:
+    """A block's tail tokens: their text's number, their unit, and the features of pair and context."""
+
+    text: np.ndarray
+    unit: np.ndarray
+    known: np.ndarray  # whether the word is in the dictionary, so that its pair has a weight
+    pair: np.ndarray
+    context: np.ndarray
+
+    def features(self) -> np.ndarray:
+        """All distinct features, ascending."""
+        return np.unique(np.concatenate([self.pair[self.known], self.context]))
+
+
+def tail_tokens_of(symbols: list[np.ndarray], units: list[np.ndarray]) -> Tail:
+    """The tail tokens of texts (symbols with the end, units without)."""
+    lengths = np.array([len(u) for u in units], np.int64)
+    text = np.repeat(np.arange(len(units)), lengths)
+    unit = np.concatenate(units).astype(np.uint64)
+    symbol = np.concatenate([s[:-1] for s in symbols]).astype(np.int64)
+    last = np.empty_like(unit)
+    last[1:] = unit[:-1]
+    last[(np.cumsum(lengths) - lengths)[lengths > 0]] = START_UNIT
+    tail = np.flatnonzero(symbol >= HEAD)
+    text, unit, last = text[tail], unit[tail], last[tail] << np.uint64(32)
+    return Tail(text, unit, unit < OTHER, mixed(last | unit), mixed(last | (CONTEXT + tail_class(symbol[tail])).astype(np.uint64)))
+
+
+def _arrays(column, kind: str) -> list[np.ndarray]:
+    return [np.frombuffer(b.as_buffer(), kind) for b in column]
+
+
+def _shard_bounds(shards: int) -> np.ndarray:
+    """The first feature of each shard but the first."""
+    return np.array([(k << 64) // shards for k in range(1, shards)], np.uint64)
+
+
+def _features_of_block(table: pa.Table, shards: int) -> pa.Table:
+    """(shard, block, features, counts): a block's distinct features and their counts in its training texts."""
+    tail = tail_tokens_of(_arrays(table["symbols"], "<u2"), _arrays(table["units"], "<u4"))
+    found = tail.features()
+    training = table["training"].to_numpy()[tail.text]
+    seen = np.concatenate([tail.pair[tail.known & training], tail.context[training]])
+    counts = np.bincount(np.searchsorted(found, seen), minlength=len(found)).astype("<u4")
+    cuts = [0, *np.searchsorted(found, _shard_bounds(shards)).tolist(), len(found)]
+    full = [k for k in range(shards) if cuts[k] < cuts[k + 1]]
+    return pa.table({
+        "shard": pa.array(full, pa.int64()), "block": pa.array([table["block"][0].as_py()] * len(full), pa.int64()),
+        "features": pa.array([found[cuts[k]:cuts[k + 1]].astype("<u8").tobytes() for k in full], pa.binary()),
+        "counts": pa.array([counts[cuts[k]:cuts[k + 1]].tobytes() for k in full], pa.binary())})
+
+
+def _sum_shard(table: pa.Table) -> pa.Table:
+    """(block, shard, totals): the sums over all blocks, in the order of each block's features."""
+    features, counts = _arrays(table["features"], "<u8"), _arrays(table["counts"], "<u4")
+    _, at = np.unique(np.concatenate(features), return_inverse=True)
+    totals = np.bincount(at, np.concatenate(counts))[at].astype("<u8")
+    ends = np.cumsum([len(f) for f in features])
+    return pa.table({"block": table["block"], "shard": table["shard"],
+                     "totals": pa.array([t.tobytes() for t in np.split(totals, ends[:-1])], pa.binary())})
+
+
+def tail_log10(tail: Tail, found: np.ndarray, totals: np.ndarray, chance: np.ndarray, texts: int,
+               prior: float = CONTEXT_PRIOR) -> np.ndarray:
+    """For each text, what its tail words' contexts add to their relative frequencies' log10."""
+    of_context = totals[np.searchsorted(found, tail.context)]
+    at = np.flatnonzero(tail.known)
+    of_pair = totals[np.searchsorted(found, tail.pair[at])]
+    logs = -np.log1p(of_context / prior)
+    logs[at] += np.log1p(of_pair / (prior * chance[tail.unit[at].astype(np.int64)]))
+    return np.bincount(tail.text, logs, texts) / math.log(10)
+
+
+SCORED = ["row", "id", "training", "n_tokens", "n_known", "base", "tail"]
+
+
+def _score_block(table: pa.Table, sums: pa.Table, shared, prior: float) -> pa.Table:
+    """The scores of a block's texts, given its features' sums."""
+    w, chance = shared.value
+    symbols = _arrays(table["symbols"], "<u2")
+    tail = tail_tokens_of(symbols, _arrays(table["units"], "<u4"))
+    totals = _arrays(sums.sort_by("shard")["totals"], "<u8")
+    model = tail_log10(tail, tail.features(), np.concatenate(totals) if totals else np.zeros(0), chance, len(symbols), prior)
+    start, held = 0, 0
+    for i, s in enumerate([*symbols, None]):
+        if s is None or held + len(s) > 1 << 20 and i > start:
+            model[start:i] += text_log10(w, symbols[start:i])
+            start, held = i, 0
+        held += 0 if s is None else len(s)
+    return table.select(SCORED).append_column("model", pa.array(model))
 
 
 def train_and_score(spark: SparkSession, docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text",
-                    rounds: int = ROUNDS) -> DataFrame:
+                    rounds: int = ROUNDS, prior: float = CONTEXT_PRIOR) -> DataFrame:
     """(id, training, n_tokens, n_known, train_tokens, base_score, score) of every row.
 
     ``training`` says which rows the model learns from (NULL: not).  A NULL text
@@ -401,17 +524,18 @@ def train_and_score(spark: SparkSession, docs: DataFrame, training: Column, id_c
     kind = dict(named.dtypes)["id"]
     texts = materialize(named.mapInArrow(
         lambda it: _token_batches(it, words),
-        f"row long, id {kind}, training boolean, n_tokens long, n_known long, base double, tail double, symbols binary, "
-        "rest array<struct<word: binary, times: long>>"), "tokens")
+        f"row long, id {kind}, training boolean, block long, n_tokens long, n_known long, base double, tail double, symbols binary, "
+        "units binary, rest array<struct<word: binary, times: long>>"), "tokens")
     w = Weights.start(v)
     for k in range(rounds if v.n else 0):
         slice_ = texts.where(F.col("training") & (F.pmod(F.xxhash64("id", "symbols"), F.lit(rounds)) == k)).select("symbols")
         shared = spark.sparkContext.broadcast(w)
         w = gather(slice_, shared).step(w)
         shared.unpersist()
-    shared = spark.sparkContext.broadcast(w)
-    scored = texts.select("row", "id", "training", "n_tokens", "n_known", "base", "tail", "symbols").mapInArrow(
-        lambda it: _score_batches(it, shared),
+    blocks = texts.select(*SCORED, "block", "symbols", "units")  # both uses read one shuffle by block
+    shared = spark.sparkContext.broadcast((w, v.chance()))
+    scored = blocks.groupBy("block").cogroup(_feature_sums(blocks).groupBy("block")).applyInArrow(
+        lambda table, found: _score_block(table, found, shared, prior),
         f"row long, id {kind}, training boolean, n_tokens long, n_known long, base double, tail double, model double")
     others = _other_words(texts, counts, v)
     return scored.join(others, "row", "left").select(
@@ -420,6 +544,15 @@ def train_and_score(spark: SparkSession, docs: DataFrame, training: Column, id_c
         (F.col("model") + F.col("tail") + F.coalesce("more_tail", F.lit(0.0))).alias("score"))
 
 
+def _feature_sums(texts: DataFrame) -> DataFrame:
+    """(block, shard, totals) of the features of all blocks."""
+    n = texts.agg(F.sum("n_tokens")).first()[0] or 0
+    shards = max(1, -(-n // SHARD_TOKENS))
+    sent = texts.groupBy("block").applyInArrow(
+        lambda table: _features_of_block(table, shards), "shard long, block long, features binary, counts binary")
+    return sent.groupBy("shard").applyInArrow(_sum_shard, "block long, shard long, totals binary")
+
+
 def _other_words(texts: DataFrame, counts: DataFrame, v: Vocabulary) -> DataFrame:
     """Each row's sums over the words that are not in the broadcast dictionary."""
     used = texts.select("row", F.explode("rest").alias("r")).select("row", "r.word", "r.times")
