@@ -114,36 +114,46 @@ def test_scores_do_not_depend_on_how_rows_are_stored(spark, some_docs):
     assert one.keys() == other.keys() and all(abs(one[i] - other[i]) <= 1e-4 * abs(one[i]) for i in one)
 
 
+SYMBOLS = lm.Symbols(np.array([lm.HEAD + 11 * u if u % 3 else u for u in range(60)]), 0)
+
+
 def block_of(number, texts, training):
-    symbols = [np.array([*[lm.HEAD + u % lm.TAIL_SYMBOLS if u % 3 else u % lm.HEAD for u in t], 0], "<u2") for t in texts]
     return pa.table({"block": [number] * len(texts), "training": pa.array(training, pa.bool_()),
-                     "symbols": [s.tobytes() for s in symbols], "units": [np.array(t, "<u4").tobytes() for t in texts]})
+                     "units": pa.array([lm.planes(np.array(t, "<u4")) for t in texts], pa.binary())})
+
+
+def test_planes_and_symbols():
+    units = np.array([3, 59, lm.other_unit(b"x"), lm.other_unit("größer".encode())], "<u4")
+    assert lm._arrays(pa.array([lm.planes(units), b""]), "<u4")[0].tolist() == units.tolist()
+    assert SYMBOLS.of(units).tolist() == [3, lm.HEAD + 649, lm.tail_symbol(b"x"), lm.tail_symbol("größer".encode()), 0]
 
 
 @pytest.mark.parametrize("shards", [1, 3])
 def test_context_features_against_counting_by_hand(shards):
     """Features of several blocks, summed in shards, give each text what counters give."""
     rnd = np.random.default_rng(3)
-    unit = lambda u: int(u) if u < 60 else lm.OTHER | int(u)
+    unit = lambda u: int(u) if u < 60 else lm.other_unit(b"word%d" % u)
     blocks = [([[unit(u) for u in rnd.integers(0, 70, n)] for n in (0, 1, 40, 7)], [True, False, True, False]) for _ in range(4)]
     chance = rnd.uniform(0.01, 0.5, 60)
     pairs, contexts = Counter(), Counter()
 
     def tails(text):
         for last, u in zip([lm.START_UNIT, *text], text):
-            if u % 3:
-                yield last, u, lm.tail_class(lm.HEAD + u % lm.TAIL_SYMBOLS)
+            symbol = int(SYMBOLS.of(np.array([u], "<u4"))[0])
+            if symbol >= lm.HEAD:
+                yield last, u, lm.tail_class(symbol)
     for texts, training in blocks:
         for text in (t for t, learned in zip(texts, training) if learned):
             for last, u, tail in tails(text):
                 pairs[last, u] += 1
                 contexts[last, tail] += 1
-    sent = [lm._features_of_block(block_of(i, *b), shards) for i, b in enumerate(blocks)]
+    sent = [lm._features_of_block(block_of(i, *b), shards, SYMBOLS) for i, b in enumerate(blocks)]
     sums = pa.concat_tables([lm._sum_shard(pa.concat_tables(sent).filter(pa.compute.equal(pa.concat_tables(sent)["shard"], k)))
                              for k in range(shards)])
     for i, (texts, training) in enumerate(blocks):
         table = block_of(i, texts, training)
-        tail = lm.tail_tokens_of(lm._arrays(table["symbols"], "<u2"), lm._arrays(table["units"], "<u4"))
+        units = lm._arrays(table["units"], "<u4")
+        tail = lm.tail_tokens_of([SYMBOLS.of(u) for u in units], units)
         own = sums.filter(pa.compute.equal(sums["block"], i)).sort_by("shard")
         got = lm.tail_log10(tail, tail.features(), np.concatenate(lm._arrays(own["totals"], "<u8")), chance, len(texts), 2.5)
         want = [sum((math.log1p(pairs[last, u] / (2.5 * chance[u])) if u < lm.OTHER else 0.0) - math.log1p(contexts[last, c] / 2.5)

@@ -66,9 +66,10 @@ DICTIONARY, LONGEST = 1 << 18, 64
 #: Strength of the tail words' relative frequencies against what a context has shown.
 CONTEXT_PRIOR = 40.0
 #: Tokens of a block of texts (a longer text is a block of its own), and tokens for each shard of features.
-BLOCK_TOKENS, SHARD_TOKENS = 1 << 19, 1 << 21
-#: Words as units: their place in the dictionary; others by a hash, from OTHER on; the place before a text.
-OTHER, START_UNIT = 1 << 31, 1 << 29
+BLOCK_TOKENS, SHARD_TOKENS = 1 << 20, 1 << 21
+#: Words as units: their place in the dictionary; others, from OTHER on, by their
+#: tail symbol and a hash of SPREAD bits; the place before a text.
+OTHER, SPREAD, START_UNIT = 1 << 31, 20, 1 << 29
 #: Second parts of the features that count contexts: this and the class.
 CONTEXT = 1 << 30
 FLUSH = 300_000
@@ -133,6 +134,41 @@ class Vocabulary:
         return np.log10((c + 0.5) / (self.tail_tokens[tail] + 0.5 * (self.tail_types[tail] + 1)))
 
 
+def planes(values: np.ndarray) -> bytes:
+    """All first bytes, then all second bytes and so on: small or sorted numbers pack well this way."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
+
+
+def _arrays(column, kind: str) -> list[np.ndarray]:
+    """The arrays whose ``planes`` are in the column."""
+    size = np.dtype(kind).itemsize
+    return [np.ascontiguousarray(np.frombuffer(b.as_buffer(), np.uint8).reshape(size, -1).T).view(kind).ravel() for b in column]
+
+
+@dataclass(frozen=True)
+class Symbols:
+    """The symbol of each place of the dictionary, and that of the end."""
+
+    table: np.ndarray
+    end: int
+
+    @staticmethod
+    def start(v: Vocabulary, place: dict[bytes | None, int]) -> Symbols:
+        return Symbols(np.array([place[w] if w in place else tail_symbol(w) for w in v.symbol] or [0], np.int64), v.end)
+
+    def of(self, units: np.ndarray) -> np.ndarray:
+        """A text's symbols, with the end."""
+        out = np.empty(len(units) + 1, "<u2")
+        other = units >= OTHER
+        out[:-1] = np.where(other, HEAD + ((units >> SPREAD) & 1023), self.table[np.where(other, 0, units)])
+        out[-1] = self.end
+        return out
+
+
+def other_unit(word: bytes) -> int:
+    return OTHER | (tail_symbol(word) - HEAD) << SPREAD | xxhash.xxh32_intdigest(word) & ((1 << SPREAD) - 1)
+
+
 def _tail_of(word: str) -> Column:
     """``tail_class(tail_symbol(word))`` as an expression."""
     ends = F.crc32(F.when(F.length(word) > 3, F.substring(word, -3, 3)).otherwise(F.col(word)))
@@ -186,18 +222,18 @@ class _Places(dict):
 
 
 def _token_batches(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
-    """Each text's symbols and units, its block, its sums over dictionary words, and its other words."""
-    v, place = shared.value
+    """Each text's units, its block, its sums over dictionary words, and its other words."""
+    v, table = shared.value
     block, held = TaskContext.get().partitionId() << 32, 0
     at = _Places(v.symbol).__getitem__
-    symbols = np.array([place[w] if w in place else tail_symbol(w) for w in v.symbol] or [0], np.int64)
+    symbols = table.table
     count = v.count if len(v.count) else np.zeros(1, np.int64)
     base = v.base_log(count)
     in_tail = symbols >= HEAD
     tail = np.where(in_tail, v.tail_log(count, tail_class(np.where(in_tail, symbols, HEAD))), 0.0)
     end_count = int(v.head_counts[v.end])
     for batch in text_slices(batches, "text"):
-        out: dict[str, list] = {k: [] for k in ("block", "n_tokens", "n_known", "base", "tail", "symbols", "units")}
+        out: dict[str, list] = {k: [] for k in ("block", "n_tokens", "n_known", "base", "tail", "units")}
         rest_words: list[bytes] = []
         rest_times: list[int] = []
         offsets = [0]
@@ -205,18 +241,14 @@ def _token_batches(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.Rec
             words = tokens(text)
             where = np.fromiter(map(at, words), np.int64, len(words))
             missing = np.flatnonzero(where < 0)
-            sym = np.empty(len(words) + 1, "<u2")
-            sym[:-1] = symbols[where]
-            sym[-1] = v.end
             known = where
             units = where.astype("<u4")
-            if held and held + len(sym) > BLOCK_TOKENS:
+            if held and held + len(words) > BLOCK_TOKENS:
                 block, held = block + 1, 0
-            held += len(sym)
+            held += len(words) + 1
             if len(missing):
                 others = [words[i] for i in missing.tolist()]
-                units[missing] = [OTHER | xxhash.xxh32_intdigest(w) for w in others]
-                sym[missing] = [tail_symbol(w) for w in others]
+                units[missing] = [other_unit(w) for w in others]
                 known = where[where >= 0]
                 times = Counter(others)
                 rest_words += times
@@ -226,12 +258,11 @@ def _token_batches(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.Rec
             out["n_known"].append(len(known) + (end_count > 0))
             out["base"].append(float(base[known].sum() + v.base_log(end_count)))
             out["tail"].append(float(tail[known].sum()))
-            out["symbols"].append(sym.tobytes())
-            out["units"].append(units.tobytes())
+            out["units"].append(planes(units))
             out["block"].append(block)
         rest = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(
             [pa.array(rest_words, pa.binary()), pa.array(rest_times, pa.int64())], ["word", "times"]))
-        kinds = {"block": pa.int64(), "units": pa.binary(), "n_tokens": pa.int64(), "n_known": pa.int64(), "base": pa.float64(), "tail": pa.float64(), "symbols": pa.binary()}
+        kinds = {"block": pa.int64(), "units": pa.binary(), "n_tokens": pa.int64(), "n_known": pa.int64(), "base": pa.float64(), "tail": pa.float64()}
         yield pa.RecordBatch.from_arrays(
             [batch.column(c) for c in ("row", "id", "training")] + [pa.array(out[c], kinds[c]) for c in out] + [rest],
             ["row", "id", "training", *out, "rest"])
@@ -366,17 +397,13 @@ class Sums:
                        moved(w.by_word, self.word_seen, self.word_expected))
 
 
-def _symbol_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
-    for batch in text_slices(batches, "symbols", 2 << 20):
-        yield batch, [np.frombuffer(b, "<u2") for b in batch.column("symbols").to_pylist()]
-
-
 def _sum_batches(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     """The task's sums as rows (task, block, data)."""
+    w, table = shared.value
     sums = None
-    for _, texts in _symbol_batches(batches):
+    for batch in text_slices(batches, "units"):
         sums = sums or Sums()
-        sums.add(shared.value, texts)
+        sums.add(w, [table.of(u) for u in _arrays(batch.column("units"), "<u4")])
     if sums is not None:
         task = TaskContext.get().partitionId()
         blocks = [sums.flat[s:s + BLOCK].tobytes() for s in range(0, Sums.SIZE, BLOCK)]
@@ -398,11 +425,14 @@ def _add_blocks(table: pa.Table) -> pa.Table:
 def gather(slice_: DataFrame, shared) -> Sums:
     """The sums over a slice.  The tasks' sums are added in groups of about the
     square root of their number, then the groups' sums, so that no group grows
-    with the input as a whole."""
-    parts = max(1, slice_.rdd.getNumPartitions())
+    with the input as a whole.  A slice is one of ROUNDS parts of its files, so
+    as many of these go to one task, and tasks send as many fewer sums, while
+    every core still has one."""
+    stored = slice_.rdd.getNumPartitions()
+    parts = max(1, min(stored, max(slice_.sparkSession.sparkContext.defaultParallelism, stored // ROUNDS)))
     groups = max(1, math.isqrt(parts))
     schema = "task int, block int, data binary"
-    sent = slice_.mapInArrow(lambda it: _sum_batches(it, shared), schema)
+    sent = slice_.coalesce(parts).mapInArrow(lambda it: _sum_batches(it, shared), schema)
     first = sent.withColumn("part", F.pmod("task", F.lit(groups))).groupBy("block", "part") \
         .applyInArrow(lambda t: _add_blocks(t.select(["task", "block", "data"])), schema)
     flat = np.zeros(Sums.SIZE, np.float32)
@@ -441,18 +471,15 @@ def tail_tokens_of(symbols: list[np.ndarray], units: list[np.ndarray]) -> Tail:
     return Tail(text, unit, unit < OTHER, mixed(last | unit), mixed(last | (CONTEXT + tail_class(symbol[tail])).astype(np.uint64)))
 
 
-def _arrays(column, kind: str) -> list[np.ndarray]:
-    return [np.frombuffer(b.as_buffer(), kind) for b in column]
-
-
 def _shard_bounds(shards: int) -> np.ndarray:
     """The first feature of each shard but the first."""
     return np.array([(k << 64) // shards for k in range(1, shards)], np.uint64)
 
 
-def _features_of_block(table: pa.Table, shards: int) -> pa.Table:
+def _features_of_block(table: pa.Table, shards: int, symbols: Symbols) -> pa.Table:
     """(shard, block, features, counts): a block's distinct features and their counts in its training texts."""
-    tail = tail_tokens_of(_arrays(table["symbols"], "<u2"), _arrays(table["units"], "<u4"))
+    units = _arrays(table["units"], "<u4")
+    tail = tail_tokens_of([symbols.of(u) for u in units], units)
     found = tail.features()
     training = table["training"].to_numpy()[tail.text]
     seen = np.concatenate([tail.pair[tail.known & training], tail.context[training]])
@@ -461,8 +488,8 @@ def _features_of_block(table: pa.Table, shards: int) -> pa.Table:
     full = [k for k in range(shards) if cuts[k] < cuts[k + 1]]
     return pa.table({
         "shard": pa.array(full, pa.int64()), "block": pa.array([table["block"][0].as_py()] * len(full), pa.int64()),
-        "features": pa.array([found[cuts[k]:cuts[k + 1]].astype("<u8").tobytes() for k in full], pa.binary()),
-        "counts": pa.array([counts[cuts[k]:cuts[k + 1]].tobytes() for k in full], pa.binary())})
+        "features": pa.array([planes(found[cuts[k]:cuts[k + 1]]) for k in full], pa.binary()),
+        "counts": pa.array([planes(counts[cuts[k]:cuts[k + 1]]) for k in full], pa.binary())})
 
 
 def _sum_shard(table: pa.Table) -> pa.Table:
@@ -472,7 +499,7 @@ def _sum_shard(table: pa.Table) -> pa.Table:
     totals = np.bincount(at, np.concatenate(counts))[at].astype("<u8")
     ends = np.cumsum([len(f) for f in features])
     return pa.table({"block": table["block"], "shard": table["shard"],
-                     "totals": pa.array([t.tobytes() for t in np.split(totals, ends[:-1])], pa.binary())})
+                     "totals": pa.array([planes(t) for t in np.split(totals, ends[:-1])], pa.binary())})
 
 
 def tail_log10(tail: Tail, found: np.ndarray, totals: np.ndarray, chance: np.ndarray, texts: int,
@@ -491,9 +518,10 @@ SCORED = ["row", "id", "training", "n_tokens", "n_known", "base", "tail"]
 
 def _score_block(table: pa.Table, sums: pa.Table, shared, prior: float) -> pa.Table:
     """The scores of a block's texts, given its features' sums."""
-    w, chance = shared.value
-    symbols = _arrays(table["symbols"], "<u2")
-    tail = tail_tokens_of(symbols, _arrays(table["units"], "<u4"))
+    w, chance, of = shared.value
+    units = _arrays(table["units"], "<u4")
+    symbols = [of.of(u) for u in units]
+    tail = tail_tokens_of(symbols, units)
     totals = _arrays(sums.sort_by("shard")["totals"], "<u8")
     model = tail_log10(tail, tail.features(), np.concatenate(totals) if totals else np.zeros(0), chance, len(symbols), prior)
     start, held = 0, 0
@@ -520,21 +548,22 @@ def train_and_score(spark: SparkSession, docs: DataFrame, training: Column, id_c
     learned = named.where("training")
     counts = materialize(count_words(learned), "counts")
     v, place = vocabulary(counts, learned.count())
-    words = spark.sparkContext.broadcast((v, place))
+    symbols = Symbols.start(v, place)
+    words = spark.sparkContext.broadcast((v, symbols))
     kind = dict(named.dtypes)["id"]
     texts = materialize(named.mapInArrow(
         lambda it: _token_batches(it, words),
-        f"row long, id {kind}, training boolean, block long, n_tokens long, n_known long, base double, tail double, symbols binary, "
-        "units binary, rest array<struct<word: binary, times: long>>"), "tokens")
+        f"row long, id {kind}, training boolean, block long, n_tokens long, n_known long, base double, tail double, units binary, "
+        "rest array<struct<word: binary, times: long>>"), "tokens")
     w = Weights.start(v)
     for k in range(rounds if v.n else 0):
-        slice_ = texts.where(F.col("training") & (F.pmod(F.xxhash64("id", "symbols"), F.lit(rounds)) == k)).select("symbols")
-        shared = spark.sparkContext.broadcast(w)
+        slice_ = texts.where(F.col("training") & (F.pmod(F.xxhash64("id", "units"), F.lit(rounds)) == k)).select("units")
+        shared = spark.sparkContext.broadcast((w, symbols))
         w = gather(slice_, shared).step(w)
         shared.unpersist()
-    blocks = texts.select(*SCORED, "block", "symbols", "units")  # both uses read one shuffle by block
-    shared = spark.sparkContext.broadcast((w, v.chance()))
-    scored = blocks.groupBy("block").cogroup(_feature_sums(blocks).groupBy("block")).applyInArrow(
+    blocks = texts.select(*SCORED, "block", "units")  # both uses read one shuffle by block
+    shared = spark.sparkContext.broadcast((w, v.chance(), symbols))
+    scored = blocks.groupBy("block").cogroup(_feature_sums(blocks, words).groupBy("block")).applyInArrow(
         lambda table, found: _score_block(table, found, shared, prior),
         f"row long, id {kind}, training boolean, n_tokens long, n_known long, base double, tail double, model double")
     others = _other_words(texts, counts, v)
@@ -544,12 +573,12 @@ def train_and_score(spark: SparkSession, docs: DataFrame, training: Column, id_c
         (F.col("model") + F.col("tail") + F.coalesce("more_tail", F.lit(0.0))).alias("score"))
 
 
-def _feature_sums(texts: DataFrame) -> DataFrame:
+def _feature_sums(texts: DataFrame, words) -> DataFrame:
     """(block, shard, totals) of the features of all blocks."""
     n = texts.agg(F.sum("n_tokens")).first()[0] or 0
     shards = max(1, -(-n // SHARD_TOKENS))
     sent = texts.groupBy("block").applyInArrow(
-        lambda table: _features_of_block(table, shards), "shard long, block long, features binary, counts binary")
+        lambda table: _features_of_block(table, shards, words.value[1]), "shard long, block long, features binary, counts binary")
     return sent.groupBy("shard").applyInArrow(_sum_shard, "block long, shard long, totals binary")
 
 
