@@ -147,13 +147,13 @@ def test_context_features_against_counting_by_hand(shards):
             for last, u, tail in tails(text):
                 pairs[last, u] += 1
                 contexts[last, tail] += 1
-    sent = [lm._features_of_block(block_of(i, *b), shards, SYMBOLS) for i, b in enumerate(blocks)]
+    sent = [lm._features_of_block(block_of(i, *b), shards, SYMBOLS, 40) for i, b in enumerate(blocks)]
     sums = pa.concat_tables([lm._sum_shard(pa.concat_tables(sent).filter(pa.compute.equal(pa.concat_tables(sent)["shard"], k)))
                              for k in range(shards)])
     for i, (texts, training) in enumerate(blocks):
         table = block_of(i, texts, training)
         units = lm._arrays(table["units"], "<u4")
-        tail = lm.tail_tokens_of([SYMBOLS.of(u) for u in units], units)
+        tail = lm.tail_tokens_of([SYMBOLS.of(u) for u in units], units, 40)
         own = sums.filter(pa.compute.equal(sums["block"], i)).sort_by("shard")
         got = lm.tail_log10(tail, tail.features(), np.concatenate(lm._arrays(own["totals"], "<u8")), chance, len(texts), 2.5)
         want = [sum((math.log1p(pairs[last, u] / (2.5 * chance[u])) if u < lm.OTHER else 0.0) - math.log1p(contexts[last, c] / 2.5)

@@ -21,7 +21,8 @@ a feature n times seen, in a context N times seen with its class, has gradient
 n - N q + CONTEXT_PRIOR (p - q), and as the features of a context don't overlap,
 one update makes it zero for all: the weight is log(1 + n / (CONTEXT_PRIOR p)),
 the log normaliser log(1 + N / CONTEXT_PRIOR).  The counts n and N are summed in
-shards of the hashed features, whose number grows with the tokens.  Texts lie in
+shards of the features, hashed to BUCKETS places a token, so that buckets and
+shards grow with the corpus.  Texts lie in
 blocks of a bounded number of tokens; a block sends each of its features once to
 its shard, with its training count, and gets the sum back.
 
@@ -66,7 +67,11 @@ DICTIONARY, LONGEST = 1 << 18, 64
 #: Strength of the tail words' relative frequencies against what a context has shown.
 CONTEXT_PRIOR = 40.0
 #: Tokens of a block of texts (a longer text is a block of its own), and tokens for each shard of features.
-BLOCK_TOKENS, SHARD_TOKENS = 1 << 20, 1 << 21
+BLOCK_TOKENS, SHARD_TOKENS = 1 << 19, 1 << 20
+#: Tokens that are scored at once.
+SCORE_TOKENS = 1 << 18
+#: Features are hashed to this many buckets a token, rounded up to a power of two.
+BUCKETS = 128
 #: Words as units: their place in the dictionary; others, from OTHER on, by their
 #: tail symbol and a hash of SPREAD bits; the place before a text.
 OTHER, SPREAD, START_UNIT = 1 << 31, 20, 1 << 29
@@ -401,7 +406,7 @@ def _sum_batches(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.Recor
     """The task's sums as rows (task, block, data)."""
     w, table = shared.value
     sums = None
-    for batch in text_slices(batches, "units"):
+    for batch in text_slices(batches, "units", 2 << 20):
         sums = sums or Sums()
         sums.add(w, [table.of(u) for u in _arrays(batch.column("units"), "<u4")])
     if sums is not None:
@@ -457,8 +462,8 @@ class Tail:
         return np.unique(np.concatenate([self.pair[self.known], self.context]))
 
 
-def tail_tokens_of(symbols: list[np.ndarray], units: list[np.ndarray]) -> Tail:
-    """The tail tokens of texts (symbols with the end, units without)."""
+def tail_tokens_of(symbols: list[np.ndarray], units: list[np.ndarray], bits: int = 64) -> Tail:
+    """The tail tokens of texts (symbols with the end, units without); features are hashes of ``bits`` bits."""
     lengths = np.array([len(u) for u in units], np.int64)
     text = np.repeat(np.arange(len(units)), lengths)
     unit = np.concatenate(units).astype(np.uint64)
@@ -468,23 +473,31 @@ def tail_tokens_of(symbols: list[np.ndarray], units: list[np.ndarray]) -> Tail:
     last[(np.cumsum(lengths) - lengths)[lengths > 0]] = START_UNIT
     tail = np.flatnonzero(symbol >= HEAD)
     text, unit, last = text[tail], unit[tail], last[tail] << np.uint64(32)
-    return Tail(text, unit, unit < OTHER, mixed(last | unit), mixed(last | (CONTEXT + tail_class(symbol[tail])).astype(np.uint64)))
+    spare = np.uint64(64 - bits)
+    return Tail(text, unit, unit < OTHER, mixed(last | unit) >> spare,
+                mixed(last | (CONTEXT + tail_class(symbol[tail])).astype(np.uint64)) >> spare)
 
 
-def _shard_bounds(shards: int) -> np.ndarray:
+def feature_bits(tokens: int) -> int:
+    return min(64, max(1, BUCKETS * tokens - 1).bit_length())
+
+
+def _shard_bounds(shards: int, bits: int) -> np.ndarray:
     """The first feature of each shard but the first."""
-    return np.array([(k << 64) // shards for k in range(1, shards)], np.uint64)
+    return np.array([(k << bits) // shards for k in range(1, shards)], np.uint64)
 
 
-def _features_of_block(table: pa.Table, shards: int, symbols: Symbols) -> pa.Table:
+def _features_of_block(table: pa.Table, shards: int, symbols: Symbols, bits: int) -> pa.Table:
     """(shard, block, features, counts): a block's distinct features and their counts in its training texts."""
     units = _arrays(table["units"], "<u4")
-    tail = tail_tokens_of([symbols.of(u) for u in units], units)
+    tail = tail_tokens_of([symbols.of(u) for u in units], units, bits)
     found = tail.features()
     training = table["training"].to_numpy()[tail.text]
     seen = np.concatenate([tail.pair[tail.known & training], tail.context[training]])
-    counts = np.bincount(np.searchsorted(found, seen), minlength=len(found)).astype("<u4")
-    cuts = [0, *np.searchsorted(found, _shard_bounds(shards)).tolist(), len(found)]
+    counts = np.zeros(len(found), "<u4")
+    learned, times = np.unique(seen, return_counts=True)
+    counts[np.searchsorted(found, learned)] = times
+    cuts = [0, *np.searchsorted(found, _shard_bounds(shards, bits)).tolist(), len(found)]
     full = [k for k in range(shards) if cuts[k] < cuts[k + 1]]
     return pa.table({
         "shard": pa.array(full, pa.int64()), "block": pa.array([table["block"][0].as_py()] * len(full), pa.int64()),
@@ -516,17 +529,18 @@ def tail_log10(tail: Tail, found: np.ndarray, totals: np.ndarray, chance: np.nda
 SCORED = ["row", "id", "training", "n_tokens", "n_known", "base", "tail"]
 
 
-def _score_block(table: pa.Table, sums: pa.Table, shared, prior: float) -> pa.Table:
+def _score_block(table: pa.Table, sums: pa.Table, shared, prior: float, bits: int) -> pa.Table:
     """The scores of a block's texts, given its features' sums."""
     w, chance, of = shared.value
     units = _arrays(table["units"], "<u4")
     symbols = [of.of(u) for u in units]
-    tail = tail_tokens_of(symbols, units)
+    tail = tail_tokens_of(symbols, units, bits)
     totals = _arrays(sums.sort_by("shard")["totals"], "<u8")
     model = tail_log10(tail, tail.features(), np.concatenate(totals) if totals else np.zeros(0), chance, len(symbols), prior)
+    del tail, totals, units
     start, held = 0, 0
     for i, s in enumerate([*symbols, None]):
-        if s is None or held + len(s) > 1 << 20 and i > start:
+        if s is None or held + len(s) > SCORE_TOKENS and i > start:
             model[start:i] += text_log10(w, symbols[start:i])
             start, held = i, 0
         held += 0 if s is None else len(s)
@@ -563,8 +577,10 @@ def train_and_score(spark: SparkSession, docs: DataFrame, training: Column, id_c
         shared.unpersist()
     blocks = texts.select(*SCORED, "block", "units")  # both uses read one shuffle by block
     shared = spark.sparkContext.broadcast((w, v.chance(), symbols))
-    scored = blocks.groupBy("block").cogroup(_feature_sums(blocks, words).groupBy("block")).applyInArrow(
-        lambda table, found: _score_block(table, found, shared, prior),
+    n = texts.agg(F.sum("n_tokens")).first()[0] or 0
+    bits = feature_bits(n)
+    scored = blocks.groupBy("block").cogroup(_feature_sums(blocks, words, n, bits).groupBy("block")).applyInArrow(
+        lambda table, found: _score_block(table, found, shared, prior, bits),
         f"row long, id {kind}, training boolean, n_tokens long, n_known long, base double, tail double, model double")
     others = _other_words(texts, counts, v)
     return scored.join(others, "row", "left").select(
@@ -573,12 +589,11 @@ def train_and_score(spark: SparkSession, docs: DataFrame, training: Column, id_c
         (F.col("model") + F.col("tail") + F.coalesce("more_tail", F.lit(0.0))).alias("score"))
 
 
-def _feature_sums(texts: DataFrame, words) -> DataFrame:
-    """(block, shard, totals) of the features of all blocks."""
-    n = texts.agg(F.sum("n_tokens")).first()[0] or 0
+def _feature_sums(texts: DataFrame, words, n: int, bits: int) -> DataFrame:
+    """(block, shard, totals) of the features of all blocks, for ``n`` tokens."""
     shards = max(1, -(-n // SHARD_TOKENS))
     sent = texts.groupBy("block").applyInArrow(
-        lambda table: _features_of_block(table, shards, words.value[1]), "shard long, block long, features binary, counts binary")
+        lambda table: _features_of_block(table, shards, words.value[1], bits), "shard long, block long, features binary, counts binary")
     return sent.groupBy("shard").applyInArrow(_sum_shard, "block long, shard long, totals binary")
 
 
