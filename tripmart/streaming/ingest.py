@@ -88,18 +88,20 @@ def append_with_ledger(stream: DataFrame, target: str, ledger: str, checkpoint:
         rows = batch.select(*cols, F.lit(lid).alias("_load_id"), block.alias("load_block"))
         here = s.table(target).where(F.col("load_block") == block)
         mine = F.col("_load_id") == lid
-        if state["first"] and not here.where(mine).isEmpty():
+        first, state["first"] = state["first"], False
+        if first and not here.where(mine).isEmpty():
             tables.overwrite_partitions(here.where(~mine).unionByName(rows), target)
+            s.catalog.refreshTable(target)
+            n = s.table(target).where((F.col("load_block") == block) & mine).count()
         else:
-            tables.write_append(rows, target)
-        state["first"] = False
-        s.catalog.refreshTable(target)
-        # The batch's files hold no other mark, so just these are read.
-        n = s.table(target).where((F.col("load_block") == block) & mine).count()
+            n = tables.write_append_counted(rows, target)
         if n == 0:
             return      # an empty page loads nothing and leaves no ledger row
-        entry = s.range(1).select(F.lit(lid).alias("load_id"), F.current_timestamp().alias("inserted_at"),
+        entry = s.range(0, 1, 1, 1).select(F.lit(lid).alias("load_id"), F.current_timestamp().alias("inserted_at"),
                                   F.lit("loaded").alias("status"), F.lit(n).cast("long").alias("row_count"), block.alias("load_block"))
+        if not first:   # no earlier run wrote this batch
+            tables.write_append(entry, ledger)
+            return
         # A replayed batch replaces its own row; the block's other rows are written again with it.
         s.catalog.refreshTable(ledger)
         others = s.table(ledger).where((F.col("load_block") == block) & (F.col("load_id") != lid))
@@ -126,13 +128,13 @@ def merge_stream(stream: DataFrame, target: str, keys: Sequence[str], checkpoint
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         if batch_column not in batch.sparkSession.table(target).columns:
-            tables.merge_insert_new(batch, target, keys)
+            tables.merge_insert_new(batch, target, keys, few_files=True)
             return
         rows = batch.withColumn(batch_column, F.lit(batch_id).cast("long"))
         if state["first"]:
             tables.merge_insert_missing(rows, target, keys, F.col(batch_column) == batch_id)
         else:
-            tables.merge_insert_new(rows, target, keys)
+            tables.merge_insert_new(rows, target, keys, few_files=True)
         state["first"] = False
 
     q = (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
