@@ -37,18 +37,19 @@ def flow_month_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     the kind's main table twice: the second run inserts nothing."""
     db = scratch_database(spark, "flow")
     out = None
-    for taxi, p in loads.PREFIX.items():
-        raw = adapter.raw_tripdata(spark, sf_dir, taxi)
-        fname = F.concat(F.lit(f"{taxi}_tripdata_"), F.date_format(f"{p}_pickup_datetime", "yyyy-MM"), F.lit(".csv"))
-        staged = loads.stage_for_load(raw, taxi, fname, "rowstore")
-        target = f"{db}.{taxi}_tripdata"
-        tables.ensure_table(spark, target, staged.schema)
-        for _ in range(2):
-            tables.merge_insert_new(staged, target, ["unique_row_id"])
-        rows = spark.table(target).select(
-            "unique_row_id", "filename", "VendorID", F.col(f"{p}_pickup_datetime").alias("pickup_datetime"),
-            F.col(f"{p}_dropoff_datetime").alias("dropoff_datetime"), "PULocationID", "DOLocationID", "fare_amount", "trip_distance")
-        out = rows if out is None else out.unionByName(rows)
+    with tables.staged(adapter.trip_rows(spark, sf_dir), "trip-rows") as (joined, _):
+        for taxi, p in loads.PREFIX.items():
+            raw = adapter.raw_tripdata(spark, sf_dir, taxi, joined)
+            fname = F.concat(F.lit(f"{taxi}_tripdata_"), F.date_format(f"{p}_pickup_datetime", "yyyy-MM"), F.lit(".csv"))
+            staged = loads.stage_for_load(raw, taxi, fname, "rowstore")
+            target = f"{db}.{taxi}_tripdata"
+            tables.ensure_table(spark, target, staged.schema)
+            for _ in range(2):
+                tables.merge_insert_new(staged, target, ["unique_row_id"])
+            rows = spark.table(target).select(
+                "unique_row_id", "filename", "VendorID", F.col(f"{p}_pickup_datetime").alias("pickup_datetime"),
+                F.col(f"{p}_dropoff_datetime").alias("dropoff_datetime"), "PULocationID", "DOLocationID", "fare_amount", "trip_distance")
+            out = rows if out is None else out.unionByName(rows)
     return out
 
 
@@ -99,12 +100,13 @@ def flow_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = None
     for taxi, variant in (("green", "rowstore"), ("yellow", "warehouse")):
         p = loads.PREFIX[taxi]
-        raw = adapter.raw_tripdata(spark, sf_dir, taxi)
-        typed = raw.select(*[F.col(f.name).cast(f.dataType) for f in trip_schema(taxi).fields])
-        month = F.date_format(f"{p}_pickup_datetime", "yyyy-MM")
-        named_files(typed, F.concat(F.lit(f"{taxi}_tripdata_"), month, F.lit(".csv")), f"{root}/{taxi}")
+        with tables.staged(adapter.raw_tripdata(spark, sf_dir, taxi), "raw-trips") as (raw, _):
+            typed = raw.select(*[F.col(f.name).cast(f.dataType) for f in trip_schema(taxi).fields])
+            month = F.date_format(f"{p}_pickup_datetime", "yyyy-MM")
+            named_files(typed, F.concat(F.lit(f"{taxi}_tripdata_"), month, F.lit(".csv")), f"{root}/{taxi}")
+            months = _months_around(raw, f"{p}_pickup_datetime")
         for _ in range(2):
-            loads.backfill(spark, f"{root}/{taxi}", [taxi], *_months_around(raw, f"{p}_pickup_datetime"), db, variant)
+            loads.backfill(spark, f"{root}/{taxi}", [taxi], *months, db, variant)
         rows = spark.table(f"{db}.{taxi}_tripdata").select(
             "unique_row_id", "filename", F.lit(taxi).alias("taxi"), "VendorID", "PULocationID",
             F.col(f"{p}_pickup_datetime").alias("pickup_datetime"), "fare_amount", "payment_type")

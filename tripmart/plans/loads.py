@@ -75,10 +75,12 @@ def load_files(spark: SparkSession, paths: Sequence[str], taxi: str, target: str
     # A file may be a folder of parts.
     name = F.regexp_extract("_metadata.file_path", rf"({taxi}_tripdata_\d{{4}}-\d{{2}}\.csv)(?:/[^/]*)?$", 1)
     staged = stage_for_load(raw.select("*", name.alias("__file")), taxi, F.col("__file"), variant).drop("__file")
+    # Dealt out like the target's buckets, once for the window, the merge's join and the insert.
+    staged = staged.repartition(ROW_ID_BUCKETS, "unique_row_id")
     first = F.min("filename").over(Window.partitionBy("unique_row_id"))
     kept = staged if len(paths) == 1 else staged.withColumn("__first", first).where(F.col("filename") == F.col("__first")).drop("__first")
     tables.ensure_table(spark, target, kept.schema, bucket_by=(ROW_ID_BUCKETS, ["unique_row_id"]))
-    tables.merge_insert_new(kept, target, ["unique_row_id"])
+    tables.merge_insert_new(kept, target, ["unique_row_id"], dealt=ROW_ID_BUCKETS)
 
 
 #: Month files of a type that a backfill merges by one job.
