@@ -161,10 +161,13 @@ def header_trip_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of all three kinds in one folder, typed from their headers by the
     shipped type map; each kind has columns that the others lack (SRC-12)."""
     path = scratch_dir(spark, "trip-heads")
-    for taxi in ("green", "yellow", "fhv"):
-        raw = adapter.raw_tripdata(spark, sf_dir, taxi)
-        typed = raw.select(*[F.col(c).cast(trips.TYPE_MAP[c.lower()]) for c in raw.columns])
-        typed.write.mode("append").option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
+    with tables.staged(adapter.trip_rows(spark, sf_dir), "trip-rows") as (joined, _):
+        for taxi in ("green", "yellow", "fhv"):
+            raw = adapter.raw_tripdata(spark, sf_dir, taxi, joined)
+            typed = raw.select(*[F.col(c).cast(trips.TYPE_MAP[c.lower()]) for c in raw.columns])
+            # As their publisher packs them.
+            typed.write.mode("append").option("header", True).option("compression", "gzip") \
+                .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
     back = files.read_csv_header_typed(spark, path, trips.TYPE_MAP)
     names = ["VendorID", "PULocationID", "DOLocationID", "payment_type", "RatecodeID", "tpep_pickup_datetime", "lpep_pickup_datetime", "pickup_datetime",
              "fare_amount", "ehail_fee", "dispatching_base_num", "Affiliated_base_number", "SR_Flag"]
