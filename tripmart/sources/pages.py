@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tripmart.sources.files import data_files
+#: Pages that a run looks at first; as long as the end isn't among them, eight times as many.
+FIRST_LOOK = 1024
 
 #: A page's file name, its number in the group (a folder ``page=7`` counts as well).
 PAGE_NUMBER = r"page[_=-]?(\d+)(?:\.json|/[^/]*)$"
@@ -28,21 +29,27 @@ def _pages(spark: SparkSession, landing: str, schema: StructType) -> DataFrame:
 
 def last_page(spark: SparkSession, landing: str, page_size: int, first: int = 1) -> tuple[int, bool] | None:
     """(number, whether it is full) of the last page to read from ``first`` on;
-    None if that page has not landed or is empty.  One job counts the lines of
-    every page; the stop is the least page that is short or has no next one."""
-    files = [(f,) for f in [*data_files(spark, landing), *data_files(spark, f"{landing}/page=*")]]
-    names = spark.createDataFrame(files, "file string")
-    number = lambda c: F.regexp_extract(c, PAGE_NUMBER, 1).try_cast("long")
-    # An empty file has no line to count, but it is a page.
-    landed = names.select(number("file").alias("page"), F.lit(0).cast("long").alias("n"))
-    lines = spark.read.text([landing]).where("trim(value) != ''").groupBy(number("_metadata.file_path").alias("page")).agg(F.count(F.lit(1)).alias("n"))
-    pages = landed.unionByName(lines.select("page", "n")).where(F.col("page") >= first).groupBy("page").agg(F.sum("n").alias("n"))
-    before = pages.select((F.col("page") - 1).alias("page"), F.lit(True).alias("has_next"))
-    stop = pages.join(before, "page", "left").where((F.col("n") < page_size) | F.col("has_next").isNull())
-    found = stop.agg(F.min(F.struct("page", "n"))).first()[0]
-    has_first = not pages.where((F.col("page") == first) & (F.col("n") > 0)).isEmpty()
-    # A run begins at its first page: later ones are beyond a gap.
-    return (found["page"], found["n"] >= page_size) if has_first else None
+    None if that page has not landed or is empty.  The stop is the least page
+    that is short or has no next one; an empty page ends the source as one that
+    has not landed does.  A job counts the lines of the pages from ``first`` on,
+    as far as it looks; the files of others are left out by their names, unopened."""
+    files = spark.read.text([landing])
+    page = F.regexp_extract("_metadata.file_path", PAGE_NUMBER, 1).try_cast("long")
+    look = FIRST_LOOK
+    while True:
+        pages = files.where(page.between(first, first + look - 1)).where("trim(value) != ''").groupBy(page.alias("page")).agg(F.count(F.lit(1)).alias("n"))
+        before = pages.select((F.col("page") - 1).alias("page"), F.lit(True).alias("has_next"))
+        stops = pages.join(before, "page", "left").agg(
+            F.min(F.when((F.col("n") < page_size) | F.col("has_next").isNull(), F.struct("page", "n"))).alias("found"),
+            F.min("page").alias("least")).first()
+        # A run begins at its first page: later ones are beyond a gap.
+        if stops["least"] != first:
+            return None
+        number, n = stops["found"]
+        # The last page of all that were looked at may have a next one.
+        if n < page_size or number < first + look - 1:
+            return number, n >= page_size
+        look *= 8
 
 
 def read_pages(spark: SparkSession, landing: str, schema: StructType, page_size: int, first: int = 1) -> tuple[DataFrame, int]:
