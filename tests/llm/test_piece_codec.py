@@ -1,6 +1,7 @@
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 
@@ -49,3 +50,28 @@ def test_whole_documents(spark, some_docs, odd_docs, library):
 
 def test_no_documents(no_docs):
     assert piece_codec.decode(piece_codec.encode(no_docs, PATH), PATH).count() == 0
+
+
+def test_words_and_marks_are_remembered_apart():
+    codec = piece_codec.codec(PATH)
+    assert codec.chunks("A word,\nnext  12²\t ") == ["▁A", "▁word", ",\n", "next", "▁▁12²\t", "▁"]
+
+
+def test_decoding_hands_on_bounded_texts_and_needs_no_encoder():
+    codec = piece_codec.PieceCodec(PATH)
+    ids = piece_codec.codec(PATH).encode("several words " * 40_000)
+    rows = pa.RecordBatch.from_arrays([pa.array(range(20)), pa.array([ids, None] * 10, pa.list_(pa.int32()))], ["id", "ids"])
+    got = list(piece_codec._decode_batches(iter([rows]), PATH))
+    assert [i for b in got for i in b["id"].to_pylist()] == list(range(20))
+    assert {t for b in got for t in b["decoded"].to_pylist()} == {"several words " * 40_000, ""}
+    assert max(b["decoded"].nbytes for b in got) < 2 * piece_codec.DECODED
+    codec.decode(ids)
+    assert "automaton" not in codec.__dict__
+
+
+def test_memory_of_neighbours_is_bounded(monkeypatch):
+    monkeypatch.setattr(piece_codec, "NEIGHBOURS", 50)
+    codec, rnd = piece_codec.PieceCodec(PATH), random.Random(6)
+    for _ in range(100):
+        codec.encode("".join(rnd.choice("etaoin shrdlu") for _ in range(60)))
+        assert len(codec._agreed) <= 50

@@ -14,8 +14,10 @@ Characters without a piece become byte pieces, as in the library.
 
 from __future__ import annotations
 
+import re
+from array import array
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import ahocorasick
 import numpy as np
@@ -28,8 +30,14 @@ from tripmart.llm.common import text_slices
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 CONTROL_LIKE = {UNKNOWN, CONTROL}
-#: Entries in each half of a worker's memory of encoded chunks.
-MEMORY = 300_000
+#: Entries in each half of a worker's memory of encoded chunks, and in its memory of neighbours.
+MEMORY = 250_000
+NEIGHBOURS = 1 << 19
+#: Runs of letters and runs of other characters, each with the spaces before it.
+RUNS = re.compile(f"{SPACE}*(?:[^\\W\\d_¹²³]+|(?:[^\\w{SPACE}]|[\\d_¹²³])+)|{SPACE}+")
+WORDS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+#: Characters of decoded text that are handed on at once.
+DECODED = 4 << 20
 
 
 class PieceCodec:
@@ -62,18 +70,41 @@ class PieceCodec:
             if p.type == UNKNOWN:
                 self.control.discard(i)
                 self.text_of[i] = model.trainer_spec.unk_surface
-        # Pieces that their own characters do not merge to can't occur in an encoding.
-        self.reachable = {p for p in self.id_of if len(p) == 1 or self.merge(p) == [p]}
+        #: Stands for the id of a character without a piece.
+        self.other = len(self.text_of)
+        #: Whether two neighbours agree, by their ids as one number; none of a character without a piece.
+        self._agreed: dict[int, bool] = {}
+
+    # What only the encoder needs is made when it is used first.
+
+    @cached_property
+    def reachable(self) -> set[str]:
+        """Pieces that their own characters merge to; others can't occur in an encoding."""
+        return {p for p in self.id_of if len(p) == 1 or self.merge(p) == [p]}
+
+    @cached_property
+    def automaton(self) -> ahocorasick.Automaton:
         # A single character always matches, as a piece or as itself.
-        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+        out = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
         for p in self.reachable:
             if len(p) > 1:
-                self.automaton.add_word(p)
-        self.automaton.make_automaton()
-        #: Length of the longest shorter piece that a piece begins with; 0 for a single character.
-        self.shorter = {p: next(n for n in range(len(p) - 1, -1, -1) if n < 2 or p[:n] in self.reachable) for p in self.reachable}
-        self.inner_space = any(SPACE in p.lstrip(SPACE) for p in self.reachable)
-        self.agrees = lru_cache(1 << 18)(self._agrees)
+                out.add_word(p)
+        out.make_automaton()
+        return out
+
+    @cached_property
+    def shorter(self) -> dict[str, int]:
+        """Length of the longest shorter piece that a piece begins with; 0 for a single character."""
+        return {p: next(n for n in range(len(p) - 1, -1, -1) if n < 2 or p[:n] in self.reachable) for p in self.reachable}
+
+    @cached_property
+    def inner_space(self) -> bool:
+        return any(SPACE in p.lstrip(SPACE) for p in self.reachable)
+
+    @cached_property
+    def mixed(self) -> bool:
+        """Whether a piece has a letter beside another character that isn't a space."""
+        return any(len(RUNS.findall(p.strip(SPACE))) > 1 for p in self.id_of)
 
     def merge(self, text: str) -> list[str]:
         """The encoding by its definition: join the best-scored neighbours, the
@@ -90,25 +121,42 @@ class PieceCodec:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def _agrees(self, left: str, right: str) -> bool:
-        return self.merge(left + right) == [left, right]
+    def agrees(self, left: str, right: str) -> bool:
+        """Whether two neighbours stay apart when their joined text is merged again."""
+        found = self.merge(left + right) == [left, right]
+        a, b = self.id_of.get(left), self.id_of.get(right)
+        if a is not None and b is not None:
+            if len(self._agreed) >= NEIGHBOURS:
+                self._agreed.clear()
+            self._agreed[a * (self.other + 1) + b] = found
+        return found
 
-    def pieces(self, text: str) -> list[str]:
-        """Pieces of a text by longest matches and backtracking; a character
-        without a piece stands for itself."""
-        n, agrees, shorter = len(text), self.agrees, self.shorter.get
+    def _covering(self, text: str) -> tuple[list[str], list[int]]:
+        """Pieces of a text by longest matches and backtracking, and their ids;
+        a character without a piece stands for itself and has the id ``other``."""
+        n, agreed, agrees, shorter = len(text), self._agreed.get, self.agrees, self.shorter.get
+        id_of, other, width = self.id_of.get, self.other, self.other + 1
         # Matches come in the order of their ends: the last that begins at a place is the longest.
         longest = {end - size + 1: size for end, size in self.automaton.iter(text)}.get
         failed = None  # the bitfield, from the first dead end on
         out: list[str] = []
-        last, pos, size = "", 0, longest(0, 1)
+        ids: list[int] = []
+        pos, size = 0, longest(0, 1)
         while pos < n:
             end = pos + size
             piece = text[pos:end]
-            if not (failed and failed[end >> 3] & (1 << (end & 7))) and (not last or agrees(last, piece)):
-                out.append(piece)
-                last, pos, size = piece, end, longest(end, 1)
-                continue
+            if not (failed and failed[end >> 3] & (1 << (end & 7))):
+                i = id_of(piece, other)
+                good = True
+                if out:
+                    good = agreed(ids[-1] * width + i)
+                    if good is None:
+                        good = agrees(out[-1], piece)
+                if good:
+                    out.append(piece)
+                    ids.append(i)
+                    pos, size = end, longest(end, 1)
+                    continue
             size = shorter(piece, 0)
             if not size:
                 if not out:
@@ -116,36 +164,31 @@ class PieceCodec:
                 failed = failed or bytearray((n >> 3) + 1)
                 failed[pos >> 3] |= 1 << (pos & 7)
                 size = len(out.pop())
-                last, pos = out[-1] if out else "", pos - size
-        return out
+                ids.pop()
+                pos -= size
+        return out, ids
+
+    def pieces(self, text: str) -> list[str]:
+        return self._covering(text)[0]
 
     def ids(self, text: str) -> list[int]:
         """Ids of a normalised text (blanks already replaced)."""
-        pieces = self.pieces(text)
-        out = [self.id_of.get(p) for p in pieces]
-        if None in out:
+        pieces, out = self._covering(text)
+        if self.other in out:
             out = [i for p, known in zip(pieces, out)
-                   for i in ([known] if known is not None else [self.byte_id[b] for b in p.encode()])]
+                   for i in ([known] if known != self.other else [self.byte_id[b] for b in p.encode()])]
         return out
 
     def chunks(self, text: str) -> list[str]:
-        """The normalised text, cut before every run of spaces: no piece
-        crosses from another character into a space."""
+        """The normalised text, cut before every run of spaces, for no piece
+        crosses from another character into a space, and between letters and
+        other characters, if no piece has both."""
         if not text:
             return []
         normal = SPACE + text.replace(" ", SPACE)
         if self.inner_space:
             return [normal]
-        parts = normal.split(SPACE)[1:]
-        if "" not in parts:
-            return [SPACE + p for p in parts]
-        out, run = [], ""
-        for p in parts:
-            run += SPACE
-            if p:
-                out.append(run + p)
-                run = ""
-        return out + [run] if run else out
+        return (WORDS if self.mixed else RUNS).findall(normal)
 
     def encode(self, text: str) -> list[int]:
         return [i for c in self.chunks(text) for i in self.ids(c)]
@@ -197,19 +240,21 @@ def _encode_batches(batches: Iterator[pa.RecordBatch], model_path: str) -> Itera
     c = codec(model_path)
     known: dict[str, bytes] = {}
     older: dict[str, bytes] = {}
+
+    def remember(chunk: str) -> bytes:
+        nonlocal known, older
+        if len(known) > MEMORY:  # chunks still in use come back from the older half
+            older, known = known, {}
+        found = known[chunk] = older.get(chunk) or array("H" if small else "i", c.ids(chunk)).tobytes()
+        return found
+    small = len(c.text_of) <= 1 << 16
     for batch in text_slices(batches, "text"):
         blobs = []
         for text in batch.column("text").to_pylist():
-            parts = c.chunks(text or "")
-            if len(known) > MEMORY:  # chunks still in use come back from the older half
-                older, known = known, {}
-            for p in parts:
-                if p not in known:
-                    known[p] = older.get(p) or np.array(c.ids(p), dtype="<i4").tobytes()
-            blobs.append(b"".join([known[p] for p in parts]))
+            blobs.append(b"".join([known.get(p) or remember(p) for p in c.chunks(text or "")]))
         offsets = np.zeros(len(blobs) + 1, dtype=np.int32)
-        np.cumsum([len(b) // 4 for b in blobs], out=offsets[1:])
-        values = np.frombuffer(b"".join(blobs), dtype="<i4")
+        np.cumsum([len(b) // (2 if small else 4) for b in blobs], out=offsets[1:])
+        values = np.frombuffer(b"".join(blobs), dtype="<u2" if small else "<i4").astype(np.int32)
         yield pa.RecordBatch.from_arrays(
             [batch.column("id"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))],
             ["id", "ids"])
@@ -221,8 +266,12 @@ def _decode_batches(batches: Iterator[pa.RecordBatch], model_path: str) -> Itera
     is_byte = np.zeros(len(c.text_of), dtype=bool)
     is_byte[list(c.byte_of)] = True
     for batch in batches:
-        texts = []
+        texts: list[str] = []
+        start = held = 0
         for ids in batch.column("ids"):
+            if held > DECODED:
+                yield _decoded(batch.slice(start, len(texts)), texts)
+                start, held, texts = start + len(texts), 0, []
             a = ids.values.to_numpy(zero_copy_only=False) if ids.is_valid else np.array([], np.int32)
             parts = surface[a]
             # Bytes are put together run by run.
@@ -232,8 +281,12 @@ def _decode_batches(batches: Iterator[pa.RecordBatch], model_path: str) -> Itera
                     parts[run[0]] = c.surface(a[run].tolist())
                     parts[run[1:]] = ""
             texts.append(c.without_lead(a, "".join(parts.tolist())))
-        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("ids"), pa.array(texts, pa.string())],
-                                         ["id", "ids", "decoded"])
+            held += len(texts[-1])
+        yield _decoded(batch.slice(start), texts)
+
+
+def _decoded(batch: pa.RecordBatch, texts: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([batch.column("id"), batch.column("ids"), pa.array(texts, pa.string())], ["id", "ids", "decoded"])
 
 
 def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
