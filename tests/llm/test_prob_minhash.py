@@ -3,6 +3,7 @@ from fractions import Fraction
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -169,3 +170,56 @@ def test_keep_one_of_repeated_ids_with_different_texts(spark):
         results.append(sorted(tuple(r) for r in pm.keep_one(spark, docs.repartition(4)).collect()))
     assert results[0] == results[1]
     assert [(i, " ".join(t.split())) for i, t, _ in results[0]] == sorted([(1, long), (1, "other words"), (5, "more"), (5, "words")])
+
+
+def test_candidate_pairs_of_a_block_take_few_bytes(monkeypatch):
+    import tracemalloc
+    monkeypatch.setattr(pm, "alike", lambda a, b: False)
+    monkeypatch.setattr(pm, "shingles", lambda words: ())
+    n = 500
+    keys = [b"%04d" % i for i in range(n)]
+    sketch = np.arange(pm.REGISTERS, dtype="<u2").tobytes()
+    table = pa.table({"band": pa.array([0] * n), "side": pa.array([0] * n), "key": pa.array(keys, pa.binary()),
+                      "component": pa.array(keys, pa.binary()), "bands": pa.array([[1] * 20] * n, pa.list_(pa.int64())),
+                      "sketch": pa.array([sketch] * n, pa.binary()), "text": pa.array(["some text"] * n)})
+    tracemalloc.start()
+    try:
+        assert pm._block_links(table).num_rows == 0
+        assert tracemalloc.get_traced_memory()[1] < 50 * n * (n - 1) / 2
+    finally:
+        tracemalloc.stop()
+
+
+def test_likeliest_pairs_of_a_block_come_first(monkeypatch):
+    seen = []
+    monkeypatch.setattr(pm, "alike", lambda a, b: seen.append((a, b)) or False)
+    monkeypatch.setattr(pm, "shingles", lambda words: words[0])
+    sketches = np.tile(np.arange(pm.REGISTERS, dtype="<u2"), (3, 1))
+    sketches[0, :10] += 1000
+    keys = [b"0", b"1", b"2"]
+    table = pa.table({"band": [0] * 3, "side": [0] * 3, "key": pa.array(keys, pa.binary()), "component": pa.array(keys, pa.binary()),
+                      "bands": pa.array([[1] * 20] * 3, pa.list_(pa.int64())),
+                      "sketch": pa.array([x.tobytes() for x in sketches], pa.binary()), "text": ["a", "b", "c"]})
+    pm._block_links(table)
+    assert seen == [(b"b", b"c"), (b"a", b"b"), (b"a", b"c")]
+
+
+def test_small_frames_are_stored_in_few_files(spark, monkeypatch):
+    from tripmart.llm import components
+    frames, real = [], components.materialize
+
+    def kept(df, label="stage"):
+        frames.append(real(df, label))
+        return frames[-1]
+    monkeypatch.setattr(components, "materialize", kept)
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "64")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        edges = spark.range(400).selectExpr("id as a", "id + 1000 as b")
+        assert components.connected_components(edges).where("component = least(node, node - 1000) or component = node").count() == 800
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    most = spark.sparkContext.defaultParallelism
+    assert most < 64 and all(len(f.inputFiles()) <= most + 1 for f in frames[1:])

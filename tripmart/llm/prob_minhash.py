@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 from tripmart.llm.common import materialize, text_slices
-from tripmart.llm.components import connected_components
+from tripmart.llm.components import connected_components, stored
 
 SHINGLE = 5
 REGISTERS, ROWS = 80, 4
@@ -44,6 +44,8 @@ ROUNDING = 1e-9
 LEAST_AGREEMENT = 0.6
 #: Documents and bytes of text of a block.
 BLOCK, BLOCK_BYTES = 1024, 8 << 20
+#: Documents of a stored file of sketches or of places in buckets.
+FILE_DOCS = 20_000
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -199,7 +201,11 @@ def _block_links(table: pa.Table) -> pa.Table:
         while root.get(x, x) != x:
             x = root[x]
         return x
-    pairs = []
+    # Only the numbers of candidate pairs are held, a few bytes a pair, for there may be some for all rows of both blocks.
+    names = {c: n for n, c in enumerate(sorted({*first[1], *second[1]}))}
+    component = [np.array([names[c] for c in side[1]], np.int32) for side in (first, second)]
+    likely: list[np.ndarray] = []
+    agreeing: list[np.ndarray] = []
     for i in range(len(first[0])):
         agreement = (second[3] == first[3][i]).mean(axis=1)
         good = agreement >= LEAST_AGREEMENT
@@ -207,7 +213,12 @@ def _block_links(table: pa.Table) -> pa.Table:
             good &= ~(second[4][:, :before] == first[4][i, :before]).any(axis=1)
         if within:
             good[:i + 1] = False
-        pairs += [(-agreement[j], i, int(j)) for j in np.flatnonzero(good) if first[1][i] != second[1][j]]
+        j = np.flatnonzero(good & (component[1] != component[0][i]))
+        likely.append(np.stack([np.full(len(j), i), j]).astype(np.int32))
+        agreeing.append(agreement[j].astype(np.float32))
+    pairs = np.concatenate([np.zeros((2, 0), np.int32), *likely], axis=1)
+    pairs = pairs[:, np.argsort(-np.concatenate([np.zeros(0, np.float32), *agreeing]), kind="stable")]
+    del likely, agreeing
     sets: dict[bytes, tuple] = {}
 
     def shingles_of(side, k: int):
@@ -215,7 +226,8 @@ def _block_links(table: pa.Table) -> pa.Table:
             sets[side[0][k]] = shingles(words_of(side[2][k]))
         return sets[side[0][k]]
     links = []
-    for _, i, j in sorted(pairs):
+    for i, j in zip(*map(np.nditer, pairs)) if pairs.size else ():
+        i, j = int(i), int(j)
         x, y = find(first[1][i]), find(second[1][j])
         if x != y and alike(shingles_of(first, i), shingles_of(second, j)):
             root[max(x, y)] = min(x, y)
@@ -239,11 +251,11 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             .mapInArrow(_compare_batches, "a binary, b binary"))
 
 
-def _stored_groups(grouped: DataFrame) -> DataFrame:
-    """A grouped frame, written, so that a join with it reads two plain
+def _stored_groups(grouped: DataFrame, docs: int | None = None) -> DataFrame:
+    """A grouped frame over all documents' buckets, written, so that a join with it reads two plain
     shuffles: adaptive execution splits a hot key of such a join, but not one
     whose other side is an aggregate over the same shuffle."""
-    return materialize(grouped, "groups")
+    return materialize(grouped, "groups") if docs is None else stored(grouped, "groups", docs, FILE_DOCS)
 
 
 def _pivot_pairs(members: DataFrame) -> DataFrame:
@@ -252,28 +264,28 @@ def _pivot_pairs(members: DataFrame) -> DataFrame:
     return members.join(top, "bucket").select(F.col("key").alias("a"), F.col("top.key").alias("b"))
 
 
-def _components(links: DataFrame) -> DataFrame:
+def _components(links: DataFrame, docs: int) -> DataFrame:
     """(key, component) of the linked keys."""
-    return materialize(connected_components(links, "near").select(F.col("node").alias("key"), "component"), "near")
+    return stored(connected_components(links, "near").select(F.col("node").alias("key"), "component"), "near", docs, FILE_DOCS)
 
 
-def _open_members(members: DataFrame, component: DataFrame) -> DataFrame:
+def _open_members(members: DataFrame, component: DataFrame, docs: int) -> DataFrame:
     """Members with their component, in the buckets that hold more than one component."""
     rows = members.join(component, "key", "left").select("band", "bucket", "key", F.coalesce("component", "key").alias("component"))
     open_ = rows.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
-    return rows.join(_stored_groups(open_.select("bucket")), "bucket")
+    return rows.join(_stored_groups(open_.select("bucket"), docs), "bucket")
 
 
-def _rest(rows: DataFrame, copies: DataFrame, texts: DataFrame) -> DataFrame:
+def _rest(rows: DataFrame, copies: DataFrame, texts: DataFrame, docs: int) -> DataFrame:
     """Links (a, b) between the components that still meet in a bucket.
 
     A bucket is dealt into blocks, bounded in rows and in text; a block meets
     itself (side 0 alone) and every other block once, as side 0 the later
     ones, as side 1 the earlier ones.
     """
-    rows = materialize(rows.join(texts.select("key", F.octet_length("text").alias("size")), "key"), "open")
+    rows = stored(rows.join(texts.select("key", F.octet_length("text").alias("size")), "key"), "open", docs, FILE_DOCS)
     blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("size") / BLOCK_BYTES)).cast("int")
-    dealt = rows.drop("size").join(_stored_groups(rows.groupBy("bucket").agg(blocks.alias("blocks"))), "bucket") \
+    dealt = rows.drop("size").join(_stored_groups(rows.groupBy("bucket").agg(blocks.alias("blocks")), docs), "bucket") \
         .withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     met = dealt.select("band", "bucket", "key", "component", F.explode(F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
@@ -293,7 +305,7 @@ def classes(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_c
     only has a NULL class; an empty table has no rows; other columns are not read.
     """
     every, joined = _keyed_components(spark, docs, id_col, text_col)
-    smallest = _stored_groups(joined.groupBy("component").agg(F.min("copy_id").alias("class_id")))
+    smallest = _stored_groups(joined.groupBy("component").agg(F.min("copy_id").alias("class_id")), joined.count())
     return every.select("id", "key").join(joined.join(smallest, "component"), "key").select("id", "copy_id", "class_id")
 
 
@@ -301,23 +313,24 @@ def _keyed_components(spark: SparkSession, docs: DataFrame, id_col: str, text_co
     """The sketches of all rows; (key, copy_id, component) of all words' hashes."""
     named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     every = materialize(sketches(named, "id", "text"), "sketches")
-    copies = materialize(every.groupBy("key").agg(F.min("id").alias("copy_id"), F.first("bands").alias("bands"),
-                                                  F.first("sketch").alias("sketch")), "copies")
+    n = every.count()
+    copies = stored(every.groupBy("key").agg(F.min("id").alias("copy_id"), F.first("bands").alias("bands"),
+                                             F.first("sketch").alias("sketch")), "copies", n, FILE_DOCS)
     exploded = copies.select("key", F.posexplode("bands").alias("band", "bucket"))
-    shared = _stored_groups(exploded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    members = materialize(exploded.join(shared, "bucket").select("band", "bucket", "key", "n"), "members")
-    central = materialize(members.groupBy("key").agg(F.sum("n").alias("weight")), "central")
+    shared = _stored_groups(exploded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), n)
+    members = stored(exploded.join(shared, "bucket").select("band", "bucket", "key", "n"), "members", n, FILE_DOCS)
+    central = stored(members.groupBy("key").agg(F.sum("n").alias("weight")), "central", n, FILE_DOCS)
     members = members.join(central, "key").select("band", "bucket", "key", "weight")
     # One text for each set of words that shares a bucket; the words' hash finds it among repeated ids.
     wanted = copies.join(central, "key").select("key", F.col("copy_id").alias("id"))
     texts = materialize(_texts(named, wanted), "texts")
     links = materialize(_verified(_pivot_pairs(members), texts), "links")
-    component = _components(links)
-    more = materialize(_rest(_open_members(members, component), copies, texts), "links")
+    component = _components(links, n)
+    more = materialize(_rest(_open_members(members, component, n), copies, texts, n), "links")
     if not more.isEmpty():
-        component = _components(links.unionByName(more))
+        component = _components(links.unionByName(more), n)
     joined = copies.select("key", "copy_id").join(component, "key", "left").withColumn("component", F.coalesce("component", "key"))
-    return every, materialize(joined, "classes")
+    return every, stored(joined, "classes", n, FILE_DOCS)
 
 
 def _texts(named: DataFrame, wanted: DataFrame) -> DataFrame:
