@@ -178,3 +178,68 @@ def test_words_in_a_seen_context_gain_and_unseen_ones_lose(spark):
     docs = spark.createDataFrame(rows, "doc_id int, text string, learned boolean")
     got = {r.id: r.score for r in lm.train_and_score(spark, docs, F.col("learned")).collect()}
     assert got[100] > got[101] + 5
+
+
+@pytest.mark.parametrize("bits", [3, 34, 64])
+def test_ranked_against_counting_by_hand(bits):
+    """Also where value and position do not fit into 64 bits together, with repeats, one value and none."""
+    rnd = np.random.default_rng(4)
+    for n in (0, 1, 2, 1000):
+        values = rnd.integers(0, (1 << bits) - 1, n, dtype=np.uint64, endpoint=True)
+        values = np.concatenate([values, values[::3]])
+        found, place = lm.ranked(values)
+        assert found.dtype == np.uint64 and found.tolist() == sorted(set(values.tolist()))
+        assert found[place].tolist() == values.tolist()
+
+
+def test_features_are_ranked_once_by_plain_sorting(monkeypatch):
+    """The CPU seconds of a block's features lay in np.unique and in searches: none is left, of the block or of a shard."""
+    def fail(*_, **__):
+        raise AssertionError("slow on many features")
+    rnd = np.random.default_rng(5)
+    block = block_of(0, [rnd.integers(0, 60, n) for n in (50, 0, 9)], [True, True, False])
+    for slow in ("unique", "argsort"):
+        monkeypatch.setattr(np, slow, fail)
+    sent = lm._features_of_block(block, 1, SYMBOLS, 34)
+    sums = lm._sum_shard(sent)
+    units = lm._arrays(block["units"], "<u4")
+    tail = lm.tail_tokens_of([SYMBOLS.of(u) for u in units], units, 34)
+    totals = np.concatenate(lm._arrays(sums["totals"], "<u8"))
+    monkeypatch.setattr(np, "searchsorted", fail)
+    assert np.isfinite(lm.tail_log10(tail, tail.features(), totals, np.full(60, 0.1), 3, 2.5)).all()
+    with pytest.raises(ValueError):
+        lm.tail_log10(tail, tail.features(), totals[1:], np.full(60, 0.1), 3, 2.5)
+
+
+def test_expected_counts_against_sums_token_by_token(monkeypatch):
+    """Chunks of a few tokens, so that runs of a pair are cut; each token's chances by their logits."""
+    monkeypatch.setattr(lm, "CHUNK", 16)
+    rnd = np.random.default_rng(6)
+    v, _ = small_vocabulary([b"w%d" % i for i in rnd.zipf(1.4, 3000) % 400])
+    w = lm.Weights.start(v)
+    w.by_class[:] = rnd.normal(size=w.by_class.shape)
+    w.by_word[:] = rnd.normal(size=w.by_word.shape)
+    texts = [rnd.choice([0, 1, 2, 20, 300, 555], size=n).astype("<u2") for n in (70, 1, 0, 150)]
+    sums = lm.Sums()
+    sums.add(w, texts)
+    expected, word_expected = np.zeros(sums.expected.shape), np.zeros(sums.word_expected.shape)
+    seen, word_seen = np.zeros(sums.seen.shape), np.zeros(sums.word_seen.shape)
+    target, _, rows = lm.contexts(texts)
+
+    def chance(logits):
+        e = np.exp(logits.astype(np.float64))
+        return e / e.sum()
+    for t, r in zip(target.tolist(), rows.T.astype(int).tolist()):
+        own = t // lm.PER_CLASS if t < lm.HEAD else lm.HEAD_CLASSES + lm.tail_class(t)
+        p = chance(w.class_bias + w.by_class[r].sum(axis=0))
+        for row in r:
+            expected[row] += p
+            seen[row, own] += 1
+        if t < lm.HEAD:
+            word_rows = [row * lm.HEAD_CLASSES + own for row in r[:2]]
+            p = chance(w.word_bias[own] + w.by_word[word_rows].sum(axis=0))
+            for row in word_rows:
+                word_expected[row] += p
+                word_seen[row, t % lm.PER_CLASS] += 1
+    assert (sums.seen == seen).all() and (sums.word_seen == word_seen).all()
+    assert sums.expected == pytest.approx(expected, rel=1e-5, abs=1e-6) and sums.word_expected == pytest.approx(word_expected, rel=1e-5, abs=1e-6)

@@ -95,6 +95,10 @@ def tail_class(symbol):
     return (symbol - HEAD) % TAIL_CLASSES
 
 
+#: The class of each symbol but START.
+CLASS_OF = np.concatenate([np.arange(HEAD) // PER_CLASS, HEAD_CLASSES + tail_class(np.arange(HEAD, START))])
+
+
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(word, n) counted within the task, flushed at a bounded size."""
     def table(counts: Counter) -> pa.RecordBatch:
@@ -159,7 +163,7 @@ class Symbols:
 
     @staticmethod
     def start(v: Vocabulary, place: dict[bytes | None, int]) -> Symbols:
-        return Symbols(np.array([place[w] if w in place else tail_symbol(w) for w in v.symbol] or [0], np.int64), v.end)
+        return Symbols(np.array([place[w] if w in place else tail_symbol(w) for w in v.symbol] or [0], np.uint16), v.end)
 
     def of(self, units: np.ndarray) -> np.ndarray:
         """A text's symbols, with the end."""
@@ -299,69 +303,89 @@ class Weights:
 def contexts(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Targets, their text's number, and the rows of their four features."""
     lengths = np.array([len(t) for t in texts])
-    pads = np.full(3, START, np.int64)
-    line = np.concatenate([x for t in texts for x in (pads, t.astype(np.int64))])
     text = np.repeat(np.arange(len(texts)), lengths)
+    target = np.concatenate(texts).astype(np.int64)
     at = np.arange(len(text)) + 3 * (text + 1)
+    line = np.full(len(text) + 3 * len(texts), START)
+    line[at] = target
     one, two, three = line[at - 1], line[at - 2], line[at - 3]
     pair = (two * 2654435761 + one * 40503 * 65537) >> 7
-    return line[at], text, np.stack([one, SYMBOLS + two, 2 * SYMBOLS + three, 3 * SYMBOLS + pair % PAIRS]).astype(np.uint16)
+    return target, text, np.stack([one, SYMBOLS + two, 2 * SYMBOLS + three, 3 * SYMBOLS + (pair & (PAIRS - 1))]).astype(np.uint16)
 
 
-def class_of(target: np.ndarray) -> np.ndarray:
-    return np.where(target < HEAD, target // PER_CLASS, HEAD_CLASSES + tail_class(target))
+@dataclass(frozen=True)
+class Odds:
+    """Exponentials of the feature weights, those of the biases multiplied into
+    the rows of the last token.  Weights move by bounded steps, so products of
+    a token's rows stay in range."""
 
+    by_class: np.ndarray
+    by_word: np.ndarray
 
-def forward(w: Weights, target: np.ndarray, rows: np.ndarray):
-    """Logits of all classes, of the words in the class of each head target,
-    the head targets' places, and their word-weight rows.  Weights move by
-    bounded steps, so exponentials of logits stay in range."""
-    classes = w.by_class.take(rows[0], axis=0)
+    @staticmethod
+    def of(w: Weights) -> Odds:
+        by_class, by_word = np.exp(w.by_class), np.exp(w.by_word)
+        by_class[:SYMBOLS] *= np.exp(w.class_bias)
+        by_word.reshape(WORD_ROWS, HEAD_CLASSES, PER_CLASS)[:SYMBOLS] *= np.exp(w.word_bias)
+        return Odds(by_class, by_word)
+
+
+def _product(table: np.ndarray, rows) -> np.ndarray:
+    out = table.take(rows[0], axis=0)
     for r in rows[1:]:
-        classes += w.by_class.take(r, axis=0)
-    classes += w.class_bias
+        out *= table.take(r, axis=0)
+    return out
+
+
+def forward(odds: Odds, target: np.ndarray, rows: np.ndarray):
+    """Odds of all classes, of the words in the class of each head target, the
+    head targets' places, and their word-weight rows."""
     head = np.flatnonzero(target < HEAD)
-    own = (target[head] // PER_CLASS).astype(np.int64)
-    word_rows = [rows[k][head].astype(np.int64) * HEAD_CLASSES + own for k in (0, 1)]
-    words = w.by_word.take(word_rows[0], axis=0)
-    words += w.by_word.take(word_rows[1], axis=0)
-    words += w.word_bias.take(own, axis=0)
-    return classes, words, head, word_rows
+    own = target[head] // PER_CLASS
+    word_rows = [rows[k][head] * HEAD_CLASSES + own for k in (0, 1)]
+    return _product(odds.by_class, rows), _product(odds.by_word, word_rows), head, word_rows
+
+
+def _totals(odds: np.ndarray) -> np.ndarray:
+    return odds @ np.ones(odds.shape[1], odds.dtype)
 
 
-def chosen_logs(logits: np.ndarray, which: np.ndarray) -> np.ndarray:
+def chosen_logs(odds: np.ndarray, which: np.ndarray) -> np.ndarray:
     """Log probability of one outcome per row."""
-    logs = logits[np.arange(len(which)), which]
-    np.exp(logits, out=logits)
-    return logs.astype(np.float64) - np.log(logits.sum(axis=1, dtype=np.float64))
+    return np.log(odds[np.arange(len(which)), which].astype(np.float64) / _totals(odds))
 
 
-def chances(logits: np.ndarray) -> np.ndarray:
-    np.exp(logits, out=logits)
-    logits /= logits.sum(axis=1, keepdims=True)
-    return logits
+def chances(odds: np.ndarray) -> np.ndarray:
+    odds /= _totals(odds)[:, None]
+    return odds
 
 
 def text_log10(w: Weights, texts: list[np.ndarray]) -> np.ndarray:
     """Log10 probability of each text's symbols: classes, and words of the head."""
     target, text, rows = contexts(texts)
-    total = np.zeros(len(texts))
+    odds, own, total = Odds.of(w), CLASS_OF[target], np.zeros(len(texts))
     for s in range(0, len(target), CHUNK):
-        t, x, r = target[s:s + CHUNK], text[s:s + CHUNK], rows[:, s:s + CHUNK]
-        classes, words, head, _ = forward(w, t, r)
-        logs = chosen_logs(classes, class_of(t))
+        t, x, r = target[s:s + CHUNK], text[s:s + CHUNK], rows[:, s:s + CHUNK].astype(np.int64)
+        classes, words, head, _ = forward(odds, t, r)
+        logs = chosen_logs(classes, own[s:s + CHUNK])
         logs[head] += chosen_logs(words, t[head] % PER_CLASS)
         total += np.bincount(x, logs, len(texts))
     return total / math.log(10)
 
 
-def _sum_rows(into: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
-    """Add the values to their rows, sorted so that each row is added to once."""
-    if len(rows):
-        order = np.argsort(rows, kind="stable")
-        ordered = rows[order]
-        starts = np.flatnonzero(np.diff(ordered, prepend=ordered[0].astype(np.int64) - 1))
-        into[ordered[starts]] += np.add.reduceat(values.take(order, axis=0), starts, axis=0)
+def _add_to(sums: np.ndarray, rows, values: np.ndarray) -> None:
+    """Add the values to all their rows of the sums, which lie by columns."""
+    for total, column in zip(sums, np.ascontiguousarray(values.T, np.float64)):
+        for r in rows:
+            np.add.at(total, r, column)
+
+
+def _add_runs(sums: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
+    """Add the values to their rows of the sums; the rows are in order."""
+    ones, start = np.ones(len(rows), values.dtype), 0
+    for end in [*(np.flatnonzero(np.diff(rows)) + 1).tolist(), len(rows)]:
+        sums[rows[start]] += ones[start:end] @ values[start:end]
+        start = end
 
 
 class Sums:
@@ -377,18 +401,23 @@ class Sums:
 
     def add(self, w: Weights, texts: list[np.ndarray]) -> None:
         target, _, rows = contexts(texts)
+        order = np.argsort(rows[3], kind="stable")  # so that a pair's tokens are a run
+        target, rows = target[order], rows[:, order]
+        odds, of = Odds.of(w), CLASS_OF[target]
+        expected, word_expected = np.zeros((CLASSES, 3 * SYMBOLS)), np.zeros((PER_CLASS, WORD_ROWS * HEAD_CLASSES))
         seen: list[list[np.ndarray]] = [[], []]
         for s in range(0, len(target), CHUNK):
-            t, r = target[s:s + CHUNK], rows[:, s:s + CHUNK]
-            classes, words, head, word_rows = forward(w, t, r)
-            chance, own = chances(classes), class_of(t)
-            for row in r:
-                _sum_rows(self.expected, row, chance)
-                seen[0].append(row.astype(np.int32) * CLASSES + own)
-            chance, place = chances(words), t[head] % PER_CLASS
-            for row in word_rows:
-                _sum_rows(self.word_expected, row.astype(np.uint16), chance)
-                seen[1].append(row * PER_CLASS + place)
+            t, r, own = target[s:s + CHUNK], rows[:, s:s + CHUNK].astype(np.int64), of[s:s + CHUNK]
+            classes, words, head, word_rows = forward(odds, t, r)
+            place = t[head] % PER_CLASS
+            chance = chances(classes)
+            _add_to(expected, r[:3], chance)
+            _add_runs(self.expected, r[3], chance)
+            _add_to(word_expected, word_rows, chances(words))
+            seen[0] += [(row * CLASSES + own).astype(np.int32) for row in r]
+            seen[1] += [(row * PER_CLASS + place).astype(np.int32) for row in word_rows]
+        self.expected[:3 * SYMBOLS] += expected.T
+        self.word_expected += word_expected.T
         for found, into in zip(seen, (self.seen, self.word_seen)):
             if found:
                 into += np.bincount(np.concatenate(found), minlength=into.size).reshape(into.shape)
@@ -449,17 +478,38 @@ def gather(slice_: DataFrame, shared) -> Sums:
 
 @dataclass(frozen=True)
 class Tail:
-    """A block's tail tokens: their text's number, their unit, and the features of pair and context."""
+    """A block's tail tokens: their text's number and their unit; the distinct
+    features, and the places there of each token's pair and context."""
 
     text: np.ndarray
     unit: np.ndarray
-    known: np.ndarray  # whether the word is in the dictionary, so that its pair has a weight
-    pair: np.ndarray
+    known: np.ndarray  # where the word is in the dictionary, so that its pair has a weight
+    found: np.ndarray
+    pair: np.ndarray  # of the known ones
     context: np.ndarray
 
     def features(self) -> np.ndarray:
         """All distinct features, ascending."""
-        return np.unique(np.concatenate([self.pair[self.known], self.context]))
+        return self.found
+
+
+def ranked(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values (unsigned 64-bit), ascending, and the place there of each value.
+
+    Where a value and its position fit into 64 bits together, these numbers are
+    sorted, which is several times faster than sorting the positions by value.
+    """
+    room = len(values).bit_length()
+    if not len(values) or int(values.max()).bit_length() + room > 64:
+        return np.unique(values, return_inverse=True)
+    ordered = np.sort(values << np.uint64(room) | np.arange(len(values), dtype=np.uint64))
+    order = (ordered & np.uint64((1 << room) - 1)).astype(np.int64)
+    ordered >>= np.uint64(room)
+    first = np.ones(len(ordered), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=first[1:])
+    place = np.empty(len(ordered), np.int64)
+    place[order] = np.cumsum(first) - 1
+    return ordered[first], place
 
 
 def tail_tokens_of(symbols: list[np.ndarray], units: list[np.ndarray], bits: int = 64) -> Tail:
@@ -473,9 +523,10 @@ def tail_tokens_of(symbols: list[np.ndarray], units: list[np.ndarray], bits: int
     last[(np.cumsum(lengths) - lengths)[lengths > 0]] = START_UNIT
     tail = np.flatnonzero(symbol >= HEAD)
     text, unit, last = text[tail], unit[tail], last[tail] << np.uint64(32)
-    spare = np.uint64(64 - bits)
-    return Tail(text, unit, unit < OTHER, mixed(last | unit) >> spare,
-                mixed(last | (CONTEXT + tail_class(symbol[tail])).astype(np.uint64)) >> spare)
+    known = np.flatnonzero(unit < OTHER)
+    contexts_ = last | (CONTEXT - HEAD_CLASSES + CLASS_OF[symbol[tail]]).astype(np.uint64)
+    found, place = ranked(mixed(np.concatenate([(last | unit)[known], contexts_])) >> np.uint64(64 - bits))
+    return Tail(text, unit, known, found, place[:len(known)], place[len(known):])
 
 
 def feature_bits(tokens: int) -> int:
@@ -493,10 +544,8 @@ def _features_of_block(table: pa.Table, shards: int, symbols: Symbols, bits: int
     tail = tail_tokens_of([symbols.of(u) for u in units], units, bits)
     found = tail.features()
     training = table["training"].to_numpy()[tail.text]
-    seen = np.concatenate([tail.pair[tail.known & training], tail.context[training]])
-    counts = np.zeros(len(found), "<u4")
-    learned, times = np.unique(seen, return_counts=True)
-    counts[np.searchsorted(found, learned)] = times
+    seen = np.concatenate([tail.pair[training[tail.known]], tail.context[training]])
+    counts = np.bincount(seen, minlength=len(found)).astype("<u4")
     cuts = [0, *np.searchsorted(found, _shard_bounds(shards, bits)).tolist(), len(found)]
     full = [k for k in range(shards) if cuts[k] < cuts[k + 1]]
     return pa.table({
@@ -508,7 +557,7 @@ def _features_of_block(table: pa.Table, shards: int, symbols: Symbols, bits: int
 def _sum_shard(table: pa.Table) -> pa.Table:
     """(block, shard, totals): the sums over all blocks, in the order of each block's features."""
     features, counts = _arrays(table["features"], "<u8"), _arrays(table["counts"], "<u4")
-    _, at = np.unique(np.concatenate(features), return_inverse=True)
+    _, at = ranked(np.concatenate(features))
     totals = np.bincount(at, np.concatenate(counts))[at].astype("<u8")
     ends = np.cumsum([len(f) for f in features])
     return pa.table({"block": table["block"], "shard": table["shard"],
@@ -517,12 +566,12 @@ def _sum_shard(table: pa.Table) -> pa.Table:
 
 def tail_log10(tail: Tail, found: np.ndarray, totals: np.ndarray, chance: np.ndarray, texts: int,
                prior: float = CONTEXT_PRIOR) -> np.ndarray:
-    """For each text, what its tail words' contexts add to their relative frequencies' log10."""
-    of_context = totals[np.searchsorted(found, tail.context)]
-    at = np.flatnonzero(tail.known)
-    of_pair = totals[np.searchsorted(found, tail.pair[at])]
-    logs = -np.log1p(of_context / prior)
-    logs[at] += np.log1p(of_pair / (prior * chance[tail.unit[at].astype(np.int64)]))
+    """For each text, what its tail words' contexts add to their relative frequencies' log10,
+    given the totals of the tail's features, ``found``."""
+    if len(totals) != len(found):
+        raise ValueError(f"{len(totals)} totals of {len(found)} features")
+    logs = -np.log1p(totals[tail.context] / prior)
+    logs[tail.known] += np.log1p(totals[tail.pair] / (prior * chance[tail.unit[tail.known].astype(np.int64)]))
     return np.bincount(tail.text, logs, texts) / math.log(10)
 
 
