@@ -102,6 +102,34 @@ def test_the_end_beyond_the_first_look(spark, monkeypatch, sizes, want):
     assert pages.last_page(spark, root, 5) == want
 
 
+@pytest.mark.parametrize("name", ["page={}/a.json", "page_{}.json"])
+def test_pages_beyond_the_look_are_not_listed(spark, monkeypatch, name):
+    monkeypatch.setattr(pages, "FIRST_LOOK", 2)
+    root = scratch_dir(spark, "t-list").removeprefix("file:")
+    for number in range(1, 401):
+        file = f"{root}/{name.format(number)}"
+        os.makedirs(os.path.dirname(file), exist_ok=True)
+        with open(file, "w") as f:
+            f.write("".join(f'{{"id": {number * 10 + i}}}\n' for i in range(2 if number == 3 else 5)))
+    listed, real = [], pages._reader
+    monkeypatch.setattr(pages, "_reader", lambda s, landing, paths: listed.append(len(paths) if paths != [landing] else 400) or real(s, landing, paths))
+    rows, start = pages.read_pages(spark, root, spark.createDataFrame([], "id long").schema, 5)
+    assert start == 3 and sorted({r.page for r in rows.collect()}) == [1, 2, 3] and rows.count() == 12
+    assert sum(listed) <= 2 + 16 + 3
+
+
+def test_landed_pages_are_files_of_one_folder(spark):
+    root = scratch_dir(spark, "t-landed").removeprefix("file:")
+    rows = spark.range(25).select("id", F.lit(None).cast("string").alias("v"), F.when(F.col("id") < 23, F.floor(F.col("id") / 5)).alias("page"))
+    pages.land_pages(rows.where("id <> 17"), root)
+    pages.land_pages(rows.where("id = 17"), root)
+    names = [n for n in os.listdir(root) if not n.startswith(".")]
+    assert sorted(n.split("page_")[1] for n in names) == ["0.json", "1.json", "2.json", "3.json", "3.json", "4.json", "none.json"]
+    assert sorted((r.id, r.page) for r in spark.read.schema("id long, page long").json(root).collect()) == [(r.id, r.page) for r in rows.collect()]
+    read, start = pages.read_pages(spark, root, rows.select("id").schema, 5, 0)
+    assert sorted((r.id, r.page) for r in read.collect()) == [(i, i // 5) for i in range(23)] and start == 4
+
+
 @pytest.mark.parametrize("query", [gate_loads.flow_month_load, gate_sources.header_trip_types])
 def test_sources_share_one_join(spark, monkeypatch, query):
     joins, real = [], adapter._joined

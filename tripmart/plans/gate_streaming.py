@@ -20,18 +20,11 @@ PAGES_PER_BATCH = 32
 REDELIVERED_PAGES = 3
 
 
-# A folder of pages has many files: the tasks move their own to their place,
-# not the driver all of them one by one when the write ends.
-MOVED_BY_TASKS = ("mapreduce.fileoutputcommitter.algorithm.version", "2")
-
-
 def _land_pages(events: DataFrame, landing: str, page_offset: int = 0) -> None:
     """Write events as JSON pages of PAGE_SIZE records, one file per page
     (pages are bounded, so one task per page is safe)."""
     page = (F.floor(F.col("event_id") / PAGE_SIZE) + F.lit(page_offset)).cast("long")
-    events.select(*EVENT_COLS, page.alias("page")).repartition("page") \
-        .write.mode("append").partitionBy("page").option(*MOVED_BY_TASKS) \
-        .option("timestampNTZFormat", ingest.PAGE_TIMESTAMP_FORMAT).json(landing)
+    pages.land_pages(events.select(*EVENT_COLS, page.alias("page")), landing, timestampNTZFormat=ingest.PAGE_TIMESTAMP_FORMAT)
 
 
 def _event_schema(spark: SparkSession, sf_dir: str):
@@ -174,11 +167,10 @@ def paged_source_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = adapter.table(spark, sf_dir, "events").select("event_id", F.floor(F.col("event_id") / SMALL_PAGE).alias("page"))
     full = ev.where("page <> 8")
     late = (F.col("page") == SHORT_PAGE) & (F.col("event_id") % SMALL_PAGE >= SHORT_ROWS)
-    land = lambda rows: rows.repartition("page").write.mode("append").partitionBy("page").option(*MOVED_BY_TASKS).json(landing)
-    land(full.where(~late))
+    pages.land_pages(full.where(~late), landing)
     schema = ev.select("event_id").schema
     first, start = pages.read_pages(spark, landing, schema, SMALL_PAGE, 0)
     first = tables.materialize(first.select(F.lit(1).alias("run"), "event_id"), "run")
-    land(full.where(late))
+    pages.land_pages(full.where(late), landing)
     second, _ = pages.read_pages(spark, landing, schema, SMALL_PAGE, start)
     return first.unionByName(second.select(F.lit(2).alias("run"), "event_id"))
