@@ -3,6 +3,7 @@
 import gzip
 import json
 import os
+import time
 import uuid
 
 import pytest
@@ -52,6 +53,49 @@ def test_a_merged_batch_is_one_file(spark, db):
     assert sorted(r.id for r in spark.table(t).collect()) == list(range(80))
 
 
+@pytest.mark.parametrize("key,indexed", [("id", False), ("name", False), ("id", True)])
+def test_only_batches_with_known_keys_read_the_target(spark, db, monkeypatch, key, indexed):
+    landing, ckpt, t = scratch_dir(spark, "t-land").removeprefix("file:"), scratch_dir(spark, "t-ckpt"), f"{db}.k"
+    schema = spark.createDataFrame([], "id long").schema
+    rows = lambda: ingest.page_stream(spark, landing, schema, 2).select("id", F.concat(F.lit("n"), "id").alias("name"), F.floor(F.col("id") / 10).alias("p"))
+    land(landing, range(8))
+    S.ensure_table(spark, t, rows().schema, ["p"] if indexed else [])
+    if indexed:
+        S.build_key_index(spark, t, [key])
+    read, real = [], S.anti_join
+    monkeypatch.setattr(S, "anti_join", lambda *a: read.append(1) or real(*a))
+    ingest.merge_stream(rows(), t, [key], ckpt)
+    assert read == [] and sorted(r.id for r in spark.table(t).collect()) == list(range(40))
+    # Another run: known keys, then new ones, twice within their batch.
+    land(landing, [100, 101, 102, 103])
+    for n, ids in ((200, [3, 4, 900]), (201, [900, 901]), (202, [901, 902, None]), (203, [903])):
+        with open(f"{landing}/p{n}.json", "w") as f:
+            f.write("\n".join(json.dumps({"id": i}) for i in ids))
+        os.utime(f"{landing}/p{n}.json", (time.time() + n, time.time() + n))
+    ingest.merge_stream(rows(), t, [key], ckpt)
+    assert sorted((r.id for r in spark.table(t).collect()), key=str) == sorted([*range(40), *range(500, 520), 900, 900, 901, 902, 903, None], key=str)
+    assert 0 < len(read) <= 3 and S.has_key_index(spark, t, [key]) == indexed
+
+
+def test_seen_keys_are_bounded_and_told_apart(spark, monkeypatch):
+    frame = lambda *ids: spark.createDataFrame([(i,) for i in ids], "id long")
+    seen = key_index.Seen(["id"])
+    seen.add(seen.places(frame(-1, 0, 63, 2 ** 62, None)))
+    seen.add(seen.places(frame(64, 65, -64)))
+    for known in (-64, -1, 0, 63, 64, 65, 2 ** 62):
+        assert seen.holds_some(seen.places(frame(1000, known, None)))
+    assert not seen.holds_some(seen.places(frame(1, 62, 66, -2, -65, 2 ** 62 + 1, None))) and not seen.holds_some(seen.places(frame()))
+    monkeypatch.setattr(key_index, "MOST_WORDS", 2)
+    places = seen.places(frame(1000, 2000, 3000))
+    assert places is None and seen.holds_some(places)
+    seen.add(places)
+    assert seen.full and len(seen.words) == 0 and seen.holds_some(seen.places(frame(5)))
+    of = lambda kind: spark.createDataFrame([], f"a {kind}, b {kind}").schema
+    tells = lambda x, y, *keys: key_index.Seen.can_tell(of(x), of(y), keys)
+    assert tells("int", "long", "a") and not tells("int", "long", "a", "b") and not tells("double", "double", "a")
+    assert tells("string", "string", "a", "b") and not tells("string", "int", "a")
+
+
 def test_an_append_is_counted_while_it_passes(spark, db):
     t = f"{db}.c"
     df = spark.range(7).select("id", F.lit(1).alias("p"))

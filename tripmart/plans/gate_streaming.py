@@ -31,6 +31,10 @@ def _event_schema(spark: SparkSession, sf_dir: str):
     return adapter.table(spark, sf_dir, "events").select(*EVENT_COLS).schema
 
 
+def _page_schema(spark: SparkSession, sf_dir: str):
+    return _event_schema(spark, sf_dir).add("page", "long")
+
+
 @gate("stream_append_ledger", "select event_id, ts, user_id, event_type, value, props from events")
 def stream_append_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages landed, streamed with a ledger, then the stream is run again
@@ -58,9 +62,9 @@ def _stream_twice(spark: SparkSession, sf_dir: str) -> str:
     landing, ckpt = scratch_dir(spark, "landing"), scratch_dir(spark, "stream-ckpt")
     _land_pages(ev, landing)
     db = scratch_database(spark, "stream")
-    schema = ingest.schema_with_hints(_event_schema(spark, sf_dir), {})
+    schema = ingest.schema_with_hints(_page_schema(spark, sf_dir), {})
     for _ in range(2):
-        stream = ingest.page_stream(spark, landing, schema.add("page", "long"), max_files_per_trigger=PAGES_PER_BATCH)
+        stream = ingest.page_stream(spark, landing, schema, max_files_per_trigger=PAGES_PER_BATCH)
         ingest.append_with_ledger(stream, f"{db}.events", f"{db}.loads", ckpt, EVENT_COLS)
     return db
 
@@ -74,7 +78,7 @@ def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     db = scratch_database(spark, "smerge")
     target = f"{db}.events"
     tables.ensure_table(spark, target, _event_schema(spark, sf_dir))
-    schema = _event_schema(spark, sf_dir).add("page", "long")
+    schema = _page_schema(spark, sf_dir)
     _land_pages(ev, landing)
     ingest.merge_stream(ingest.page_stream(spark, landing, schema, PAGES_PER_BATCH).select(*EVENT_COLS), target,
                         ["event_id"], ckpt)
@@ -92,13 +96,13 @@ def stream_merge_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = adapter.table(spark, sf_dir, "events").select(*EVENT_COLS)
     landing, ckpt = scratch_dir(spark, "landing"), scratch_dir(spark, "stream-ckpt")
     target = f"{scratch_database(spark, 'sindex')}.events"
-    schema = _event_schema(spark, sf_dir)
+    schema = _page_schema(spark, sf_dir)
     day = F.to_date("ts").alias("event_date")
     tables.ensure_table(spark, target, ev.select("*", day).schema, ["event_date"])
     tables.build_key_index(spark, target, ["event_id"])
     for rows, offset in ((ev, 0), (ev.where(F.col("event_id") < REDELIVERED_PAGES * PAGE_SIZE), 1_000_000)):
         _land_pages(rows, landing, page_offset=offset)
-        stream = ingest.page_stream(spark, landing, schema.add("page", "long"), PAGES_PER_BATCH).select(*EVENT_COLS, day)
+        stream = ingest.page_stream(spark, landing, schema, PAGES_PER_BATCH).select(*EVENT_COLS, day)
         ingest.merge_stream(stream, target, ["event_id"], ckpt)
     return spark.table(target).select(*EVENT_COLS)
 
@@ -128,11 +132,11 @@ def stream_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     have no key.  Every event is there once."""
     landing, ckpt = scratch_dir(spark, "landing"), scratch_dir(spark, "stream-ckpt")
     target = f"{scratch_database(spark, 'sreplay')}.events"
-    schema = _event_schema(spark, sf_dir)
-    tables.ensure_table(spark, target, _keyless(spark.createDataFrame([], schema)).schema.add("_batch_id", "long"))
+    schema = _page_schema(spark, sf_dir)
+    tables.ensure_table(spark, target, _keyless(spark.createDataFrame([], _event_schema(spark, sf_dir))).schema.add("_batch_id", "long"))
     _land_pages(adapter.table(spark, sf_dir, "events"), landing)
     for _ in range(2):
-        stream = ingest.page_stream(spark, landing, schema.add("page", "long"), PAGES_PER_BATCH).select(*EVENT_COLS)
+        stream = ingest.page_stream(spark, landing, schema, PAGES_PER_BATCH).select(*EVENT_COLS)
         ingest.merge_stream(_keyless(stream), target, ["event_id"], ckpt)
         _forget_last_batch(spark, ckpt)
     return spark.table(target).select(*EVENT_COLS)
@@ -143,10 +147,10 @@ def stream_append_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last batch is appended, forgotten and appended again: it replaces its own rows."""
     landing, ckpt = scratch_dir(spark, "landing"), scratch_dir(spark, "stream-ckpt")
     db = scratch_database(spark, "areplay")
-    schema = _event_schema(spark, sf_dir)
+    schema = _page_schema(spark, sf_dir)
     _land_pages(adapter.table(spark, sf_dir, "events"), landing)
     for _ in range(2):
-        stream = ingest.page_stream(spark, landing, schema.add("page", "long"), PAGES_PER_BATCH)
+        stream = ingest.page_stream(spark, landing, schema, PAGES_PER_BATCH)
         ingest.append_with_ledger(_keyless(stream), f"{db}.events", f"{db}.loads", ckpt, EVENT_COLS)
         _forget_last_batch(spark, ckpt)
     return spark.table(f"{db}.events").select(*EVENT_COLS)

@@ -123,21 +123,28 @@ def merge_stream(stream: DataFrame, target: str, keys: Sequence[str], checkpoint
     that an earlier run inserted, wholly or in part, adds just the rows that
     are missing, those with a NULL key or a repeated key included.  Without
     that column a replay inserts none of the rows that have a key, and rows
-    with a NULL key, which match nothing, again."""
-    state = {"first": True}
+    with a NULL key, which match nothing, again.
+
+    A run reads the target's keys at most twice, however many batches it has,
+    as long as its batches bring new keys (``key_index.Seen``); a batch with a
+    key that may be there is compared with the target."""
+    spark = stream.sparkSession
+    marked = batch_column in tables.column_names(spark, target)
+    alike = tables.reads_alike(stream)
+    run: dict = {"batches": 0, "seen": None}
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        if batch_column not in batch.sparkSession.table(target).columns:
-            tables.merge_insert_new(batch, target, keys, few_files=True)
-            return
-        rows = batch.withColumn(batch_column, F.lit(batch_id).cast("long"))
-        if state["first"]:
+        rows = batch.withColumn(batch_column, F.lit(batch_id).cast("long")) if marked else batch
+        # The target's keys are read for a run of several batches, not for one that compares a single batch with them.
+        if run["batches"] == 1 or (run["batches"] == 0 and batch.sparkSession.table(target).isEmpty()):
+            run["seen"] = run["seen"] or tables.seen_keys(target, rows.schema, keys, batch.sparkSession)
+        if marked and run["batches"] == 0 and run["seen"] is None:
             tables.merge_insert_missing(rows, target, keys, F.col(batch_column) == batch_id)
         else:
-            tables.merge_insert_new(rows, target, keys, few_files=True)
-        state["first"] = False
+            tables.merge_insert_new(rows, target, keys, few_files=True, seen=run["seen"], alike=alike)
+        run["batches"] += 1
 
     q = (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    stream.sparkSession.catalog.refreshTable(target)
+    spark.catalog.refreshTable(target)
